@@ -68,6 +68,22 @@ def broadcast_bounded(df: DataFrame, label: str, max_rows: int = BROADCAST_MAX_R
     return broadcast_when_small(materialise(df, label), max_rows)
 
 
+def broadcast_for(
+    side: DataFrame, big: DataFrame, key: str, label: str, max_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """:func:`broadcast_bounded`, which first tries the keys that ``big`` uses.
+
+    A side beyond the bound is cut down to the distinct keys of ``big`` (one pass
+    over one column) and checked again; if it is still too large, the join is a
+    shuffled one.
+    """
+    table = materialise(side, label)
+    if table.count() <= max_rows:
+        return F.broadcast(table)
+    in_use = big.select(key).distinct()
+    return broadcast_bounded(table.join(in_use, key, "left_semi"), label, max_rows)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table of a dataset folder, stored as ``name.parquet``."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
