@@ -201,9 +201,11 @@ def claim_costs(claims: DataFrame, transactions: DataFrame, plan_periods: DataFr
     by far the largest input, are summed per claim before anything joins them.
     Of several plan periods holding the date the smallest id counts.
     """
+    # Exact sums, so that they do not depend on the order of addition.
+    amount = F.col("amount").cast("decimal(18,4)")
     sums = transactions.groupBy("claim_id").agg(
-        F.sum(F.when(F.col("transfer_type") == "CHARGE", F.col("amount"))).alias("total_charge"),
-        F.sum(F.when(F.col("transfer_type") == "PAYMENT", F.col("amount"))).alias("total_paid"),
+        F.sum(F.when(F.col("transfer_type") == "CHARGE", amount)).cast("double").alias("total_charge"),
+        F.sum(F.when(F.col("transfer_type") == "PAYMENT", amount)).cast("double").alias("total_paid"),
     )
     # A claim meets only the plan periods of its own person and calendar year.
     periods = plan_periods.select(
