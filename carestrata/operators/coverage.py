@@ -12,6 +12,7 @@ from carestrata.operators.documents import (
     required_sets,
 )
 from carestrata.operators.vocab import concept_set_hits, map_codes_to_concepts
+from carestrata.runtime import materialise
 
 # Fixed value: how many example labels a report row shows.
 EXAMPLES = 2
@@ -136,11 +137,12 @@ def coverage_report(
     A cohort that is known to stay empty is not reported as uncovered.
     """
     primary, required = primary_criteria(documents), required_sets(documents)
-    sources = codes_by_concept(codes, concept, relationship)
+    # Both are used more than once below and are small next to what they come from.
+    sources = materialise(codes_by_concept(codes, concept, relationship), "sources")
     items = concept_set_items(documents).join(
         needed_sets(primary, required), ["cohort_id", "set_id"], "left_semi"
     )
-    hits = concept_set_hits(items, closure, sources, ["cohort_id", "set_id"])
+    hits = materialise(concept_set_hits(items, closure, sources, ["cohort_id", "set_id"]), "hits")
     verdicts = cohort_verdicts(primary, required, hits)
     labels = provider_labels(hits.select("cohort_id", "concept_id").distinct(), sources)
     known_empty = expected_empty.select("cohort_id").distinct().withColumn("is_expected_empty", F.lit(True))

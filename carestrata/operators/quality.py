@@ -204,7 +204,7 @@ def discharge_verdict(
 def suggested_width(length: Column | str) -> Column:
     """Power of two above ``length``, at least 64; its bits give the exponent."""
     bits = F.length(F.bin(as_column(length)))
-    return F.greatest(F.lit(MIN_TEXT_WIDTH).cast("long"), F.shiftleft(F.lit(1).cast("long"), bits))
+    return F.greatest(F.lit(MIN_TEXT_WIDTH).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), bits))
 
 
 def column_profile(df: DataFrame, table: str, declared: dict[str, int] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ binding is a projection or join of whole tables, so it grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -14,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.functions.parsing import staging_date
-from carestrata.operators import demographics, events, visits, vocab
-from carestrata.runtime import read_table
+from carestrata.operators import demographics, documents, events, visits, vocab
+from carestrata.runtime import materialise, read_table
 
 # Fixed values of the bindings: part type to domain, priority and event type to
 # encounter class, event type to concept.
@@ -53,6 +54,25 @@ def _case(col: str, values: dict[str, object]):
     return expr
 
 
+# Tables that a dataset stores once and every later step reads: the vocabulary, its
+# maps, persons and visits. Kept per application and folder.
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(fn: Callable[[Bound], DataFrame]) -> cached_property:
+    """A binding that is written to the shared folder on first use."""
+
+    def once(self: Bound) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, fn.__name__)
+        if key not in _stored:
+            _stored[key] = materialise(fn(self), fn.__name__)
+        return _stored[key]
+
+    prop = cached_property(once)
+    prop.__set_name__(None, fn.__name__)
+    return prop
+
+
 _CONCEPT = "concept_id concept_name domain_id vocabulary_id concept_class_id standard_concept concept_code invalid_reason".split()
 
 
@@ -81,7 +101,7 @@ class Bound:
             _case("p_type", DOMAIN_OF_TYPE).alias("domain_id"),
         )
 
-    @cached_property
+    @stored
     def concept(self) -> DataFrame:
         parts, nation = self.parts, self.table("nation")
         leaf = parts.selectExpr(
@@ -149,7 +169,7 @@ class Bound:
             out = out.unionByName(more)
         return out.select(_CONCEPT)
 
-    @cached_property
+    @stored
     def relationship(self) -> DataFrame:
         loose = self.parts.filter("p_size % 3 <> 0")
         name = "if(p_size % 11 = 0, 'maps to', 'Maps to') as relationship_id"
@@ -174,7 +194,7 @@ class Bound:
         ).distinct()
         return to_pair.unionByName(to_brand).unionByName(to_place).unionByName(is_a)
 
-    @cached_property
+    @stored
     def closure(self) -> DataFrame:
         rows = self.parts.select(
             F.explode(
@@ -196,7 +216,7 @@ class Bound:
             F.col("r.n").alias("max_levels_of_separation"),
         ).distinct()
 
-    @cached_property
+    @stored
     def synonym(self) -> DataFrame:
         return self.parts.selectExpr(
             "10000000 + p_partkey as concept_id",
@@ -204,7 +224,7 @@ class Bound:
             "cast(4180186 as bigint) as language_concept_id",
         )
 
-    @cached_property
+    @stored
     def vocabulary(self) -> DataFrame:
         return self.table("region").selectExpr(
             "if(r_regionkey = 0, 'None', r_name) as vocabulary_id",
@@ -212,7 +232,7 @@ class Bound:
             "concat('v5.0 ', r_name) as vocabulary_version",
         )
 
-    @cached_property
+    @stored
     def custom_map(self) -> DataFrame:
         return self.table("supplier").selectExpr(
             "s_name as source_code",
@@ -222,11 +242,11 @@ class Bound:
             "if(s_acctbal < 0, 'D', null) as invalid_reason",
         )
 
-    @cached_property
+    @stored
     def standard_map(self) -> DataFrame:
         return vocab.source_to_standard_map(self.concept, self.relationship, self.custom_map)
 
-    @cached_property
+    @stored
     def source_map(self) -> DataFrame:
         return vocab.source_to_source_map(self.concept, self.custom_map)
 
@@ -256,11 +276,11 @@ class Bound:
             ).alias("discharge"),
         )
 
-    @cached_property
+    @stored
     def event_visits(self) -> DataFrame:
         return visits.all_visits(self.event_encounters)
 
-    @cached_property
+    @stored
     def event_final_ids(self) -> DataFrame:
         return visits.resolve_visits(self.event_encounters, self.event_visits)
 
@@ -372,28 +392,31 @@ class Bound:
             "n_name as state", "concat('N', n_nationkey) as state_abbreviation"
         )
 
-    @cached_property
+    @stored
     def locations(self) -> DataFrame:
-        places = self.table("customer").join(
+        return demographics.location(self.places, ["state", "county"])
+
+    @cached_property
+    def places(self) -> DataFrame:
+        return self.table("customer").join(
             self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
         ).selectExpr("concat('N', n_nationkey) as state", "cast(n_regionkey as string) as county")
-        return demographics.location(places, ["state", "county"])
 
-    @cached_property
+    @stored
     def providers(self) -> DataFrame:
         return demographics.provider(self.table("supplier"), "s_suppkey", "s_name")
 
-    @cached_property
+    @stored
     def persons(self) -> DataFrame:
         return demographics.person(
             self.patients.withColumn("birthdate", staging_date("birthdate")), self.states, self.locations
         )
 
-    @cached_property
+    @stored
     def order_visits(self) -> DataFrame:
         return visits.all_visits(self.order_encounters)
 
-    @cached_property
+    @stored
     def order_final_ids(self) -> DataFrame:
         return visits.resolve_visits(self.order_encounters, self.order_visits)
 
@@ -417,7 +440,7 @@ class Bound:
             "date_add(cast(o_orderdate as date), cast(floor(o_totalprice) as int) % 365) as end_date",
         )
 
-    @cached_property
+    @stored
     def plan_periods(self) -> DataFrame:
         return demographics.payer_plan_period(self.payers, self.transitions, self.patients, self.persons)
 
@@ -555,6 +578,10 @@ class Bound:
             "concat(p_type, '/', p_partkey, '.json') as path", "document"
         )
 
+    @stored
+    def module_codes(self) -> DataFrame:
+        return documents.emitted_codes(documents.label_modules(self.custom_modules, self.built_in_modules))
+
     @cached_property
     def cohort_documents(self) -> DataFrame:
         """One cohort definition per supplier, in five entry and four rule shapes."""

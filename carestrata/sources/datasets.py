@@ -193,7 +193,7 @@ def rebuild_if_stale(
         write_table(build(), dataset, name)
     info = [(live_version, builder, datetime.now(timezone.utc))]
     info_df = spark.createDataFrame(info, "vocab_version string, builder_version int, built_at timestamp")
-    counts = {f"{name}_rows": F.lit(open_table(spark, dataset, name).count()) for name in builders}
+    counts = {f"{name}_rows": F.lit(open_table(spark, dataset, name).count()).cast("long") for name in builders}
     write_table(info_df.withColumns(counts), dataset, BUILD_INFO)
     return True
 

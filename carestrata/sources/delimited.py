@@ -44,25 +44,33 @@ NULLABLE_FLAGS = {
 }
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Files of a folder with table name, signature (size and mtime) and path.
+def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
+    """Extracts of a folder: table name, signature and path.
 
-    The contents are not read: only the listing columns of the scan are used.
+    An extract is one file, or a folder of that name holding its parts. The
+    signature is total size, latest modification and number of files. Contents
+    are not read: only the listing columns of the scan are used.
     """
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "false")
+        .option("pathGlobFilter", f"*{suffix}")
+        .option("recursiveFileLookup", "true")
         .load(folder)
         .select("path", "length", "modificationTime")
     )
-    base = F.element_at(F.split("path", "/"), -1)
-    return files.select(
-        F.lower(F.regexp_replace(base, r"\.[^.]*$", "")).alias("table_name"),
-        F.concat_ws("|", F.col("length").cast("string"), F.unix_millis("modificationTime").cast("string")).alias(
-            "signature"
-        ),
-        "path",
+    extract = rf"^(.*?/([^/]*?)\{suffix})(/|$)"
+    root, first = (F.regexp_extract("path", extract, group) for group in (1, 2))
+    return (
+        files.groupBy(F.lower(first).alias("table_name"), root.alias("path"))
+        .agg(
+            F.concat_ws(
+                "|",
+                F.sum("length").cast("string"),
+                F.unix_millis(F.max("modificationTime")).cast("string"),
+                F.count(F.lit(1)).cast("string"),
+            ).alias("signature")
+        )
+        .select("table_name", "signature", "path")
     )
 
 
