@@ -10,7 +10,7 @@ cohort_name, is_outcome, expected_empty, failed, hand_authored``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.operators.intervals import collapse_intervals
@@ -223,28 +223,54 @@ def instantiate_cohorts(
         )
     )
     if inclusion_concepts is not None:
-        entries = entries.join(
-            included_subjects(inclusion_concepts, events), [*_COHORT, "subject_id"], "left_semi"
-        ).unionByName(
-            entries.join(inclusion_concepts.select(_COHORT).distinct(), _COHORT, "left_anti")
-        )
-    return collapse_cohorts(limit_to_first(entries), era_pad)
+        entries = meeting_rules(entries, inclusion_concepts, events)
+    return collapse_intervals(
+        limit_to_first(entries),
+        [*_COHORT, "subject_id"],
+        "cohort_start_date",
+        "cohort_end_date",
+        era_pad,
+        count=None,
+        distinct_starts=True,
+    )
 
 
 def limit_to_first(entries: DataFrame) -> DataFrame:
     """Earliest entry of a subject where the definition asks for it, else all.
 
-    The earliest entry is an aggregate, which combines map-side, not a ranking.
+    Entries are first combined per start date (the shortest for a cohort that
+    takes only the first, the longest otherwise), so one subject brings no more
+    rows to the window than there are days.
     """
     keys = [*_COHORT, "subject_id"]
-    span = F.struct("cohort_start_date", "cohort_end_date")
-    first = (
-        entries.filter("first_only")
-        .groupBy(*keys)
-        .agg(F.min(span).alias("_span"))
-        .select(*keys, "_span.cohort_start_date", "_span.cohort_end_date")
+    days = entries.groupBy(*keys, "first_only", "cohort_start_date").agg(
+        F.min("cohort_end_date").alias("_shortest"), F.max("cohort_end_date").alias("_longest")
+    )
+    first = F.min("cohort_start_date").over(Window.partitionBy(*keys))
+    return (
+        days.withColumn("_first", first)
+        .filter(~F.col("first_only") | (F.col("cohort_start_date") == F.col("_first")))
+        .select(
+            *keys,
+            "cohort_start_date",
+            F.greatest(
+                "cohort_start_date",
+                F.when(F.col("first_only"), F.col("_shortest")).otherwise(F.col("_longest")),
+            ).alias("cohort_end_date"),
+        )
+    )
+
+
+def meeting_rules(entries: DataFrame, inclusion_concepts: DataFrame, events: DataFrame) -> DataFrame:
+    """Entries of subjects that meet all rules, and those of cohorts without rules."""
+    ruled = inclusion_concepts.select(_COHORT).distinct().withColumn("_ruled", F.lit(True))
+    passed = included_subjects(inclusion_concepts, events).withColumn("_passed", F.lit(True))
+    return (
+        entries.join(broadcast_when_small(ruled), _COHORT, "left")
+        .join(passed, [*_COHORT, "subject_id"], "left")
+        .filter(F.col("_ruled").isNull() | F.col("_passed"))
+        .drop("_ruled", "_passed")
     )
-    return first.unionByName(entries.filter("not first_only").drop("first_only"))
 
 
 def included_subjects(inclusion_concepts: DataFrame, events: DataFrame) -> DataFrame:

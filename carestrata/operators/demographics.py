@@ -6,7 +6,7 @@ says so in its docstring.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.functions.parsing import as_column, death_date, typed_null
@@ -193,6 +193,34 @@ def payer_plan_period(
     )
 
 
+def owned_days(plan_periods: DataFrame) -> DataFrame:
+    """The days on which each plan period is the first of its person to apply.
+
+    Periods are numbered by start, so the smallest id holding a day belongs to
+    the earliest start. A period therefore owns the days after the latest end of
+    the periods before it, up to its own end. Owned days never overlap, so a
+    claim meets at most one period per day, and a busy person's periods meet at
+    most the days of one calendar year at a time.
+    """
+    start, end = F.col("payer_plan_period_start_date"), F.col("payer_plan_period_end_date")
+    earlier = (
+        Window.partitionBy("person_id")
+        .orderBy("payer_plan_period_id")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        plan_periods.withColumn("_covered", F.max(end).over(earlier))
+        .select(
+            "person_id",
+            "payer_plan_period_id",
+            F.greatest(start, F.date_add("_covered", 1)).alias("owned_from"),
+            end.alias("owned_to"),
+        )
+        .filter("owned_from <= owned_to")
+        .withColumn("_year", F.explode(F.sequence(F.year("owned_from"), F.year("owned_to"))))
+    )
+
+
 def claim_costs(claims: DataFrame, transactions: DataFrame, plan_periods: DataFrame) -> DataFrame:
     """Charges and payments per claim, with the plan period of the service date.
 
@@ -207,22 +235,12 @@ def claim_costs(claims: DataFrame, transactions: DataFrame, plan_periods: DataFr
         F.sum(F.when(F.col("transfer_type") == "CHARGE", amount)).cast("double").alias("total_charge"),
         F.sum(F.when(F.col("transfer_type") == "PAYMENT", amount)).cast("double").alias("total_paid"),
     )
-    # A claim meets only the plan periods of its own person and calendar year.
-    periods = plan_periods.select(
-        "person_id",
-        "payer_plan_period_id",
-        "payer_plan_period_start_date",
-        "payer_plan_period_end_date",
-        F.explode(
-            F.sequence(F.year("payer_plan_period_start_date"), F.year("payer_plan_period_end_date"))
-        ).alias("_year"),
-    )
+    owned = owned_days(plan_periods)
     dated = claims.select("person_id", "service_date").distinct().withColumn("_year", F.year("service_date"))
     plan_of = (
-        dated.join(periods, ["person_id", "_year"])
-        .filter("service_date between payer_plan_period_start_date and payer_plan_period_end_date")
-        .groupBy("person_id", "service_date")
-        .agg(F.min("payer_plan_period_id").alias("payer_plan_period_id"))
+        dated.join(owned, ["person_id", "_year"])
+        .filter("service_date between owned_from and owned_to")
+        .select("person_id", "service_date", "payer_plan_period_id")
     )
     return claims.join(sums, "claim_id").join(plan_of, ["person_id", "service_date"], "left")
 

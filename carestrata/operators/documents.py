@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestrata.runtime import broadcast_when_small
+
 # Parts of a state that test for a code instead of emitting it.
 TRANSITION_KEYS = (
     "conditional_transition",
@@ -105,7 +107,8 @@ def label_modules(custom: DataFrame, built_in: DataFrame) -> DataFrame:
     """
     base = F.element_at(F.split("path", "/"), -1)
     own = custom.withColumn("_base", base)
-    others = built_in.withColumn("_base", base).join(own.select("_base").distinct(), "_base", "left_anti")
+    names = broadcast_when_small(own.select("_base").distinct())
+    others = built_in.withColumn("_base", base).join(names, "_base", "left_anti")
     return own.select(F.lit(CUSTOM_LABEL).alias("module"), "document").unionByName(
         others.select(F.concat(F.lit(BUILT_IN_PREFIX), F.col("path")).alias("module"), "document")
     )

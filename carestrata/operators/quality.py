@@ -71,32 +71,40 @@ def dataset_summary(
 ) -> DataFrame:
     """One row of counts over the staged and the built tables.
 
-    All but the visits are counted for the given persons only. Each table yields
-    a few ``(metric, value)`` rows; they are folded into columns at the end, so
-    no table is ever crossed with another.
+    All but the visits are counted for the given persons only, after counting per
+    person, so what meets the persons is one row each. Every table yields a few
+    ``(metric, value)`` rows; they are folded into columns at the end, so no
+    table is ever crossed with another.
     """
     ids = person.select("person_id").distinct()
 
-    def one(df: DataFrame, metric: str, where: Column | None = None) -> DataFrame:
-        counted = F.count(F.lit(1)) if where is None else F.count(F.when(where, 1))
-        return df.agg(counted.alias("value")).select(F.lit(metric).alias("metric"), "value")
+    def one(df: DataFrame, metric: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "value")
 
-    own = conditions.join(ids, "person_id", "left_semi").agg(
-        F.count(F.lit(1)).alias("condition_rows"),
-        F.count(F.when(F.col("condition_concept_id") > 0, 1)).alias("mapped_condition_rows"),
-    )
+    def of_persons(df: DataFrame, **counts: Column) -> DataFrame:
+        per_person = df.groupBy("person_id").agg(*[F.count(c).alias(name) for name, c in counts.items()])
+        totals = per_person.join(ids, "person_id", "left_semi").agg(
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in counts]
+        )
+        return totals.unpivot([], list(counts), "metric", "value")
+
+    rows = F.lit(1)
     staged_counts = row_counts(staged).agg(
         F.sum("row_count").alias("staged_rows"),
         F.sum(F.when(F.col("row_count") > 0, 1).otherwise(0)).alias("staged_tables_with_rows"),
     )
     metrics = [
         staged_counts.unpivot([], ["staged_rows", "staged_tables_with_rows"], "metric", "value"),
-        own.unpivot([], ["condition_rows", "mapped_condition_rows"], "metric", "value"),
+        of_persons(
+            conditions,
+            condition_rows=rows,
+            mapped_condition_rows=F.when(F.col("condition_concept_id") > 0, 1),
+        ),
         one(person, "person_rows"),
         one(visits, "visit_rows"),
-        one(procedures.join(ids, "person_id", "left_semi"), "procedure_rows"),
-        one(condition_eras.join(ids, "person_id", "left_semi"), "condition_era_rows"),
-        one(drug_eras.join(ids, "person_id", "left_semi"), "drug_era_rows"),
+        of_persons(procedures, procedure_rows=rows),
+        of_persons(condition_eras, condition_era_rows=rows),
+        of_persons(drug_eras, drug_era_rows=rows),
     ]
     names = [
         "staged_rows",
