@@ -57,38 +57,42 @@ def subject_counts(cohort: DataFrame) -> DataFrame:
     return members(cohort).groupBy(*_COHORT).agg(F.count(F.lit(1)).alias("subjects"))
 
 
+def with_target_flag(cohort: DataFrame, studies: DataFrame) -> DataFrame:
+    """Members with ``in_target``: is the subject in the study's target cohort too.
+
+    A subject has at most one row per cohort of its study here, so looking over
+    them takes the place of joining the table to itself.
+    """
+    targets = broadcast_when_small(studies.select("study", "target_id"))
+    is_target = F.coalesce(F.col("cohort_id") == F.col("target_id"), F.lit(False))
+    return (
+        members(cohort)
+        .join(targets, "study")
+        .withColumn("in_target", F.max(is_target).over(Window.partitionBy("study", "subject_id")))
+        .drop("target_id")
+    )
+
+
 def target_overlap(cohort: DataFrame, studies: DataFrame, manifest: DataFrame) -> DataFrame:
     """Distinct subjects of each outcome cohort who are also in the study's target."""
-    everyone = members(cohort)
-    target = everyone.join(
-        studies.select("study", F.col("target_id").alias("cohort_id")), _COHORT, "left_semi"
-    ).select("study", "subject_id")
-    outcome = everyone.join(
-        manifest.filter("is_outcome").select(_COHORT), _COHORT, "left_semi"
-    )
+    outcomes = broadcast_when_small(manifest.filter("is_outcome").select(_COHORT))
     return (
-        outcome.join(target, ["study", "subject_id"], "left_semi")
+        with_target_flag(cohort, studies)
+        .filter("in_target")
+        .join(outcomes, _COHORT, "left_semi")
         .groupBy(*_COHORT)
         .agg(F.count(F.lit(1)).alias("subjects_in_target"))
     )
 
 
 def counts_and_overlap(cohort: DataFrame, studies: DataFrame) -> DataFrame:
-    """Subjects per cohort and how many of them are in the target, in one pass.
-
-    Per subject the cohorts collapse to distinct memberships; whether the target
-    is among them is joined from the target's own members.
-    """
-    everyone = members(cohort)
-    target = everyone.join(
-        studies.select("study", F.col("target_id").alias("cohort_id")), _COHORT, "left_semi"
-    ).select("study", "subject_id", F.lit(1).alias("_in_target"))
+    """Subjects per cohort and how many of them are in the target, in one pass."""
     return (
-        everyone.join(target, ["study", "subject_id"], "left")
+        with_target_flag(cohort, studies)
         .groupBy(*_COHORT)
         .agg(
             F.count(F.lit(1)).alias("subjects"),
-            F.count("_in_target").alias("subjects_in_target"),
+            F.count(F.when(F.col("in_target"), 1)).alias("subjects_in_target"),
         )
     )
 

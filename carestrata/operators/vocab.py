@@ -164,14 +164,19 @@ def search_synonyms(concept: DataFrame, synonym: DataFrame, term: str, domain: s
 def search_concepts(concept: DataFrame, synonym: DataFrame, term: str, domain: str | None = None) -> DataFrame:
     """Name search; the synonyms join in only when it finds fewer than three.
 
-    The number of direct hits is at most twenty, so it is attached as a column
-    of a one-row frame instead of being fetched to the driver.
+    Both searches are cut to their report size first, so the window that counts
+    the direct hits sees thirty rows at most.
     """
-    direct = search_names(concept, term, domain)
-    few = direct.agg(F.count(F.lit(1)).alias("_direct")).filter(F.col("_direct") < FEW_HITS)
-    more = search_synonyms(concept, synonym, term, domain).withColumn("_one", F.lit(1))
-    fallback = more.join(few.select(F.lit(1).alias("_one")), "_one", "left_semi").select(_SHOWN)
-    return direct.unionByName(fallback).distinct()
+    direct = search_names(concept, term, domain).withColumn("_direct", F.lit(1))
+    more = search_synonyms(concept, synonym, term, domain).withColumn("_direct", F.lit(0))
+    hits = F.sum("_direct").over(Window.partitionBy())
+    return (
+        direct.unionByName(more)
+        .withColumn("_hits", hits)
+        .filter((F.col("_direct") == 1) | (F.col("_hits") < FEW_HITS))
+        .select(_SHOWN)
+        .distinct()
+    )
 
 
 def top_descendants(concept: DataFrame, closure: DataFrame, ancestors: DataFrame) -> DataFrame:

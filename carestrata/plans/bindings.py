@@ -483,7 +483,7 @@ class Bound:
             "cohort_id = 4 as hand_authored",
         )
 
-    @cached_property
+    @stored
     def cohort(self) -> DataFrame:
         """Users by the event types they have, one study per region of theirs."""
         home = (
