@@ -64,6 +64,9 @@ STORED = (
     "order_visits",
     "order_final_ids",
     "plan_periods",
+    "all_billed_events",
+    "drug_era_rows",
+    "condition_era_rows",
     "cohort",
     "module_codes",
 )

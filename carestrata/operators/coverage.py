@@ -136,8 +136,9 @@ def coverage_report(
     ``documents``: ``cohort_id, document``; ``expected_empty``: ``cohort_id``.
     A cohort that is known to stay empty is not reported as uncovered.
     """
-    primary, required = primary_criteria(documents), required_sets(documents)
-    # Both are used more than once below and are small next to what they come from.
+    # All four are used more than once below and are small next to their inputs.
+    primary = materialise(primary_criteria(documents), "primary")
+    required = materialise(required_sets(documents), "required")
     sources = materialise(codes_by_concept(codes, concept, relationship), "sources")
     items = concept_set_items(documents).join(
         needed_sets(primary, required), ["cohort_id", "set_id"], "left_semi"

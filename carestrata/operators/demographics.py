@@ -6,6 +6,8 @@ says so in its docstring.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -245,32 +247,36 @@ def claim_costs(claims: DataFrame, transactions: DataFrame, plan_periods: DataFr
     return claims.join(sums, "claim_id").join(plan_of, ["person_id", "service_date"], "left")
 
 
-def cost_branch(costs: DataFrame, events: DataFrame, event_id: str, domain: str) -> DataFrame:
-    """One branch of the cost table: the events of one domain billed by a claim."""
-    return (
-        events.select(
-            F.col(event_id).alias("cost_event_id"), F.col("encounter").alias("encounter_id"), "person_id"
-        )
+def billable(events: DataFrame, event_id: str, domain: str) -> DataFrame:
+    """Events of one domain as a branch of the cost table."""
+    return events.select(
+        F.col(event_id).alias("cost_event_id"),
+        F.lit(domain).alias("cost_domain_id"),
+        F.col("encounter").alias("encounter_id"),
+        "person_id",
+    )
+
+
+def cost(costs: DataFrame, branches: list[DataFrame]) -> DataFrame:
+    """Costs of the billed events of all branches (own definition).
+
+    The branches are put together before they meet the costs of their encounter
+    and person, so both are read and shuffled once.
+    """
+    rows = (
+        reduce(DataFrame.unionByName, branches)
         .join(costs, ["encounter_id", "person_id"])
         .select(
             "cost_event_id",
             "claim_id",
-            F.lit(domain).alias("cost_domain_id"),
+            "cost_domain_id",
             F.lit(COST_TYPE_CONCEPT).alias("cost_type_concept_id"),
             "total_charge",
             "total_paid",
             "payer_plan_period_id",
         )
     )
-
-
-def cost(costs: DataFrame, branches: list[tuple[DataFrame, str, str]]) -> DataFrame:
-    """Union of the branches ``(events, id column, domain)`` (own definition)."""
-    rows = [cost_branch(costs, events, event_id, domain) for events, event_id, domain in branches]
-    table = rows[0]
-    for more in rows[1:]:
-        table = table.unionByName(more)
-    return with_surrogate_id(table, "cost_id", ["cost_domain_id", "cost_event_id", "claim_id"])
+    return with_surrogate_id(rows, "cost_id", ["cost_domain_id", "cost_event_id", "claim_id"])
 
 
 def cdm_source(name: str, abbreviation: str, holder: str, vocabulary: DataFrame,

@@ -22,26 +22,23 @@ CUSTOM_LABEL, BUILT_IN_PREFIX = "custom", "built-in:"
 
 # How deep a state is searched for codes, and how deep inclusion groups nest.
 # Deeper documents are refused, never read in part.
-SEARCH_DEPTH, GROUP_DEPTH = 10, 4
+SEARCH_DEPTH, GROUP_DEPTH = 8, 4
 
 _AS_OBJECT = "try_variant_get(node, '$', 'map<string,variant>')"
 _AS_ARRAY = "try_variant_get(node, '$', 'array<variant>')"
 
 
-def _with_code(nodes: DataFrame) -> DataFrame:
-    """Mark nodes that are an object with a scalar ``system`` and ``code``."""
+def _scalar(field: str) -> str:
+    """SQL for the text of a field of ``node``, null if it is absent or nested."""
+    nested = " or ".join(
+        f"try_variant_get(node, '$.{field}', '{kind}') is not null"
+        for kind in ("map<string,variant>", "array<variant>")
+    )
+    text = f"try_variant_get(node, '$.{field}', 'string')"
+    return f"case when {text} is not null and not ({nested}) then {text} end"
 
-    def scalar(name: str) -> str:
-        path = f"'$.{name}'"
-        return (
-            f"case when try_variant_get(node, {path}, 'map<string,variant>') is null "
-            f"and try_variant_get(node, {path}, 'array<variant>') is null "
-            f"then try_variant_get(node, {path}, 'string') end"
-        )
 
-    return nodes.withColumns(
-        {"system": F.expr(scalar("system")), "code": F.expr(scalar("code"))}
-    )
+_IS_CODE = f"({_scalar('system')}) is not null and ({_scalar('code')}) is not null"
 
 
 def emitted_codes(modules: DataFrame, depth: int = SEARCH_DEPTH) -> DataFrame:
@@ -54,15 +51,10 @@ def emitted_codes(modules: DataFrame, depth: int = SEARCH_DEPTH) -> DataFrame:
     to its children. A row never expands beyond its own document.
     """
     skipped = ", ".join(f"'{k}'" for k in TRANSITION_KEYS)
-    states = (
-        modules.select(
-            "module",
-            F.explode(
-                F.map_entries(
-                    F.expr("try_variant_get(try_parse_json(document), '$.states', 'map<string,variant>')")
-                )
-            ).alias("e"),
-        )
+    states = F.expr("try_variant_get(try_parse_json(document), '$.states', 'map<string,variant>')")
+    keep = ["module", "state", "state_type"]
+    nodes = (
+        modules.select("module", F.explode(F.map_entries(states)).alias("e"))
         .select(
             "module",
             F.col("e.key").alias("state"),
@@ -70,18 +62,20 @@ def emitted_codes(modules: DataFrame, depth: int = SEARCH_DEPTH) -> DataFrame:
             F.col("e.value").alias("node"),
         )
         .filter(~F.col("state_type").endswith("End"))
+        .withColumn("found", F.expr(_IS_CODE))
+    )
+    children = F.expr(
+        f"""case when found then array(node)
+            when fields is not null then
+                transform(filter(map_entries(fields), x -> x.key not in ({skipped})), x -> x.value)
+            else {_AS_ARRAY} end"""
     )
-    keep = ["module", "state", "state_type"]
-    nodes = _with_code(states).withColumn("found", F.expr("system is not null and code is not null"))
     for _ in range(depth):
-        children = F.expr(
-            "case when found then array(node) "
-            f"when {_AS_OBJECT} is not null then "
-            f"transform(filter(map_entries({_AS_OBJECT}), x -> x.key not in ({skipped})), x -> x.value) "
-            f"else {_AS_ARRAY} end"
+        nodes = (
+            nodes.withColumn("fields", F.expr(f"case when not found then {_AS_OBJECT} end"))
+            .select(*keep, "found", F.explode(children).alias("node"))
+            .withColumn("found", F.expr(f"found or ({_IS_CODE})"))
         )
-        nodes = nodes.select(*keep, F.explode(children).alias("node"))
-        nodes = _with_code(nodes).withColumn("found", F.expr("system is not null and code is not null"))
     nested = F.expr(f"not found and ({_AS_OBJECT} is not null or {_AS_ARRAY} is not null)")
     checked = F.when(
         nested,
@@ -91,8 +85,8 @@ def emitted_codes(modules: DataFrame, depth: int = SEARCH_DEPTH) -> DataFrame:
         nodes.filter(checked)
         .select(
             *keep,
-            "system",
-            "code",
+            F.expr("try_variant_get(node, '$.system', 'string')").alias("system"),
+            F.expr("try_variant_get(node, '$.code', 'string')").alias("code"),
             F.coalesce(F.expr("try_variant_get(node, '$.display', 'string')"), F.lit("")).alias("display"),
         )
         .distinct()
@@ -202,28 +196,22 @@ def required_sets(documents: DataFrame) -> DataFrame:
     all its criteria can be judged and it has no sub-groups. Visit criteria and
     criteria without a concept set require nothing.
     """
+    rows = parse_definitions(documents).withColumn(
+        "level", F.expr("transform(coalesce(d.InclusionRules, array()), r -> r.expression)")
+    )
     flat = (
-        "transform({groups}, g -> struct(upper(g.Type) as type, "
+        "transform(level, g -> struct(upper(g.Type) as type, "
         "coalesce(g.CriteriaList, array()) as criteria, coalesce(size(g.Groups), 0) as below))"
     )
-    level = "transform(coalesce(d.InclusionRules, array()), r -> r.expression)"
-    pieces = [flat.format(groups=level)]
+    below = "flatten(transform(filter(level, g -> upper(g.Type) = 'ALL'), g -> coalesce(g.Groups, array())))"
+    # One nesting level at a time, each a column of its own, so none is evaluated twice.
+    rows = rows.withColumn("groups", F.expr(flat))
     for _ in range(GROUP_DEPTH):
-        level = (
-            f"flatten(transform(filter({level}, g -> upper(g.Type) = 'ALL'), "
-            "g -> coalesce(g.Groups, array())))"
-        )
-        pieces.append(flat.format(groups=level))
-    too_deep = f"exists({level}, g -> upper(g.Type) = 'ALL' and coalesce(size(g.Groups), 0) > 0)"
-    groups = (
-        parse_definitions(documents)
-        .withColumn(
-            "groups",
-            F.when(F.expr(too_deep), F.raise_error(F.lit("inclusion groups nested too deeply"))).otherwise(
-                F.expr(f"concat({', '.join(pieces)})")
-            ),
-        )
-        .select("cohort_id", F.posexplode("groups").alias("group_no", "g"))
+        rows = rows.withColumn("level", F.expr(below)).withColumn("groups", F.expr(f"concat(groups, {flat})"))
+    too_deep = F.expr("exists(level, g -> upper(g.Type) = 'ALL' and coalesce(size(g.Groups), 0) > 0)")
+    refused = F.raise_error(F.lit("inclusion groups nested too deeply"))
+    groups = rows.withColumn("groups", F.when(too_deep, refused).otherwise(F.col("groups"))).select(
+        "cohort_id", F.posexplode("groups").alias("group_no", "g")
     )
     judged = (
         f"case when {at_least_one('c.Occurrence')} and {_first_key('c.Criteria')} not in ({_VISITS}) "

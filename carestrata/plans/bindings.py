@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.functions.parsing import staging_date
-from carestrata.operators import demographics, documents, events, visits, vocab
+from carestrata.operators import demographics, documents, events, intervals, visits, vocab
+from carestrata.operators.ids import with_surrogate_id
 from carestrata.runtime import materialise, read_table
 
 # Fixed values of the bindings: part type to domain, priority and event type to
@@ -44,6 +45,9 @@ CLASS_OF_EVENT = {
 }
 CONCEPT_OF_EVENT = {"purchase": 1, "error": 2, "signup": 3, "view": 4, "click": 5}
 
+BILLED_DOMAINS = ("Condition", "Procedure", "Drug", "Device")
+VOCABULARIES = ["SNOMED", "HCPCS"]
+
 CLINICAL_TYPE = 32827
 
 
@@ -427,6 +431,21 @@ class Bound:
             self.coded_events, codes, self.order_encounters, self.order_final_ids, self.providers, self.persons
         )
 
+    @stored
+    def all_billed_events(self) -> DataFrame:
+        """Distinct events of the billed domains, numbered within their domain."""
+        columns = ["person_id", "encounter", "code", "date"]
+        numbered = [
+            with_surrogate_id(self.mapped(d, VOCABULARIES).select(columns).distinct(), "event_id", columns).withColumn(
+                "domain", F.lit(d)
+            )
+            for d in BILLED_DOMAINS
+        ]
+        return reduce(DataFrame.unionByName, numbered)
+
+    def billed_events(self, domain: str) -> DataFrame:
+        return self.all_billed_events.filter(F.col("domain") == domain)
+
     @cached_property
     def payers(self) -> DataFrame:
         return self.table("region").selectExpr("cast(r_regionkey as string) as payer", "r_name as payer_name")
@@ -460,6 +479,14 @@ class Bound:
             "l_extendedprice as amount",
         )
 
+    @stored
+    def drug_era_rows(self) -> DataFrame:
+        return intervals.drug_eras(self.exposures, self.concept, self.closure)
+
+    @stored
+    def condition_era_rows(self) -> DataFrame:
+        return intervals.condition_eras(self.conditions)
+
     # -- cohorts -------------------------------------------------------------
 
     @cached_property

@@ -23,7 +23,7 @@ from carestrata.operators import (
     vocab,
 )
 from carestrata.operators.ids import with_surrogate_id
-from carestrata.plans.bindings import CLINICAL_TYPE, Bound
+from carestrata.plans.bindings import BILLED_DOMAINS, CLINICAL_TYPE, VOCABULARIES, Bound
 from carestrata.runtime import scratch_path
 from carestrata.sources import datasets, delimited, manifest
 from carestrata.streaming.staging import stage_new_files
@@ -486,37 +486,34 @@ def _set_hits(b: Bound) -> DataFrame:
 
 # -- domain tables -----------------------------------------------------------
 
-_BOTH = ["SNOMED", "HCPCS"]
-
-
 @query
 def observation(b: Bound) -> DataFrame:
-    return events.observation(b.mapped("Observation", _BOTH))
+    return events.observation(b.mapped("Observation", VOCABULARIES))
 
 
 @query
 def measurement(b: Bound) -> DataFrame:
-    return events.measurement(b.mapped("Measurement", _BOTH), CLINICAL_TYPE)
+    return events.measurement(b.mapped("Measurement", VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def condition_occurrence(b: Bound) -> DataFrame:
-    return events.condition_occurrence(b.mapped("Condition", _BOTH), CLINICAL_TYPE)
+    return events.condition_occurrence(b.mapped("Condition", VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def procedure_occurrence(b: Bound) -> DataFrame:
-    return events.procedure_occurrence(b.mapped("Procedure", _BOTH), CLINICAL_TYPE)
+    return events.procedure_occurrence(b.mapped("Procedure", VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def drug_exposure(b: Bound) -> DataFrame:
-    return events.drug_exposure(b.mapped("Drug", _BOTH), CLINICAL_TYPE)
+    return events.drug_exposure(b.mapped("Drug", VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def device_exposure(b: Bound) -> DataFrame:
-    return events.device_exposure(b.mapped("Device", _BOTH), CLINICAL_TYPE)
+    return events.device_exposure(b.mapped("Device", VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
@@ -567,12 +564,6 @@ def payer_plan_period(b: Bound) -> DataFrame:
     return demographics.payer_plan_period(b.payers, b.transitions, b.patients, b.persons)
 
 
-def _cost_events(b: Bound, domain: str) -> DataFrame:
-    """Distinct billed events of a domain, numbered over a total order."""
-    columns = ["person_id", "encounter", "code", "date"]
-    return with_surrogate_id(b.mapped(domain, _BOTH).select(columns).distinct(), "event_id", columns)
-
-
 @query
 def claim_costs(b: Bound) -> DataFrame:
     return demographics.claim_costs(b.claims, b.transactions, b.plan_periods)
@@ -581,8 +572,8 @@ def claim_costs(b: Bound) -> DataFrame:
 @query
 def cost(b: Bound) -> DataFrame:
     costs = demographics.claim_costs(b.claims, b.transactions, b.plan_periods)
-    domains = ["Condition", "Procedure", "Drug", "Device"]
-    return demographics.cost(costs, [(_cost_events(b, d), "event_id", d) for d in domains])
+    branches = [demographics.billable(b.billed_events(d), "event_id", d) for d in BILLED_DOMAINS]
+    return demographics.cost(costs, branches)
 
 
 @query
@@ -697,7 +688,6 @@ def table_row_counts(b: Bound) -> DataFrame:
 def _summary(b: Bound) -> DataFrame:
     staged = {n: b.table(n) for n in _STAGED} | {"none": datasets.header_only(b.table("orders"))}
     people = b.event_persons
-    eras = intervals.condition_eras(b.conditions)
     return quality.dataset_summary(
         staged,
         people,
@@ -706,8 +696,8 @@ def _summary(b: Bound) -> DataFrame:
         b.conditions.withColumn(
             "condition_concept_id", F.when(F.col("condition_concept_id") == 3, 0).otherwise(F.col("condition_concept_id"))
         ),
-        eras,
-        intervals.drug_eras(b.exposures, b.concept, b.closure),
+        b.condition_era_rows,
+        b.drug_era_rows,
     )
 
 
