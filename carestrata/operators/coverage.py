@@ -94,33 +94,43 @@ def codes_by_concept(codes: DataFrame, concept: DataFrame, relationship: DataFra
     return codes.join(mapped, ["system", "code"]).select("module", "state", "display", "concept_id")
 
 
+def _first_labels(rows: DataFrame, key: str) -> DataFrame:
+    """The first labels per key in text order; ranked before the shuffle as well."""
+    order = Window.partitionBy(key).orderBy("label")
+    ranked = rows.select(key, "label").distinct().withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= EXAMPLES).drop("_rank")
+
+
 def provider_labels(matched: DataFrame, sources: DataFrame) -> DataFrame:
     """Who provides the concepts each cohort matched, and two example labels.
 
     ``matched``: distinct ``cohort_id, concept_id``; ``sources``: ``concept_id,
-    module, display``. The first two labels in text order are found by a rank
-    that is applied before the shuffle, so no cohort's labels are ever gathered.
+    module, display``. A concept that many modules emit is reduced to its flags
+    and its own first labels before it meets the cohorts; the first labels of a
+    cohort are among those.
     """
-    rows = matched.join(sources.select("concept_id", "module", "display").distinct(), "concept_id").select(
-        "cohort_id", "module", F.concat("display", F.lit(" ["), "module", F.lit("]")).alias("label")
-    )
     custom = F.col("module") == CUSTOM_LABEL
-    classes = rows.groupBy("cohort_id").agg(
-        F.when(F.min(custom), "custom module")
-        .when(F.max(custom), "custom + built-in")
-        .otherwise("built-in only")
-        .alias("provided_by")
+    flags = sources.groupBy("concept_id").agg(F.min(custom).alias("all_custom"), F.max(custom).alias("any_custom"))
+    labels = _first_labels(
+        sources.select("concept_id", F.concat("display", F.lit(" ["), "module", F.lit("]")).alias("label")),
+        "concept_id",
     )
-    order = Window.partitionBy("cohort_id").orderBy("label")
-    labels = (
-        rows.select("cohort_id", "label")
-        .distinct()
-        .withColumn("_rank", F.row_number().over(order))
-        .filter(F.col("_rank") <= EXAMPLES)
+    classes = (
+        matched.join(flags, "concept_id")
+        .groupBy("cohort_id")
+        .agg(
+            F.when(F.min("all_custom"), "custom module")
+            .when(F.max("any_custom"), "custom + built-in")
+            .otherwise("built-in only")
+            .alias("provided_by")
+        )
+    )
+    examples = (
+        _first_labels(matched.join(labels, "concept_id"), "cohort_id")
         .groupBy("cohort_id")
         .agg(F.concat_ws("; ", F.array_sort(F.collect_list("label"))).alias("example_codes"))
     )
-    return classes.join(labels, "cohort_id")
+    return classes.join(examples, "cohort_id")
 
 
 def coverage_report(
