@@ -62,27 +62,34 @@ def gender_concept(col: Column | str) -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def person(patients: DataFrame, states: DataFrame, locations: DataFrame) -> DataFrame:
+def with_state_abbreviation(patients: DataFrame, states: DataFrame) -> DataFrame:
+    """Patients with their state's full name replaced by its abbreviation."""
+    known = states.select("state", "state_abbreviation")
+    return (
+        patients.join(known, "state", "left")
+        .withColumn("state", F.col("state_abbreviation"))
+        .drop("state_abbreviation")
+    )
+
+
+def person(patients: DataFrame, locations: DataFrame, place: list[str]) -> DataFrame:
     """One row per patient ``id``, numbered by it (own definition).
 
-    ``patients`` has ``id, birthdate (date), gender, state``; ``states`` maps a
-    state to its abbreviation, by which the location is found.
+    ``patients`` has ``id, birthdate (date), gender`` and the ``place`` columns,
+    by which the location is found; nulls among them count as equal.
     """
-    mapped = patients.join(states.select("state", "state_abbreviation"), "state", "left").join(
-        locations.select(F.col("state").alias("state_abbreviation"), "location_id"),
-        "state_abbreviation",
-        "left",
-    )
-    rows = mapped.select(
-        gender_concept("gender").alias("gender_concept_id"),
-        F.year("birthdate").alias("year_of_birth"),
-        F.month("birthdate").alias("month_of_birth"),
-        F.dayofmonth("birthdate").alias("day_of_birth"),
+    p, where = patients.alias("p"), locations.alias("w")
+    same_place = reduce(lambda a, b: a & b, [F.col(f"p.{c}").eqNullSafe(F.col(f"w.{c}")) for c in place])
+    rows = p.join(where, same_place, "left").select(
+        gender_concept("p.gender").alias("gender_concept_id"),
+        F.year("p.birthdate").alias("year_of_birth"),
+        F.month("p.birthdate").alias("month_of_birth"),
+        F.dayofmonth("p.birthdate").alias("day_of_birth"),
         F.lit(0).alias("race_concept_id"),
         F.lit(0).alias("ethnicity_concept_id"),
-        "location_id",
-        F.col("id").alias("person_source_value"),
-        F.col("gender").alias("gender_source_value"),
+        F.col("w.location_id"),
+        F.col("p.id").alias("person_source_value"),
+        F.col("p.gender").alias("gender_source_value"),
     )
     return with_surrogate_id(rows, "person_id", ["person_source_value"])
 

@@ -6,6 +6,8 @@ table has; a domain is one block per target vocabulary, put together by name.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,16 @@ def code_map(standard_map: DataFrame, source_map: DataFrame, domain: str, vocabu
     return joined
 
 
+def routing_map(
+    standard_map: DataFrame, source_map: DataFrame, domains: list[str], vocabularies: list[str]
+) -> DataFrame:
+    """:func:`code_map` of several domains, each row tagged with its domain."""
+    return reduce(
+        DataFrame.unionByName,
+        [code_map(standard_map, source_map, d, vocabularies).withColumn("target_domain_id", F.lit(d)) for d in domains],
+    )
+
+
 def encounter_context(encounters: DataFrame, final_ids: DataFrame, provider: DataFrame) -> DataFrame:
     """Visit, patient and provider of every encounter, so events look it up once."""
     by_source = provider.select("provider_id", F.col("provider_source_value").alias("provider"))

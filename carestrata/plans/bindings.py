@@ -47,6 +47,7 @@ CONCEPT_OF_EVENT = {"purchase": 1, "error": 2, "signup": 3, "view": 4, "click":
 
 BILLED_DOMAINS = ("Condition", "Procedure", "Drug", "Device")
 VOCABULARIES = ["SNOMED", "HCPCS"]
+PLACE = ["state", "county"]
 
 CLINICAL_TYPE = 32827
 
@@ -372,7 +373,7 @@ class Bound:
     @cached_property
     def patients(self) -> DataFrame:
         """Birth and death dates in mixed encodings; many have no death date."""
-        nation = self.table("nation").select("n_nationkey", "n_name")
+        nation = self.table("nation").select("n_nationkey", "n_name", "n_regionkey")
         born = "date_add(date'1930-01-01', cast(c_custkey % 30000 as int))"
         died = "date_add(date'2000-01-01', cast(floor(c_acctbal) as int))"
         days = "cast(datediff({0}, date'1970-01-01') as string)"
@@ -387,6 +388,7 @@ class Bound:
                 "case c_mktsegment when 'MACHINERY' then 'M' when 'FURNITURE' then 'f' when 'BUILDING' then 'F' "
                 "when 'AUTOMOBILE' then 'M' end as gender",
                 "n_name as state",
+                "cast(n_regionkey as string) as county",
             )
         )
 
@@ -398,13 +400,7 @@ class Bound:
 
     @stored
     def locations(self) -> DataFrame:
-        return demographics.location(self.places, ["state", "county"])
-
-    @cached_property
-    def places(self) -> DataFrame:
-        return self.table("customer").join(
-            self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey")
-        ).selectExpr("concat('N', n_nationkey) as state", "cast(n_regionkey as string) as county")
+        return demographics.location(self.placed_patients, PLACE)
 
     @stored
     def providers(self) -> DataFrame:
@@ -412,9 +408,12 @@ class Bound:
 
     @stored
     def persons(self) -> DataFrame:
-        return demographics.person(
-            self.patients.withColumn("birthdate", staging_date("birthdate")), self.states, self.locations
-        )
+        return demographics.person(self.placed_patients, self.locations, PLACE)
+
+    @cached_property
+    def placed_patients(self) -> DataFrame:
+        typed = self.patients.withColumn("birthdate", staging_date("birthdate"))
+        return demographics.with_state_abbreviation(typed, self.states)
 
     @stored
     def order_visits(self) -> DataFrame:

@@ -704,6 +704,40 @@ _cte(
     "label_rows",
 )
 
+# -- built dataset -----------------------------------------------------------
+
+_cte(
+    "built_drugs",
+    """select x.person_id, c.concept_id as ingredient_concept_id, x.date as start_date,
+        coalesce(x.stop_date, nullif(x.date + cast(date_diff('day', x.date, x.stop_date) as integer), x.date), x.date + 1)
+            as end_date
+    from mapped x join closure k on k.d = x.target_concept_id join concept c on c.concept_id = k.a
+    where x.target_domain_id = 'Drug' and c.vocabulary_id = 'RxNorm' and c.concept_class_id = 'Ingredient'""",
+    "mapped",
+    "closure",
+    "concept",
+)
+_islands("built_sub", "built_drugs", ["person_id", "ingredient_concept_id"], 0, "")
+_islands("built_drug_eras", "built_sub", ["person_id", "ingredient_concept_id"], 30, "")
+_cte(
+    "built_conditions",
+    """select person_id, target_concept_id, date as start_date, coalesce(stop_date, date + 1) as end_date
+    from mapped where target_domain_id = 'Condition'""",
+    "mapped",
+)
+_islands("built_condition_eras", "built_conditions", ["person_id", "target_concept_id"], 30, "")
+_EMPTY = (
+    "note", "note_nlp", "specimen", "fact_relationship", "dose_era", "episode", "episode_event", "metadata",
+)
+_DOMAIN_TABLES = {
+    "Condition": "condition_occurrence",
+    "Measurement": "measurement",
+    "Procedure": "procedure_occurrence",
+    "Drug": "drug_exposure",
+    "Device": "device_exposure",
+    "Observation": "observation",
+}
+
 # -- quality -----------------------------------------------------------------
 
 _cte(
@@ -845,6 +879,12 @@ def all_sql() -> dict[str, str]:
             "std_map",
             "src_map",
         ),
+        "table_probe": """select 'concept' as table_name, true as present, count(*) > 0 as has_rows, '' as missing_columns
+            from part
+            union all select 'concept_ancestor', true, false, ''
+            union all select 'concept_relationship', false, false, 'concept_id_1,concept_id_2'
+            union all select 'person', true, count(*) > 0, 'run_name' from customer""",
+        "picked_dataset": "select 'study_9' as table_name, count(*) as row_count from supplier",
         "csv_report_sink": _count_of("orders", "lineitem", "events"),
         "streamed_staging": """select cast(event_id as varchar) as event_id,
             case when event_type <> 'error' then event_type end as event_type, props from events""",
@@ -1190,4 +1230,31 @@ def all_sql() -> dict[str, str]:
         "ord_enc",
         "std_map",
     )
+    every = {
+        "person": "persons",
+        "location": "locations",
+        "care_site": "nation",
+        "provider": "providers",
+        "observation_period": "(select distinct patient from ord_enc join persons on person_source_value = patient)",
+        "visit_occurrence": "ord_occurrence",
+        "visit_detail": "ord_occurrence",
+        "condition_era": "built_condition_eras",
+        "drug_era": "built_drug_eras",
+        "cdm_source": "region where r_regionkey = 0",
+        "death": f"({out['death']})",
+        "payer_plan_period": "plans",
+        "cost": "billed b join costs c on c.encounter_id = b.encounter and c.person_id = b.person_id",
+    } | {table: f"mapped where target_domain_id = '{domain}'" for domain, table in _DOMAIN_TABLES.items()}
+    out["built_dataset"] = _sql(
+        " union all ".join(
+            [f"select '{table}' as table_name, count(*) as row_count from {rows}" for table, rows in every.items()]
+            + [f"select '{table}', cast(0 as bigint)" for table in _EMPTY]
+        ),
+        "persons", "locations", "providers", "ord_enc", "ord_occurrence", "built_condition_eras", "built_drug_eras",
+        "plans", "billed", "costs", "mapped",
+    )
+    out["ensured_tables"] = " union all ".join(
+        ["select 'person' as table_name, count(*) as row_count from customer"]
+        + [f"select '{table}', cast(0 as bigint)" for table in (*every, *_EMPTY) if table != "person"]
+    )
     return out

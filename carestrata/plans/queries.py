@@ -23,8 +23,10 @@ from carestrata.operators import (
     vocab,
 )
 from carestrata.operators.ids import with_surrogate_id
-from carestrata.plans.bindings import BILLED_DOMAINS, CLINICAL_TYPE, VOCABULARIES, Bound
+from carestrata.plans import pipeline
+from carestrata.plans.bindings import BILLED_DOMAINS, CLINICAL_TYPE, PLACE, VOCABULARIES, Bound
 from carestrata.runtime import scratch_path
+from carestrata.schema import POPULATED, UNPOPULATED
 from carestrata.sources import datasets, delimited, manifest
 from carestrata.streaming.staging import stage_new_files
 
@@ -184,6 +186,87 @@ def streamed_staging(b: Bound) -> DataFrame:
     return b.spark.read.parquet(f"{base}/table").select(columns)
 
 
+@query
+def ensured_tables(b: Bound) -> DataFrame:
+    dataset = scratch_path(b.spark, "dataset")
+    datasets.write_table(datasets.conform(b.persons, "person"), dataset, "person")
+    datasets.write_table(b.plan_periods, dataset, "payer_plan_period")
+    datasets.clear_tables(b.spark, dataset, ["payer_plan_period", "death"])
+    datasets.ensure_tables(b.spark, dataset)
+    return quality.row_counts({n: datasets.open_table(b.spark, dataset, n) for n in (*POPULATED, *UNPOPULATED)})
+
+
+@query
+def table_probe(b: Bound) -> DataFrame:
+    tables = {"concept": b.concept, "concept_ancestor": datasets.header_only(b.closure), "person": b.persons}
+    required = {
+        "concept": ("concept_id", "concept_code"),
+        "concept_ancestor": ("ancestor_concept_id",),
+        "concept_relationship": ("concept_id_1", "concept_id_2"),
+        "person": ("person_id", "run_name"),
+    }
+    return datasets.probe_tables(b.spark, tables, required)
+
+
+@query
+def picked_dataset(b: Bound) -> DataFrame:
+    """The highest numbered dataset that has persons, with their number."""
+    root = scratch_path(b.spark, "datasets")
+    people = {
+        "study": datasets.header_only(b.table("customer")),
+        "study_2": b.table("customer"),
+        "study_9": b.table("supplier"),
+        "study_10": datasets.header_only(b.table("supplier")),
+    }
+    for name, df in people.items():
+        datasets.write_table(df, f"{root}/{name}", "person")
+    has_persons = lambda n: datasets.has_rows(datasets.open_table(b.spark, f"{root}/{n}", "person"))
+    chosen = datasets.pick_dataset(list(people), "study", has_persons)
+    return quality.row_counts({chosen: datasets.open_table(b.spark, f"{root}/{chosen}", "person")})
+
+
+def _staging_extracts(b: Bound) -> dict[str, DataFrame]:
+    """The bound inputs as text extracts, the way a source system would hand them over."""
+    encounters = b.order_encounters.selectExpr(
+        "encounter_id as ID", "patient as PATIENT", "encounterclass as ENCOUNTERCLASS",
+        "concat(start_date, 'T00:00:00Z') as START", "concat(stop_date, 'T23:59:59Z') as STOP",
+        "provider as PROVIDER", "code as CODE", "reasoncode as REASONCODE",
+    )
+    lines = b.coded_events.selectExpr(
+        "patient as PATIENT", "encounter as ENCOUNTER", "code as CODE", "date", "stop_date", "value", "units"
+    )
+    return {
+        "patients": b.patients.selectExpr("id as ID", "birthdate as BIRTHDATE", "deathdate as DEATHDATE", "gender as GENDER", "state as STATE", "county as COUNTY"),
+        "encounters": encounters,
+        "observations": lines.filter("stop_date is null").selectExpr("PATIENT", "ENCOUNTER", "CODE", "date as DATE", "value as VALUE", "units as UNITS"),
+        "conditions": lines.filter("stop_date is not null").selectExpr("PATIENT", "ENCOUNTER", "CODE", "date as START", "stop_date as STOP"),
+        "organizations": b.table("nation").selectExpr("n_nationkey as ID", "n_name as NAME"),
+        "providers": b.table("supplier").selectExpr("s_suppkey as ID", "s_name as NAME"),
+        "payers": b.payers.selectExpr("payer as ID", "payer_name as NAME"),
+        "payer_transitions": b.transitions.selectExpr("patient as PATIENT", "payer as PAYER", "start_date as START_DATE", "end_date as END_DATE"),
+        "claims": b.order_encounters.selectExpr("encounter_id as ID", "patient as PATIENTID", "encounter_id as APPOINTMENTID", "start_date as SERVICEDATE"),
+        "claims_transactions": b.transactions.selectExpr("claim_id as CLAIMID", "transfer_type as TYPE", "amount as AMOUNT"),
+    }
+
+
+@query
+def built_dataset(b: Bound) -> DataFrame:
+    """Extracts to files, files to staging, staging to a whole dataset: rows per table."""
+    folder, target = scratch_path(b.spark, "extract"), scratch_path(b.spark, "dataset")
+    for name, df in _staging_extracts(b).items():
+        _write_extract(df, folder, name)
+    vocabulary = {
+        "concept": b.concept,
+        "concept_relationship": b.relationship,
+        "concept_ancestor": b.closure,
+        "vocabulary": b.vocabulary,
+        "source_to_concept_map": b.custom_map,
+    }
+    staging = delimited.read_staging_folder(b.spark, folder)
+    pipeline.build_dataset(b.spark, staging, vocabulary, b.states, target, "2024-01-01")
+    return quality.row_counts({n: datasets.open_table(b.spark, target, n) for n in (*POPULATED, *UNPOPULATED)})
+
+
 # -- column functions --------------------------------------------------------
 
 
@@ -518,13 +601,12 @@ def device_exposure(b: Bound) -> DataFrame:
 
 @query
 def person(b: Bound) -> DataFrame:
-    patients = b.patients.withColumn("birthdate", parsing.staging_date("birthdate"))
-    return demographics.person(patients, b.states, b.locations)
+    return demographics.person(b.placed_patients, b.locations, PLACE)
 
 
 @query
 def location(b: Bound) -> DataFrame:
-    return demographics.location(b.places, ["state", "county"])
+    return demographics.location(b.placed_patients, PLACE)
 
 
 @query

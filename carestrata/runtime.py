@@ -38,17 +38,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/carestrata/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
+    With ``by``, the table has a folder per value of that column of few values,
+    so that a reader of one value opens only that folder.
+
     This cuts the lineage at a durable table: a lost executor re-reads files
     instead of recomputing the plan, and everything downstream sees the same
     rows (which matters once range partition bounds have been turned into ids).
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def broadcast_when_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -40,7 +40,7 @@ def has_rows(df: DataFrame | None) -> bool:
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], table_schema(name))
+    return spark.createDataFrame([], table_schema(name)).coalesce(1)
 
 
 def header_only(df: DataFrame) -> DataFrame:
@@ -105,17 +105,28 @@ def share_tables(spark: SparkSession, dataset: str, names: list[str], prefix: st
     return shared
 
 
-def probe_tables(tables: dict[str, DataFrame | None], required: dict[str, tuple[str, ...]]) -> dict[str, dict]:
+def probe_tables(
+    spark: SparkSession, tables: dict[str, DataFrame | None], required: dict[str, tuple[str, ...]]
+) -> DataFrame:
     """Per required table: is it there, has it rows, which columns are missing."""
-    report = {}
+    report = []
     for name, columns in required.items():
         table = tables.get(name)
-        report[name] = {
-            "present": table is not None,
-            "has_rows": has_rows(table),
-            "missing_columns": sorted(set(columns) - set(table.columns)) if table is not None else sorted(columns),
-        }
-    return report
+        missing = sorted(set(columns) - set(table.columns if table is not None else ()))
+        report.append((name, table is not None, has_rows(table), ",".join(missing)))
+    return spark.createDataFrame(
+        report, "table_name string, present boolean, has_rows boolean, missing_columns string"
+    )
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """Columns of the model table in order: cast, or typed nulls where absent."""
+    return df.select(
+        [
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in table_schema(name).fields
+        ]
+    )
 
 
 def vocabulary_is_loaded(spark: SparkSession, dataset: str) -> bool:

@@ -84,11 +84,9 @@ def test_load_missing_and_copy(spark, tmp_path):
 
 def test_probe(spark):
     report = datasets.probe_tables(
-        {"a": spark.range(1), "b": spark.range(0)}, {"a": ("id", "x"), "b": ("id",), "c": ("id",)}
+        spark, {"a": spark.range(1), "b": spark.range(0)}, {"a": ("id", "x"), "b": ("id",), "c": ("id",)}
     )
-    assert report["a"] == {"present": True, "has_rows": True, "missing_columns": ["x"]}
-    assert report["b"] == {"present": True, "has_rows": False, "missing_columns": []}
-    assert report["c"] == {"present": False, "has_rows": False, "missing_columns": ["id"]}
+    assert rows(report) == [("a", True, True, "x"), ("b", True, False, ""), ("c", False, False, "id")]
 
 
 def test_pick_dataset():
