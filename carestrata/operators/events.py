@@ -6,11 +6,10 @@ table has; a domain is one block per target vocabulary, put together by name.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carestrata.functions.codes import is_valid_standard
 from carestrata.functions.parsing import text_prefix, tolerant_double, typed_null
 from carestrata.operators.visits import DETAIL_ID_OFFSET
 from carestrata.runtime import broadcast_for
@@ -24,43 +23,39 @@ def standard_targets(standard_map: DataFrame, domain: str, vocabulary: str) -> D
     return standard_map.filter(
         (F.col("target_domain_id") == domain)
         & (F.col("target_vocabulary_id") == vocabulary)
-        & (F.col("target_standard_concept") == "S")
-        & F.col("target_invalid_reason").isNull()
+        & is_valid_standard("target_standard_concept", "target_invalid_reason")
     ).select(F.col("source_code").alias("code"), "target_concept_id")
 
 
-def source_concepts(source_map: DataFrame, domain: str, vocabulary: str) -> DataFrame:
-    """Source concepts of one vocabulary and domain, per source code."""
-    return source_map.filter(
-        (F.col("source_vocabulary_id") == vocabulary) & (F.col("source_domain_id") == domain)
-    ).select(F.col("source_code").alias("code"), "source_concept_id")
-
-
-def code_map(standard_map: DataFrame, source_map: DataFrame, domain: str, vocabularies: list[str]) -> DataFrame:
-    """Both maps joined per code for all vocabularies of a domain.
-
-    The maps are joined to each other before the events see them, so the events
-    are joined once. A code with several targets keeps all of them: each is a
-    row of its own in the result, and so is each combination of map rows.
-    """
-    blocks = [
-        standard_targets(standard_map, domain, v).join(source_concepts(source_map, domain, v), "code")
-        for v in vocabularies
-    ]
-    joined = blocks[0]
-    for block in blocks[1:]:
-        joined = joined.unionByName(block)
-    return joined
-
-
-def routing_map(
+def code_map(
     standard_map: DataFrame, source_map: DataFrame, domains: list[str], vocabularies: list[str]
 ) -> DataFrame:
-    """:func:`code_map` of several domains, each row tagged with its domain."""
-    return reduce(
-        DataFrame.unionByName,
-        [code_map(standard_map, source_map, d, vocabularies).withColumn("target_domain_id", F.lit(d)) for d in domains],
+    """Target and source concept per code, for some domains and vocabularies.
+
+    A target counts with the source concept of the same code, vocabulary and
+    domain. Both maps are joined before the events see them, so the events are
+    joined once, however many vocabularies a domain takes. A code with several
+    targets keeps all of them: each is a row of its own in the result.
+    """
+    targets = standard_map.filter(
+        F.col("target_domain_id").isin(domains)
+        & F.col("target_vocabulary_id").isin(vocabularies)
+        & is_valid_standard("target_standard_concept", "target_invalid_reason")
+    ).select(
+        F.col("source_code").alias("code"),
+        F.col("target_vocabulary_id").alias("_vocabulary"),
+        "target_domain_id",
+        "target_concept_id",
+    )
+    sources = source_map.filter(
+        F.col("source_vocabulary_id").isin(vocabularies) & F.col("source_domain_id").isin(domains)
+    ).select(
+        F.col("source_code").alias("code"),
+        F.col("source_vocabulary_id").alias("_vocabulary"),
+        F.col("source_domain_id").alias("target_domain_id"),
+        "source_concept_id",
     )
+    return targets.join(sources, ["code", "_vocabulary", "target_domain_id"]).drop("_vocabulary")
 
 
 def encounter_context(encounters: DataFrame, final_ids: DataFrame, provider: DataFrame) -> DataFrame:

@@ -31,15 +31,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table, one row each, empty tables included.
 
-    Every table is counted by an aggregate of its own (which combines in the
-    scan tasks); the union is of one-row results.
+    All tables are one union that is counted by name in one shuffle; the scans
+    read no column, and every scan task sends one row per table. A row of weight
+    zero per name keeps the empty tables in.
     """
-    return _union(
-        [
-            df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-            for name, df in tables.items()
-        ]
+    spark = next(iter(tables.values())).sparkSession
+    names = spark.range(1).select(
+        F.explode(F.array(*[F.lit(n) for n in tables])).alias("table_name"), F.lit(0).cast("long").alias("_n")
     )
+    counted = [df.select(F.lit(n).alias("table_name"), F.lit(1).cast("long").alias("_n")) for n, df in tables.items()]
+    return _union([names, *counted]).groupBy("table_name").agg(F.sum("_n").alias("row_count"))
 
 
 def of_run(df: DataFrame, run_name: str | None) -> DataFrame:

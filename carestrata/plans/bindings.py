@@ -425,7 +425,7 @@ class Bound:
 
     def mapped(self, domain: str, vocabularies: list[str]) -> DataFrame:
         """Order lines of one domain with person, concepts, visit and provider."""
-        codes = events.code_map(self.standard_map, self.source_map, domain, vocabularies)
+        codes = events.code_map(self.standard_map, self.source_map, [domain], vocabularies)
         return events.map_events(
             self.coded_events, codes, self.order_encounters, self.order_final_ids, self.providers, self.persons
         )

@@ -139,7 +139,7 @@ def build_dataset(
     save_model(visits.visit_detail(rolled, final_ids, person), "visit_detail")
 
     # One pass over all coded events; each domain then reads its own folder.
-    routes = events.routing_map(standard, source, list(DOMAIN_TABLES), CODE_VOCABULARIES)
+    routes = events.code_map(standard, source, list(DOMAIN_TABLES), CODE_VOCABULARIES)
     mapped = materialise(
         events.map_events(coded_events(staging), routes, encounters, final_ids, provider, person),
         "mapped",

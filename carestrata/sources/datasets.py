@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from carestrata.schema import POPULATED, REQUIRED_VOCABULARY, UNPOPULATED, VOCABULARY, table_schema
 
@@ -39,8 +40,13 @@ def has_rows(df: DataFrame | None) -> bool:
     return df is not None and not df.isEmpty()
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(0).select(nulls).coalesce(1)
+
+
 def empty_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], table_schema(name)).coalesce(1)
+    return no_rows(spark, table_schema(name))
 
 
 def header_only(df: DataFrame) -> DataFrame:
@@ -64,7 +70,7 @@ def clear_tables(spark: SparkSession, dataset: str, names: list[str]) -> list[st
     for name in names:
         table = open_table(spark, dataset, name)
         if table is not None:
-            write_table(spark.createDataFrame([], table.schema), dataset, name)
+            write_table(no_rows(spark, table.schema), dataset, name)
             cleared.append(name)
     return cleared
 

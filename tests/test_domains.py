@@ -46,7 +46,7 @@ def mapped(spark, maps, vocabularies):
     ]
     return events.map_events(
         spark.createDataFrame(data, "patient string, encounter long, code string, date date, value string, units string"),
-        events.code_map(*maps, "Observation", vocabularies),
+        events.code_map(*maps, ["Observation"], vocabularies),
         spark.createDataFrame([(1, "p", "d1"), (2, "p", "none")], "encounter_id long, patient string, provider string"),
         spark.createDataFrame([(1, 70), (2, None)], "encounter_id long, visit_occurrence_id_new long"),
         spark.createDataFrame([(9, "d1")], "provider_id long, provider_source_value string"),
