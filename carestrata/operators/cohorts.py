@@ -19,6 +19,11 @@ from carestrata.runtime import broadcast_for, broadcast_when_small
 # Least subjects per role unless a study says otherwise.
 MIN_TARGET_SUBJECTS, MIN_OUTCOME_SUBJECTS, MIN_COVARIATE_SUBJECTS = 100, 10, 1
 
+# Texts of the notes on a judged cohort.
+NOTE_FAILED = "generation failed: "
+NOTE_EMPTY, NOTE_EMPTY_END = "expected empty on synthetic data (", " found)"
+NOTE_BY_HAND = "hand-authored: checked on its placeholder definition"
+
 _COHORT = ["study", "cohort_id"]
 
 
@@ -128,15 +133,12 @@ def evaluate_thresholds(manifest: DataFrame, studies: DataFrame, counts: DataFra
     )
     note = F.concat_ws(
         "; ",
-        F.when(F.col("failed").isNotNull(), F.concat(F.lit("generation failed: "), F.col("failed"))),
+        F.when(F.col("failed").isNotNull(), F.concat(F.lit(NOTE_FAILED), F.col("failed"))),
         F.when(
             F.col("expected_empty"),
-            F.concat(F.lit("expected empty on synthetic data ("), F.col("_value").cast("string"), F.lit(" found)")),
-        ),
-        F.when(
-            F.col("hand_authored"),
-            F.lit("hand-authored: checked on its placeholder definition"),
+            F.concat(F.lit(NOTE_EMPTY), F.col("_value").cast("string"), F.lit(NOTE_EMPTY_END)),
         ),
+        F.when(F.col("hand_authored"), NOTE_BY_HAND),
     )
     return rows.select(
         "study",

@@ -14,7 +14,13 @@ from carestrata.operators.documents import (
 from carestrata.operators.vocab import concept_set_hits, map_codes_to_concepts
 from carestrata.runtime import materialise
 
-# Fixed value: how many example labels a report row shows.
+# Texts of the report, and how many example labels a row shows.
+NOTE_VISIT_MET = "visit entry event not evaluated; its required criteria are covered"
+NOTE_VISIT_ONLY = "visit-only cohort: visit types come from encounter classes, not from codes"
+DETAIL_MISSING = "no module code reaches concept set(s) "
+DETAIL_NOT_EMPTY = "declared expected_empty but the module can emit it"
+DETAIL_EMPTY = "expected empty"
+PROVIDED_CUSTOM, PROVIDED_BOTH, PROVIDED_BUILT_IN = "custom module", "custom + built-in", "built-in only"
 EXAMPLES = 2
 
 
@@ -73,8 +79,8 @@ def cohort_verdicts(primary: DataFrame, required: DataFrame, hits: DataFrame) ->
         .otherwise(nothing)
         .alias("missing_sets"),
         F.when(unmet | F.coalesce("entry_hit", F.lit(False)) | ~F.col("visit_entry"), "")
-        .when(F.col("has_requirement"), "visit entry event not evaluated; its required criteria are covered")
-        .otherwise("visit-only cohort: visit types come from encounter classes, not from codes")
+        .when(F.col("has_requirement"), NOTE_VISIT_MET)
+        .otherwise(NOTE_VISIT_ONLY)
         .alias("note"),
     )
 
@@ -119,9 +125,9 @@ def provider_labels(matched: DataFrame, sources: DataFrame) -> DataFrame:
         matched.join(flags, "concept_id")
         .groupBy("cohort_id")
         .agg(
-            F.when(F.min("all_custom"), "custom module")
-            .when(F.max("any_custom"), "custom + built-in")
-            .otherwise("built-in only")
+            F.when(F.min("all_custom"), PROVIDED_CUSTOM)
+            .when(F.max("any_custom"), PROVIDED_BOTH)
+            .otherwise(PROVIDED_BUILT_IN)
             .alias("provided_by")
         )
     )
@@ -161,15 +167,13 @@ def coverage_report(
     missing = F.when(
         F.size("missing_sets") > 0,
         F.concat(
-            F.lit("no module code reaches concept set(s) "),
+            F.lit(DETAIL_MISSING),
             F.concat_ws(", ", F.col("missing_sets").cast("array<string>")),
         ),
     ).otherwise(F.when(F.col("note") != "", F.col("note")))
     remark = F.when(
         expected,
-        F.when(F.col("status") == "COVERED", "declared expected_empty but the module can emit it").otherwise(
-            "expected empty"
-        ),
+        F.when(F.col("status") == "COVERED", DETAIL_NOT_EMPTY).otherwise(DETAIL_EMPTY),
     )
     return (
         verdicts.join(known_empty, "cohort_id", "left")

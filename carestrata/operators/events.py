@@ -1,7 +1,7 @@
 """Coded events to domain rows of the common data model.
 
 Events carry ``patient, encounter, code`` and whatever dates and values their
-table has; a domain is one block per target vocabulary, put together by name.
+table has. The domain of the concept a code maps to decides the table of its row.
 """
 
 from __future__ import annotations

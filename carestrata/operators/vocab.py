@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.functions.codes import MAPS_TO, is_valid_standard, vocabulary_of_system
@@ -132,16 +132,21 @@ def _searchable(concept: DataFrame, domain: str | None) -> DataFrame:
     return valid.filter(F.col("domain_id") == domain) if domain else valid
 
 
+def _name_rank(term: str) -> list[Column]:
+    """Exact match first, then the shortest name, then by name."""
+    return [
+        F.when(F.lower("concept_name") == term.lower(), 0).otherwise(1),
+        F.length("concept_name"),
+        F.col("concept_name"),
+        F.col("concept_id"),
+    ]
+
+
 def search_names(concept: DataFrame, term: str, domain: str | None = None) -> DataFrame:
     """Best twenty names holding ``term``: exact first, then shortest, then by name."""
     hits = _searchable(concept, domain).filter(contains_ignoring_case("concept_name", term))
     return (
-        hits.orderBy(
-            F.when(F.lower("concept_name") == term.lower(), 0).otherwise(1),
-            F.length("concept_name"),
-            "concept_name",
-            "concept_id",
-        )
+        hits.orderBy(*_name_rank(term))
         .limit(TOP_NAMES)
         .select(_SHOWN)
     )
@@ -174,8 +179,10 @@ def search_concepts(concept: DataFrame, synonym: DataFrame, term: str, domain: s
         direct.unionByName(more)
         .withColumn("_hits", hits)
         .filter((F.col("_direct") == 1) | (F.col("_hits") < FEW_HITS))
+        .groupBy(_SHOWN)
+        .agg(F.max("_direct").alias("_direct"))
+        .orderBy(F.col("_direct").desc(), *_name_rank(term))
         .select(_SHOWN)
-        .distinct()
     )
 
 
