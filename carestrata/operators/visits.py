@@ -8,11 +8,18 @@ encounter of the visit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.functions.codes import MAPS_TO
-from carestrata.functions.encounter_classes import class_group, visit_concept, visit_priority
+from carestrata.functions.encounter_classes import (
+    ABSORBED_BY_INPATIENT,
+    NO_MATCH,
+    SAME_GROUP,
+    class_group,
+    visit_concept,
+    visit_priority,
+)
 from carestrata.functions.parsing import two_digit_code, typed_null
 from carestrata.operators.ids import with_surrogate_id
 from carestrata.operators.intervals import collapse_intervals
@@ -139,16 +146,60 @@ def final_visit_ids(candidates: DataFrame) -> DataFrame:
     )
 
 
+def first_to_reach(visits: DataFrame) -> DataFrame:
+    """For each patient and set of visits, the first visit that lasts to a given day.
+
+    The sets are the class groups and ``any``. In the order of start, end and id
+    a visit matters only if it lasts longer than all before it; it is then the
+    first to reach the days from there to its end. Those days never overlap
+    within a set, and a set holds at most one row per day and calendar slice.
+    """
+    earlier = (
+        Window.partitionBy("patient", "_set")
+        .orderBy("visit_start_date", "visit_end_date", "visit_occurrence_id")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        visits.select(
+            "patient",
+            "visit_occurrence_id",
+            "visit_start_date",
+            "visit_end_date",
+            F.explode(F.array(class_group("encounterclass"), F.lit("any"))).alias("_set"),
+        )
+        .withColumn("_reached", F.max("visit_end_date").over(earlier))
+        .filter("_reached is null or visit_end_date > _reached")
+        .withColumn("_from", F.greatest("visit_start_date", F.date_add("_reached", 1)))
+        .withColumn("_slice", F.explode(F.sequence(_slice_of("_from"), _slice_of("visit_end_date"))))
+        .withColumnRenamed("visit_occurrence_id", "visit_occurrence_id_new")
+        .drop("_reached")
+    )
+
+
 def resolve_visits(encounters: DataFrame, visits: DataFrame) -> DataFrame:
-    """:func:`final_visit_ids` without ever forming the candidates per encounter.
+    """:func:`final_visit_ids` without forming the candidates.
 
-    The choice depends on the interval only, so it is made once per distinct
-    interval and joined back.
+    Of the visits around an encounter the first by start, end and id counts, and
+    that is the first one to reach its last day, if it starts in time. So each
+    distinct interval looks up one day in its sets (inpatient, its own class
+    group, any) and meets at most one visit in each, however many contain it.
     """
+    mine = class_group("encounterclass")
+    sets = F.array_distinct(F.array_compact(F.array(F.when(mine.isNotNull(), "inpatient"), mine, F.lit("any"))))
+    priority = (
+        F.when(F.col("_set") == "any", NO_MATCH)
+        .when(F.col("_set") == "inpatient", ABSORBED_BY_INPATIENT)
+        .otherwise(SAME_GROUP)
+    )
     best = (
-        candidate_intervals(encounters, visits)
+        encounters.select(_INTERVAL)
+        .distinct()
+        .withColumn("_slice", _slice_of("stop_date"))
+        .withColumn("_set", F.explode(sets))
+        .join(first_to_reach(visits), ["patient", "_set", "_slice"])
+        .filter("stop_date between _from and visit_end_date and visit_start_date <= start_date")
         .groupBy(_INTERVAL)
-        .agg(_best().alias("best"))
+        .agg(F.min(F.struct(priority.alias("priority"), "visit_occurrence_id_new")).alias("best"))
         .select(*_INTERVAL, F.col("best.visit_occurrence_id_new"))
     )
     return encounters.select("encounter_id", *_INTERVAL).join(best, _INTERVAL, "left").select(
