@@ -8,8 +8,10 @@ import pytest
 from conftest import SMOKE, in_order
 
 import __spark_entry__ as driver
+from carestrata.plans.oracle import all_sql
+from carestrata.plans.queries import all_queries
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +26,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SMOKE)
