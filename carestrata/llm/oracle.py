@@ -30,6 +30,49 @@ with v as (
 select query_id, rank::integer as rank, vec_id, score from r where rank <= 5
 """
 
+_OP8 = r"""
+with recursive d as (
+  select doc_id, source, text,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    substr(md5('mix:' || coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')), 1, 16) as key
+  from documents
+), s as (
+  select source, sum(size)::bigint as source_size,
+    [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::integer] as w
+  from d group by source
+), fill as (
+  select 0 as round, source, source_size, w, false as capped,
+    1.5 * sum(source_size) over () * w / sum(w) over () as target
+  from s
+  union all
+  select round + 1, source, source_size, w, over,
+    case when over then 2.0 * source_size
+      else (1.5 * sum(source_size) over () - sum(case when over then 2.0 * source_size else 0 end) over ())
+        * w / sum(case when over then 0 else w end) over () end
+  from (select *, capped or target > 2.0 * source_size as over,
+          bool_or(not capped and target > 2.0 * source_size) over () as more from fill)
+  where more
+), t as (
+  select source, source_size, target, round_even(target, 0)::bigint as quota
+  from fill where round = (select max(round) from fill)
+), g as (
+  select source, key, sum(size)::bigint as n, count(*) as c,
+    (sum(sum(size)) over (partition by source order by key))::bigint as upto
+  from d group by source, key
+)
+select d.doc_id, d.size, t.source_size, t.target,
+  (case when t.source_size = 0 then 0 else
+    t.quota // t.source_size * d.size
+    + case when g.upto <= t.quota % t.source_size then d.size
+        when g.upto - g.n < t.quota % t.source_size
+          then least(d.size, (t.quota % t.source_size - g.upto + g.n) // g.c)
+        else 0 end
+  end)::bigint as taken
+from d join t on d.source is not distinct from t.source
+join g on d.source is not distinct from g.source and d.key = g.key
+"""
+
 
 def llm_sql() -> dict[str, str]:
-    return {"op1_vp_tree_search": _OP1, "op9_norm_bucketed_top_k": _OP9}
+    """SQL by query name; queries without an entry are tested by brute force."""
+    return {"op1_vp_tree_search": _OP1, "op8_min_cost_flow_mix": _OP8, "op9_norm_bucketed_top_k": _OP9}

@@ -8,17 +8,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.llm.ann import vp_neighbours
+from carestrata.llm.mixing import mixed
+from carestrata.llm.packing import packed_sequences
+from carestrata.llm.quality import quality_scores
 from carestrata.llm.topk import norm_bucketed_top
+from carestrata.llm.toxicity import toxicity_scores
 from carestrata.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Vocabulary file of the packed sequences, in the package that brings it.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
 
 def op1_vp_tree_search(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 nearest of every twentieth vector."""
     return vp_neighbours(read_table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20, factor=1.0)
 
 
+def op3_tournament_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every document in sequences of 4096 tokens."""
+    pieces = packed_sequences(read_table(spark, folder, "documents"), tokenizer_path(), room=4096, end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document."""
+    return toxicity_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op7_qda_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document."""
+    return quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+
+
+def op8_min_cost_flow_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixed(read_table(spark, folder, "documents"), share=1.5, epochs=2)
+
+
 def op9_norm_bucketed_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The 5 highest integer products of every fiftieth vector."""
     return norm_bucketed_top(read_table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5)
@@ -26,4 +60,14 @@ def op9_norm_bucketed_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     """All registered queries of the subpackage but the pipeline."""
-    return {f.__name__: f for f in (op1_vp_tree_search, op9_norm_bucketed_top_k)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_vp_tree_search,
+            op3_tournament_packing,
+            op4_nnpu_toxicity,
+            op7_qda_quality,
+            op8_min_cost_flow_mix,
+            op9_norm_bucketed_top_k,
+        )
+    }
