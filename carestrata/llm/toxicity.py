@@ -16,26 +16,32 @@ from carestrata.llm.labelled import id_remainder, labels_of, seeded_first, texts
 
 #: Bounds of the samples: confirmed toxic examples and unlabelled texts.
 POSITIVES, UNLABELLED = 4000, 8000
-#: Words looked at by the classifier, and how clearly they must differ (G squared).
-WORDS, CLEAR = 512, 20.0
+#: Features looked at by the classifier, and how clearly they must differ (G statistic).
+FEATURES, CLEAR = 256, 20.0
 _WORD = re.compile(r"\w+")
 
 
+def features_of(text: str) -> set[str]:
+    """The words of a text, lower-cased, and their first four and five letters."""
+    words = set(_WORD.findall(text.lower()))
+    return words | {"^" + w[:4] for w in words if len(w) > 4} | {"^" + w[:5] for w in words if len(w) > 5}
+
+
 @dataclass
 class ToxicityModel:
-    """A logistic model over the presence of words."""
+    """A logistic model over the presence of words and their beginnings."""
 
     weights: dict[str, float]
     bias: float
 
     def scores(self, texts: list[str]) -> np.ndarray:
         known = self.weights.keys()
-        z = np.array([self.bias + sum(map(self.weights.__getitem__, sorted(known & set(_WORD.findall(t.lower()))))) for t in texts], dtype=np.float64)
+        z = np.array([self.bias + sum(map(self.weights.__getitem__, sorted(known & features_of(t)))) for t in texts], dtype=np.float64)
         return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def telling_words(positive: list[set[str]], unlabelled: list[set[str]]) -> list[str]:
-    """Words more frequent among the positive texts, by the G statistic of presence."""
+def telling_features(positive: list[set[str]], unlabelled: list[set[str]]) -> list[str]:
+    """Features more frequent among the positive texts, by the G statistic of presence."""
     n, m = max(1, len(positive)), max(1, len(unlabelled))
     in_p, in_u = Counter(w for t in positive for w in t), Counter(w for t in unlabelled for w in t)
     found = []
@@ -49,10 +55,10 @@ def telling_words(positive: list[set[str]], unlabelled: list[set[str]]) -> list[
         g = 2 * sum(c[0] * np.log(c[0] / e) for c, e in zip(cells, expected, strict=True) if c[0] > 0)
         if g >= CLEAR:
             found.append((-g, word))
-    return [w for _, w in sorted(found)[:WORDS]]
+    return [w for _, w in sorted(found)[:FEATURES]]
 
 
-def train_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-3) -> np.ndarray:
+def train_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
     """Weights (the last one the bias) that minimise the non-negative PU risk.
 
     With logistic loss l, positives P and unlabelled U the risk is
@@ -83,7 +89,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out:
     At most ``POSITIVES`` toxic examples and ``UNLABELLED`` texts, chosen by a hash of
     the id; copies of a text count once. The class prior is the share of toxic rows
     among all labels that may be learnt from. The sample is trained on in one task;
-    only the weights of at most ``WORDS`` words reach the driver. Without toxic or
+    only the weights of at most ``FEATURES`` features reach the driver. Without toxic or
     without unlabelled examples every score is the prior.
     """
     known = labels_of(labels, "toxic", "doc_id", modulus, held_out)
@@ -99,10 +105,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out:
         for pdf in batches:
             for kind, text in zip(pdf["_kind"], pdf["_text"], strict=True):
                 texts[kind].add(text)
-        words = {k: [set(_WORD.findall(t.lower())) for t in sorted(v)] for k, v in texts.items()}
+        words = {k: [features_of(t) for t in sorted(v)] for k, v in texts.items()}
         if not words[0] or not words[1]:
             return
-        chosen = telling_words(words[1], words[0])
+        chosen = telling_features(words[1], words[0])
         x_p, x_u = (np.array([[w in t for w in chosen] for t in words[k]], dtype=np.float64).reshape(len(words[k]), len(chosen)) for k in (1, 0))
         yield pd.DataFrame({"word": [*chosen, None], "weight": train_nnpu(x_p, x_u, prior)})
 
@@ -129,7 +135,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
     """(doc_id, held_out, score, predicted) for every document.
 
     Rows whose crc32(doc_id) leaves ``held_out`` modulo ``modulus`` are never learnt
-    from. Texts alone are scored: whole, lower-cased, by the words they hold. Null and
+    from. Texts alone are scored: whole, lower-cased, by the words they hold and how these begin. Null and
     empty texts have the bias as score; a null id is never learnt from and counts as
     not held out; repeated rows are scored each; an empty table gives no rows; without
     labels all scores are low. Other columns are not read.
