@@ -11,6 +11,8 @@ from carestrata.llm.ann import vp_neighbours
 from carestrata.llm.mixing import mixed
 from carestrata.llm.packing import packed_sequences
 from carestrata.llm.quality import quality_scores
+from carestrata.llm.secrets import secret_scan
+from carestrata.llm.simhash import simhash_components
 from carestrata.llm.topk import norm_bucketed_top
 from carestrata.llm.toxicity import toxicity_scores
 from carestrata.runtime import read_table
@@ -43,6 +45,11 @@ def op4_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op6_bit_sliced_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash_components(read_table(spark, folder, "documents"), words=3, radius=2)
+
+
 def op7_qda_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality of every document."""
     return quality_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -58,6 +65,11 @@ def op9_norm_bucketed_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return norm_bucketed_top(read_table(spark, folder, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+def op10_entropy_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The secrets of every document."""
+    return secret_scan(read_table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     """All registered queries of the subpackage but the pipeline."""
     return {
@@ -66,8 +78,10 @@ def llm_queries() -> dict[str, Query]:
             op1_vp_tree_search,
             op3_tournament_packing,
             op4_nnpu_toxicity,
+            op6_bit_sliced_simhash,
             op7_qda_quality,
             op8_min_cost_flow_mix,
             op9_norm_bucketed_top_k,
+            op10_entropy_secret_scan,
         )
     }
