@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -13,40 +15,91 @@ from pyspark.sql import functions as F
 GROUP_DOCS = 2048
 
 
-class WordIds(dict):
-    """Token ids of a word as bytes, encoded when first met.
+class WordIds:
+    """Token ids of texts as bytes, made from those of their words.
 
-    For tokenizers that never join what white space separates, so that a text's
-    ids are those of its words in turn. At ``most`` words it starts anew.
+    For tokenizers that drop white space and join nothing across it, a text's ids are
+    those of its words in turn, so each word is encoded once while it is remembered
+    (at most ``most`` words). Others encode whole texts.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 400_000):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = self[word] = np.array(ids, dtype=self.kind).tobytes()
-        return found
-
-    def text(self, text: bytes) -> bytes:
-        """Ids of a whole text. Bytes are split at ASCII white space only."""
-        return b"".join([self[w] for w in text.split()])
+        self.words: dict[bytes, bytes] = {}
+        self.plain: dict[str, bytes] = {}
+        self.by_word = self._ids("Aa bb") == self._ids("Aa") + self._ids("bb")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.units = bool(self.ends.any())
+
+    @classmethod
+    def of_worker(cls, path: str) -> WordIds:
+        """The one of this Python process, which Spark keeps from task to task."""
+        kept = sys.modules.setdefault("_carestrata_word_ids", ModuleType("_carestrata_word_ids")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of whole texts, which are split at ASCII white space only."""
+        if not self.by_word:
+            return [self._ids(t.decode("utf-8", "replace")) for t in texts]
+        split = [t.split() for t in texts]
+        if len(self.words) > self.most:
+            self.words.clear()
+        if len(self.plain) > self.most:
+            self.plain.clear()
+        self._learn({w for words in split for w in words if w not in self.words})
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Encodes new words: letters without what follows them, many at a time."""
+        cut: dict[bytes, tuple[str, str]] = {}
+        for word in new:
+            text = word.decode("utf-8", "replace")
+            head = text.rstrip(".,;:!?")
+            if self.units and head.isalpha():
+                cut[word] = (head.lower() if head.isascii() else head, text[len(head) :])
+            else:
+                self.words[word] = self._ids(text)
+        self._learn_plain(sorted({head for head, _ in cut.values()} - self.plain.keys()))
+        for word, (head, tail) in cut.items():
+            if tail and tail not in self.plain:
+                self.plain[tail] = self._ids(tail)
+            self.words[word] = self.plain[head] + self.plain[tail] if tail else self.plain[head]
+
+    def _learn_plain(self, heads: list[str]) -> None:
+        """Words of letters only are one unit each, whose last token ends a word."""
+        if not heads:
+            return
+        ids = np.array(self.tokenizer.encode(" ".join(heads), add_special_tokens=False).ids, dtype=self.kind)
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(heads):
+            self.plain.update((h, self._ids(h)) for h in heads)
+            return
+        for head, a, b in zip(heads, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+            self.plain[head] = ids[a:b].tobytes()
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """Columns ``doc``, ``part`` (input partition), ``width`` (bytes of an id) and ``ids``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordIds(tokenizer_path)
+        words = WordIds.of_worker(tokenizer_path)
         end = np.array([end_id], dtype=words.kind).tobytes()
         for pdf in batches:
-            ids = [words.text(bytes(t)) + end for t in pdf.pop("text")]
+            texts = pdf.pop("text").tolist()
+            ids = [i + end for at in range(0, len(texts), 256) for i in words.texts(texts[at : at + 256])]
             yield pdf.assign(width=words.kind.itemsize, ids=ids)
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
