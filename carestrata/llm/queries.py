@@ -13,6 +13,7 @@ from carestrata.llm.packing import packed_sequences
 from carestrata.llm.quality import quality_scores
 from carestrata.llm.secrets import secret_scan
 from carestrata.llm.simhash import simhash_components
+from carestrata.llm.substrings import remove_repeats
 from carestrata.llm.topk import norm_bucketed_top
 from carestrata.llm.toxicity import toxicity_scores
 from carestrata.runtime import read_table
@@ -34,6 +35,12 @@ def op1_vp_tree_search(spark: SparkSession, folder: str) -> DataFrame:
     return vp_neighbours(read_table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20, factor=1.0)
 
 
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that occur twice."""
+    kept = remove_repeats(read_table(spark, folder, "documents"), length=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_tournament_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every piece of every document in sequences of 4096 tokens."""
     pieces = packed_sequences(read_table(spark, folder, "documents"), tokenizer_path(), room=4096, end_id=2)
@@ -76,6 +83,7 @@ def llm_queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             op1_vp_tree_search,
+            op2_suffix_array_dedup,
             op3_tournament_packing,
             op4_nnpu_toxicity,
             op6_bit_sliced_simhash,
