@@ -12,6 +12,7 @@ from carestrata.llm.mixing import mixed
 from carestrata.llm.packing import packed_sequences
 from carestrata.llm.quality import quality_scores
 from carestrata.llm.secrets import secret_scan
+from carestrata.llm.sentences import remove_repeated_spans
 from carestrata.llm.simhash import simhash_components
 from carestrata.llm.substrings import remove_repeats
 from carestrata.llm.topk import norm_bucketed_top
@@ -52,6 +53,12 @@ def op4_nnpu_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
 
 
+def op5_sentence_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages that an earlier one has."""
+    kept = remove_repeated_spans(read_table(spark, folder, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def op6_bit_sliced_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash_components(read_table(spark, folder, "documents"), words=3, radius=2)
@@ -86,6 +93,7 @@ def llm_queries() -> dict[str, Query]:
             op2_suffix_array_dedup,
             op3_tournament_packing,
             op4_nnpu_toxicity,
+            op5_sentence_span_dedup,
             op6_bit_sliced_simhash,
             op7_qda_quality,
             op8_min_cost_flow_mix,
