@@ -120,8 +120,8 @@ def mixing_plan(units: DataFrame, share: float = 1.5, epochs: int = 2) -> DataFr
     """One row per source: what every document of it gives to the mix.
 
     ``units`` has ``_source``, ``_size`` and ``_key``. Columns of the plan: _source,
-    source_size, target, times (whole passes), edge (the key up to which documents
-    are taken once more) and edge_share (what those at the edge give).
+    _source_size, _target, _times (whole passes), _edge (the key up to which documents
+    are taken once more) and _edge_share (what those at the edge give).
 
     A source is a membership pattern of one member here; patterns of several go
     through the same flow. Only sums per pattern reach the driver. The edge is found
@@ -159,21 +159,20 @@ def mixing_plan(units: DataFrame, share: float = 1.5, epochs: int = 2) -> DataFr
     edge = materialise(
         third.select(F.col("_source").alias("_s"), F.col("cell").alias("edge"), F.floor(F.col("rest") / F.col("rows")).alias("edge_share")), "mix-edge"
     )
-    return plan.join(edge, F.col("_source").eqNullSafe(F.col("_s")), "left").select(
-        "_source", "source_size", "target", "times", "edge", "edge_share"
-    )
+    joined = plan.join(edge, F.col("_source").eqNullSafe(F.col("_s")), "left")
+    return joined.select("_source", *(F.col(c).alias(f"_{c}") for c in ("source_size", "target", "times", "edge", "edge_share")))
 
 
 def with_taken(units: DataFrame, plan: DataFrame) -> DataFrame:
-    """``units`` with source_size, target and taken (words, repeats counted)."""
-    plan = broadcast_when_small(materialise(plan, "mix-plan")).withColumnRenamed("_source", "_s")
+    """``units`` with _source_size, _target and _taken (words, repeats counted)."""
+    plan = broadcast_when_small(materialise(plan, "mix-plan").withColumnRenamed("_source", "_s"))
     again = (
-        F.when(F.col("_key") < F.col("edge"), F.col("_size"))
-        .when(F.col("_key") == F.col("edge"), F.least("_size", "edge_share"))
+        F.when(F.col("_key") < F.col("_edge"), F.col("_size"))
+        .when(F.col("_key") == F.col("_edge"), F.least("_size", "_edge_share"))
         .otherwise(F.lit(0))
     )
-    taken = F.col("times") * F.col("_size") + again
-    return units.join(plan, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("taken", taken).drop("_s", "times", "edge", "edge_share")
+    done = units.join(plan, F.col("_source").eqNullSafe(F.col("_s"))).withColumn("_taken", F.col("_times") * F.col("_size") + again)
+    return done.drop("_s", "_times", "_edge", "_edge_share")
 
 
 def mixed(docs: DataFrame, share: float = 1.5, epochs: int = 2, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,4 +190,4 @@ def mixed(docs: DataFrame, share: float = 1.5, epochs: int = 2, source_col: str
     units = measured(docs.select(id_col, text_col, source_col), source_col, id_col, text_col)
     units = materialise(units.select(F.col(id_col).cast("long").alias("doc_id"), "_source", "_size", "_key"), "mix-units")
     done = with_taken(units, mixing_plan(units, share, epochs))
-    return done.select("doc_id", F.col("_size").alias("size"), "source_size", "target", "taken")
+    return done.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("size", "source_size", "target", "taken")))

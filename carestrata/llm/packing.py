@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 from types import ModuleType
 
 import numpy as np
@@ -11,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carestrata.llm.rows import add_columns
+
 #: Documents of a group, on average.
 GROUP_DOCS = 2048
 
@@ -94,17 +95,15 @@ class WordIds:
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """Columns ``doc``, ``part`` (input partition), ``width`` (bytes of an id) and ``ids``."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compute(texts: list[bytes]) -> list:
         words = WordIds.of_worker(tokenizer_path)
         end = np.array([end_id], dtype=words.kind).tobytes()
-        for pdf in batches:
-            texts = pdf.pop("text").tolist()
-            ids = [i + end for at in range(0, len(texts), 256) for i in words.texts(texts[at : at + 256])]
-            yield pdf.assign(width=words.kind.itemsize, ids=ids)
+        ids = [i + end for at in range(0, len(texts), 256) for i in words.texts(texts[at : at + 256])]
+        return [[words.kind.itemsize] * len(ids), ids]
 
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.spark_partition_id().alias("part"), text)
-    return rows.mapInPandas(run, "doc long, part int, width int, ids binary")
+    return add_columns(rows, ["text"], "width int, ids binary", compute, drop=("text",))
 
 
 def first_fit(sizes: np.ndarray, room: int) -> list[list[int]]:
@@ -216,7 +215,7 @@ def packed_sequences(
         ids = [np.frombuffer(b, kind) for b in pdf["ids"]]
         lengths = np.array([len(a) for a in ids], dtype=np.int64)
         pieces = pack_group(lengths, room)
-        doc = pdf["doc"].astype("Int64").array
+        doc = pdf["doc"].to_numpy()
         columns = list(zip(*pieces, strict=True))
         owner = np.array(columns[0])
         return pd.DataFrame(
@@ -231,11 +230,14 @@ def packed_sequences(
             }
         )
 
-    return (
+    # Ids go through pandas as text, which has room for null and for all longs.
+    pieces = (
         rows.select("*", group)
+        .withColumn("doc", F.col("doc").cast("string"))
         .groupBy("group")
         .applyInPandas(
             pack,
-            "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
+            "doc_id string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long",
         )
     )
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.labelled import id_remainder, labels_of, seeded_first, texts_of
+from carestrata.llm.rows import add_columns
 
 #: Bound of the labelled sample, per class.
 SAMPLE = 6000
@@ -138,11 +139,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, m
         rate = labels_of(labels, "quality", "doc_id", modulus, held_out).agg(F.avg("_label").alias("p")).first()["p"]
         flat = 0.5 if rate is None else float(rate)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = pdf.pop("text").fillna("").tolist()
-            yield pdf.assign(score=model.scores(texts) if model else flat)
+    def score(texts: list[str | None]) -> list:
+        return [model.scores([t or "" for t in texts]) if model else [flat] * len(texts)]
 
     fold = F.coalesce(id_remainder("doc_id", modulus) == held_out, F.lit(False))
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, score double")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = add_columns(rows, ["text"], "score double", score, drop=("text",))
     return scored.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

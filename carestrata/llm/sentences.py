@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carestrata.llm.rows import add_columns
 from carestrata.runtime import broadcast_when_small, materialise
 
 #: A run has at least so many sentences and words, and no more sentences than that takes.
@@ -65,7 +66,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 parts = []
-                for doc, mark, text in pdf.iloc[at : at + 512][["doc", "mark", "text"]].itertuples(index=False):
+                for doc, mark, text in zip(*(pdf[c].iloc[at : at + 512] for c in ("doc", "mark", "text")), strict=True):
                     words = [w for w in (s.lower().split() for s in sentences_of(text)) if w]
                     first, last = runs_of(np.array([len(w) for w in words], dtype=np.int64))
                     if not len(first):
@@ -77,10 +78,11 @@ def spans_of(docs: DataFrame) -> DataFrame:
                         pd.DataFrame({"doc": doc, "mark": mark, "hash": digest[:, 0], "check": digest[:, 1].astype(np.int32), "first": first, "last": last})
                     )
                 if parts:
-                    whole = pd.concat(parts, ignore_index=True)
-                    yield whole.astype({"doc": "Int64"})
+                    yield pd.concat(parts, ignore_index=True)
 
-    return docs.mapInPandas(run, "doc long, mark int, hash long, check int, first int, last int")
+    # Ids go through pandas as text, which has room for null and for all longs.
+    spans = docs.withColumn("doc", F.col("doc").cast("string")).mapInPandas(run, "doc string, mark int, hash long, check int, first int, last int")
+    return spans.withColumn("doc", F.col("doc").cast("long"))
 
 
 def _place() -> Column:
@@ -115,17 +117,16 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     gone = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
     gone = materialise(gone, "sentence-gone").withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            kept, count, removed = [], [], []
-            for old, runs in zip(pdf["text"], pdf["gone"], strict=True):
-                parts = sentences_of(old) if old is not None else []
-                real = [i for i, s in enumerate(parts) if s.strip()]
-                bad = {real[i] for r in ([] if runs is None else runs) for i in range(r["first"], r["last"] + 1)}
-                kept.append("".join(s for i, s in enumerate(parts) if i not in bad) if bad else old)
-                count.append(len(real)), removed.append(len(bad))
-            yield pd.DataFrame({"doc_id": pdf["doc"].astype("Int64"), "n_sentences": count, "n_removed": removed, "text": kept})
+    def cut(texts: list[str | None], gone: list) -> list:
+        kept, count, removed = [], [], []
+        for old, runs in zip(texts, gone, strict=True):
+            parts = sentences_of(old) if old is not None else []
+            real = [i for i, s in enumerate(parts) if s.strip()]
+            bad = {real[i] for r in runs or [] for i in range(r["first"], r["last"] + 1)}
+            kept.append("".join(s for i, s in enumerate(parts) if i not in bad) if bad else old)
+            count.append(len(real)), removed.append(len(bad))
+        return [count, removed, kept]
 
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))
-    judged = rows.join(broadcast_when_small(gone, 50_000), same, "left").select("doc", "text", "gone")
-    return judged.mapInPandas(cut, "doc_id long, n_sentences long, n_removed long, text string")
+    judged = rows.join(broadcast_when_small(gone, 50_000), same, "left").select(F.col("doc").alias("doc_id"), "text", "gone")
+    return add_columns(judged, ["text", "gone"], "n_sentences long, n_removed long, text string", cut, drop=("gone",))

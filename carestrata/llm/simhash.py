@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.components import component_roots
+from carestrata.llm.rows import add_columns
 from carestrata.runtime import broadcast_when_small, materialise
 
 BITS, BLOCKS = 64, 4
@@ -44,16 +45,13 @@ def fingerprint(text: bytes, words: int = 3, seed: int = 42) -> int:
     return int((np.uint64(1) << np.flatnonzero(2 * counts > len(h)).astype(np.uint64)).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text as a signed long."""
+def with_fingerprint(docs: DataFrame, words: int, text_col: str, fp_col: str) -> DataFrame:
+    """``docs`` with the fingerprint of every whole text as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            fp = np.array([fingerprint(bytes(t), words) for t in pdf["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fp.view(np.int64)})
+    def compute(texts: list[str | None]) -> list:
+        return [np.array([fingerprint((t or "").encode("utf-8", "replace"), words) for t in texts], dtype=np.uint64).view(np.int64)]
 
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInPandas(run, "doc_id long, fp long")
+    return add_columns(docs, [text_col], f"`{fp_col}` long", compute)
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -215,6 +213,13 @@ def fingerprint_links(fps: DataFrame, radius: int = 2) -> DataFrame:
     return small.union(star)
 
 
+def _roots(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, root): the smallest fingerprint that links reach, for distinct ``fps``."""
+    links = materialise(fingerprint_links(fps, radius), "simhash-links")
+    roots = component_roots(links).withColumnRenamed("node", "fp")
+    return fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every document.
 
@@ -230,12 +235,26 @@ def simhash_components(docs: DataFrame, words: int = 3, radius: int = 2, id_col:
     Repeated rows come back each. An empty table gives no rows. Other columns are not
     read.
     """
-    rows = materialise(fingerprints(docs, words, id_col, text_col), "simhash-rows")
-    fps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
-    links = materialise(fingerprint_links(fps.select("fp"), radius), "simhash-links")
-    roots = component_roots(links)
-    named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = materialise(named, "simhash-named")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = materialise(with_fingerprint(rows, words, "text", "fp").drop("text"), "simhash-rows")
+    least = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
+    named = materialise(_roots(least.select("fp"), radius).join(least, "fp"), "simhash-named")
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
     table = broadcast_when_small(materialise(named.join(names, "root").select("fp", "component_id"), "simhash-components"))
     return rows.join(table, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their group: of each, one of the smallest id.
+
+    Groups are those of :func:`simhash_components`; null ids come last, and of rows
+    that repeat an id the first written stays. All columns are returned. The rows are
+    written with a number each, so that exactly one per group is kept.
+    """
+    marked = with_fingerprint(docs, words, text_col, "_fp").withColumn("_row", F.monotonically_increasing_id())
+    marked = materialise(marked, "simhash-marked")
+    first = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).cast("long").alias("id"), F.col("_row").alias("row"))
+    per_fp = materialise(marked.groupBy(F.col("_fp").alias("fp")).agg(F.min(first).alias("first")), "simhash-fps")
+    kept = _roots(per_fp.select("fp"), radius).join(per_fp, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    kept = broadcast_when_small(materialise(kept.select(F.col("first.row").alias("_row")), "simhash-kept"))
+    return marked.join(kept, "_row", "left_semi").select(docs.columns)

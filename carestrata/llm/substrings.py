@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carestrata.llm.rows import add_columns
 from carestrata.llm.sais import permuted_common_prefixes, suffix_array
 from carestrata.runtime import broadcast_when_small, materialise
 
@@ -295,11 +296,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     runs = repeated_runs(rows, length).join(whole, "owner", "full").select("owner", F.coalesce("whole", "runs").alias("runs"))
     runs = materialise(runs, "substring-runs")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            done = [without(bytes(t), [] if r is None else list(r), length) for t, r in zip(pdf["text"], pdf["runs"], strict=True)]
-            kept, removed, spans = zip(*done, strict=True) if done else ((), (), ())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": pdf["text"].map(len), "n_removed": removed, "n_spans": spans, "kept": kept})
+    def cut(texts: list[bytes], runs: list) -> list:
+        done = [without(t, r or [], length) for t, r in zip(texts, runs, strict=True)]
+        return [list(map(len, texts)), [d[1] for d in done], [d[2] for d in done], [d[0] for d in done]]
 
     judged = rows.withColumn("owner", owner).join(runs, "owner", "left").select("doc_id", "text", "runs")
-    return judged.mapInPandas(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    made = "n_bytes long, n_removed long, n_spans long, kept binary"
+    return add_columns(judged, ["text", "runs"], made, cut, drop=("text", "runs"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.labelled import id_remainder, labels_of, seeded_first, texts_of
+from carestrata.llm.rows import add_columns
 
 #: Bounds of the samples: confirmed toxic examples and unlabelled texts.
 POSITIVES, UNLABELLED = 4000, 8000
@@ -118,17 +119,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out:
     return ToxicityModel(weights, bias)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``score`` from 0 to 1 for the whole text (null: empty)."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(score=model.scores(pdf[text_col].fillna("").tolist()))
-
-    from pyspark.sql.types import DoubleType, StructType
-
-    kept = docs.drop("score")
-    return kept.mapInPandas(run, StructType([*kept.schema.fields]).add("score", DoubleType()))
+def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with a score from 0 to 1 for the whole text (null: empty)."""
+    return add_columns(docs, [text_col], f"`{score_col}` double", lambda texts: [model.scores([t or "" for t in texts])])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, modulus: int = 3, held_out: int = 1) -> DataFrame:
