@@ -19,13 +19,23 @@ from carestrata.llm.rows import add_columns
 POSITIVES, UNLABELLED = 4000, 8000
 #: Features looked at by the classifier, and how clearly they must differ (G statistic).
 FEATURES, CLEAR = 256, 20.0
+#: Words of a text per repetition that counts as one.
+PER = 500
 _WORD = re.compile(r"\w+")
 
 
 def features_of(text: str) -> set[str]:
-    """The words of a text, lower-cased, and their first four and five letters."""
-    words = set(_WORD.findall(text.lower()))
-    return words | {"^" + w[:4] for w in words if len(w) > 4} | {"^" + w[:5] for w in words if len(w) > 5}
+    """The words of a text, lower-cased, and how they begin (their first four and five letters).
+
+    A beginning that several different words share is a feature of its own as well,
+    and so is a word that occurs more than once: more than once per ``PER`` words in
+    longer texts, where chance brings them together.
+    """
+    words = Counter(_WORD.findall(text.lower()))
+    few = 1 + words.total() // PER
+    starts = Counter(["^" + w[:4] for w in words if len(w) > 4] + ["^" + w[:5] for w in words if len(w) > 5])
+    more = [f + "+" for f, n in starts.items() if n > few] + [w + "+" for w, n in words.items() if n > few]
+    return {*words, *starts, *more}
 
 
 @dataclass
@@ -59,7 +69,7 @@ def telling_features(positive: list[set[str]], unlabelled: list[set[str]]) -> li
     return [w for _, w in sorted(found)[:FEATURES]]
 
 
-def train_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+def train_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05, decay: float = 3e-4) -> np.ndarray:
     """Weights (the last one the bias) that minimise the non-negative PU risk.
 
     With logistic loss l, positives P and unlabelled U the risk is
