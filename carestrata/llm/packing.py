@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from string import punctuation
 from types import ModuleType
 
 import numpy as np
@@ -59,16 +60,19 @@ class WordIds:
             self.words.clear()
         if len(self.plain) > self.most:
             self.plain.clear()
-        self._learn({w for words in split for w in words if w not in self.words})
+        met: set[bytes] = set()
+        for words in split:
+            met.update(words)
+        self._learn(met.difference(self.words))
         ids = self.words.__getitem__
         return [b"".join(map(ids, words)) for words in split]
 
     def _learn(self, new: set[bytes]) -> None:
-        """Encodes new words: letters without what follows them, many at a time."""
+        """Encodes new words: letters without the punctuation after them, many at a time."""
         cut: dict[bytes, tuple[str, str]] = {}
         for word in new:
             text = word.decode("utf-8", "replace")
-            head = text.rstrip(".,;:!?")
+            head = text.rstrip(punctuation)
             if self.units and head.isalpha():
                 cut[word] = (head.lower() if head.isascii() else head, text[len(head) :])
             else:
