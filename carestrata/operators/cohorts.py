@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.operators.intervals import collapse_intervals
-from carestrata.runtime import broadcast_for, broadcast_when_small
+from carestrata.runtime import broadcast_bounded, broadcast_for
 
 # Least subjects per role unless a study says otherwise.
 MIN_TARGET_SUBJECTS, MIN_OUTCOME_SUBJECTS, MIN_COVARIATE_SUBJECTS = 100, 10, 1
@@ -68,7 +68,7 @@ def with_target_flag(cohort: DataFrame, studies: DataFrame) -> DataFrame:
     A subject has at most one row per cohort of its study here, so looking over
     them takes the place of joining the table to itself.
     """
-    targets = broadcast_when_small(studies.select("study", "target_id"))
+    targets = broadcast_bounded(studies.select("study", "target_id"), "targets")
     is_target = F.coalesce(F.col("cohort_id") == F.col("target_id"), F.lit(False))
     return (
         members(cohort)
@@ -80,7 +80,7 @@ def with_target_flag(cohort: DataFrame, studies: DataFrame) -> DataFrame:
 
 def target_overlap(cohort: DataFrame, studies: DataFrame, manifest: DataFrame) -> DataFrame:
     """Distinct subjects of each outcome cohort who are also in the study's target."""
-    outcomes = broadcast_when_small(manifest.filter("is_outcome").select(_COHORT))
+    outcomes = broadcast_bounded(manifest.filter("is_outcome").select(_COHORT), "outcomes")
     return (
         with_target_flag(cohort, studies)
         .filter("in_target")
@@ -214,7 +214,7 @@ def instantiate_cohorts(
     )
     entries = (
         events.join(wanted, "concept_id")
-        .join(broadcast_when_small(definitions), _COHORT)
+        .join(broadcast_bounded(definitions, "definitions"), _COHORT)
         .join(periods, "person_id")
         .filter(
             (F.col("start_date") >= F.date_add("observation_period_start_date", F.col("prior_days")))
@@ -272,7 +272,7 @@ def meeting_rules(entries: DataFrame, inclusion_concepts: DataFrame, events: Dat
     ruled = inclusion_concepts.select(_COHORT).distinct().withColumn("_ruled", F.lit(True))
     passed = included_subjects(inclusion_concepts, events).withColumn("_passed", F.lit(True))
     return (
-        entries.join(broadcast_when_small(ruled), _COHORT, "left")
+        entries.join(broadcast_bounded(ruled, "ruled"), _COHORT, "left")
         .join(passed, [*_COHORT, "subject_id"], "left")
         .filter(F.col("_ruled").isNull() | F.col("_passed"))
         .drop("_ruled", "_passed")
@@ -280,7 +280,11 @@ def meeting_rules(entries: DataFrame, inclusion_concepts: DataFrame, events: Dat
 
 
 def included_subjects(inclusion_concepts: DataFrame, events: DataFrame) -> DataFrame:
-    """Subjects for whom every inclusion rule of the cohort finds enough events."""
+    """Subjects for whom every inclusion rule of the cohort finds enough events.
+
+    A concept that a rule lists twice counts its events once.
+    """
+    inclusion_concepts = inclusion_concepts.distinct()
     wanted = broadcast_for(inclusion_concepts, events, "concept_id", "inclusion")
     rules = inclusion_concepts.groupBy(*_COHORT).agg(F.countDistinct("rule").alias("_rules"))
     met = (

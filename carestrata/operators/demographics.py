@@ -208,8 +208,7 @@ def owned_days(plan_periods: DataFrame) -> DataFrame:
     Periods are numbered by start, so the smallest id holding a day belongs to
     the earliest start. A period therefore owns the days after the latest end of
     the periods before it, up to its own end. Owned days never overlap, so a
-    claim meets at most one period per day, and a busy person's periods meet at
-    most the days of one calendar year at a time.
+    claim meets at most one period per day.
     """
     start, end = F.col("payer_plan_period_start_date"), F.col("payer_plan_period_end_date")
     earlier = (
@@ -226,7 +225,6 @@ def owned_days(plan_periods: DataFrame) -> DataFrame:
             end.alias("owned_to"),
         )
         .filter("owned_from <= owned_to")
-        .withColumn("_year", F.explode(F.sequence(F.year("owned_from"), F.year("owned_to"))))
     )
 
 
@@ -236,24 +234,40 @@ def claim_costs(claims: DataFrame, transactions: DataFrame, plan_periods: DataFr
     ``claims`` has ``claim_id, person_id, encounter_id, service_date``;
     ``transactions`` has ``claim_id, transfer_type, amount``. The transactions,
     by far the largest input, are summed per claim before anything joins them.
-    Of several plan periods holding the date the smallest id counts.
+    Of several plan periods holding the date the smallest id counts. An amount that
+    is no number or out of range counts for nothing (:func:`refused_amounts`).
+
+    The period of a day is the last one that owns days from then or before: periods
+    and days of a person are put together in one order, at most one row per calendar
+    day of either kind, so neither open-ended periods nor busy persons make it large.
     """
     # Exact sums, so that they do not depend on the order of addition.
-    amount = F.col("amount").cast("decimal(18,4)")
+    amount = F.col("amount").try_cast("decimal(18,4)")
     sums = transactions.groupBy("claim_id").agg(
         F.sum(F.when(F.col("transfer_type") == "CHARGE", amount)).cast("double").alias("total_charge"),
         F.sum(F.when(F.col("transfer_type") == "PAYMENT", amount)).cast("double").alias("total_paid"),
     )
     owned = owned_days(plan_periods)
-    dated = claims.select("person_id", "service_date").distinct().withColumn("_year", F.year("service_date"))
+    days = claims.select("person_id", F.col("service_date").alias("_day")).filter("_day is not null").distinct()
+    period = F.struct("owned_to", "payer_plan_period_id")
+    both = owned.select("person_id", F.col("owned_from").alias("_day"), period.alias("_period")).unionByName(
+        days.withColumn("_period", F.lit(None).cast("struct<owned_to:date,payer_plan_period_id:bigint>"))
+    )
+    upto = Window.partitionBy("person_id").orderBy("_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     plan_of = (
-        dated.join(owned, ["person_id", "_year"])
-        .filter("service_date between owned_from and owned_to")
-        .select("person_id", "service_date", "payer_plan_period_id")
+        both.withColumn("_last", F.last("_period", ignorenulls=True).over(upto))
+        .filter("_period is null and _day <= _last.owned_to")
+        .select("person_id", F.col("_day").alias("service_date"), F.col("_last.payer_plan_period_id").alias("payer_plan_period_id"))
     )
     return claims.join(sums, "claim_id").join(plan_of, ["person_id", "service_date"], "left")
 
 
+def refused_amounts(transactions: DataFrame) -> DataFrame:
+    """How many amounts of each kind of transaction cannot be counted."""
+    refused = F.col("amount").isNotNull() & F.col("amount").try_cast("decimal(18,4)").isNull()
+    return transactions.groupBy("transfer_type").agg(F.count(F.when(refused, 1)).alias("refused_amounts"))
+
+
 def billable(events: DataFrame, event_id: str, domain: str) -> DataFrame:
     """Events of one domain as a branch of the cost table."""
     return events.select(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carestrata.runtime import broadcast_when_small
+from carestrata.runtime import broadcast_bounded, materialise
 
 # Parts of a state that test for a code instead of emitting it.
 TRANSITION_KEYS = (
@@ -20,9 +22,8 @@ TRANSITION_KEYS = (
 VISIT_CRITERIA = ("VisitOccurrence", "VisitDetail")
 CUSTOM_LABEL, BUILT_IN_PREFIX = "custom", "built-in:"
 
-# How deep a state is searched for codes, and how deep inclusion groups nest.
-# Deeper documents are refused, never read in part.
-SEARCH_DEPTH, GROUP_DEPTH = 8, 4
+# Levels that are opened between two writes; documents may nest to any depth.
+LEVELS_AT_ONCE = 6
 
 _AS_OBJECT = "try_variant_get(node, '$', 'map<string,variant>')"
 _AS_ARRAY = "try_variant_get(node, '$', 'array<variant>')"
@@ -41,14 +42,15 @@ def _scalar(field: str) -> str:
 _IS_CODE = f"({_scalar('system')}) is not null and ({_scalar('code')}) is not null"
 
 
-def emitted_codes(modules: DataFrame, depth: int = SEARCH_DEPTH) -> DataFrame:
+def emitted_codes(modules: DataFrame) -> DataFrame:
     """Codes a module can emit, from documents ``(module, document)``.
 
-    A state is searched at any place for objects with a scalar ``system`` and
-    ``code``; transition blocks are skipped, and so are the states whose type
-    ends in ``End``. Each level of nesting is one ``explode`` in a straight
-    chain: a node either has been recognised and is carried along, or gives way
-    to its children. A row never expands beyond its own document.
+    A state is searched at any place and depth for objects with a scalar ``system``
+    and ``code``; transition blocks are skipped, and so are the states whose type
+    ends in ``End``. ``LEVELS_AT_ONCE`` levels are opened in a straight chain, where a
+    node either has been recognised and is carried along, or gives way to its
+    children; what is recognised is then set aside, and the chain goes on with the
+    rest until nothing is left. A row never expands beyond its own document.
     """
     skipped = ", ".join(f"'{k}'" for k in TRANSITION_KEYS)
     states = F.expr("try_variant_get(try_parse_json(document), '$.states', 'map<string,variant>')")
@@ -70,19 +72,22 @@ def emitted_codes(modules: DataFrame, depth: int = SEARCH_DEPTH) -> DataFrame:
                 transform(filter(map_entries(fields), x -> x.key not in ({skipped})), x -> x.value)
             else {_AS_ARRAY} end"""
     )
-    for _ in range(depth):
-        nodes = (
-            nodes.withColumn("fields", F.expr(f"case when not found then {_AS_OBJECT} end"))
-            .select(*keep, "found", F.explode(children).alias("node"))
-            .withColumn("found", F.expr(f"found or ({_IS_CODE})"))
-        )
     nested = F.expr(f"not found and ({_AS_OBJECT} is not null or {_AS_ARRAY} is not null)")
-    checked = F.when(
-        nested,
-        F.raise_error(F.concat(F.lit("document nested too deeply in module "), F.col("module"))).cast("boolean"),
-    ).otherwise(F.col("found"))
+    found = []
+    while True:
+        for _ in range(LEVELS_AT_ONCE):
+            nodes = (
+                nodes.withColumn("fields", F.expr(f"case when not found then {_AS_OBJECT} end"))
+                .select(*keep, "found", F.explode(children).alias("node"))
+                .withColumn("found", F.expr(f"found or ({_IS_CODE})"))
+            )
+        nodes = materialise(nodes.filter(F.col("found") | nested), "module-nodes")
+        found.append(nodes.filter("found"))
+        nodes = nodes.filter("not found")
+        if nodes.isEmpty():
+            break
     return (
-        nodes.filter(checked)
+        reduce(DataFrame.unionByName, found)
         .select(
             *keep,
             F.expr("try_variant_get(node, '$.system', 'string')").alias("system"),
@@ -101,33 +106,39 @@ def label_modules(custom: DataFrame, built_in: DataFrame) -> DataFrame:
     """
     base = F.element_at(F.split("path", "/"), -1)
     own = custom.withColumn("_base", base)
-    names = broadcast_when_small(own.select("_base").distinct())
+    names = broadcast_bounded(own.select("_base").distinct(), "module-names")
     others = built_in.withColumn("_base", base).join(names, "_base", "left_anti")
     return own.select(F.lit(CUSTOM_LABEL).alias("module"), "document").unionByName(
         others.select(F.concat(F.lit(BUILT_IN_PREFIX), F.col("path")).alias("module"), "document")
     )
 
 
-_CRITERION = "map<string, struct<CodesetId: int>>"
-_COUNTED = f"array<struct<Criteria: {_CRITERION}, Occurrence: struct<Type: int, Count: int>>>"
-
-
-def _group_type(depth: int) -> str:
-    below = "array<string>" if depth == 0 else f"array<{_group_type(depth - 1)}>"
-    return f"struct<Type: string, CriteriaList: {_COUNTED}, Groups: {below}>"
-
+_CRITERION = "map<string, struct<CodesetId: string>>"
+_COUNTED = f"array<struct<Criteria: {_CRITERION}, Occurrence: struct<Type: string, Count: string>>>"
 
+# Ids are read as text and cast afterwards: some documents quote them.
 _ITEM = (
-    "struct<concept: struct<CONCEPT_ID: bigint>, includeDescendants: boolean, "
+    "struct<concept: struct<CONCEPT_ID: string>, includeDescendants: boolean, "
     "isExcluded: boolean, includeMapped: boolean>"
 )
 _DEFINITION = (
-    f"ConceptSets array<struct<id: int, expression: struct<items: array<{_ITEM}>>>>, "
-    f"PrimaryCriteria struct<CriteriaList: array<{_CRITERION}>>, "
-    f"InclusionRules array<struct<expression: {_group_type(GROUP_DEPTH)}>>"
+    f"ConceptSets array<struct<id: string, expression: struct<items: array<{_ITEM}>>>>, "
+    f"PrimaryCriteria struct<CriteriaList: array<{_CRITERION}>>"
 )
 
 
+def document_problems(documents: DataFrame) -> DataFrame:
+    """Documents ``(cohort_id, problem)`` that are no JSON objects, or whose ids are no numbers."""
+    broken = F.expr("try_variant_get(try_parse_json(document), '$', 'map<string,variant>')").isNull()
+    unread = F.expr(
+        "exists(flatten(transform(coalesce(d.ConceptSets, array()), s -> coalesce(s.expression.items, array()))),"
+        " i -> try_cast(i.concept.CONCEPT_ID as bigint) is null)"
+    )
+    parsed = documents.select("cohort_id", broken.alias("_broken"), F.from_json("document", _DEFINITION).alias("d"))
+    problem = F.when(F.col("_broken"), "document cannot be read").when(unread, "concept id is no number")
+    return parsed.select("cohort_id", problem.alias("problem")).filter("problem is not null")
+
+
 def parse_definitions(documents: DataFrame) -> DataFrame:
     """Cohort documents ``(cohort_id, document)`` with the parsed definition ``d``."""
     return documents.select("cohort_id", F.from_json("document", _DEFINITION).alias("d"))
@@ -139,11 +150,11 @@ def concept_set_items(documents: DataFrame) -> DataFrame:
     return (
         parse_definitions(documents)
         .select("cohort_id", F.explode("d.ConceptSets").alias("s"))
-        .select("cohort_id", F.col("s.id").alias("set_id"), F.explode("s.expression.items").alias("i"))
+        .select("cohort_id", F.col("s.id").try_cast("int").alias("set_id"), F.explode("s.expression.items").alias("i"))
         .select(
             "cohort_id",
             "set_id",
-            F.col("i.concept.CONCEPT_ID").alias("concept_id"),
+            F.col("i.concept.CONCEPT_ID").try_cast("long").alias("concept_id"),
             flag("includeDescendants").alias("descendants"),
             flag("isExcluded").alias("excluded"),
             flag("includeMapped").alias("mapped"),
@@ -154,7 +165,8 @@ def concept_set_items(documents: DataFrame) -> DataFrame:
 def at_least_one(occurrence: str) -> str:
     """SQL for "exactly or at least n events, n at least 1"."""
     return (
-        f"(coalesce({occurrence}.Type, -1) in (0, 2) and coalesce({occurrence}.Count, 0) >= 1)"
+        f"(coalesce(try_cast({occurrence}.Type as int), -1) in (0, 2)"
+        f" and coalesce(try_cast({occurrence}.Count as int), 0) >= 1)"
     )
 
 
@@ -166,7 +178,7 @@ def _first_key(criterion: str) -> str:
 
 
 def _codeset(criterion: str) -> str:
-    return f"map_values({criterion})[0].CodesetId"
+    return f"try_cast(map_values({criterion})[0].CodesetId as int)"
 
 
 def primary_criteria(documents: DataFrame) -> DataFrame:
@@ -196,22 +208,44 @@ def required_sets(documents: DataFrame) -> DataFrame:
     all its criteria can be judged and it has no sub-groups. Visit criteria and
     criteria without a concept set require nothing.
     """
-    rows = parse_definitions(documents).withColumn(
-        "level", F.expr("transform(coalesce(d.InclusionRules, array()), r -> r.expression)")
-    )
-    flat = (
-        "transform(level, g -> struct(upper(g.Type) as type, "
-        "coalesce(g.CriteriaList, array()) as criteria, coalesce(size(g.Groups), 0) as below))"
-    )
-    below = "flatten(transform(filter(level, g -> upper(g.Type) = 'ALL'), g -> coalesce(g.Groups, array())))"
-    # One nesting level at a time, each a column of its own, so none is evaluated twice.
-    rows = rows.withColumn("groups", F.expr(flat))
-    for _ in range(GROUP_DEPTH):
-        rows = rows.withColumn("level", F.expr(below)).withColumn("groups", F.expr(f"concat(groups, {flat})"))
-    too_deep = F.expr("exists(level, g -> upper(g.Type) = 'ALL' and coalesce(size(g.Groups), 0) > 0)")
-    refused = F.raise_error(F.lit("inclusion groups nested too deeply"))
-    groups = rows.withColumn("groups", F.when(too_deep, refused).otherwise(F.col("groups"))).select(
-        "cohort_id", F.posexplode("groups").alias("group_no", "g")
+    below = "coalesce(try_variant_get(node, '$.Groups', 'array<variant>'), array())"
+    itself = "array(named_struct('path', path, 'node', node, 'open', false))"
+    opened = F.expr(
+        f"""case when open and upper(try_variant_get(node, '$.Type', 'string')) = 'ALL' then
+            concat({itself}, transform({below}, (g, i) ->
+                named_struct('path', concat(path, array(i)), 'node', g, 'open', true)))
+            else {itself} end"""
+    )
+    rules = F.expr("try_variant_get(try_parse_json(document), '$.InclusionRules', 'array<variant>')")
+    rows = (
+        documents.select("cohort_id", F.posexplode(rules).alias("no", "rule"))
+        .select(
+            "cohort_id",
+            F.array("no").alias("path"),
+            F.expr("try_variant_get(rule, '$.expression', 'variant')").alias("node"),
+            F.lit(True).alias("open"),
+        )
+    )
+    closed = []
+    while True:
+        for _ in range(LEVELS_AT_ONCE):
+            rows = rows.select("cohort_id", F.explode(opened).alias("x")).select("cohort_id", "x.*")
+        rows = materialise(rows, "inclusion-groups")
+        closed.append(rows.filter("not open"))
+        rows = rows.filter("open")
+        if rows.isEmpty():
+            break
+    # Groups of one document, level by level; the order is that of the document.
+    number = F.row_number().over(Window.partitionBy("cohort_id").orderBy(F.size("path"), "path")) - 1
+    criteria = F.from_json(F.to_json(F.expr("try_variant_get(node, '$.CriteriaList', 'variant')")), _COUNTED)
+    groups = reduce(DataFrame.unionByName, closed).select(
+        "cohort_id",
+        number.alias("group_no"),
+        F.struct(
+            F.upper(F.expr("try_variant_get(node, '$.Type', 'string')")).alias("type"),
+            F.coalesce(criteria, F.array()).alias("criteria"),
+            F.expr(f"size({below})").alias("below"),
+        ).alias("g"),
     )
     judged = (
         f"case when {at_least_one('c.Occurrence')} and {_first_key('c.Criteria')} not in ({_VISITS}) "

@@ -29,10 +29,11 @@ def without_inbound(nodes: DataFrame, edges: DataFrame, keys: tuple[str, ...] =
 def unbalanced_weights(edges: DataFrame, keys: tuple[str, ...] = (), tolerance: float = WEIGHT_TOLERANCE) -> DataFrame:
     """Weighted nodes whose outgoing weights do not sum to 1.
 
-    A node with any edge of no weight is not a weighted one.
+    A node with any edge of no weight is not a weighted one. Weights are added as
+    decimals, so a sum near the tolerance does not depend on the order of addition.
     """
     sums = edges.groupBy(*keys, "src").agg(
-        F.sum("weight").alias("weight_sum"),
+        F.sum(F.col("weight").try_cast("decimal(38,15)")).cast("double").alias("weight_sum"),
         F.count(F.when(F.col("weight").isNull(), 1)).alias("_open"),
     )
     return sums.filter((F.col("_open") == 0) & (F.abs(F.col("weight_sum") - 1) > tolerance)).select(

@@ -17,6 +17,9 @@ from carestrata.runtime import broadcast_for
 # Type concept of rows taken from observation records.
 OBSERVATION_TYPE_CONCEPT = 38000280
 
+# Vocabularies whose codes are only mapped to concepts of their own.
+OWN_TARGETS = ("SNOMED", "HCPCS")
+
 
 def standard_targets(standard_map: DataFrame, domain: str, vocabulary: str) -> DataFrame:
     """Valid standard targets of one domain and vocabulary, per source code."""
@@ -32,18 +35,24 @@ def code_map(
 ) -> DataFrame:
     """Target and source concept per code, for some domains and vocabularies.
 
-    A target counts with the source concept of the same code, vocabulary and
-    domain. Both maps are joined before the events see them, so the events are
-    joined once, however many vocabularies a domain takes. A code with several
-    targets keeps all of them: each is a row of its own in the result.
+    A row is for a ``code`` of a ``vocabulary``, the one the code is written in. A
+    target counts with the source concept of the same code, vocabulary and domain;
+    codes of ``OWN_TARGETS`` take targets of their own vocabulary only, others those
+    of any. Both maps are joined before the events see them, so the events are joined
+    once, however many vocabularies a domain takes. A code with several targets keeps
+    all of them: each is a row of its own in the result.
     """
+    own = ~F.col("source_vocabulary_id").isin(*OWN_TARGETS) | (
+        F.col("source_vocabulary_id") == F.col("target_vocabulary_id")
+    )
     targets = standard_map.filter(
         F.col("target_domain_id").isin(domains)
-        & F.col("target_vocabulary_id").isin(vocabularies)
+        & F.col("source_vocabulary_id").isin(vocabularies)
+        & own
         & is_valid_standard("target_standard_concept", "target_invalid_reason")
     ).select(
         F.col("source_code").alias("code"),
-        F.col("target_vocabulary_id").alias("_vocabulary"),
+        F.col("source_vocabulary_id").alias("vocabulary"),
         "target_domain_id",
         "target_concept_id",
     )
@@ -51,11 +60,22 @@ def code_map(
         F.col("source_vocabulary_id").isin(vocabularies) & F.col("source_domain_id").isin(domains)
     ).select(
         F.col("source_code").alias("code"),
-        F.col("source_vocabulary_id").alias("_vocabulary"),
+        F.col("source_vocabulary_id").alias("vocabulary"),
         F.col("source_domain_id").alias("target_domain_id"),
         "source_concept_id",
     )
-    return targets.join(sources, ["code", "_vocabulary", "target_domain_id"]).drop("_vocabulary")
+    return targets.join(sources, ["code", "vocabulary", "target_domain_id"])
+
+
+def unmapped_events(events: DataFrame, codes: DataFrame) -> DataFrame:
+    """Per ``source_table`` its events, and those whose code has no target in their systems."""
+    known = codes.groupBy("code").agg(F.collect_set("vocabulary").alias("_known"))
+    mapped = F.coalesce(F.arrays_overlap("systems", "_known"), F.lit(False))
+    return (
+        events.join(known, "code", "left")
+        .groupBy("source_table")
+        .agg(F.count(F.lit(1)).alias("events"), F.count(F.when(~mapped, 1)).alias("unmapped"))
+    )
 
 
 def encounter_context(encounters: DataFrame, final_ids: DataFrame, provider: DataFrame) -> DataFrame:
@@ -86,7 +106,9 @@ def map_events(
 
     Events whose code has no target, or whose patient is unknown, are left out;
     those without a visit or provider stay with nulls. The provider counts only
-    when the encounter belongs to the event's own patient.
+    when the encounter belongs to the event's own patient. Events with a column
+    ``systems`` take the targets of those vocabularies only, so a code that several
+    vocabularies use means what it means in the event's own table.
 
     The map holds a row per code and is broadcast after a check of its size; the
     events then shuffle by encounter and by patient. Adaptive execution splits a
@@ -96,8 +118,11 @@ def map_events(
     targets = broadcast_for(codes, events, "code", "codes")
     people = person.select("person_id", F.col("person_source_value").alias("patient"))
     context = encounter_context(encounters, final_ids, provider)
+    coded = events.join(targets, "code")
+    if "systems" in events.columns:
+        coded = coded.filter(F.array_contains("systems", F.col("vocabulary"))).drop("systems")
     return (
-        events.join(targets, "code")
+        coded.drop("vocabulary")
         .join(people, "patient")
         .join(context, "encounter", "left")
         .withColumn("provider_id", F.when(F.col("patient") == F.col("_patient"), F.col("provider_id")))

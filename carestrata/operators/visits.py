@@ -37,6 +37,11 @@ SLICE_DAYS = 32
 _INTERVAL = ["patient", "encounterclass", "start_date", "stop_date"]
 
 
+def closed(encounters: DataFrame) -> DataFrame:
+    """Encounters whose missing end, or end before the start, is their start."""
+    return encounters.withColumn("stop_date", F.greatest("stop_date", "start_date"))
+
+
 def visit_intervals(encounters: DataFrame, inpatient_gap_days: int = 1) -> DataFrame:
     """Roll encounters up to visits, without id.
 
@@ -44,6 +49,7 @@ def visit_intervals(encounters: DataFrame, inpatient_gap_days: int = 1) -> DataF
     ``inpatient_gap_days``; emergency and outpatient ones merge per class and
     start date. Other classes open no visit of their own.
     """
+    encounters = closed(encounters)
     columns = ["encounter_id", "patient", "encounterclass", "start_date", "stop_date"]
     group = class_group("encounterclass")
     inpatient = collapse_inpatient(
@@ -87,7 +93,7 @@ def all_visits(encounters: DataFrame, inpatient_gap_days: int = 1) -> DataFrame:
     )
 
 
-def _slice_of(col: str):
+def _slice_of(col):
     return F.floor(F.unix_date(col) / SLICE_DAYS).cast("int")
 
 
@@ -96,17 +102,20 @@ def candidate_intervals(encounters: DataFrame, visits: DataFrame) -> DataFrame:
 
     Equal encounters are reduced to one row first, and both sides meet per
     calendar slice: an encounter lies in the slice of its start, a visit in all
-    the slices it covers. A busy patient is thereby spread over many groups.
+    the slices it covers up to the patient's last encounter, so an open-ended visit
+    costs no more than the time that is on record. A busy patient is thereby spread
+    over many groups.
     """
+    last = encounters.groupBy("patient").agg(F.max("start_date").alias("_last"))
     distinct = encounters.select(_INTERVAL).distinct().withColumn("_slice", _slice_of("start_date"))
-    covering = visits.select(
+    covering = visits.join(last, "patient").filter("visit_start_date <= _last").select(
         "patient",
         F.col("visit_occurrence_id").alias("visit_occurrence_id_new"),
         F.col("encounterclass").alias("visit_type"),
         "visit_start_date",
         "visit_end_date",
         F.explode(
-            F.sequence(_slice_of("visit_start_date"), _slice_of("visit_end_date"))
+            F.sequence(_slice_of("visit_start_date"), _slice_of(F.least("visit_end_date", "_last")))
         ).alias("_slice"),
     )
     return distinct.join(covering, ["patient", "_slice"]).filter(
@@ -116,6 +125,7 @@ def candidate_intervals(encounters: DataFrame, visits: DataFrame) -> DataFrame:
 
 def assign_all_visit_ids(encounters: DataFrame, visits: DataFrame) -> DataFrame:
     """All candidate visits of each encounter; one row with nulls if it has none."""
+    encounters = closed(encounters)
     return encounters.select("encounter_id", *_INTERVAL).join(
         candidate_intervals(encounters, visits), _INTERVAL, "left"
     )
@@ -152,7 +162,7 @@ def first_to_reach(visits: DataFrame) -> DataFrame:
     The sets are the class groups and ``any``. In the order of start, end and id
     a visit matters only if it lasts longer than all before it; it is then the
     first to reach the days from there to its end. Those days never overlap
-    within a set, and a set holds at most one row per day and calendar slice.
+    within a set, so a set holds at most one row per calendar day.
     """
     earlier = (
         Window.partitionBy("patient", "_set")
@@ -170,7 +180,6 @@ def first_to_reach(visits: DataFrame) -> DataFrame:
         .withColumn("_reached", F.max("visit_end_date").over(earlier))
         .filter("_reached is null or visit_end_date > _reached")
         .withColumn("_from", F.greatest("visit_start_date", F.date_add("_reached", 1)))
-        .withColumn("_slice", F.explode(F.sequence(_slice_of("_from"), _slice_of("visit_end_date"))))
         .withColumnRenamed("visit_occurrence_id", "visit_occurrence_id_new")
         .drop("_reached")
     )
@@ -180,10 +189,14 @@ def resolve_visits(encounters: DataFrame, visits: DataFrame) -> DataFrame:
     """:func:`final_visit_ids` without forming the candidates.
 
     Of the visits around an encounter the first by start, end and id counts, and
-    that is the first one to reach its last day, if it starts in time. So each
-    distinct interval looks up one day in its sets (inpatient, its own class
-    group, any) and meets at most one visit in each, however many contain it.
+    that is the first one to reach its last day, if it starts in time. So the last
+    days of each patient are looked up in their sets (inpatient, the encounter's own
+    class group, any): visits and days are put in one order per patient and set, at
+    most one row per calendar day of either kind however long a visit is open, and a
+    day takes the last visit that begins to count by then. The answers are unique per
+    patient, set and day, so a busy patient's encounters can be split when they join.
     """
+    encounters = closed(encounters)
     mine = class_group("encounterclass")
     sets = F.array_distinct(F.array_compact(F.array(F.when(mine.isNotNull(), "inpatient"), mine, F.lit("any"))))
     priority = (
@@ -191,13 +204,20 @@ def resolve_visits(encounters: DataFrame, visits: DataFrame) -> DataFrame:
         .when(F.col("_set") == "inpatient", ABSORBED_BY_INPATIENT)
         .otherwise(SAME_GROUP)
     )
+    asked = encounters.select(_INTERVAL).distinct().withColumn("_set", F.explode(sets))
+    visit = F.struct("visit_start_date", "visit_end_date", "visit_occurrence_id_new")
+    reached = first_to_reach(visits).select("patient", "_set", F.col("_from").alias("_day"), visit.alias("_visit"))
+    days = asked.select("patient", "_set", F.col("stop_date").alias("_day")).filter("_day is not null").distinct()
+    upto = Window.partitionBy("patient", "_set").orderBy("_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        reached.unionByName(days.withColumn("_visit", F.lit(None).cast(reached.schema["_visit"].dataType)))
+        .withColumn("_last", F.last("_visit", ignorenulls=True).over(upto))
+        .filter("_visit is null and _day <= _last.visit_end_date")
+        .select("patient", "_set", F.col("_day").alias("stop_date"), "_last.visit_start_date", "_last.visit_occurrence_id_new")
+    )
     best = (
-        encounters.select(_INTERVAL)
-        .distinct()
-        .withColumn("_slice", _slice_of("stop_date"))
-        .withColumn("_set", F.explode(sets))
-        .join(first_to_reach(visits), ["patient", "_set", "_slice"])
-        .filter("stop_date between _from and visit_end_date and visit_start_date <= start_date")
+        asked.join(found, ["patient", "_set", "stop_date"])
+        .filter("visit_start_date <= start_date")
         .groupBy(_INTERVAL)
         .agg(F.min(F.struct(priority.alias("priority"), "visit_occurrence_id_new")).alias("best"))
         .select(*_INTERVAL, F.col("best.visit_occurrence_id_new"))

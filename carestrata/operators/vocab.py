@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.codes import MAPS_TO, is_valid_standard, vocabulary_of_system
 from carestrata.functions.parsing import contains_ignoring_case
-from carestrata.runtime import broadcast_bounded, broadcast_when_small, materialise
+from carestrata.runtime import broadcast_bounded, materialise
 
 # Sizes of the search reports, and how few direct hits call for
 # the synonyms.
@@ -116,6 +116,7 @@ def vocabulary_release(vocabulary: DataFrame) -> DataFrame:
 
 # -- search ------------------------------------------------------------------
 
+# The columns of the search reports.
 _SHOWN = [
     "concept_id",
     "concept_name",
@@ -162,7 +163,7 @@ def search_synonyms(concept: DataFrame, synonym: DataFrame, term: str, domain: s
         .join(hits, "concept_id")
         .orderBy(F.length("concept_synonym_name"), "concept_name", "concept_id")
         .limit(TOP_SYNONYMS)
-        .select(_SHOWN)
+        .select(*_SHOWN, F.length("concept_synonym_name").alias("_length"))
     )
 
 
@@ -170,9 +171,10 @@ def search_concepts(concept: DataFrame, synonym: DataFrame, term: str, domain: s
     """Name search; the synonyms join in only when it finds fewer than three.
 
     Both searches are cut to their report size first, so the window that counts
-    the direct hits sees thirty rows at most.
+    the direct hits sees thirty rows at most. Direct hits come first, in their own
+    order; the others keep the order of the synonym search.
     """
-    direct = search_names(concept, term, domain).withColumn("_direct", F.lit(1))
+    direct = search_names(concept, term, domain).withColumn("_length", F.lit(0)).withColumn("_direct", F.lit(1))
     more = search_synonyms(concept, synonym, term, domain).withColumn("_direct", F.lit(0))
     hits = F.sum("_direct").over(Window.partitionBy())
     return (
@@ -180,8 +182,14 @@ def search_concepts(concept: DataFrame, synonym: DataFrame, term: str, domain: s
         .withColumn("_hits", hits)
         .filter((F.col("_direct") == 1) | (F.col("_hits") < FEW_HITS))
         .groupBy(_SHOWN)
-        .agg(F.max("_direct").alias("_direct"))
-        .orderBy(F.col("_direct").desc(), *_name_rank(term))
+        .agg(F.max("_direct").alias("_direct"), F.min("_length").alias("_length"))
+        .orderBy(
+            F.col("_direct").desc(),
+            *(F.when(F.col("_direct") == 1, c) for c in _name_rank(term)),
+            "_length",
+            "concept_name",
+            "concept_id",
+        )
         .select(_SHOWN)
     )
 
@@ -190,7 +198,7 @@ def top_descendants(concept: DataFrame, closure: DataFrame, ancestors: DataFrame
     """First ten valid standard descendants of each ancestor by level and name."""
     below = (
         closure.filter("min_levels_of_separation > 0")
-        .join(broadcast_when_small(ancestors.select("ancestor_concept_id")), "ancestor_concept_id", "left_semi")
+        .join(broadcast_bounded(ancestors.select("ancestor_concept_id"), "ancestors"), "ancestor_concept_id", "left_semi")
         .select(
             "ancestor_concept_id",
             F.col("descendant_concept_id").alias("concept_id"),
@@ -324,20 +332,24 @@ def concept_set_hits(items: DataFrame, closure: DataFrame, available: DataFrame,
 # -- closure -----------------------------------------------------------------
 
 
-def build_closure(edges: DataFrame, max_levels: int = 64) -> DataFrame:
+def build_closure(edges: DataFrame) -> DataFrame:
     """Closure of ``(parent, child)`` edges with the least and greatest distance.
 
     Every node is its own ancestor at level 0. Each round extends the paths of
     exactly ``n`` steps by one edge and is written out, so neither the plan nor
     a lost executor's work grows with the depth. Paths are kept distinct per
-    (ancestor, descendant, length), never counted. A hierarchy deeper than
-    ``max_levels`` holds a cycle and is refused.
+    (ancestor, descendant, length), never counted. Any depth is walked; a node that
+    reaches itself lies on a cycle, which is refused.
     """
     edges = materialise(edges.select("parent", "child").distinct(), "edges")
     nodes = edges.select(F.col("parent").alias("node")).union(edges.select("child")).distinct()
     levels = [nodes.select(F.col("node").alias("ancestor"), F.col("node").alias("descendant"), F.lit(0).alias("level"))]
     frontier = edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("descendant"))
-    for level in range(1, max_levels + 1):
+    level = 0
+    while True:
+        level += 1
+        if not frontier.where("ancestor = descendant").isEmpty():
+            raise ValueError("the hierarchy has a cycle")
         levels.append(frontier.select("ancestor", "descendant", F.lit(level).alias("level")))
         frontier = materialise(
             frontier.join(
@@ -349,8 +361,6 @@ def build_closure(edges: DataFrame, max_levels: int = 64) -> DataFrame:
         )
         if frontier.isEmpty():
             break
-    else:
-        raise ValueError(f"hierarchy deeper than {max_levels} levels: is there a cycle?")
     paths = levels[0]
     for more in levels[1:]:
         paths = paths.unionByName(more)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from carestrata.functions.parsing import staging_date
 from carestrata.operators import demographics, events, intervals, quality, visits, vocab
 from carestrata.operators.ids import with_surrogate_id
-from carestrata.runtime import materialise
+from carestrata.runtime import materialise, scratch
+from carestrata.schema import MAP_TABLES, POPULATED, REQUIRED_VOCABULARY, VISIT_TABLES
 from carestrata.sources import datasets
 
 # Vocabularies whose codes occur in the staging tables, and the
@@ -25,15 +26,22 @@ RECORD_TYPE_CONCEPT = 32827
 
 PLACE = ["city", "state", "county", "zip"]
 
-# Staging tables of coded events, with the columns that hold begin and end.
+#: Tables whose keys are checked.
+RULED_TABLES = ("person", "visit_occurrence", "condition_occurrence", "drug_exposure", "procedure_occurrence", "measurement")
+
+#: Report of a build: events per staging table, and those whose code has no target.
+UNMAPPED = "unmapped_events"
+
+# Staging tables of coded events, with the columns that hold begin and end, and the
+# vocabularies that their codes are written in.
 CODED_TABLES = {
-    "conditions": ("start", "stop"),
-    "observations": ("date", "date"),
-    "procedures": ("start", "stop"),
-    "medications": ("start", "stop"),
-    "immunizations": ("date", "date"),
-    "devices": ("start", "stop"),
-    "allergies": ("start", "stop"),
+    "conditions": ("start", "stop", ("SNOMED", "ICD10CM")),
+    "observations": ("date", "date", ("SNOMED", "LOINC")),
+    "procedures": ("start", "stop", ("SNOMED", "CPT4", "HCPCS")),
+    "medications": ("start", "stop", ("RxNorm",)),
+    "immunizations": ("date", "date", ("CVX",)),
+    "devices": ("start", "stop", ("SNOMED", "HCPCS")),
+    "allergies": ("start", "stop", ("SNOMED", "RxNorm")),
 }
 
 # Target domain, its table, and the name of that table's id.
@@ -76,7 +84,11 @@ def typed_patients(patients: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def coded_events(staging: dict[str, DataFrame]) -> DataFrame:
-    """All coded staging rows in one frame; a code's domain decides its table."""
+    """All coded staging rows in one frame; a code's domain decides its table.
+
+    ``systems`` are the vocabularies of the table a row comes from: the same code may
+    mean something else in another one.
+    """
     found = [
         _or_null(staging[name], "value", "units", "stop").select(
             "patient",
@@ -87,8 +99,10 @@ def coded_events(staging: dict[str, DataFrame]) -> DataFrame:
             staging_date(end).alias("stop_date"),
             "value",
             "units",
+            F.lit(name).alias("source_table"),
+            F.lit(list(systems)).alias("systems"),
         )
-        for name, (begin, end) in CODED_TABLES.items()
+        for name, (begin, end, systems) in CODED_TABLES.items()
         if name in staging
     ]
     return reduce(DataFrame.unionByName, found)
@@ -105,8 +119,26 @@ def build_dataset(
     """Build every table of the model below ``target``, replacing what is there.
 
     ``staging`` holds text tables by name, ``vocabulary`` typed ones; ``states``
-    maps state names to abbreviations.
+    maps state names to abbreviations. Without a loaded vocabulary nothing is built.
+    Tables of an earlier build are cleared first, so that a build that fails leaves
+    none of them beside new ones, and what is stored on the way is removed at the end.
     """
+    empty = [name for name in REQUIRED_VOCABULARY if name not in vocabulary or vocabulary[name].isEmpty()]
+    if empty:
+        raise ValueError(f"vocabulary tables without rows: {', '.join(empty)}")
+    datasets.clear_tables(spark, target, [*POPULATED, *MAP_TABLES, *VISIT_TABLES, UNMAPPED])
+    with scratch(spark):
+        _build(spark, staging, vocabulary, states, target, released)
+
+
+def _build(
+    spark: SparkSession,
+    staging: dict[str, DataFrame],
+    vocabulary: dict[str, DataFrame],
+    states: DataFrame,
+    target: str,
+    released: str,
+) -> None:
 
     def save(df: DataFrame, name: str) -> DataFrame:
         datasets.write_table(df, target, name)
@@ -140,8 +172,10 @@ def build_dataset(
 
     # One pass over all coded events; each domain then reads its own folder.
     routes = events.code_map(standard, source, list(DOMAIN_TABLES), CODE_VOCABULARIES)
+    coded = coded_events(staging)
+    save(events.unmapped_events(coded, routes), UNMAPPED)
     mapped = materialise(
-        events.map_events(coded_events(staging), routes, encounters, final_ids, provider, person),
+        events.map_events(coded, routes, encounters, final_ids, provider, person),
         "mapped",
         by="target_domain_id",
     )
@@ -189,7 +223,7 @@ def build_dataset(
     moves = staging["claims_transactions"].select(
         F.col("claimid").alias("claim_id"),
         F.col("type").alias("transfer_type"),
-        F.col("amount").try_cast("double").alias("amount"),
+        "amount",
     )
     save_model(demographics.cost(demographics.claim_costs(claims, moves, plans), billed), "cost")
     save_model(
@@ -198,6 +232,16 @@ def build_dataset(
     datasets.ensure_tables(spark, target)
 
 
+def rule_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """Keys of the model: ids are unique, and rows belong to a known person."""
+    person = tables["person"]
+    checks = [quality.primary_key_check(df, name, [f"{name}_id"]) for name, df in tables.items()]
+    checks += [
+        quality.foreign_key_check(df, name, "person_id", person, "person_id") for name, df in tables.items() if name != "person"
+    ]
+    return quality.check_results(checks)
+
+
 def check_dataset(
     spark: SparkSession,
     staging: dict[str, DataFrame],
@@ -221,7 +265,13 @@ def check_dataset(
         "summary",
     )
     gate = quality.threshold_gate(summary, min_person_rows, min_mapped_pct)
+    rules = materialise(rule_checks({name: table(name) for name in RULED_TABLES}), "rules")
     return {
+        "unmapped_events": table(UNMAPPED),
+        "rule_checks": rules,
+        "rule_summary": quality.check_summary(rules),
+        "condition_counts": quality.concept_counts(table("condition_occurrence"), "condition_concept_id"),
+        "drug_months": quality.month_counts(table("drug_exposure"), "drug_exposure_start_date"),
         "staged_counts": quality.row_counts(staging),
         "summary": quality.mapped_percentage(summary),
         "age_profile": quality.age_profile(table("person"), as_of_year),

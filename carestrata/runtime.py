@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Largest row count a side may have and still be broadcast. The maps that are
-#: broadcast are a few narrow columns wide, so this stays far below the 8 GB /
-#: 512M-row limits of a broadcast relation and within executor memory.
-BROADCAST_MAX_ROWS = 1_000_000
+#: Largest row count, and largest size of all texts together, that a side may have
+#: and still be broadcast: far below the 8 GB / 512M-row limits of a broadcast
+#: relation and within executor memory.
+BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES = 1_000_000, 64_000_000
 
 _local_scratch: dict[str, str] = {}
+_open_scratch: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,24 +54,55 @@ def materialise(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if _open_scratch:
+        _open_scratch[-1].append(path)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what :func:`materialise` writes inside, once everything is read.
+
+    For jobs whose results are written out before they end.
+    """
+    _open_scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scratch.pop():
+            remove_path(spark, path)
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` has few rows and little text, by one aggregate over it."""
+    texts = [F.length(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    width = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0).cast("long"))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width)).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
 def broadcast_when_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after counting it.
+    """Mark ``df`` for broadcast only after measuring it.
 
-    Beyond ``max_rows`` the frame is returned untouched, so the join becomes a
-    shuffled one whose hot keys adaptive execution splits.
+    Beyond ``max_rows`` or ``BROADCAST_MAX_BYTES`` the frame is returned untouched,
+    so the join becomes a shuffled one whose hot keys adaptive execution splits.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def broadcast_bounded(df: DataFrame, label: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """:func:`broadcast_when_small` for a frame that is costly to compute twice.
 
-    The frame is written first, so that the count reads file footers only.
+    The frame is written first, so that measuring it reads a stored table.
     """
     return broadcast_when_small(materialise(df, label), max_rows)
 
@@ -82,7 +117,7 @@ def broadcast_for(
     shuffled one.
     """
     table = materialise(side, label)
-    if table.count() <= max_rows:
+    if is_small(table, max_rows):
         return F.broadcast(table)
     in_use = big.select(key).distinct()
     return broadcast_bounded(table.join(in_use, key, "left_semi"), label, max_rows)

@@ -42,12 +42,26 @@ _EXCEPTIONS = {
     "longitude": "double",
     "dose_value": "double",
     "episode_number": "int",
+    "unique_device_id": "string",
+    "production_id": "string",
+    "specimen_source_id": "string",
+    "paid_by_payer": "double",
+    "paid_by_patient": "double",
+    "paid_patient_copay": "double",
+    "paid_patient_coinsurance": "double",
+    "paid_patient_deductible": "double",
+    "paid_by_primary": "double",
+    "paid_ingredient_cost": "double",
+    "paid_dispensing_fee": "double",
 }
 
 _SUFFIX_TYPES = (
     ("_datetime", "timestamp"),
     ("_date", "date"),
     ("_id", "long"),
+    ("_id_1", "long"),
+    ("_id_2", "long"),
+    ("_allowed", "double"),
     ("total_charge", "double"),
     ("total_cost", "double"),
     ("total_paid", "double"),
@@ -86,27 +100,41 @@ POPULATED = {
     "person": _columns(
         "person_id gender_concept_id year_of_birth month_of_birth day_of_birth birth_datetime "
         "race_concept_id ethnicity_concept_id location_id provider_id care_site_id "
-        "person_source_value gender_source_value race_source_value ethnicity_source_value"
+        "person_source_value gender_source_value gender_source_concept_id race_source_value "
+        "race_source_concept_id ethnicity_source_value ethnicity_source_concept_id"
     ),
-    "location": _columns("location_id address_1 address_2 city state zip county location_source_value"),
+    "location": _columns("location_id address_1 address_2 city state zip county location_source_value "
+        "country_concept_id country_source_value latitude longitude"),
     "care_site": _columns(
         "care_site_id care_site_name place_of_service_concept_id location_id "
         "care_site_source_value place_of_service_source_value"
     ),
-    "provider": _columns("provider_id provider_name specialty_concept_id care_site_id provider_source_value"),
+    "provider": _columns(
+        "provider_id provider_name npi dea specialty_concept_id care_site_id year_of_birth gender_concept_id "
+        "provider_source_value specialty_source_value specialty_source_concept_id gender_source_value "
+        "gender_source_concept_id"
+    ),
     "observation_period": _columns(
         "observation_period_id person_id observation_period_start_date "
         "observation_period_end_date period_type_concept_id"
     ),
     "visit_occurrence": _columns(
         f"visit_occurrence_id person_id visit_concept_id {_span('visit')} visit_type_concept_id "
-        "provider_id care_site_id visit_source_value discharged_to_concept_id discharged_to_source_value"
+        "provider_id care_site_id visit_source_value visit_source_concept_id admitted_from_concept_id "
+        "admitted_from_source_value discharged_to_concept_id discharged_to_source_value preceding_visit_occurrence_id"
     ),
     "visit_detail": _columns(
         f"visit_detail_id person_id visit_detail_concept_id {_span('visit_detail')} "
-        "visit_detail_type_concept_id provider_id visit_detail_source_value visit_occurrence_id"
+        "visit_detail_type_concept_id provider_id care_site_id visit_detail_source_value "
+        "visit_detail_source_concept_id admitted_from_concept_id admitted_from_source_value "
+        "discharged_to_concept_id discharged_to_source_value preceding_visit_detail_id parent_visit_detail_id "
+        "visit_occurrence_id"
+    ),
+    "condition_occurrence": _event(
+        "condition",
+        "condition_occurrence_id",
+        _span("condition") + " condition_status_concept_id stop_reason condition_status_source_value",
     ),
-    "condition_occurrence": _event("condition", "condition_occurrence_id", _span("condition")),
     "observation": _event(
         "observation",
         "observation_id",
@@ -119,10 +147,15 @@ POPULATED = {
         "measurement",
         "measurement_id",
         _moment("measurement")
-        + " value_as_number value_as_concept_id unit_concept_id unit_source_value value_source_value",
+        + " measurement_time operator_concept_id value_as_number value_as_concept_id unit_concept_id range_low "
+        "range_high unit_source_value unit_source_concept_id value_source_value measurement_event_id "
+        "meas_event_field_concept_id",
     ),
-    "procedure_occurrence": _event("procedure", "procedure_occurrence_id", _moment("procedure") + " quantity"),
-    "drug_exposure": _event("drug", "drug_exposure_id", _span("drug_exposure") + " days_supply"),
+    "procedure_occurrence": _event("procedure", "procedure_occurrence_id", _moment("procedure")
+        + " procedure_end_date procedure_end_datetime modifier_concept_id quantity modifier_source_value"),
+    "drug_exposure": _event("drug", "drug_exposure_id", _span("drug_exposure")
+        + " verbatim_end_date stop_reason refills quantity days_supply sig route_concept_id lot_number "
+        "route_source_value dose_unit_source_value"),
     "condition_era": _columns(
         "condition_era_id person_id condition_concept_id condition_era_start_date "
         "condition_era_end_date condition_occurrence_count"
@@ -132,32 +165,44 @@ POPULATED = {
         "drug_exposure_count gap_days"
     ),
     "cdm_source": _columns(
-        "cdm_source_name cdm_source_abbreviation cdm_holder cdm_release_date cdm_version vocabulary_version"
+        "cdm_source_name cdm_source_abbreviation cdm_holder source_description source_documentation_reference "
+        "cdm_etl_reference source_release_date cdm_release_date cdm_version cdm_version_concept_id vocabulary_version"
     ),
-    "device_exposure": _event("device", "device_exposure_id", _span("device_exposure")),
+    "device_exposure": _event("device", "device_exposure_id", _span("device_exposure")
+        + " unique_device_id production_id quantity unit_concept_id unit_source_value unit_source_concept_id"),
     "death": _columns(
         "person_id death_date death_datetime death_type_concept_id cause_concept_id "
         "cause_source_value cause_source_concept_id"
     ),
     "payer_plan_period": _columns(
         "payer_plan_period_id person_id payer_plan_period_start_date payer_plan_period_end_date "
-        "payer_concept_id payer_source_value plan_concept_id"
+        "payer_concept_id payer_source_value payer_source_concept_id plan_concept_id plan_source_value "
+        "plan_source_concept_id sponsor_concept_id sponsor_source_value sponsor_source_concept_id "
+        "family_source_value stop_reason_concept_id stop_reason_source_value stop_reason_source_concept_id"
     ),
     "cost": _columns(
-        "cost_id cost_event_id cost_domain_id cost_type_concept_id total_charge total_paid payer_plan_period_id"
+        "cost_id cost_event_id cost_domain_id cost_type_concept_id currency_concept_id total_charge total_cost "
+        "total_paid paid_by_payer paid_by_patient paid_patient_copay paid_patient_coinsurance "
+        "paid_patient_deductible paid_by_primary paid_ingredient_cost paid_dispensing_fee payer_plan_period_id "
+        "amount_allowed revenue_code_concept_id revenue_code_source_value drg_concept_id drg_source_value"
     ),
 }
 
 # Tables that must exist and stay empty.
 UNPOPULATED = {
     "note": _columns(
-        "note_id person_id note_date note_type_concept_id note_class_concept_id note_title note_text "
-        "encoding_concept_id language_concept_id provider_id visit_occurrence_id note_source_value"
+        "note_id person_id note_date note_datetime note_type_concept_id note_class_concept_id note_title note_text "
+        "encoding_concept_id language_concept_id provider_id visit_occurrence_id visit_detail_id note_source_value "
+        "note_event_id note_event_field_concept_id"
+    ),
+    "note_nlp": _columns(
+        "note_nlp_id note_id section_concept_id snippet offset lexical_variant note_nlp_concept_id "
+        "note_nlp_source_concept_id nlp_system nlp_date nlp_datetime term_exists term_temporal term_modifiers"
     ),
-    "note_nlp": _columns("note_nlp_id note_id section_concept_id snippet lexical_variant note_nlp_concept_id nlp_date"),
     "specimen": _columns(
-        "specimen_id person_id specimen_concept_id specimen_type_concept_id specimen_date quantity "
-        "unit_concept_id specimen_source_id specimen_source_value"
+        "specimen_id person_id specimen_concept_id specimen_type_concept_id specimen_date specimen_datetime "
+        "quantity unit_concept_id anatomic_site_concept_id disease_status_concept_id specimen_source_id "
+        "specimen_source_value unit_source_value anatomic_site_source_value disease_status_source_value"
     ),
     "fact_relationship": _columns(
         "domain_concept_id_1 fact_id_1 domain_concept_id_2 fact_id_2 relationship_concept_id"
@@ -166,11 +211,15 @@ UNPOPULATED = {
         "dose_era_id person_id drug_concept_id unit_concept_id dose_value dose_era_start_date dose_era_end_date"
     ),
     "episode": _columns(
-        "episode_id person_id episode_concept_id episode_start_date episode_end_date episode_parent_id "
-        "episode_number episode_object_concept_id episode_type_concept_id episode_source_value"
+        "episode_id person_id episode_concept_id episode_start_date episode_start_datetime episode_end_date "
+        "episode_end_datetime episode_parent_id episode_number episode_object_concept_id episode_type_concept_id "
+        "episode_source_value episode_source_concept_id"
     ),
     "episode_event": _columns("episode_id event_id episode_event_field_concept_id"),
-    "metadata": _columns("metadata_id metadata_concept_id name value_as_string metadata_date"),
+    "metadata": _columns(
+        "metadata_id metadata_concept_id metadata_type_concept_id name value_as_string value_as_concept_id "
+        "value_as_number metadata_date metadata_datetime"
+    ),
 }
 
 VOCABULARY = {

@@ -25,11 +25,16 @@ def table_path(dataset: str, name: str) -> str:
 
 
 def open_table(spark: SparkSession, dataset: str, name: str) -> DataFrame | None:
-    """The table, or None where the dataset has none of that name."""
+    """The table, or None where the dataset has none of that name.
+
+    A folder that is there but cannot be read as a table is an error.
+    """
     try:
         return spark.read.parquet(table_path(dataset, name))
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def write_table(df: DataFrame, dataset: str, name: str, mode: str = "overwrite") -> None:
@@ -217,10 +222,10 @@ def rebuild_if_stale(
 
 def write_report(df: DataFrame, path: str) -> None:
     """An aggregate report as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_summary(df: DataFrame, path: str) -> None:
     """A one-row summary as one JSON document with snake case names."""
     snake = [re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", c).lower() for c in df.columns]
-    df.toDF(*snake).coalesce(1).write.mode("overwrite").json(path)
+    df.toDF(*snake).repartition(1).write.mode("overwrite").json(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +49,8 @@ NULLABLE_FLAGS = {
 def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
     """Extracts of a folder: table name, signature and path.
 
-    An extract is one file, or a folder of that name holding its parts. The
-    signature is total size, latest modification and number of files. Contents
+    An extract is one file of the folder itself, or a folder there of that name
+    holding its parts; folders below are other matters. The signature is total size, latest modification and number of files. Contents
     are not read: only the listing columns of the scan are used.
     """
     files = (
@@ -58,10 +60,14 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFr
         .load(folder)
         .select("path", "length", "modificationTime")
     )
-    extract = rf"^(.*?/([^/]*?)\{suffix})(/|$)"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = re.escape(re.sub(r"^[a-z0-9]+:/+", "/", store.makeQualified(place).toString()).rstrip("/"))
+    extract = rf"^([a-z0-9]*:?/*?(?:[^/]*?){top}/([^/]*?)\{suffix})(?:/[^/]*)?$"
     root, first = (F.regexp_extract("path", extract, group) for group in (1, 2))
     return (
-        files.groupBy(F.lower(first).alias("table_name"), root.alias("path"))
+        files.filter(root != "")
+        .groupBy(F.lower(first).alias("table_name"), root.alias("path"))
         .agg(
             F.concat_ws(
                 "|",
@@ -78,14 +84,33 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_staging(spark: SparkSession, path: str, nulls: tuple[str, ...] = STAGING_NULLS) -> DataFrame:
+def check_names(files: DataFrame) -> DataFrame:
+    """``files``, unless two of them would be one table: names differ by case only."""
+    twice = [r[0] for r in files.groupBy("table_name").count().filter("count > 1").select("table_name").collect()]
+    if twice:
+        raise ValueError(f"several extracts for one table: {', '.join(sorted(twice))}")
+    return files
+
+
+def read_staging(
+    spark: SparkSession, path: str, nulls: tuple[str, ...] = STAGING_NULLS, multi_line: bool = False
+) -> DataFrame:
     """A comma separated extract as text columns named by its header.
 
     Only the header line is read ahead. Files are split by Spark's input
     partitions (``spark.sql.files.maxPartitionBytes``), so no file, however
-    large, passes through one task.
+    large, passes through one task. Parts whose header differs, and rows that do not
+    fit it, are errors and not read as something else. ``multi_line`` allows line ends
+    within quotes; such a file is then read by one task.
     """
-    df = spark.read.option("header", True).option("escape", '"').csv(path)
+    df = (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
     return null_tokens_to_null(lower_names(df), nulls)
 
 
@@ -116,7 +141,13 @@ def standardise_vocabulary(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(typed) if typed else df
 
 
-def read_staging_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every extract of a folder by table name. The listing is one row per file."""
-    listed = list_files(spark, folder).select("table_name", "path").collect()
-    return {row.table_name: read_staging(spark, row.path) for row in listed}
+def read_staging_folder(
+    spark: SparkSession, folder: str, multi_line: bool = False, unloaded: tuple[str, ...] = ()
+) -> dict[str, DataFrame]:
+    """Every extract of a folder by table name. The listing is one row per file.
+
+    Tables in ``unloaded`` keep their columns and no rows.
+    """
+    listed = check_names(list_files(spark, folder)).select("table_name", "path").collect()
+    tables = {row.table_name: read_staging(spark, row.path, multi_line=multi_line) for row in listed}
+    return {name: df.limit(0) if name in unloaded else df for name, df in tables.items()}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carestrata.operators.quality import row_counts
 from carestrata.sources.datasets import open_table, write_table
-from carestrata.sources.delimited import list_files, read_staging
+from carestrata.sources.delimited import check_names, list_files, read_staging
 
 MANIFEST = "load_manifest"
 _MANIFEST_SCHEMA = "table_name string, signature string, loaded_rows bigint, loaded_at timestamp"
@@ -32,7 +32,7 @@ def load_folder(spark: SparkSession, folder: str, dataset: str) -> list[str]:
     Each pending table is replaced whole, and only then recorded, so a load that
     dies leaves it pending. The loop runs over file names, not over data.
     """
-    files = list_files(spark, folder)
+    files = check_names(list_files(spark, folder))
     manifest = open_table(spark, dataset, MANIFEST)
     manifest = manifest if manifest is not None else spark.createDataFrame([], _MANIFEST_SCHEMA)
     tables = {

@@ -22,12 +22,18 @@ def stage_new_files(
     checkpoint: str,
     max_files: int = 1000,
 ) -> None:
-    """Append all files not yet taken to the Parquet table ``target``, then stop."""
+    """Append all files not yet taken to the Parquet table ``target``, then stop.
+
+    ``columns`` are those of the headers, in order; a file with another header stops
+    the stream instead of being read into the wrong columns.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .option("maxFilesPerTrigger", max_files)
         .csv(folder)
     )

@@ -2,7 +2,6 @@ import json
 
 import pytest
 from conftest import rows
-from pyspark.errors import PySparkException
 
 from carestrata.operators import coverage, documents, vocab
 
@@ -49,12 +48,13 @@ def test_broken_and_stateless_documents_emit_nothing(spark):
     assert documents.emitted_codes(df).count() == 0
 
 
-def test_too_deep_a_document_is_refused_not_cut(spark):
+def test_documents_are_searched_at_any_depth(spark):
     nested = code("X", "1")
-    for _ in range(documents.SEARCH_DEPTH + 2):
-        nested = {"k": nested}
-    with pytest.raises(PySparkException, match="nested too deeply"):
-        documents.emitted_codes(modules(spark, m={"S": nested})).collect()
+    for depth in range(2 * documents.LEVELS_AT_ONCE + 2):
+        nested = {"k": nested, "other": [code("Y", str(depth))]}
+    got = documents.emitted_codes(modules(spark, m={"S": nested}))
+    found = set(rows(got, "system", "code"))
+    assert found == {("X", "1")} | {("Y", str(d)) for d in range(2 * documents.LEVELS_AT_ONCE + 2)}
 
 
 def test_custom_modules_are_not_counted_twice(spark):
@@ -139,12 +139,18 @@ def test_sub_groups_of_all_groups_are_walked(spark):
     assert requirement_lists(spark, group("ALL", [counted(1)], [inner])) == [[1], [3], [4, 5]]
 
 
-def test_too_deep_groups_are_refused(spark):
+def test_groups_nest_to_any_depth(spark):
     nested = group("ALL", [counted(1)])
-    for _ in range(documents.GROUP_DEPTH + 1):
-        nested = group("ALL", [], [nested])
-    with pytest.raises(PySparkException, match="nested too deeply"):
-        requirement_lists(spark, nested)
+    for depth in range(documents.LEVELS_AT_ONCE + 2):
+        nested = group("ALL", [counted(depth + 2)], [nested])
+    assert requirement_lists(spark, nested) == [[i] for i in range(1, documents.LEVELS_AT_ONCE + 4)]
+
+
+def test_quoted_ids_are_read_and_broken_documents_reported(spark):
+    text = definition([], sets={4: [item("9")], 5: [item("nine")]})
+    docs = cohort_documents(spark, a=text, b="{broken")
+    assert rows(documents.concept_set_items(docs), "set_id", "concept_id") == [(4, 9), (5, None)]
+    assert rows(documents.document_problems(docs)) == [("a", "concept id is no number"), ("b", "document cannot be read")]
 
 
 def test_primary_criteria(spark):

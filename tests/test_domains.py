@@ -140,3 +140,41 @@ def test_metadata_row(spark):
     vocabulary = spark.createDataFrame([("None", "v5"), ("X", "x")], "vocabulary_id string, vocabulary_version string")
     got = demographics.cdm_source("n", "a", "h", vocabulary, "2024-01-01").first()
     assert (got.vocabulary_version, got.cdm_version) == ("v5", "v5.4")
+
+
+def test_a_code_means_what_it_means_in_its_own_system(spark, maps):
+    """One code in two vocabularies, and one whose standard target is in another vocabulary."""
+    standard = spark.createDataFrame(
+        [("161", 1, "CVX", "Drug", 10, "Drug", "CVX", "S", None), ("161", 2, "RxNorm", "Drug", 20, "Drug", "RxNorm", "S", None),
+         ("E11", 3, "ICD10CM", "Drug", 30, "Drug", "SNOMED", "S", None), ("X", 4, "SNOMED", "Drug", 40, "Drug", "RxNorm", "S", None)],
+        MAP,
+    )
+    source = standard.select(maps[1].columns)
+    codes = events.code_map(standard, source, ["Drug"], ["CVX", "RxNorm", "ICD10CM", "SNOMED"])
+    coded = spark.createDataFrame(
+        [("p", 1, "161", ["CVX"], "immunizations"), ("p", 1, "161", ["RxNorm"], "medications"),
+         ("p", 1, "E11", ["SNOMED", "ICD10CM"], "conditions"), ("p", 1, "X", ["SNOMED"], "conditions")],
+        "patient string, encounter long, code string, systems array<string>, source_table string",
+    )
+    mapped = events.map_events(
+        coded,
+        codes,
+        spark.createDataFrame([(1, "p", "d1")], "encounter_id long, patient string, provider string"),
+        spark.createDataFrame([(1, 70)], "encounter_id long, visit_occurrence_id_new long"),
+        spark.createDataFrame([(9, "d1")], "provider_id long, provider_source_value string"),
+        spark.createDataFrame([(100, "p")], "person_id long, person_source_value string"),
+    )
+    assert rows(mapped, "source_table", "target_concept_id") == [("conditions", 30), ("immunizations", 10), ("medications", 20)]
+    assert rows(events.unmapped_events(coded, codes)) == [("conditions", 2, 1), ("immunizations", 1, 0), ("medications", 1, 0)]
+
+
+def test_amounts_out_of_range_count_for_nothing(spark):
+    claims = spark.createDataFrame([("k", 1, "e", day("9000-01-01"))], "claim_id string, person_id long, encounter_id string, service_date date")
+    moves = spark.createDataFrame([("k", "CHARGE", "1e20"), ("k", "CHARGE", "2.5"), ("k", "CHARGE", "x")], "claim_id string, transfer_type string, amount string")
+    plans = spark.createDataFrame(
+        [(1, 7, day("2000-01-01"), day("9999-12-31"))],
+        "person_id long, payer_plan_period_id long, payer_plan_period_start_date date, payer_plan_period_end_date date",
+    )
+    got = demographics.claim_costs(claims, moves, plans)
+    assert rows(got, "total_charge", "payer_plan_period_id") == [(2.5, 7)]
+    assert rows(demographics.refused_amounts(moves)) == [("CHARGE", 2)]

@@ -1,11 +1,14 @@
-from pathlib import Path
+import re
 
 import pytest
+from pathlib import Path
+
 from conftest import day, rows
 
 from carestrata.runtime import broadcast_when_small, materialise
 from carestrata.schema import ALL_TABLES, POPULATED, UNPOPULATED, table_schema
 from carestrata.sources import datasets, delimited, manifest
+from carestrata.schema import ALL_TABLES, table_schema
 from carestrata.streaming.staging import stage_new_files
 
 
@@ -176,3 +179,41 @@ def test_materialise_and_checked_broadcast(spark):
     small_plan = big.join(broadcast_when_small(df, 10), "id")._jdf.queryExecution().analyzed().toString()
     large_plan = big.join(broadcast_when_small(df, 9), "id")._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" in small_plan and "strategy=broadcast" not in large_plan
+
+
+def test_only_the_folder_itself_is_read_and_equal_names_are_refused(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.csv").write_text("id\n1\n")
+    (tmp_path / "sub" / "A.csv").write_text("id\n2\n")
+    assert rows(delimited.read_staging_folder(spark, str(tmp_path))["a"]) == [("1",)]
+    (tmp_path / "A.csv").write_text("id\n3\n")
+    with pytest.raises(ValueError, match="several extracts"):
+        delimited.read_staging_folder(spark, str(tmp_path))
+
+
+def test_another_header_or_a_ragged_row_is_an_error(spark, tmp_path):
+    for folder, second in (("swapped", "T,ID\nx,1\n"), ("ragged", "ID,T\n1,x,more\n")):
+        parts = tmp_path / folder / "p.csv"
+        parts.mkdir(parents=True)
+        (parts / "1.csv").write_text("ID,T\n1,x\n")
+        (parts / "2.csv").write_text(second)
+        with pytest.raises(Exception, match="header|FAILED_READ_FILE|MALFORMED"):
+            delimited.read_staging(spark, str(parts)).collect()
+    (tmp_path / "m.csv").write_text('id,t\n1,"x\ny"\n')
+    assert rows(delimited.read_staging(spark, f"{tmp_path}/m.csv", multi_line=True)) == [("1", "x\ny")]
+
+
+def test_chosen_tables_stay_empty(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("id\n1\n")
+    got = delimited.read_staging_folder(spark, str(tmp_path), unloaded=("b",))
+    assert got["a"].count() == 1 and got["b"].count() == 0 and got["b"].columns == ["id"]
+
+
+def test_vocabulary_files_have_typed_ids(spark, tmp_path):
+    (tmp_path / "CONCEPT_RELATIONSHIP.csv").write_text("concept_id_1\tconcept_id_2\trelationship_id\n4\t10\tMaps to\n")
+    got = delimited.read_vocabulary(spark, f"{tmp_path}/CONCEPT_RELATIONSHIP.csv", "concept_relationship")
+    assert dict(got.dtypes)["concept_id_1"] == dict(got.dtypes)["concept_id_2"] == "bigint"
+    named = [(t, f.name, f.dataType.typeName()) for t in ALL_TABLES for f in table_schema(t).fields]
+    texts = ("domain_id", "vocabulary_id", "class_id", "relationship_id", "device_id", "production_id", "source_id")
+    assert all(kind == "long" for _, name, kind in named if re.search("_id(_[12])?$", name) and not name.endswith(texts))

@@ -127,3 +127,17 @@ def test_discharge_enrichment(spark):
     assert rows(visits.visit_detail(found, final, person), "visit_detail_id") == [
         (i + 1_000_000,) for (i,) in rows(before, "visit_occurrence_id")
     ]
+
+
+def test_open_and_far_future_stays(spark):
+    """An open encounter counts as its first day; an open-ended visit needs no row per month."""
+    data = [(1, "a", "inpatient", BASE, None), (2, "a", "emergency", BASE, BASE), (3, "b", "inpatient", BASE, day("9999-12-31"))]
+    data += [(4, "b", "wellness", BASE + timedelta(4000), None), (5, "c", "inpatient", None, None)]
+    enc = spark.createDataFrame([(*r, None) for r in data], ENCOUNTERS)
+    found = visits.all_visits(enc)
+    ids = {r.encounter_id: r.visit_occurrence_id for r in found.collect()}
+    got = dict(rows(visits.resolve_visits(enc, found)))
+    assert got == {1: ids[1], 2: ids[1], 3: ids[3], 4: ids[3], 5: None}
+    every = visits.final_visit_ids(visits.assign_all_visit_ids(enc, found))
+    assert dict(rows(every)) == got
+    assert visits.candidate_intervals(visits.closed(enc), found).count() < 20

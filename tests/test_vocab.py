@@ -118,7 +118,7 @@ def test_closure_of_a_diamond_with_a_shortcut(spark):
 def test_closure_refuses_a_cycle(spark):
     edges = spark.createDataFrame([(1, 2), (2, 1)], "parent long, child long")
     with pytest.raises(ValueError, match="cycle"):
-        vocab.build_closure(edges, max_levels=4)
+        vocab.build_closure(edges)
 
 
 def test_concept_set_hits(spark):
@@ -148,3 +148,10 @@ def test_release_and_states(spark):
     concept = concepts(spark, (7, "Ohio", "G", "S", "1", "Geography"), (5, "ohio", "G", "S", "2", "Geography"))
     states = spark.createDataFrame([("OHIO", "OH"), ("Utah", "UT")], "state string, state_abbreviation string")
     assert rows(vocab.states_map(states, concept)) == [("OHIO", "OH", 5), ("Utah", "UT", 0)]
+
+
+def test_closure_has_no_depth_limit(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(70)], "parent long, child long")
+    got = vocab.build_closure(edges)
+    assert got.count() == 71 * 72 // 2
+    assert got.agg({"max_levels_of_separation": "max"}).first()[0] == 70
