@@ -83,7 +83,7 @@ def typed_patients(patients: DataFrame, states: DataFrame) -> DataFrame:
     return demographics.with_state_abbreviation(typed, states)
 
 
-def coded_events(staging: dict[str, DataFrame]) -> DataFrame:
+def coded_events(staging: dict[str, DataFrame], tables: dict[str, tuple] = CODED_TABLES) -> DataFrame:
     """All coded staging rows in one frame; a code's domain decides its table.
 
     ``systems`` are the vocabularies of the table a row comes from: the same code may
@@ -102,7 +102,7 @@ def coded_events(staging: dict[str, DataFrame]) -> DataFrame:
             F.lit(name).alias("source_table"),
             F.lit(list(systems)).alias("systems"),
         )
-        for name, (begin, end, systems) in CODED_TABLES.items()
+        for name, (begin, end, systems) in tables.items()
         if name in staging
     ]
     return reduce(DataFrame.unionByName, found)
@@ -115,11 +115,13 @@ def build_dataset(
     states: DataFrame,
     target: str,
     released: str,
+    coded_tables: dict[str, tuple] = CODED_TABLES,
 ) -> None:
     """Build every table of the model below ``target``, replacing what is there.
 
     ``staging`` holds text tables by name, ``vocabulary`` typed ones; ``states``
-    maps state names to abbreviations. Without a loaded vocabulary nothing is built.
+    maps state names to abbreviations; ``coded_tables`` says which staging tables hold
+    codes, between which dates and of which vocabularies. Without a loaded vocabulary nothing is built.
     Tables of an earlier build are cleared first, so that a build that fails leaves
     none of them beside new ones, and what is stored on the way is removed at the end.
     """
@@ -128,7 +130,7 @@ def build_dataset(
         raise ValueError(f"vocabulary tables without rows: {', '.join(empty)}")
     datasets.clear_tables(spark, target, [*POPULATED, *MAP_TABLES, *VISIT_TABLES, UNMAPPED])
     with scratch(spark):
-        _build(spark, staging, vocabulary, states, target, released)
+        _build(spark, staging, vocabulary, states, target, released, coded_tables)
 
 
 def _build(
@@ -138,8 +140,8 @@ def _build(
     states: DataFrame,
     target: str,
     released: str,
+    coded_tables: dict[str, tuple],
 ) -> None:
-
     def save(df: DataFrame, name: str) -> DataFrame:
         datasets.write_table(df, target, name)
         return datasets.open_table(spark, target, name)
@@ -172,7 +174,7 @@ def _build(
 
     # One pass over all coded events; each domain then reads its own folder.
     routes = events.code_map(standard, source, list(DOMAIN_TABLES), CODE_VOCABULARIES)
-    coded = coded_events(staging)
+    coded = coded_events(staging, coded_tables)
     save(events.unmapped_events(coded, routes), UNMAPPED)
     mapped = materialise(
         events.map_events(coded, routes, encounters, final_ids, provider, person),

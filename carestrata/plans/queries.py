@@ -263,7 +263,8 @@ def built_dataset(b: Bound) -> DataFrame:
         "source_to_concept_map": b.custom_map,
     }
     staging = delimited.read_staging_folder(b.spark, folder)
-    pipeline.build_dataset(b.spark, staging, vocabulary, b.states, target, "2024-01-01")
+    coded = {"observations": ("date", "date", VOCABULARIES), "conditions": ("start", "stop", VOCABULARIES)}
+    pipeline.build_dataset(b.spark, staging, vocabulary, b.states, target, "2024-01-01", coded)
     return quality.row_counts({n: datasets.open_table(b.spark, target, n) for n in (*POPULATED, *UNPOPULATED)})
 
 
