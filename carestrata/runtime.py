@@ -58,7 +58,9 @@ def materialise(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
         _open_scratch[-1].append(path)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(df.columns)
+    table = spark.read.schema(df.schema).parquet(path).select(df.columns)
+    table._scratch_path = path
+    return table
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
@@ -68,6 +70,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of :func:`materialise` that nothing reads any more."""
+    remove_path(table.sparkSession, table._scratch_path)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete what :func:`materialise` writes inside, once everything is read.
