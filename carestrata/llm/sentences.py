@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.rows import add_columns
-from carestrata.runtime import broadcast_when_small, materialise
+from carestrata.runtime import discard, materialise
 
 #: A run has at least so many sentences and words, and no more sentences than that takes.
 SENTENCES, WORDS = 2, 20
@@ -112,10 +112,12 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spans = materialise(spans_of(rows.select("doc", "mark", text.alias("text"))), "sentence-spans")
     placed = spans.withColumn("place", _place())
     sums = placed.groupBy("hash", "check").agg(F.min("place").alias("one"), F.max("place").alias("other"))
-    again = broadcast_when_small(materialise(sums.where("one < other").select("hash", "check", "one"), "sentence-again"))
+    again = materialise(sums.where("one < other").select("hash", "check", "one"), "sentence-again")
     later = placed.join(again, ["hash", "check"]).where(F.col("place") > F.col("one"))
     gone = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
     gone = materialise(gone, "sentence-gone").withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
+    discard(spans)
+    discard(again)
 
     def cut(texts: list[str | None], gone: list) -> list:
         kept, count, removed = [], [], []
@@ -128,5 +130,5 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return [count, removed, kept]
 
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))
-    judged = rows.join(broadcast_when_small(gone, 50_000), same, "left").select(F.col("doc").alias("doc_id"), "text", "gone")
+    judged = rows.join(gone, same, "left").select(F.col("doc").alias("doc_id"), "text", "gone")
     return add_columns(judged, ["text", "gone"], "n_sentences long, n_removed long, text string", cut, drop=("gone",))
