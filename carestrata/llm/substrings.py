@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from carestrata.llm.rows import add_columns
 from carestrata.llm.sais import permuted_common_prefixes, suffix_array
-from carestrata.runtime import broadcast_when_small, materialise
+from carestrata.runtime import broadcast_when_small, discard, materialise
 
 #: Bytes of the gram that names a window's shard.
 GRAM = 48
@@ -235,6 +235,7 @@ def repeated_starts(cuts: DataFrame, length: int, level: int = 0) -> DataFrame:
             inner = repeated_starts(_finer(many, length, ROUNDS[level + 1]), length, level + 1)
             found = found.union(inner.withColumnRenamed("owner", "cut_id"))
     found = materialise(found, "substring-found")
+    discard(whole)
     runs = places.join(found, "cut_id").select("owner", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi"))
     return runs
 
@@ -244,8 +245,10 @@ def repeated_runs(docs: DataFrame, length: int) -> DataFrame:
     listed = materialise(anchors_of(docs, length), "substring-anchors")
     place = F.xxhash64("owner", "first")
     keys = listed.groupBy("key").agg(F.min(place).alias("p"), F.max(place).alias("q"), F.min("cut").alias("c"), F.max("cut").alias("d"))
-    keys = broadcast_when_small(materialise(keys.where("p < q").select("key", (F.col("c") < F.col("d")).alias("mixed")), "substring-keys"))
-    again = materialise(listed.join(keys, "key").dropDuplicates(["owner", "first"]), "substring-again")
+    keys = materialise(keys.where("p < q").select("key", (F.col("c") < F.col("d")).alias("mixed")), "substring-keys")
+    again = materialise(listed.join(broadcast_when_small(keys), "key").dropDuplicates(["owner", "first"]), "substring-again")
+    discard(listed)
+    discard(keys)
     # A gram with one cut only needs no bytes: every window of it is repeated.
     plain = again.where(~F.col("mixed")).select("owner", F.col("first").alias("lo"), F.col("last").alias("hi"))
     mixed = again.where("mixed").groupBy("owner").agg(F.collect_list(F.struct("first", "last", "anchor", "key")).alias("runs"))
