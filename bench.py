@@ -1,14 +1,16 @@
 """Times the headline queries over one folder of tables and prints one JSON line.
 
-The stored inputs (vocabulary, maps, persons, visits) are built first and timed
-as ``prepare``. Every query then runs twice to a sink that discards its rows; the
-second, warm time counts.
+The stored inputs (vocabulary, maps, persons, visits) are built first; each is timed
+under its own name (``stored_...``). ``built_dataset``, the whole way from extract
+files to a dataset, runs once, cold. Every other query runs twice to a sink that
+discards its rows; the second, warm time counts. The value is the sum of all times.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -81,20 +83,21 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()
     times: dict[str, float] = {}
 
-    started = time.perf_counter()
     bound = Bound(spark, FOLDER)
     for name in STORED:
+        started = time.perf_counter()
         getattr(bound, name)
-    times["prepare"] = round(time.perf_counter() - started, 3)
+        times[f"stored_{name}"] = round(time.perf_counter() - started, 3)
 
-    for name in HEADLINES:
-        for _ in range(2):
+    for name in ("built_dataset", *HEADLINES):
+        for _ in range(1 if name == "built_dataset" else 2):
             started = time.perf_counter()
             queries[name](spark, FOLDER).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - started, 3)
@@ -102,8 +105,8 @@ def main() -> None:
     print(
         json.dumps(
             {
-                "metric": "total_warm_query_time",
-                "value": round(sum(v for k, v in times.items() if k != "prepare"), 3),
+                "metric": "total_time_with_stored_inputs",
+                "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),

@@ -7,6 +7,7 @@ binding is a projection or join of whole tables, so it grows with them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -60,15 +61,27 @@ def _case(col: str, values: dict[str, object]):
 
 
 # Tables that a dataset stores once and every later step reads: the vocabulary, its
-# maps, persons and visits. Kept per application and folder.
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+# maps, persons and visits. Kept per application, folder and state of its files, so
+# changed files are read again.
+_stored: dict[tuple[str, str, str, str], DataFrame] = {}
+
+
+def folder_state(spark: SparkSession, folder: str) -> str:
+    """Sizes and times of all files below a folder; contents are not read."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files, found = store.listFiles(place, True), []
+    while files.hasNext():
+        file = files.next()
+        found.append(f"{file.getPath().toString()}:{file.getLen()}:{file.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
 def stored(fn: Callable[[Bound], DataFrame]) -> cached_property:
     """A binding that is written to the shared folder on first use."""
 
     def once(self: Bound) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.folder, fn.__name__)
+        key = (self.spark.sparkContext.applicationId, self.folder, self.state, fn.__name__)
         if key not in _stored:
             _stored[key] = materialise(fn(self), fn.__name__)
         return _stored[key]
@@ -88,6 +101,10 @@ class Bound:
     spark: SparkSession
     folder: str
 
+    @cached_property
+    def state(self) -> str:
+        return folder_state(self.spark, self.folder)
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
 

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from datetime import date
 from pathlib import Path
 
@@ -19,6 +20,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
