@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from carestrata.operators.documents import (
     CUSTOM_LABEL,
     concept_set_items,
+    document_keys,
     primary_criteria,
     required_sets,
 )
 from carestrata.operators.vocab import concept_set_hits, map_codes_to_concepts
 from carestrata.runtime import materialise
 
-# Texts of the report, and how many example labels a row shows.
+# Texts of the report in words of our own, and how many example labels a row shows.
 NOTE_VISIT_MET = "visit entry event not evaluated; its required criteria are covered"
 NOTE_VISIT_ONLY = "visit-only cohort: visit types come from encounter classes, not from codes"
 DETAIL_MISSING = "no module code reaches concept set(s) "
@@ -31,32 +32,33 @@ def cohort_verdicts(primary: DataFrame, required: DataFrame, hits: DataFrame) ->
     ``required``: ``cohort_id, requirement, set_id``; ``hits``: distinct
     ``cohort_id, set_id`` that some code reaches.
 
-    The order of the rules matters: an unmet requirement leaves the cohort empty
-    whatever enters it; then any entry set covers; then a visit entry is carried
-    by met requirements; then an entry that cannot be judged.
+    The first rule that applies decides: requirements without a hit, since nobody can
+    meet them; an entry set with a hit; met requirements where entry is by visits;
+    and last whether the entry can be judged at all.
     """
-    hit = hits.select("cohort_id", "set_id").distinct().withColumn("hit", F.lit(True))
-    flagged = required.join(hit, ["cohort_id", "set_id"], "left")
-    requirements = flagged.groupBy("cohort_id", "requirement").agg(
+    keys = document_keys(primary)
+    hit = hits.select(*keys, "set_id").distinct().withColumn("hit", F.lit(True))
+    flagged = required.join(hit, [*keys, "set_id"], "left")
+    requirements = flagged.groupBy(*keys, "requirement").agg(
         F.max(F.coalesce("hit", F.lit(False))).alias("met"),
         F.collect_set("set_id").alias("sets"),
     )
-    per_cohort = requirements.groupBy("cohort_id").agg(
+    per_cohort = requirements.groupBy(*keys).agg(
         F.min("met").alias("all_met"),
         F.array_sort(
             F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("met"), F.col("sets")))))
         ).alias("unmet_sets"),
     )
     entry_hit = (
-        primary.select("cohort_id", F.explode("primary_sets").alias("set_id"))
-        .join(hit, ["cohort_id", "set_id"], "left_semi")
-        .select("cohort_id")
+        primary.select(*keys, F.explode("primary_sets").alias("set_id"))
+        .join(hit, [*keys, "set_id"], "left_semi")
+        .select(*keys)
         .distinct()
         .withColumn("entry_hit", F.lit(True))
     )
     rows = (
-        primary.join(per_cohort, "cohort_id", "left")
-        .join(entry_hit, "cohort_id", "left")
+        primary.join(per_cohort, keys, "left")
+        .join(entry_hit, keys, "left")
         .withColumn("has_requirement", F.col("all_met").isNotNull())
     )
     unmet = F.col("has_requirement") & ~F.col("all_met")
@@ -69,7 +71,7 @@ def cohort_verdicts(primary: DataFrame, required: DataFrame, hits: DataFrame) ->
     )
     nothing = F.array().cast("array<int>")
     return rows.select(
-        "cohort_id",
+        *keys,
         status.alias("status"),
         F.when(unmet, F.col("unmet_sets"))
         .when(
@@ -87,9 +89,10 @@ def cohort_verdicts(primary: DataFrame, required: DataFrame, hits: DataFrame) ->
 
 def needed_sets(primary: DataFrame, required: DataFrame) -> DataFrame:
     """Distinct concept sets that entry or requirements refer to."""
+    keys = document_keys(primary)
     return (
-        primary.select("cohort_id", F.explode("primary_sets").alias("set_id"))
-        .unionByName(required.select("cohort_id", "set_id"))
+        primary.select(*keys, F.explode("primary_sets").alias("set_id"))
+        .unionByName(required.select(*keys, "set_id"))
         .distinct()
     )
 
@@ -100,10 +103,10 @@ def codes_by_concept(codes: DataFrame, concept: DataFrame, relationship: DataFra
     return codes.join(mapped, ["system", "code"]).select("module", "state", "display", "concept_id")
 
 
-def _first_labels(rows: DataFrame, key: str) -> DataFrame:
+def _first_labels(rows: DataFrame, key: list[str]) -> DataFrame:
     """The first labels per key in text order; ranked before the shuffle as well."""
-    order = Window.partitionBy(key).orderBy("label")
-    ranked = rows.select(key, "label").distinct().withColumn("_rank", F.row_number().over(order))
+    order = Window.partitionBy(*key).orderBy("label")
+    ranked = rows.select(*key, "label").distinct().withColumn("_rank", F.row_number().over(order))
     return ranked.filter(F.col("_rank") <= EXAMPLES).drop("_rank")
 
 
@@ -115,15 +118,16 @@ def provider_labels(matched: DataFrame, sources: DataFrame) -> DataFrame:
     and its own first labels before it meets the cohorts; the first labels of a
     cohort are among those.
     """
+    keys = document_keys(matched)
     custom = F.col("module") == CUSTOM_LABEL
     flags = sources.groupBy("concept_id").agg(F.min(custom).alias("all_custom"), F.max(custom).alias("any_custom"))
     labels = _first_labels(
         sources.select("concept_id", F.concat("display", F.lit(" ["), "module", F.lit("]")).alias("label")),
-        "concept_id",
+        ["concept_id"],
     )
     classes = (
         matched.join(flags, "concept_id")
-        .groupBy("cohort_id")
+        .groupBy(*keys)
         .agg(
             F.when(F.min("all_custom"), PROVIDED_CUSTOM)
             .when(F.max("any_custom"), PROVIDED_BOTH)
@@ -132,11 +136,11 @@ def provider_labels(matched: DataFrame, sources: DataFrame) -> DataFrame:
         )
     )
     examples = (
-        _first_labels(matched.join(labels, "concept_id"), "cohort_id")
-        .groupBy("cohort_id")
+        _first_labels(matched.join(labels, "concept_id"), keys)
+        .groupBy(*keys)
         .agg(F.concat_ws("; ", F.array_sort(F.collect_list("label"))).alias("example_codes"))
     )
-    return classes.join(examples, "cohort_id")
+    return classes.join(examples, keys)
 
 
 def coverage_report(
@@ -149,20 +153,22 @@ def coverage_report(
 ) -> DataFrame:
     """Verdict per cohort document, with its provider and example labels.
 
-    ``documents``: ``cohort_id, document``; ``expected_empty``: ``cohort_id``.
+    ``documents``: ``cohort_id, document``; ``expected_empty``: ``cohort_id``. With a
+    ``study`` in both, cohorts are told apart by study and id throughout.
     A cohort that is known to stay empty is not reported as uncovered.
     """
+    keys = document_keys(documents)
     # All four are used more than once below and are small next to their inputs.
     primary = materialise(primary_criteria(documents), "primary")
     required = materialise(required_sets(documents), "required")
     sources = materialise(codes_by_concept(codes, concept, relationship), "sources")
     items = concept_set_items(documents).join(
-        needed_sets(primary, required), ["cohort_id", "set_id"], "left_semi"
+        needed_sets(primary, required), [*keys, "set_id"], "left_semi"
     )
-    hits = materialise(concept_set_hits(items, closure, sources, ["cohort_id", "set_id"]), "hits")
+    hits = materialise(concept_set_hits(items, closure, sources, [*keys, "set_id"]), "hits")
     verdicts = cohort_verdicts(primary, required, hits)
-    labels = provider_labels(hits.select("cohort_id", "concept_id").distinct(), sources)
-    known_empty = expected_empty.select("cohort_id").distinct().withColumn("is_expected_empty", F.lit(True))
+    labels = provider_labels(hits.select(*keys, "concept_id").distinct(), sources)
+    known_empty = expected_empty.select(*keys).distinct().withColumn("is_expected_empty", F.lit(True))
     expected = F.coalesce("is_expected_empty", F.lit(False))
     missing = F.when(
         F.size("missing_sets") > 0,
@@ -176,10 +182,10 @@ def coverage_report(
         F.when(F.col("status") == "COVERED", DETAIL_NOT_EMPTY).otherwise(DETAIL_EMPTY),
     )
     return (
-        verdicts.join(known_empty, "cohort_id", "left")
-        .join(labels, "cohort_id", "left")
+        verdicts.join(known_empty, keys, "left")
+        .join(labels, keys, "left")
         .select(
-            "cohort_id",
+            *keys,
             F.when(expected & (F.col("status") == "NOT_COVERED"), "EXPECTED_EMPTY")
             .otherwise(F.col("status"))
             .alias("status"),

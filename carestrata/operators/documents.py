@@ -127,32 +127,40 @@ _DEFINITION = (
 )
 
 
+def document_keys(df: DataFrame) -> list[str]:
+    """What names a cohort: its id, within its study where there are several."""
+    return [c for c in ("study", "cohort_id") if c in df.columns]
+
+
 def document_problems(documents: DataFrame) -> DataFrame:
     """Documents ``(cohort_id, problem)`` that are no JSON objects, or whose ids are no numbers."""
+    keys = document_keys(documents)
     broken = F.expr("try_variant_get(try_parse_json(document), '$', 'map<string,variant>')").isNull()
     unread = F.expr(
         "exists(flatten(transform(coalesce(d.ConceptSets, array()), s -> coalesce(s.expression.items, array()))),"
         " i -> try_cast(i.concept.CONCEPT_ID as bigint) is null)"
     )
-    parsed = documents.select("cohort_id", broken.alias("_broken"), F.from_json("document", _DEFINITION).alias("d"))
+    parsed = documents.select(*keys, broken.alias("_broken"), F.from_json("document", _DEFINITION).alias("d"))
     problem = F.when(F.col("_broken"), "document cannot be read").when(unread, "concept id is no number")
-    return parsed.select("cohort_id", problem.alias("problem")).filter("problem is not null")
+    return parsed.select(*keys, problem.alias("problem")).filter("problem is not null")
 
 
 def parse_definitions(documents: DataFrame) -> DataFrame:
     """Cohort documents ``(cohort_id, document)`` with the parsed definition ``d``."""
-    return documents.select("cohort_id", F.from_json("document", _DEFINITION).alias("d"))
+    keys = document_keys(documents)
+    return documents.select(*keys, F.from_json("document", _DEFINITION).alias("d"))
 
 
 def concept_set_items(documents: DataFrame) -> DataFrame:
     """One row per concept set item; a flag that is absent is false."""
+    keys = document_keys(documents)
     flag = lambda name: F.coalesce(F.col(f"i.{name}"), F.lit(False))
     return (
         parse_definitions(documents)
-        .select("cohort_id", F.explode("d.ConceptSets").alias("s"))
-        .select("cohort_id", F.col("s.id").try_cast("int").alias("set_id"), F.explode("s.expression.items").alias("i"))
+        .select(*keys, F.explode("d.ConceptSets").alias("s"))
+        .select(*keys, F.col("s.id").try_cast("int").alias("set_id"), F.explode("s.expression.items").alias("i"))
         .select(
-            "cohort_id",
+            *keys,
             "set_id",
             F.col("i.concept.CONCEPT_ID").try_cast("long").alias("concept_id"),
             flag("includeDescendants").alias("descendants"),
@@ -183,12 +191,13 @@ def _codeset(criterion: str) -> str:
 
 def primary_criteria(documents: DataFrame) -> DataFrame:
     """Per cohort: entry concept sets, and whether its entry can be judged."""
+    keys = document_keys(documents)
     return (
         parse_definitions(documents)
-        .select("cohort_id", F.coalesce("d.PrimaryCriteria.CriteriaList", F.array()).alias("all_criteria"))
+        .select(*keys, F.coalesce("d.PrimaryCriteria.CriteriaList", F.array()).alias("all_criteria"))
         .withColumn("judged", F.expr(f"filter(all_criteria, c -> {_first_key('c')} not in ({_VISITS}))"))
         .select(
-            "cohort_id",
+            *keys,
             F.expr(
                 f"array_distinct(filter(transform(judged, c -> {_codeset('c')}), x -> x is not null))"
             ).alias("primary_sets"),
@@ -208,6 +217,7 @@ def required_sets(documents: DataFrame) -> DataFrame:
     all its criteria can be judged and it has no sub-groups. Visit criteria and
     criteria without a concept set require nothing.
     """
+    keys = document_keys(documents)
     below = "coalesce(try_variant_get(node, '$.Groups', 'array<variant>'), array())"
     itself = "array(named_struct('path', path, 'node', node, 'open', false))"
     opened = F.expr(
@@ -218,9 +228,9 @@ def required_sets(documents: DataFrame) -> DataFrame:
     )
     rules = F.expr("try_variant_get(try_parse_json(document), '$.InclusionRules', 'array<variant>')")
     rows = (
-        documents.select("cohort_id", F.posexplode(rules).alias("no", "rule"))
+        documents.select(*keys, F.posexplode(rules).alias("no", "rule"))
         .select(
-            "cohort_id",
+            *keys,
             F.array("no").alias("path"),
             F.expr("try_variant_get(rule, '$.expression', 'variant')").alias("node"),
             F.lit(True).alias("open"),
@@ -229,17 +239,17 @@ def required_sets(documents: DataFrame) -> DataFrame:
     closed = []
     while True:
         for _ in range(LEVELS_AT_ONCE):
-            rows = rows.select("cohort_id", F.explode(opened).alias("x")).select("cohort_id", "x.*")
+            rows = rows.select(*keys, F.explode(opened).alias("x")).select(*keys, "x.*")
         rows = materialise(rows, "inclusion-groups")
         closed.append(rows.filter("not open"))
         rows = rows.filter("open")
         if rows.isEmpty():
             break
     # Groups of one document, level by level; the order is that of the document.
-    number = F.row_number().over(Window.partitionBy("cohort_id").orderBy(F.size("path"), "path")) - 1
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(F.size("path"), "path")) - 1
     criteria = F.from_json(F.to_json(F.expr("try_variant_get(node, '$.CriteriaList', 'variant')")), _COUNTED)
     groups = reduce(DataFrame.unionByName, closed).select(
-        "cohort_id",
+        *keys,
         number.alias("group_no"),
         F.struct(
             F.upper(F.expr("try_variant_get(node, '$.Type', 'string')")).alias("type"),
@@ -252,17 +262,17 @@ def required_sets(documents: DataFrame) -> DataFrame:
         f"then {_codeset('c.Criteria')} end"
     )
     sets = groups.select(
-        "cohort_id", "group_no", "g.type", "g.below", F.expr(f"transform(g.criteria, c -> {judged})").alias("sets")
+        *keys, "group_no", "g.type", "g.below", F.expr(f"transform(g.criteria, c -> {judged})").alias("sets")
     )
     each = (
         sets.filter("type = 'ALL'")
-        .select("cohort_id", "group_no", F.posexplode("sets").alias("no", "set_id"))
+        .select(*keys, "group_no", F.posexplode("sets").alias("no", "set_id"))
         .filter("set_id is not null")
     )
     either = (
         sets.filter("type = 'ANY' and below = 0 and size(sets) > 0 and not exists(sets, x -> x is null)")
-        .select("cohort_id", "group_no", F.lit(0).alias("no"), F.explode(F.array_distinct("sets")).alias("set_id"))
+        .select(*keys, "group_no", F.lit(0).alias("no"), F.explode(F.array_distinct("sets")).alias("set_id"))
     )
     return each.unionByName(either).select(
-        "cohort_id", F.concat_ws(".", "group_no", "no").alias("requirement"), "set_id"
+        *keys, F.concat_ws(".", "group_no", "no").alias("requirement"), "set_id"
     )

@@ -253,3 +253,21 @@ def test_unresolved_codes_name_their_states(spark):
     relationship = spark.createDataFrame([], "concept_id_1 long, concept_id_2 long, relationship_id string, invalid_reason string")
     codes = spark.createDataFrame([("SNOMED-CT", "A", "x"), ("SNOMED-CT", "Z", "y")], "system string, code string, state string")
     assert rows(vocab.unresolved_codes(codes, concept, relationship)) == [("SNOMED", "Z", "y")]
+
+
+def test_studies_keep_their_cohorts_apart(spark):
+    """Two studies with a cohort of the same id: one is covered, the other is not."""
+    docs = spark.createDataFrame(
+        [("a", 1, definition([("ConditionOccurrence", 0)], sets={0: [item(5)]})),
+         ("b", 1, definition([("ConditionOccurrence", 0)], sets={0: [item(6)]}))],
+        "study string, cohort_id int, document string",
+    )
+    concept = spark.createDataFrame(
+        [(5, "SNOMED", "C5", "S"), (6, "SNOMED", "C6", "S")], "concept_id long, vocabulary_id string, concept_code string, standard_concept string"
+    )
+    relationship = spark.createDataFrame([], "concept_id_1 long, concept_id_2 long, relationship_id string, invalid_reason string")
+    closure = spark.createDataFrame([(5, 5), (6, 6)], "ancestor_concept_id long, descendant_concept_id long")
+    codes = spark.createDataFrame([("custom", "S", "SNOMED-CT", "C5", "five")], "module string, state string, system string, code string, display string")
+    empty = spark.createDataFrame([("b", 1)], "study string, cohort_id int")
+    got = coverage.coverage_report(docs, empty, codes, concept, relationship, closure)
+    assert rows(got, "study", "cohort_id", "status") == [("a", 1, "COVERED"), ("b", 1, "EXPECTED_EMPTY")]
