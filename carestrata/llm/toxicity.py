@@ -51,22 +51,48 @@ class ToxicityModel:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def telling_features(positive: list[set[str]], unlabelled: list[set[str]]) -> list[str]:
+def frequent_features(texts: list[str], least: int) -> Counter:
+    """In how many texts each feature is, for those in ``least`` or more.
+
+    A first pass counts by hash, so that the many features of one text alone take no
+    room in the second.
+    """
+    mask = (1 << 22) - 1
+    rough = bytearray(mask + 1)
+    for text in texts:
+        for feature in features_of(text):
+            at = hash(feature) & mask
+            rough[at] = min(least, rough[at] + 1)
+    counts = Counter(f for t in texts for f in features_of(t) if rough[hash(f) & mask] >= least)
+    return Counter({f: n for f, n in counts.items() if n >= least})
+
+
+def telling_features(positive: list[str], unlabelled: list[str]) -> list[str]:
     """Features more frequent among the positive texts, by the G statistic of presence."""
     n, m = max(1, len(positive)), max(1, len(unlabelled))
-    in_p, in_u = Counter(w for t in positive for w in t), Counter(w for t in unlabelled for w in t)
+    in_p = frequent_features(positive, 3)
+    in_u = Counter(f for t in unlabelled for f in features_of(t) & in_p.keys())
     found = []
-    for word, a in in_p.items():
-        b = in_u[word]
-        if a < 3 or a / n <= b / m:
+    for feature, a in in_p.items():
+        b = in_u[feature]
+        if a / n <= b / m:
             continue
         cells = ((a, n), (b, m), (n - a, n), (m - b, m))
         rate = (a + b) / (n + m)
         expected = (n * rate, m * rate, n * (1 - rate), m * (1 - rate))
         g = 2 * sum(c[0] * np.log(c[0] / e) for c, e in zip(cells, expected, strict=True) if c[0] > 0)
         if g >= CLEAR:
-            found.append((-g, word))
-    return [w for _, w in sorted(found)[:FEATURES]]
+            found.append((-g, feature))
+    return [f for _, f in sorted(found)[:FEATURES]]
+
+
+def presence(texts: list[str], features: list[str]) -> np.ndarray:
+    """One row per text, one column per feature."""
+    out = np.zeros((len(texts), len(features)))
+    at = {f: i for i, f in enumerate(features)}
+    for row, text in zip(out, texts, strict=True):
+        row[[at[f] for f in features_of(text) & at.keys()]] = 1.0
+    return out
 
 
 def train_nnpu(x_p: np.ndarray, x_u: np.ndarray, prior: float, steps: int = 800, rate: float = 0.05, decay: float = 3e-4) -> np.ndarray:
@@ -116,12 +142,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out:
         for pdf in batches:
             for kind, text in zip(pdf["_kind"], pdf["_text"], strict=True):
                 texts[kind].add(text)
-        words = {k: [features_of(t) for t in sorted(v)] for k, v in texts.items()}
-        if not words[0] or not words[1]:
+        positive, unlabelled = sorted(texts[1]), sorted(texts[0])
+        if not positive or not unlabelled:
             return
-        chosen = telling_features(words[1], words[0])
-        x_p, x_u = (np.array([[w in t for w in chosen] for t in words[k]], dtype=np.float64).reshape(len(words[k]), len(chosen)) for k in (1, 0))
-        yield pd.DataFrame({"word": [*chosen, None], "weight": train_nnpu(x_p, x_u, prior)})
+        chosen = telling_features(positive, unlabelled)
+        weights = train_nnpu(presence(positive, chosen), presence(unlabelled, chosen), prior)
+        yield pd.DataFrame({"word": [*chosen, None], "weight": weights})
 
     rows = sample.select("_kind", "_text").repartition(1).mapInPandas(train, "word string, weight double").collect()
     weights = {r["word"]: r["weight"] for r in rows if r["word"] is not None}
