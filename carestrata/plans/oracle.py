@@ -862,7 +862,8 @@ def all_sql() -> dict[str, str]:
             f"select '{t}' as table_name, cast(1 as bigint) as n_loads, count(*) as loaded_rows from {t}"
             for t in ("customer", "supplier", "orders")
         ),
-        "header_only_staging": _sql("select patient, encounter, code from coded where false", "coded"),
+        "header_only_staging": "select 'customer' as table_name, cast(c_custkey as varchar) as id, c_name as name from customer",
+        "layout_probe": "select 'second' as table_name, count(*) as row_count from supplier",
         "copied_vocabulary": _sql(
             """select 'concept' as table_name, count(*) as row_count from concept
             union all select 'concept_ancestor', count(*) from closure

@@ -123,7 +123,27 @@ def resumable_load(b: Bound) -> DataFrame:
 
 @query
 def header_only_staging(b: Bound) -> DataFrame:
-    return datasets.header_only(b.coded_events.select("patient", "encounter", "code"))
+    """A folder of extracts of which one table is to stay empty: what was read, by table."""
+    folder = scratch_path(b.spark, "extract")
+    _write_extract(b.table("customer").select("c_custkey", "c_name"), folder, "customer")
+    _write_extract(b.table("supplier").select("s_suppkey", "s_name"), folder, "supplier")
+    tables = delimited.read_staging_folder(b.spark, folder, unloaded=("supplier",))
+    return (
+        tables["customer"]
+        .selectExpr("'customer' as table_name", "c_custkey as id", "c_name as name")
+        .unionByName(tables["supplier"].selectExpr("'supplier' as table_name", "s_suppkey as id", "s_name as name"))
+    )
+
+
+@query
+def layout_probe(b: Bound) -> DataFrame:
+    """The first of several dataset layouts that has its table, and the rows there."""
+    root = scratch_path(b.spark, "layouts")
+    datasets.write_table(b.table("supplier"), f"{root}/second", "person")
+    datasets.write_table(b.table("customer"), f"{root}/third", "person")
+    layouts = [(f"{root}/{n}", "person") for n in ("first", "second", "third")]
+    picked = datasets.pick_layout(b.spark, layouts)
+    return quality.row_counts({picked.rsplit("/", 1)[-1]: datasets.open_table(b.spark, picked, "person")})
 
 
 @query
