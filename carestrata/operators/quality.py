@@ -243,23 +243,33 @@ def column_profile(df: DataFrame, table: str, declared: dict[str, int] | None =
     )
 
 
-def field_profile(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+def field_profile(
+    df: DataFrame, table: str, columns: list[str] | None = None, unique: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows, nulls and distinct values per column.
 
-    The nulls of all columns are one pass. Distinct values are counted per column
-    over (column, value) pairs that are combined map-side, so a column of few
-    values shuffles next to nothing.
+    Rows and nulls of all columns are one aggregate without a shuffle of values.
+    Distinct values are counted per column on the typed value, each from a scan of
+    that column alone and combined map-side; columns in ``unique`` are declared keys,
+    whose values need no comparing: all that are not null are distinct.
     """
     names = columns or df.columns
-    as_text = df.select([F.col(c).cast("string").alias(c) for c in names])
-    pairs = as_text.unpivot([], names, "column_name", "value").groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("n")
+    filled = df.agg(F.count(F.lit(1)).alias("n_rows"), *(F.count(F.col(c)).alias(f"v{i}") for i, c in enumerate(names)))
+    entries = ", ".join(f"'{c}', v{i}" for i, c in enumerate(names))
+    base = filled.select("n_rows", F.expr(f"stack({len(names)}, {entries}) as (column_name, n_filled)"))
+    counted = [
+        df.select(F.col(c).alias("value")).distinct().agg(F.count("value").alias("n")).select(F.lit(c).alias("column_name"), "n")
+        for c in names
+        if c not in unique
+    ]
+    rows = base.join(_union(counted), "column_name", "left") if counted else base.withColumn("n", F.lit(None).cast("long"))
+    return rows.select(
+        F.lit(table).alias("table_name"),
+        "column_name",
+        "n_rows",
+        (F.col("n_rows") - F.col("n_filled")).alias("n_null"),
+        F.coalesce("n", "n_filled").alias("n_distinct"),
     )
-    return pairs.groupBy("column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-        F.count("value").alias("n_distinct"),
-    ).select(F.lit(table).alias("table_name"), "column_name", "n_rows", "n_null", "n_distinct")
 
 
 def concept_counts(df: DataFrame, concept: str, person: str = "person_id") -> DataFrame:
