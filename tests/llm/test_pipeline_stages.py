@@ -1,9 +1,9 @@
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
-from test_dedup import brute_components
-from test_packing import check_pieces
-from test_scoring_mixing import brute_spans
+from .test_dedup import brute_components
+from .test_packing import check_pieces
+from .test_scoring_mixing import brute_spans
 
 import __spark_entry__ as driver
 import corpus_pipeline
