@@ -7,6 +7,7 @@ from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from carestrata.runtime import broadcast_when_small, materialise
 
@@ -78,12 +79,11 @@ def min_cost_flow(capacity: dict, members: dict, quota: dict, epochs: int) -> di
     return {p: sum(e.room for e in graph[place["p", p]] if e.to == start) for p in patterns}
 
 
-def capped_targets(sizes: list[int], share: float, most: float) -> list[float]:
-    """Targets by :data:`WEIGHTS`, none above ``most`` times its source's size.
+def capped_targets(sizes: list[int], total: float, most: float) -> list[float]:
+    """Targets by :data:`WEIGHTS` that share ``total``, none above ``most`` times its source's size.
 
     What exceeds that is shared out again by weight among the others.
     """
-    total = share * sum(sizes)
     weight = [WEIGHTS[i % len(WEIGHTS)] for i in range(len(sizes))]
     capped: set[int] = set()
     while True:
@@ -110,35 +110,52 @@ def selection_key(id_col: str, text_col: str, seed: str) -> Column:
 
 
 def measured(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", seed: str = "mix") -> DataFrame:
-    """The documents with their ``_source``, ``_size`` in words and ``_key``."""
+    """The documents with their ``_source``, ``_size`` in words and ``_key``.
+
+    A source column may hold one name or an array of them: then ``_source`` is the
+    membership pattern and ``_members`` its names; null and empty arrays are alike.
+    """
+    source = F.col(source_col)
+    if isinstance(docs.schema[source_col].dataType, ArrayType):
+        members = F.array_sort(F.array_distinct(F.array_compact(F.coalesce(source.cast("array<string>"), F.array().cast("array<string>")))))
+        docs = docs.withColumn("_members", members)
+        source = F.when(F.size("_members") > 0, F.to_json("_members"))
     return docs.withColumns(
-        {"_source": F.col(source_col).cast("string"), "_size": word_count(F.col(text_col)), "_key": selection_key(id_col, text_col, seed)}
+        {"_source": source.cast("string"), "_size": word_count(F.col(text_col)), "_key": selection_key(id_col, text_col, seed)}
     )
 
 
 def mixing_plan(units: DataFrame, share: float = 1.5, epochs: int = 2) -> DataFrame:
-    """One row per source: what every document of it gives to the mix.
+    """One row per membership pattern: what every document of it gives to the mix.
 
-    ``units`` has ``_source``, ``_size`` and ``_key``. Columns of the plan: _source,
+    ``units`` has ``_source``, ``_size``, ``_key`` and, where sources overlap,
+    ``_members``. Columns of the plan: _source,
     _source_size, _target, _times (whole passes), _edge (the key up to which documents
     are taken once more) and _edge_share (what those at the edge give).
 
-    A source is a membership pattern of one member here; patterns of several go
-    through the same flow. Only sums per pattern reach the driver. The edge is found
-    by three aggregates, each over the first digits of the keys within the last
+    A document of one source is a pattern of one member, whose size and target are the
+    source's; a pattern of several has the words it holds and those routed through it.
+    Only sums per pattern reach the driver. The edge is found by three aggregates, each over the first digits of the keys within the last
     one's cell, so no task ranks a source's documents.
     """
     spark = units.sparkSession
-    sums = units.groupBy("_source").agg(F.sum("_size").alias("n")).collect()
+    overlapping = "_members" in units.columns
+    members = [F.first("_members").alias("m")] if overlapping else []
+    sums = units.groupBy("_source").agg(F.sum("_size").alias("n"), *members).collect()
     sums.sort(key=lambda r: (r["_source"] is None, r["_source"] or ""))
-    names, sizes = [r["_source"] for r in sums], [r["n"] for r in sums]
-    targets = capped_targets(sizes, share, float(epochs))
-    at = range(len(names))
-    taken = min_cost_flow(dict(zip(at, sizes, strict=True)), {i: [i] for i in at}, {i: round(targets[i]) for i in at}, epochs)
+    belongs = {i: (list(r["m"]) or [None]) if overlapping else [r["_source"]] for i, r in enumerate(sums)}
+    capacity = {i: r["n"] for i, r in enumerate(sums)}
+    sources = sorted({s for names in belongs.values() for s in names}, key=lambda s: (s is None, s or ""))
+    size = {s: sum(capacity[i] for i in capacity if s in belongs[i]) for s in sources}
+    shares = capped_targets([size[s] for s in sources], share * sum(capacity.values()), float(epochs))
+    target = dict(zip(sources, shares, strict=True))
+    taken = min_cost_flow(capacity, belongs, {s: round(t) for s, t in target.items()}, epochs)
     rows = []
-    for i in at:
-        times, again = divmod(taken[i], sizes[i]) if sizes[i] else (0, 0)
-        rows.append((names[i], sizes[i], float(targets[i]), times, again))
+    for i, r in enumerate(sums):
+        times, again = divmod(taken[i], capacity[i]) if capacity[i] else (0, 0)
+        alone = len(belongs[i]) == 1
+        known = (size[belongs[i][0]], target[belongs[i][0]]) if alone else (capacity[i], taken[i])
+        rows.append((r["_source"], known[0], float(known[1]), times, again))
     plan = spark.createDataFrame(rows, "_source string, source_size long, target double, times long, again long")
 
     def cell(frame: DataFrame, digits: Column, left: str) -> DataFrame:
@@ -188,6 +205,7 @@ def mixed(docs: DataFrame, share: float = 1.5, epochs: int = 2, source_col: str
     ordered by their text. An empty table gives no rows. Other columns are not read.
     """
     units = measured(docs.select(id_col, text_col, source_col), source_col, id_col, text_col)
-    units = materialise(units.select(F.col(id_col).cast("long").alias("doc_id"), "_source", "_size", "_key"), "mix-units")
+    more = [c for c in ("_members",) if c in units.columns]
+    units = materialise(units.select(F.col(id_col).cast("long").alias("doc_id"), "_source", "_size", "_key", *more), "mix-units")
     done = with_taken(units, mixing_plan(units, share, epochs))
     return done.select("doc_id", *(F.col(f"_{c}").alias(c) for c in ("size", "source_size", "target", "taken")))

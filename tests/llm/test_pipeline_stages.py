@@ -49,7 +49,7 @@ def test_stages_against_brute_force(spark):
     from carestrata.llm.mixing import capped_targets
 
     names = sorted(have)
-    for name, target in zip(names, capped_targets([have[n] for n in names], 1.5, 2.0), strict=True):
+    for name, target in zip(names, capped_targets([have[n] for n in names], 1.5 * sum(have.values()), 2.0), strict=True):
         assert abs(got[name] - target) <= longest / 2 + 1
 
     pieces = stages["packing"](spark, mix, FOLDER).withColumn("ids_crc32", F.crc32("ids")).collect()

@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from carestrata.llm import mixing, quality, secrets, toxicity
 from carestrata.llm.oracle import llm_sql
@@ -101,7 +100,7 @@ def test_flow_prefers_first_passes_and_meets_quotas():
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 1000), min_size=1, max_size=9))
 def test_targets_share_all_and_stop_at_the_cap(sizes):
-    targets = mixing.capped_targets(sizes, 1.5, 2.0)
+    targets = mixing.capped_targets(sizes, 1.5 * sum(sizes), 2.0)
     assert math.isclose(sum(targets), 1.5 * sum(sizes), abs_tol=1e-6)
     assert all(t <= 2 * s + 1e-9 for t, s in zip(targets, sizes, strict=True))
 
@@ -122,6 +121,17 @@ def test_mix_of_awkward_rows(spark, awkward, nothing):
     assert mixing.mixed(nothing).collect() == []
 
 
+def test_overlapping_sources_share_documents(spark):
+    rows = [(i, " ".join(["w"] * 10), ["a"] if i < 30 else ["b", "a", "a"] if i < 60 else ["b"] if i < 80 else []) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source array<string>").repartition(4)
+    got = {r["doc_id"]: r["taken"] for r in mixing.mixed(docs).collect()}
+    # a, b and none hold 600, 500 and 100 words and want 5, 2 and 1 parts of 1350.
+    assert abs(sum(got.values()) - 1350) <= 2 and all(0 <= v <= 20 for v in got.values())
+    assert abs(sum(got[i] for i in range(80, 90)) - 1350 / 8) <= 2
+    only_a, both = (sum(got[i] for i in r) for r in (range(30), range(30, 60)))
+    assert only_a >= 300 and both >= 300 and only_a + both >= 843
+
+
 # Secrets
 
 BASE = (
