@@ -13,6 +13,8 @@ from carestrata.runtime import broadcast_when_small, materialise
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
+#: Hex digits of a key that name its cell, round by round.
+_DIGITS = (2, 4, 6)
 
 
 @dataclass
@@ -135,8 +137,9 @@ def mixing_plan(units: DataFrame, share: float = 1.5, epochs: int = 2) -> DataFr
 
     A document of one source is a pattern of one member, whose size and target are the
     source's; a pattern of several has the words it holds and those routed through it.
-    Only sums per pattern reach the driver. The edge is found by three aggregates, each over the first digits of the keys within the last
-    one's cell, so no task ranks a source's documents.
+    Only sums per pattern reach the driver. The edge is found by one aggregate for each
+    of ``_DIGITS``, over the first digits of the keys within the last one's cell: a
+    pattern has at most 256 cells in any of them, so no task ranks its documents.
     """
     spark = units.sparkSession
     overlapping = "_members" in units.columns
@@ -170,11 +173,12 @@ def mixing_plan(units: DataFrame, share: float = 1.5, epochs: int = 2) -> DataFr
         return units.join(narrow, F.col("_source").eqNullSafe(F.col("_s")) & (digits == F.col("cell")))
 
     wanted = broadcast_when_small(plan.where("again > 0").select(F.col("_source").alias("_s"), "again"))
-    first = materialise(cell(units.join(wanted, F.col("_source").eqNullSafe(F.col("_s"))), F.substring("_key", 1, 3), "again"), "mix-cell")
-    second = materialise(cell(within(first, F.substring("_key", 1, 3)), F.substring("_key", 1, 6), "rest"), "mix-cell")
-    third = cell(within(second, F.substring("_key", 1, 6)), F.col("_key"), "rest")
+    found = cell(units.join(wanted, F.col("_source").eqNullSafe(F.col("_s"))), F.substring("_key", 1, _DIGITS[0]), "again")
+    for digits, finer in zip(_DIGITS, _DIGITS[1:], strict=False):
+        found = cell(within(materialise(found, "mix-cell"), F.substring("_key", 1, digits)), F.substring("_key", 1, finer), "rest")
+    last = cell(within(materialise(found, "mix-cell"), F.substring("_key", 1, _DIGITS[-1])), F.col("_key"), "rest")
     edge = materialise(
-        third.select(F.col("_source").alias("_s"), F.col("cell").alias("edge"), F.floor(F.col("rest") / F.col("rows")).alias("edge_share")), "mix-edge"
+        last.select(F.col("_source").alias("_s"), F.col("cell").alias("edge"), F.floor(F.col("rest") / F.col("rows")).alias("edge_share")), "mix-edge"
     )
     joined = plan.join(edge, F.col("_source").eqNullSafe(F.col("_s")), "left")
     return joined.select("_source", *(F.col(c).alias(f"_{c}") for c in ("source_size", "target", "times", "edge", "edge_share")))
