@@ -69,16 +69,16 @@ class WordIds:
 
     def _learn(self, new: set[bytes]) -> None:
         """Encodes new words: letters without the punctuation after them, many at a time."""
-        cut: dict[bytes, tuple[str, str]] = {}
+        cut: list[tuple[bytes, str, str]] = []
         for word in new:
             text = word.decode("utf-8", "replace")
             head = text.rstrip(punctuation)
             if self.units and head.isalpha():
-                cut[word] = (head.lower() if head.isascii() else head, text[len(head) :])
+                cut.append((word, head.lower() if head.isascii() else head, text[len(head) :]))
             else:
                 self.words[word] = self._ids(text)
-        self._learn_plain(sorted({head for head, _ in cut.values()} - self.plain.keys()))
-        for word, (head, tail) in cut.items():
+        self._learn_plain(list({head for _, head, _ in cut}.difference(self.plain)))
+        for word, head, tail in cut:
             if tail and tail not in self.plain:
                 self.plain[tail] = self._ids(tail)
             self.words[word] = self.plain[head] + self.plain[tail] if tail else self.plain[head]
@@ -87,13 +87,17 @@ class WordIds:
         """Words of letters only are one unit each, whose last token ends a word."""
         if not heads:
             return
-        ids = np.array(self.tokenizer.encode(" ".join(heads), add_special_tokens=False).ids, dtype=self.kind)
+        lines = [" ".join(heads[i : i + 64]) for i in range(0, len(heads), 64)]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.array([i for line in found for i in line.ids], dtype=self.kind)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(heads):
             self.plain.update((h, self._ids(h)) for h in heads)
             return
-        for head, a, b in zip(heads, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
-            self.plain[head] = ids[a:b].tobytes()
+        raw, at = ids.tobytes(), 0
+        for head, stop in zip(heads, (stops * self.kind.itemsize).tolist(), strict=True):
+            self.plain[head] = raw[at:stop]
+            at = stop
 
 
 def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
