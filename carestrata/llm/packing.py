@@ -22,7 +22,8 @@ class WordIds:
 
     For tokenizers that drop white space and join nothing across it, a text's ids are
     those of its words in turn, so each word is encoded once while it is remembered
-    (at most ``most`` words). Others encode whole texts.
+    (about ``most`` words, and half as many without punctuation). Others encode whole
+    texts.
     """
 
     def __init__(self, path: str, most: int = 400_000):
@@ -58,7 +59,7 @@ class WordIds:
         split = [t.split() for t in texts]
         if len(self.words) > self.most:
             self.words.clear()
-        if len(self.plain) > self.most:
+        if len(self.plain) > self.most // 2:
             self.plain.clear()
         met: set[bytes] = set()
         for words in split:
