@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.rows import add_columns
@@ -15,42 +16,70 @@ from carestrata.runtime import discard, materialise
 
 #: A run has at least so many sentences and words, and no more sentences than that takes.
 SENTENCES, WORDS = 2, 20
-_SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?\n]+\s*|$)")
-_CLAUSE = re.compile(r"[^,;:]*(?:[,;:]+\s*|$)")
-#: Bits for the place of a run within its text.
-_PLACE = 28
+#: Parts of more words without a mark are cut at words that are the least of so many neighbours by hash.
+LONG, WINDOW = 10, 6
+_PART = re.compile(r"[^.!?\n,;:。！？｡…؟।，、；：]*(?:[.!?\n,;:。！？｡…؟।，、；：]+\s*|$)")
+#: Scripts without spaces between words: each character counts as a word.
+_BARE = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_BARES = re.compile(f"[{_BARE}]")
+_WORD = re.compile(f"[{_BARE}]|[^\\s{_BARE}]+")
 
 
-def sentences_of(text: str, long: int = WORDS) -> list[str]:
+def words_of(text: str) -> list[str]:
+    """The lower-cased words of a text; characters of scripts without spaces are words."""
+    low = text.lower()
+    return low.split() if low.isascii() or not _BARES.search(low) else _WORD.findall(low)
+
+
+def _cut(part: str) -> list[str]:
+    """A part without marks, cut where every window of ``WINDOW`` words has its least hash (the last of equals).
+
+    A cut depends on the words of its windows only, so that a passage is cut alike
+    wherever it stands, and pieces have at most ``WINDOW`` words.
+    """
+    words = [(m.start(), zlib.crc32(m[0].lower().encode("utf-8", "replace"))) for m in _WORD.finditer(part)]
+    if len(words) <= LONG:
+        return [part]
+    h = [x for _, x in words]
+    cuts, least = [0], -1
+    for i in range(WINDOW - 1, len(h)):
+        if least <= i - WINDOW:
+            least = min(range(i - WINDOW + 1, i + 1), key=lambda k: (h[k], -k))
+        elif h[i] <= h[least]:
+            least = i
+        if least and words[least][0] != cuts[-1]:
+            cuts.append(words[least][0])
+    return [part[a:b] for a, b in zip(cuts, [*cuts[1:], len(part)], strict=True)]
+
+
+def sentences_of(text: str) -> list[str]:
     """The sentences of a text, white space after them included; joined, they are the text.
 
-    Sentences end at . ! ? or a line's end; one of more than ``long`` words is cut at
-    its commas, semicolons and colons.
+    Sentences end at a line's end, at . ! ? , ; : and at the like marks of other
+    scripts; what still has more than ``LONG`` words is cut at words chosen by content.
     """
     out: list[str] = []
-    for sentence in _SENTENCE.findall(text):
-        if len(sentence) > 2 * long and sentence.count(" ") >= long:
-            out += [c for c in _CLAUSE.findall(sentence) if c]
-        elif sentence:
-            out.append(sentence)
+    for part in _PART.findall(text):
+        if len(part) > LONG:
+            out += _cut(part)
+        elif part:
+            out.append(part)
     return out
 
 
 def runs_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first, last) of the shortest run from every sentence on, and of that to the end.
+    """(first, last) of the shortest run from every sentence on, and of that up to every sentence.
 
     Sentences without words are passed over by the caller.
     """
     n = len(counts)
     upto = np.r_[0, np.cumsum(counts)]
-    first = np.arange(n)
-    last = np.maximum(np.searchsorted(upto, upto[:-1] + WORDS) - 1, first + SENTENCES - 1)
-    fine = last < n
-    first, last = first[fine], last[fine]
-    if len(first) and last[-1] < n - 1:
-        start = min(int(np.searchsorted(upto, upto[-1] - WORDS, side="right")) - 1, n - SENTENCES)
-        first, last = np.r_[first, start], np.r_[last, n - 1]
-    return first, last
+    at = np.arange(n)
+    last = np.maximum(np.searchsorted(upto, upto[:-1] + WORDS) - 1, at + SENTENCES - 1)
+    first = np.minimum(np.searchsorted(upto, upto[1:] - WORDS, side="right") - 1, at - SENTENCES + 1)
+    on, back = last < n, first >= 0
+    both = np.unique(np.r_[at[on] * n + last[on], first[back] * n + at[back]])
+    return both // max(n, 1), both % max(n, 1)
 
 
 def spans_of(docs: DataFrame) -> DataFrame:
@@ -60,37 +89,27 @@ def spans_of(docs: DataFrame) -> DataFrame:
     bits of a digest. Places count the sentences that have words.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for pdf in batches:
-            for at in range(0, len(pdf), 512):
-                parts = []
-                for doc, mark, text in zip(*(pdf[c].iloc[at : at + 512] for c in ("doc", "mark", "text")), strict=True):
-                    words = [w for w in (s.lower().split() for s in sentences_of(text)) if w]
-                    first, last = runs_of(np.array([len(w) for w in words], dtype=np.int64))
-                    if not len(first):
-                        continue
-                    lines = [" ".join(w) for w in words]
-                    raw = b"".join(xxhash.xxh3_128_digest(" ".join(lines[a : b + 1])) for a, b in zip(first.tolist(), last.tolist(), strict=True))
-                    digest = np.frombuffer(raw, dtype="<i8").reshape(-1, 2)
-                    parts.append(
-                        pd.DataFrame({"doc": doc, "mark": mark, "hash": digest[:, 0], "check": digest[:, 1].astype(np.int32), "first": first, "last": last})
-                    )
-                if parts:
-                    yield pd.concat(parts, ignore_index=True)
-
-    # Ids go through pandas as text, which has room for null and for all longs.
-    spans = docs.withColumn("doc", F.col("doc").cast("string")).mapInPandas(run, "doc string, mark int, hash long, check int, first int, last int")
-    return spans.withColumn("doc", F.col("doc").cast("long"))
-
-
-def _place() -> Column:
-    """A number that orders runs by id (null last), text and place."""
-    last = F.lit(2**63 - 1).cast("decimal(20,0)")
-    doc = F.coalesce(F.col("doc").cast("decimal(20,0)"), last)
-    mark = (F.col("mark").cast("long") + 2**31) * (1 << _PLACE) + F.col("first")
-    return (doc * F.lit(1 << 30).cast("decimal(10,0)") * F.lit(1 << 30).cast("decimal(10,0)")).cast("decimal(38,0)") + mark.cast("decimal(19,0)")
+        digest = xxhash.xxh3_128_digest
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
+            raw, firsts, lasts, counts = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                words = [w for w in map(words_of, sentences_of(text)) if w]
+                first, last = runs_of(np.fromiter(map(len, words), np.int64, len(words)))
+                lines = [" ".join(w) for w in words]
+                raw += [digest(" ".join(lines[a : b + 1]).encode("utf-8", "replace")) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+                firsts.append(first), lasts.append(last), counts.append(len(first))
+            if not raw:
+                continue
+            of = pa.array(np.repeat(np.arange(len(counts)), counts))
+            both = np.frombuffer(b"".join(raw), dtype="<i8").reshape(-1, 2)
+            arrays = [batch.column("doc").take(of), batch.column("mark").take(of), pa.array(both[:, 0].copy()), pa.array(both[:, 1].astype(np.int32))]
+            arrays += [pa.array(np.concatenate(x).astype(np.int32)) for x in (firsts, lasts)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "mark", "hash", "check", "first", "last"])
+
+    return docs.select("doc", "mark", "text").mapInArrow(run, "doc long, mark int, hash long, check int, first int, last int")
 
 
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,22 +121,27 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     is what is left of the whole text; texts that lose nothing stay as they are.
 
     Null texts stay null; texts shorter than a run stay. Null ids come last. Rows that
-    repeat both id and text are one document: each has that document's result. Runs
-    are counted before they meet, and the join back has one row per run on one side,
+    repeat both id and text are one document: each has that
+    document's result. Pieces have at most ``LONG`` words, so a passage of 50 words holds
+    a whole run wherever it stands. Runs are counted before they meet, and the join back has one row per run on one side,
     so a passage in a third of all documents can be split. An empty table gives no
     rows. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text).alias("mark"), F.col(text_col).alias("text"))
     spans = materialise(spans_of(rows.select("doc", "mark", text.alias("text"))), "sentence-spans")
-    placed = spans.withColumn("place", _place())
-    sums = placed.groupBy("hash", "check").agg(F.min("place").alias("one"), F.max("place").alias("other"))
-    again = materialise(sums.where("one < other").select("hash", "check", "one"), "sentence-again")
-    later = placed.join(again, ["hash", "check"]).where(F.col("place") > F.col("one"))
-    gone = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
-    gone = materialise(gone, "sentence-gone").withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
+    again = materialise(spans.groupBy("hash", "check").agg(F.count("*").alias("n")).where("n > 1").select("hash", "check"), "sentence-again")
+    shared = materialise(spans.join(again, ["hash", "check"]), "sentence-shared")
     discard(spans)
     discard(again)
+    placed = shared.withColumn("place", F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "mark", "first"))
+    one = placed.groupBy("hash", "check").agg(F.min("place").alias("one"), F.max("place").alias("other"))
+    one = materialise(one.where("one < other").select("hash", "check", "one"), "sentence-one")
+    later = placed.join(one, ["hash", "check"]).where(F.col("place") > F.col("one"))
+    gone = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
+    gone = materialise(gone, "sentence-gone").withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
+    discard(shared)
+    discard(one)
 
     def cut(texts: list[str | None], gone: list) -> list:
         kept, count, removed = [], [], []
