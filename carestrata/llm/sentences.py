@@ -109,7 +109,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
             arrays += [pa.array(np.concatenate(x).astype(np.int32)) for x in (firsts, lasts)]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc", "mark", "hash", "check", "first", "last"])
 
-    return docs.select("doc", "mark", "text").mapInArrow(run, "doc long, mark int, hash long, check int, first int, last int")
+    return docs.select("doc", "mark", "text").mapInArrow(run, "doc long, mark binary, hash long, check int, first int, last int")
 
 
 def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,14 +121,14 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     is what is left of the whole text; texts that lose nothing stay as they are.
 
     Null texts stay null; texts shorter than a run stay. Null ids come last. Rows that
-    repeat both id and text are one document: each has that
+    repeat both id and text (by a digest of 128 bits) are one document: each has that
     document's result. Pieces have at most ``LONG`` words, so a passage of 50 words holds
     a whole run wherever it stands. Runs are counted before they meet, and the join back has one row per run on one side,
     so a passage in a third of all documents can be split. An empty table gives no
     rows. Other columns are not read.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.hash(text).alias("mark"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.unhex(F.md5(text.cast("binary"))).alias("mark"), F.col(text_col).alias("text"))
     spans = materialise(spans_of(rows.select("doc", "mark", text.alias("text"))), "sentence-spans")
     again = materialise(spans.groupBy("hash", "check").agg(F.count("*").alias("n")).where("n > 1").select("hash", "check"), "sentence-again")
     shared = materialise(spans.join(again, ["hash", "check"]), "sentence-shared")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from carestrata.llm import sentences
 
@@ -56,6 +57,18 @@ def test_scripts_without_spaces(spark):
     assert len(got[2][1]) <= len(second) - 40
 
 
+def test_texts_are_told_apart_by_more_than_32_bits(spark):
+    """Two texts without ids and with one ``F.hash``, of which only one repeats a passage."""
+    rng = random.Random(1)
+    passage = ". ".join(" ".join(words(rng, 9)) for _ in range(4)) + ". "
+    ids = spark.range(300_000).select(F.col("id").cast("string").alias("i"))
+    long = ids.select(F.concat(F.lit(passage + "end "), "i").alias("x"))
+    short = ids.select(F.concat(F.lit("short "), "i").alias("y"))
+    x, y = long.join(short, F.hash("x") == F.hash("y")).orderBy("x", "y").first()
+    got = sentences.remove_repeated_spans(spark.createDataFrame([(1, passage), (None, x), (None, y)], "doc_id long, text string"))
+    assert sorted(r["text"] for r in got.where("doc_id is null").collect()) == sorted([x[len(passage) :], y])
+
+
 def test_runs_end_at_every_sentence():
     first, last = sentences.runs_of(np.array([30, 25, 3, 2]))
     assert (1, 3) in set(zip(first.tolist(), last.tolist(), strict=True))
