@@ -27,13 +27,14 @@ CLASSES = (
     (r"^[A-Za-z]+$", "abcdefghijklmnopqrstuvwxyz", 4.0),
     (r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.6),
 )
-#: Runs that are known not to be secrets: rulers, paths of words, identifiers of the 8-4-4-4-12 form, samples.
+#: Runs that are known not to be secrets: rulers, paths of words, identifiers of the 8-4-4-4-12 form.
 ALLOWED = (
     r"^[-_=+/]+$",
     r"^/?([A-Za-z]{1,19}[-_/=+])+[A-Za-z]{0,19}$",
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"(?i)example|placeholder|changeme|dummy|sample",
 )
+#: Words that mark samples: a window that holds one whole is no secret.
+SAMPLES = r"(?i)example|placeholder|changeme|dummy|sample"
 #: Sums of c*log2(c) are kept as whole millionths, so that they do not depend on their order.
 _UNIT = 1_000_000
 _TERMS = [round(_UNIT * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
@@ -129,33 +130,83 @@ def _window_hull(run: Column, alphabet: str, bits: float) -> Column:
     return F.aggregate(moves, start, step, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
+def _between(cuts: Column, first: Column, last: Column, over: int) -> Column:
+    """(start, end) of what of ``first`` to ``last`` lies between ``cuts``, if a window has room.
+
+    Cuts are in order. With ``over`` 1 a piece reaches into the cuts beside it, short of
+    holding one whole; with 0 it stops at them.
+    """
+    piece = "struct<start:int,end:int>"
+    start = F.struct(first.alias("at"), F.array().cast(f"array<{piece}>").alias("out"))
+
+    def added(out: Column, at: Column, end: Column) -> Column:
+        return F.when(end - at >= WINDOW, F.array_append(out, F.struct(at.alias("start"), end.alias("end")))).otherwise(out)
+
+    def step(s: Column, c: Column) -> Column:
+        if over:
+            at, end = c["start"] + 1, c["end"] - 1
+        else:
+            at, end = F.greatest(s["at"], c["end"]), c["start"]
+        return F.struct(at.alias("at"), added(s["out"], s["at"], end).alias("out"))
+
+    return F.aggregate(cuts, start, step, lambda s: added(s["out"], s["at"], last))
+
+
 def entropy_spans(text: Column, base: Column) -> Column:
-    """Spans of candidate runs by entropy, except allowed ones and parts of ``base`` spans."""
+    """Spans of candidate runs by entropy, except allowed runs and what ``base`` spans cover.
+
+    Windows that touch a base span, or hold a word of ``SAMPLES``, are left out: what
+    is between them is searched piece by piece. Pieces are judged by the class of the
+    whole run, and the windows found between two base spans make one span, which takes
+    sample words it reaches into whole.
+    """
 
-    def hull(run: Column) -> Column:
+    def hull(run: Column, own: Column) -> Column:
         found = None
         for pattern, alphabet, bits in reversed(CLASSES):
-            own = F.lower(run) if alphabet.lower() == alphabet else run
-            value = _window_hull(own, alphabet, bits)
+            part = F.lower(own) if alphabet.lower() == alphabet else own
+            value = _window_hull(part, alphabet, bits)
             found = value if found is None else F.when(run.rlike(pattern), value).otherwise(found)
         return found
 
     def fine(run: Column) -> Column:
-        return ~run.rlike("|".join(f"(?:{p})" for p in ALLOWED[:3])) & ~run.rlike(ALLOWED[3])
+        return ~run.rlike("|".join(f"(?:{p})" for p in ALLOWED))
+
+    def inside(whole: Column, piece: Column) -> Column:
+        """The (first, last) of a piece's windows, from the start of the run on; null if it has none."""
+        words = F.filter(whole["words"], lambda w: (piece["start"] <= w["start"]) & (w["end"] <= piece["end"]))
+        parts = _between(words, piece["start"], piece["end"], 1)
+        at = F.transform(parts, lambda p: F.struct(p["start"].alias("start"), hull(whole["run"], F.substring(whole["run"], p["start"] + 1, p["end"] - p["start"])).alias("hull")))
+        hits = F.transform(F.filter(at, lambda h: h["hull"]["first"].isNotNull()), lambda h: F.struct((h["start"] + h["hull"]["first"]).alias("first"), (h["start"] + h["hull"]["last"]).alias("last")))
+        reach = F.struct(F.array_min(hits["first"]).alias("first"), F.array_max(hits["last"]).alias("last"))
+        grown = lambda s, w: F.struct(
+            F.when((w["start"] < s["first"]) & (s["first"] < w["end"]), w["start"]).otherwise(s["first"]).alias("first"),
+            F.when((w["start"] < s["last"]) & (s["last"] < w["end"]), w["end"]).otherwise(s["last"]).alias("last"),
+        )
+        return F.aggregate(words, reach, grown)
 
     runs = _spans(text, CANDIDATE, 3, None)
-    with_text = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("run")))
+    with_text = F.transform(runs, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.substring(text, s["start"] + 1, s["end"] - s["start"]).alias("run")))
     left = F.filter(with_text, lambda s: fine(s["run"]))
-    placed = F.transform(left, lambda s: F.struct(s["start"].alias("start"), hull(s["run"]).alias("hull")))
-    hit = F.filter(placed, lambda s: s["hull"]["first"].isNotNull())
-    spans = F.transform(
-        hit,
+    known = F.transform(
+        left,
         lambda s: F.struct(
-            (s["start"] + s["hull"]["first"]).alias("start"), F.lit(3).alias("kind"), (s["start"] + s["hull"]["last"]).alias("end")
+            s["start"].alias("start"),
+            s["run"].alias("run"),
+            _spans(s["run"], SAMPLES, 3, None).alias("words"),
+            F.transform(
+                _between(F.array_sort(F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))), s["start"], s["end"], 0),
+                lambda p: F.struct((p["start"] - s["start"]).alias("start"), (p["end"] - s["start"]).alias("end")),
+            ).alias("pieces"),
         ),
     )
-    new = F.filter(spans, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return F.when(F.size(runs) > 0, new).otherwise(runs)
+    found = F.flatten(
+        F.transform(
+            known,
+            lambda s: F.transform(F.transform(s["pieces"], lambda p: inside(s, p)), lambda h: F.struct((s["start"] + h["first"]).alias("start"), F.lit(3).alias("kind"), (s["start"] + h["last"]).alias("end"))),
+        )
+    )
+    return F.when(F.size(runs) > 0, F.filter(found, lambda s: s["start"].isNotNull())).otherwise(runs)
 
 
 def _listed(spans: Column) -> Column:
@@ -176,7 +227,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     ``spans`` lists kind:start:end (code points, end exclusive) by start, then kind;
     ``base_sha256`` is the digest of the list without the ``entropy`` spans, which
-    are windows of high entropy in long runs, unless allowed or in a base span.
+    are windows of high entropy in long runs, unless allowed or touched by a base span.
 
     Null and empty texts have no spans (the digest is that of an empty list). Null
     and repeated ids, and repeated rows, come back row by row. Texts are searched
