@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.llm.ann import vp_neighbours
+from carestrata.llm.collocations import collocations
 from carestrata.llm.mixing import mixed
 from carestrata.llm.packing import packed_sequences
 from carestrata.llm.quality import quality_scores
@@ -84,6 +85,11 @@ def op10_entropy_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(read_table(spark, folder, "documents"))
 
 
+def op11_son_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return collocations(read_table(spark, folder, "documents"), support=10, longest=3, percent=50, top=2000)
+
+
 def llm_queries() -> dict[str, Query]:
     """All registered queries of the subpackage but the pipeline."""
     return {
@@ -99,5 +105,6 @@ def llm_queries() -> dict[str, Query]:
             op8_min_cost_flow_mix,
             op9_norm_bucketed_top_k,
             op10_entropy_secret_scan,
+            op11_son_collocations,
         )
     }
