@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from carestrata.llm.ann import vp_neighbours
 from carestrata.llm.collocations import collocations
+from carestrata.llm.dialogues import damaged, repair_report
 from carestrata.llm.mixing import mixed
 from carestrata.llm.packing import packed_sequences
 from carestrata.llm.quality import quality_scores
@@ -90,6 +91,12 @@ def op11_son_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(read_table(spark, folder, "documents"), support=10, longest=3, percent=50, top=2000)
 
 
+def op13_rank_convergence_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The cheapest repair of every conversation, damaged first."""
+    rows = read_table(spark, folder, "conversations")
+    return repair_report(damaged(rows), ids=rows)
+
+
 def llm_queries() -> dict[str, Query]:
     """All registered queries of the subpackage but the pipeline."""
     return {
@@ -106,5 +113,6 @@ def llm_queries() -> dict[str, Query]:
             op9_norm_bucketed_top_k,
             op10_entropy_secret_scan,
             op11_son_collocations,
+            op13_rank_convergence_repair,
         )
     }
