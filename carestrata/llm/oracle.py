@@ -112,7 +112,72 @@ with pieces as (
 select r.lang, r.rank::bigint as rank, r.phrase, r.a, r.l, r.r, total.n, r.score from r join total on total.lang = r.lang where r.rank <= 2000
 """
 
+_OP12 = r"""
+with u as (
+  select page_id, coalesce(url, '') as url, instr(coalesce(url, ''), '://') as spot from pages
+), rest as (
+  select page_id, url, spot, case when spot > 0 then substr(url, spot + 3) else '' end as rest from u
+), p as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path, url, spot, rest from rest
+), rows_ as (
+  select page_id, host, path, case when spot > 0 then host || substr(rest, length(host) + 1) else url end as text,
+    case when (host = 'www.example.com' or ends_with(host, '.www.example.com')) and starts_with(path, '/en/') then 'www.example.com/en/'
+      when (host = 'example.com' or ends_with(host, '.example.com')) and starts_with(path, '/en/') then 'example.com/en/'
+      when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/es/') then 'net/es/'
+      when (host = 'net' or ends_with(host, '.net')) and starts_with(path, '/fr/') then 'net/fr/'
+      when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/') then 'com/' end as rule
+  from p
+), ruled as (
+  select *, case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block' end as verdict from rows_
+), texts as (
+  select distinct md5(text) as key, verdict, text from ruled
+), g as (
+  select key, verdict, length(text) + 1 as n,
+    unnest(list_transform(range(1, length(text) + 2), lambda i: substr(repeat(chr(2), 5) || text || chr(3), i, 6))) as gram
+  from texts
+), suffixes as (
+  select right(gram, n) as s, count(*) filter (verdict = 'allow') as a, count(*) filter (verdict = 'block') as r
+  from (select verdict, gram from g where verdict is not null and key >= '4'), (values (1), (2), (3), (4), (5), (6)) t(n)
+  group by 1
+), ctx as (
+  select left(s, length(s) - 1) as c, sum(a) as na, count(*) filter (a > 0) as ua, sum(r) as nr, count(*) filter (r > 0) as ur from suffixes group by 1
+), targets as (
+  select distinct gram from g where verdict is null or key < '4'
+), seen as (
+  select gram, n, coalesce(a, 0)::double as a, coalesce(na, 0)::double as na, coalesce(ua, 0)::double as ua,
+    coalesce(r, 0)::double as r, coalesce(nr, 0)::double as nr, coalesce(ur, 0)::double as ur
+  from (select gram, n, right(gram, n) as s, left(right(gram, n), n - 1) as c from targets, (values (1), (2), (3), (4), (5), (6)) t(n)) x
+  left join suffixes using (s) left join ctx using (c)
+), steps as (
+  select gram, list({'a': a, 'na': na, 'ua': ua, 'r': r, 'nr': nr, 'ur': ur} order by n) as z from seen group by gram
+), terms as (
+  select gram, floor(1000000 * (
+    ln(list_reduce(list_prepend(1.0::double / 256, list_transform(z, lambda x: 0.0::double)), lambda p, q, i:
+      case when z[i - 1].nr > 0 then (z[i - 1].r + z[i - 1].ur * p) / (z[i - 1].nr + z[i - 1].ur) else p end))
+    - ln(list_reduce(list_prepend(1.0::double / 256, list_transform(z, lambda x: 0.0::double)), lambda p, q, i:
+      case when z[i - 1].na > 0 then (z[i - 1].a + z[i - 1].ua * p) / (z[i - 1].na + z[i - 1].ua) else p end))) + 0.5)::bigint as term
+  from steps
+), cells as (
+  select key, verdict, greatest(-2048, least(2048, floor((sum(term) * 64)::double / (n * 1000000)::double)::integer)) as cell
+  from g join terms using (gram) where verdict is null or key < '4' group by key, verdict, n
+), hist as (
+  select cell, count(*) filter (verdict = 'allow') as a, count(*) filter (verdict = 'block') as r from cells where verdict is not null group by cell
+), tried as (
+  select distinct unnest([1, cell, cell + 1]) as c from hist
+), cut as (
+  select coalesce(max(c), 1) as c from (
+    select c from (
+      select c, (select sum(r) from hist where cell >= c) as rr, (select sum(a) from hist where cell < c) as aa,
+        (select sum(a) from hist) as a, (select sum(r) from hist) as r from tried)
+    where a > 0 and r > 0
+    order by coalesce(rr, 0) * a + coalesce(aa, 0) * r desc, abs(2 * c - 1), c desc limit 1)
+)
+select page_id, host, path, rule, coalesce(r.verdict, case when cells.cell >= cut.c then 'block' else 'allow' end) as verdict
+from ruled r cross join cut left join cells on r.verdict is null and cells.verdict is null and cells.key = md5(r.text)
+"""
+
 
 def llm_sql() -> dict[str, str]:
     """SQL by query name; queries without an entry are tested by brute force."""
-    return {"op1_vp_tree_search": _OP1, "op8_min_cost_flow_mix": _OP8, "op9_norm_bucketed_top_k": _OP9, "op11_son_collocations": _OP11}
+    return {"op1_vp_tree_search": _OP1, "op8_min_cost_flow_mix": _OP8, "op9_norm_bucketed_top_k": _OP9, "op11_son_collocations": _OP11, "op12_markov_url_filter": _OP12}

@@ -19,10 +19,19 @@ from carestrata.llm.simhash import simhash_components
 from carestrata.llm.substrings import remove_repeats
 from carestrata.llm.topk import norm_bucketed_top
 from carestrata.llm.toxicity import toxicity_scores
+from carestrata.llm.urls import judged_urls
 from carestrata.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Rules for the pages.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
 #: Vocabulary file of the packed sequences, in the package that brings it.
 TOKENIZER = "word_bpe_49k.json"
 
@@ -91,6 +100,11 @@ def op11_son_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(read_table(spark, folder, "documents"), support=10, longest=3, percent=50, top=2000)
 
 
+def op12_markov_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return judged_urls(read_table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op13_rank_convergence_repair(spark: SparkSession, folder: str) -> DataFrame:
     """The cheapest repair of every conversation, damaged first."""
     rows = read_table(spark, folder, "conversations")
@@ -113,6 +127,7 @@ def llm_queries() -> dict[str, Query]:
             op9_norm_bucketed_top_k,
             op10_entropy_secret_scan,
             op11_son_collocations,
+            op12_markov_url_filter,
             op13_rank_convergence_repair,
         )
     }
