@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -205,14 +206,18 @@ def levels(chunk: Chunk, maps: list[Bitmap], longest: int) -> Iterator[Level]:
 
 
 def _passes(docs: DataFrame, schema: str, size: int, context: int, rows: Callable[[Chunk], Iterator[list]]) -> DataFrame:
-    """A table made of the chunks of all texts, one list of columns at a time."""
+    """A table made of the chunks of all texts, one list of columns at a time.
+
+    Columns of one value for a whole chunk are given as that value.
+    """
     names = [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches, size, context):
             for columns in rows(chunk):
-                if len(columns[0]):
-                    yield pa.RecordBatch.from_arrays([pa.repeat(chunk.lang, len(columns[0])), *columns], names=names)
+                n = len(columns[-1])
+                if n:
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.repeat(c, n) for c in columns], names=names)
 
     return docs.mapInArrow(run, schema)
 
@@ -235,22 +240,25 @@ def word_counts(docs: DataFrame, shards: int = SHARDS, size: int = CHUNK) -> Dat
         _, keys = word_hashes(chunk)
         counts = np.bincount(chunk.ids[chunk.fresh], minlength=len(chunk.words))
         shard = TaskContext.get().partitionId() % shards
-        yield [pa.repeat(pa.scalar(shard, pa.int32()), len(counts)), chunk.words.cast(pa.large_string()).cast(pa.string()), _signed(keys), _ints(counts)]
+        yield [chunk.lang, pa.scalar(shard, pa.int32()), chunk.words.cast(pa.large_string()).cast(pa.string()), _signed(keys), _ints(counts)]
 
     found = _passes(docs, "lang string, shard int, word string, key bigint, n bigint", size, 0, rows)
     return found.groupBy("lang", "shard", "word").agg(F.max("key").alias("key"), F.sum("n").alias("n"))
 
 
 def shares(words: DataFrame, support: int) -> DataFrame:
-    """(lang, shard, least): the support of a shard, in proportion to its words.
+    """(part, least): the support of a language in a shard, in proportion to its words.
 
     ``least`` is rounded up, so the supports of all shards less one each stay below
-    ``support``: a phrase that misses every one of them is not frequent.
+    ``support``: a phrase that misses every one of them is not frequent. ``part`` numbers
+    language and shard; languages that share a number by chance take the lower support.
     """
     per_shard = words.groupBy("lang", "shard").agg(F.sum("n").alias("here"))
     total = per_shard.groupBy("lang").agg(F.sum("here").alias("all"))
+    part = F.crc32(F.col("lang").cast("binary")) * 16 + F.col("shard")
     share = F.lit(support) * F.col("here").cast("decimal(20,0)") / F.col("all").cast("decimal(20,0)")
-    return per_shard.join(total, "lang").select("lang", "shard", F.greatest(F.lit(1), F.ceil(share).cast("long")).alias("least"))
+    each = per_shard.join(total, "lang").select(part.alias("part"), F.greatest(F.lit(1), F.ceil(share).cast("long")).alias("least"))
+    return each.groupBy("part").agg(F.min("least").alias("least"))
 
 
 def mined(docs: DataFrame, least: DataFrame, maps: list[bytes], shards: int, size: int) -> DataFrame:
@@ -259,15 +267,15 @@ def mined(docs: DataFrame, least: DataFrame, maps: list[bytes], shards: int, siz
     sent = docs.sparkSession.sparkContext.broadcast(maps)
 
     def rows(chunk: Chunk) -> Iterator[list]:
-        shard = TaskContext.get().partitionId() % shards
+        part = crc32(chunk.lang.encode()) * 16 + TaskContext.get().partitionId() % shards
         bits = [Bitmap(np.frombuffer(m, dtype=np.uint8)) for m in sent.value]
         *_, last = levels(chunk, bits, length)
-        yield [pa.repeat(pa.scalar(shard, pa.int32()), len(last.keys)), _signed(last.keys), _ints(last.counts)]
+        yield [pa.scalar(part, pa.int64()), _signed(last.keys), _ints(last.counts)]
 
-    found = _passes(docs, "lang string, shard int, key bigint, n bigint", size, length - 1, rows)
-    summed = found.groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+    found = _passes(docs, "part bigint, key bigint, n bigint", size, length - 1, rows)
+    summed = found.groupBy("part", "key").agg(F.sum("n").alias("n"))
     enough = F.col("n") >= F.coalesce("least", F.lit(1))
-    return summed.join(broadcast_when_small(least), ["lang", "shard"], "left").where(enough).select("key").distinct()
+    return summed.join(broadcast_when_small(least), "part", "left").where(enough).select("key").distinct()
 
 
 def counted(docs: DataFrame, maps: list[bytes], support: int, size: int) -> DataFrame:
@@ -280,7 +288,7 @@ def counted(docs: DataFrame, maps: list[bytes], support: int, size: int) -> Data
         text = chunk.words.cast(pa.large_string()).cast(pa.string())
         for level in levels(chunk, bits, longest):
             members = [text.take(pa.array(column)) for column in level.members.T]
-            yield [pc.binary_join_element_wise(*members, " "), pa.repeat(pa.scalar(len(members), pa.int32()), len(level.counts)), _ints(level.counts)]
+            yield [chunk.lang, pc.binary_join_element_wise(*members, " "), pa.scalar(len(members), pa.int32()), _ints(level.counts)]
 
     found = _passes(docs, "lang string, phrase string, words int, a bigint", size, longest - 1, rows)
     return found.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= support)
