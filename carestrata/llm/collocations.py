@@ -32,7 +32,7 @@ from carestrata.runtime import broadcast_when_small, discard, materialise
 #: Shards of the texts. Up to nine, a phrase seen once in each need not be frequent.
 SHARDS = 4
 #: Bytes of text counted at one time.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 #: Bounds of a bitmap's size, as powers of two.
 FEWEST_BITS, MOST_BITS = 15, 28
 #: Bits of one row of a bitmap (what ``bitmap_construct_agg`` makes).
