@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from carestrata.runtime import broadcast_when_small, discard, materialise
 
 #: Shards of the texts. Up to nine, a phrase seen once in each need not be frequent.
-SHARDS = 4
+SHARDS = 3
 #: Bytes of text counted at one time.
 CHUNK = 1 << 22
 #: Bounds of a bitmap's size, as powers of two.
