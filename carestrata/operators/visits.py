@@ -21,9 +21,9 @@ from carestrata.functions.encounter_classes import (
     visit_priority,
 )
 from carestrata.functions.parsing import two_digit_code, typed_null
-from carestrata.operators.ids import with_surrogate_id
+from carestrata.operators.ids import with_lasting_id, with_surrogate_id
 from carestrata.operators.intervals import collapse_intervals
-from carestrata.runtime import broadcast_bounded
+from carestrata.runtime import broadcast_bounded, materialise
 
 # Id distance between a visit and its detail row; type concept of
 # a visit taken from an encounter record; vocabulary of discharge codes.
@@ -31,8 +31,8 @@ DETAIL_ID_OFFSET = 1_000_000
 VISIT_TYPE_CONCEPT = 32827
 DISCHARGE_VOCABULARY = "UB04 Pt dis status"
 
-# Width of the calendar slices in which encounters meet visits.
-SLICE_DAYS = 32
+# The tree of days in which encounters meet visits: 2 ** 22 days from 0001-01-01 on.
+TREE_DEPTH, FIRST_DAY = 22, -719162
 
 _INTERVAL = ["patient", "encounterclass", "start_date", "stop_date"]
 
@@ -84,43 +84,67 @@ def collapse_inpatient(encounters: DataFrame, gap_days: int) -> DataFrame:
     )
 
 
-def all_visits(encounters: DataFrame, inpatient_gap_days: int = 1) -> DataFrame:
-    """Visits with an id over the total order patient, class, start, encounter."""
+def all_visits(encounters: DataFrame, inpatient_gap_days: int = 1, registry: str | None = None) -> DataFrame:
+    """Visits with an id over the total order patient, class, start, encounter.
+
+    With a ``registry`` a visit keeps its id over all builds as long as its patient,
+    class and start stay; a visit whose start moves is another visit.
+    """
+    found = visit_intervals(encounters, inpatient_gap_days)
+    if registry is not None:
+        return with_lasting_id(found, "visit_occurrence_id", ["patient", "encounterclass", "visit_start_date"], registry)
     return with_surrogate_id(
-        visit_intervals(encounters, inpatient_gap_days),
+        found,
         "visit_occurrence_id",
         ["patient", "encounterclass", "visit_start_date", "encounter_id"],
     )
 
 
-def _slice_of(col):
-    return F.floor(F.unix_date(col) / SLICE_DAYS).cast("int")
+def _leaf(date: str) -> str:
+    """A date as a leaf of the tree of days: its nodes are numbered from 1, top down."""
+    return f"least(greatest(unix_date({date}) + {-FIRST_DAY}, 0), {(1 << TREE_DEPTH) - 1}) + {1 << TREE_DEPTH}"
+
+
+def covering_nodes(start: str, end: str):
+    """The fewest nodes of the tree of days that make up an interval, at most two a level.
+
+    Going up from both ends, a node counts that sticks out of its parent: the left
+    end's if it is a right child, the one before the right end if that is one.
+    """
+    low, past = _leaf(start), f"{_leaf(end)} + 1"
+    left = f"shiftright({low} + shiftleft(1, i) - 1, i)"
+    right = f"shiftright({past}, i)"
+    nodes = f"""flatten(transform(sequence(0, {TREE_DEPTH}), i -> if({left} < {right},
+        array(if({left} % 2 = 1, {left}, null), if({right} % 2 = 1, {right} - 1, null)), array(null, null))))"""
+    return F.array_compact(F.expr(nodes))
 
 
 def candidate_intervals(encounters: DataFrame, visits: DataFrame) -> DataFrame:
     """Each distinct encounter interval with every visit that contains it.
 
-    Equal encounters are reduced to one row first, and both sides meet per
-    calendar slice: an encounter lies in the slice of its start, a visit in all
-    the slices it covers up to the patient's last encounter, so an open-ended visit
-    costs no more than the time that is on record. A busy patient is thereby spread
-    over many groups.
+    Days are the leaves of a binary tree. A visit is cut into the nodes that make it
+    up, at most two a level, however long it stays open; an encounter's start lies
+    below one node of each level, so it meets each visit around it at exactly one node.
+    Equal encounters are reduced to one row first. The rows that join are as many as
+    there are visits around the starts, and a busy patient is spread over many nodes.
     """
-    last = encounters.groupBy("patient").agg(F.max("start_date").alias("_last"))
-    distinct = encounters.select(_INTERVAL).distinct().withColumn("_slice", _slice_of("start_date"))
-    covering = visits.join(last, "patient").filter("visit_start_date <= _last").select(
-        "patient",
-        F.col("visit_occurrence_id").alias("visit_occurrence_id_new"),
-        F.col("encounterclass").alias("visit_type"),
-        "visit_start_date",
-        "visit_end_date",
-        F.explode(
-            F.sequence(_slice_of("visit_start_date"), _slice_of(F.least("visit_end_date", "_last")))
-        ).alias("_slice"),
+    cover = materialise(
+        visits.select(
+            "patient",
+            F.col("visit_occurrence_id").alias("visit_occurrence_id_new"),
+            F.col("encounterclass").alias("visit_type"),
+            "visit_start_date",
+            "visit_end_date",
+            F.explode(covering_nodes("visit_start_date", "visit_end_date")).alias("_node"),
+        ),
+        "visit-nodes",
     )
-    return distinct.join(covering, ["patient", "_slice"]).filter(
-        "start_date >= visit_start_date and stop_date <= visit_end_date"
-    ).drop("_slice")
+    # Of the 23 levels only those that some visit uses: usually few, as stays are short.
+    level = F.expr(f"{TREE_DEPTH} - floor(log2(_node + 0.5))").cast("int")
+    used = sorted(r[0] for r in cover.select(level).distinct().collect())
+    above = F.array(*[F.expr(f"shiftright({_leaf('start_date')}, {n})") for n in used]) if used else F.array().cast("array<int>")
+    distinct = encounters.select(_INTERVAL).distinct().withColumn("_node", F.explode(above))
+    return distinct.join(cover, ["patient", "_node"]).filter("start_date >= visit_start_date and stop_date <= visit_end_date").drop("_node")
 
 
 def assign_all_visit_ids(encounters: DataFrame, visits: DataFrame) -> DataFrame:

@@ -572,6 +572,61 @@ class Bound:
             "explode(array(struct(1 as r, 10 + r_regionkey as n, 1L as k), struct(2 as r, 1 as n, 2L as k))) as e",
         ).selectExpr("study", "3 as cohort_id", "e.r as rule", "e.n as min_count", "e.k as concept_id")
 
+    @cached_property
+    def window_settings(self) -> DataFrame:
+        """A study per region, each with windows of its own."""
+        return self.table("region").selectExpr(
+            "r_name as study",
+            "r_regionkey as prior_days",
+            "if(r_regionkey = 4, null, 2 * r_regionkey) as washout_days",
+            "if(r_regionkey = 3, 0, 1) as risk_start",
+            "case r_regionkey when 1 then 9000000 when 2 then null else 10 end as risk_end",
+            "r_regionkey = 3 as risk_from_end",
+            "if(r_regionkey = 0, null, r_regionkey <> 4) as censor_at_outcome",
+        )
+
+    @cached_property
+    def window_targets(self) -> DataFrame:
+        """Rows of each study's purchases; every fifth subject's are still open."""
+        return self.cohort.filter("cohort_id = 1").selectExpr(
+            "study",
+            "cohort_id as target_id",
+            "subject_id",
+            "cohort_start_date as index_date",
+            "if(subject_id % 5 = 0, null, cohort_end_date) as end_date",
+        )
+
+    @cached_property
+    def window_outcomes(self) -> DataFrame:
+        return self.cohort.filter("cohort_id in (2, 3)").selectExpr(
+            "study", "cohort_id as outcome_id", "subject_id", "cohort_start_date as outcome_date"
+        )
+
+    @cached_property
+    def window_outcome_ids(self) -> DataFrame:
+        return self.table("region").selectExpr("r_name as study", "explode(array(2, 3, 9)) as outcome_id")
+
+    @cached_property
+    def window_periods(self) -> DataFrame:
+        """Two periods a person, some open, some far in the future, the second overlapping for some."""
+        days = self.event_periods.selectExpr(
+            "person_id",
+            "observation_period_start_date as a",
+            "observation_period_end_date as b",
+            "date_add(observation_period_start_date, cast(datediff(observation_period_end_date, observation_period_start_date) / 2 as int)) as m",
+        )
+        early = days.selectExpr("person_id", "a as observation_period_start_date", "if(person_id % 3 = 0, date_add(m, 2), date_sub(m, 1)) as observation_period_end_date")
+        late = days.selectExpr(
+            "person_id",
+            "if(person_id % 3 = 1, date_add(m, 1), m) as observation_period_start_date",
+            "case when person_id % 7 = 0 then null when person_id % 11 = 0 then date'9999-12-31' else b end as observation_period_end_date",
+        )
+        return early.unionByName(late)
+
+    @cached_property
+    def window_deaths(self) -> DataFrame:
+        return self.event_intervals.filter("concept = 'signup'").selectExpr("person_id", "if(person_id % 4 = 0, end_date, null) as death_date")
+
     # -- documents -----------------------------------------------------------
 
     @cached_property

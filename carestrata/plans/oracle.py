@@ -261,12 +261,13 @@ _cte(
         cast(cast(floor(o_totalprice) as bigint) % 2000 as varchar) as reasoncode
     from orders""",
 )
+_cte("early_enc", "select * from ev_enc where start_date < (select max(start_date) - 6 from ev_enc)", "ev_enc")
 _GROUP = """case when {0} = 'inpatient' then 'inpatient' when {0} in ('emergency', 'urgent', 'urgentcare') then 'emergency'
     when {0} in ('ambulatory', 'wellness', 'outpatient') then 'outpatient' end"""
 _PRIORITY = f"""case when visit_occurrence_id_new is null or {_GROUP.format('encounterclass')} is null then 99
     when {_GROUP.format('visit_type')} = 'inpatient' then 1
     when {_GROUP.format('encounterclass')} = {_GROUP.format('visit_type')} then 2 else 99 end"""
-for _p in ("ev", "ord"):
+for _p in ("ev", "ord", "early"):
     _cte(
         f"{_p}_ip_in",
         f"select encounter_id, patient, encounterclass, start_date, stop_date as end_date from {_p}_enc "
@@ -566,6 +567,75 @@ _islands("instantiated_open", "limited_open", _COHORT, 0, "")
 _islands("cohort_eras", "cohort", _COHORT, 2, "")
 _COHORT_ROW = "study, cohort_id, subject_id, start_date as cohort_start_date, end_date as cohort_end_date"
 
+_cte(
+    "win_periods",
+    """select person_id, a as start_date, case when person_id % 3 = 0 then m + 2 else m - 1 end as end_date
+    from (select person_id, period_start as a, period_start + cast(floor((period_end - period_start) / 2) as integer) as m from periods)
+    where case when person_id % 3 = 0 then m + 2 else m - 1 end >= a
+    union all
+    select person_id, case when person_id % 3 = 1 then m + 1 else m end as s,
+        case when person_id % 7 = 0 or person_id % 11 = 0 then date '9999-12-31' else b end
+    from (select person_id, period_end as b, period_start + cast(floor((period_end - period_start) / 2) as integer) as m from periods)
+    where case when person_id % 7 = 0 or person_id % 11 = 0 then date '9999-12-31' else b end >= case when person_id % 3 = 1 then m + 1 else m end""",
+    "periods",
+)
+_cte(
+    "win_joined",
+    """select person_id, min(start_date) as period_start, max(end_date) as period_end from (
+        select *, sum(fresh) over (partition by person_id order by start_date, end_date rows unbounded preceding) as island from (
+            select *, case when start_date <= date_add(max(end_date) over (partition by person_id order by start_date, end_date
+                rows between unbounded preceding and 1 preceding), interval 1 day) then 0 else 1 end as fresh from win_periods))
+    group by person_id, island""",
+    "win_periods",
+)
+_cte(
+    "win_timed",
+    """select *, case when risk_end is null then observed_end
+            else least(observed_end, cast(case when risk_end > 3000000 then timestamp '9999-12-31' when from_end
+                then greatest(index_date, coalesce(end_date, period_end)) + risk_end else index_date + risk_end end as date)) end as risk_end_date
+    from (
+        select t.study, t.target_id, t.subject_id, t.index_date, t.end_date, o.outcome_id, p.period_start, p.period_end, s.*  exclude (study),
+            cast(t.index_date + s.risk_start as date) as risk_start_date,
+            least(coalesce(p.period_end, date '9999-12-31'), coalesce(
+                (select min(d.end_date) from ev d where d.concept = 'signup' and d.person_id = t.subject_id and d.person_id % 4 = 0),
+                date '9999-12-31')) as observed_end
+        from (select study, 1 as target_id, subject_id, start_date as index_date,
+                max(case when subject_id % 5 <> 0 then end_date end) as end_date
+            from cohort where cohort_id = 1 group by study, subject_id, start_date) t
+        join (select r_name as study, r_regionkey as prior_days, case when r_regionkey <> 4 then 2 * r_regionkey end as washout_days,
+                case when r_regionkey = 3 then 0 else 1 end as risk_start,
+                case r_regionkey when 1 then 9000000 when 2 then null else 10 end as risk_end,
+                r_regionkey = 3 as from_end, r_regionkey in (1, 2, 3) as censored from region) s on s.study = t.study
+        cross join (values (2), (3), (9)) o(outcome_id)
+        left join win_joined p on p.person_id = t.subject_id and t.index_date between p.period_start and p.period_end)""",
+    "cohort",
+    "ev",
+    "win_joined",
+)
+_cte(
+    "win",
+    """select study, target_id, subject_id, index_date, outcome_id, prior as prior_observation_days, last_outcome_date,
+        case when counts then risk_start_date end as risk_start_date, case when counts then risk_end_date end as risk_end_date,
+        case when counts then outcome_date end as outcome_date,
+        case when counts then cast(case when censored then least(risk_end_date, outcome_date) else risk_end_date end - risk_start_date + 1 as bigint) else 0 end
+            as days_at_risk, status
+    from (select *, status in ('case', 'no case') as counts from (
+        select *, cast(index_date - period_start as bigint) as prior,
+            case when period_start is null or index_date > observed_end then 'not observed'
+                when index_date - period_start < prior_days then 'short prior observation'
+                when last_outcome_date is not null and (washout_days is null or index_date - last_outcome_date <= washout_days) then 'prior outcome'
+                when risk_start_date > risk_end_date then 'no time at risk'
+                when outcome_date is not null then 'case' else 'no case' end as status
+        from (select w.*,
+                (select max(c.start_date) from cohort c where c.study = w.study and c.cohort_id = w.outcome_id
+                    and c.subject_id = w.subject_id and c.start_date < w.index_date) as last_outcome_date,
+                (select min(c.start_date) from cohort c where c.study = w.study and c.cohort_id = w.outcome_id
+                    and c.subject_id = w.subject_id and c.start_date between w.risk_start_date and w.risk_end_date) as outcome_date
+            from win_timed w)))""",
+    "cohort",
+    "win_timed",
+)
+
 # -- documents ---------------------------------------------------------------
 
 _cte(
@@ -943,6 +1013,15 @@ def all_sql() -> dict[str, str]:
         "surrogate_ids": """select row_number() over (order by o_custkey, o_orderdate, o_orderkey) as order_number,
             o_custkey, o_orderdate, o_orderkey from orders""",
         "all_visits": _sql("select * from ev_visits", "ev_visits"),
+        "lasting_visit_ids": _sql(
+            """select coalesce(f.visit_occurrence_id, (select max(visit_occurrence_id) from early_visits)
+                + row_number() over (partition by f.visit_occurrence_id is null order by v.patient, v.encounterclass, v.visit_start_date))
+                as visit_occurrence_id, v.patient, v.encounterclass, v.visit_start_date, f.visit_occurrence_id as given_before
+            from ev_visits v left join early_visits f on f.patient = v.patient and f.encounterclass = v.encounterclass
+                and f.visit_start_date = v.visit_start_date""",
+            "early_visits",
+            "ev_visits",
+        ),
         "assign_all_visit_ids": _sql("select * from ev_assign", "ev_assign"),
         "final_visit_ids": _sql("select * from ev_final", "ev_final"),
         "resolved_visits": _sql("select * from ev_final", "ev_final"),
@@ -1070,6 +1149,14 @@ def all_sql() -> dict[str, str]:
             from region where r_regionkey = 0""",
         "cohort_instantiation": _sql(f"select {_COHORT_ROW} from instantiated", "instantiated"),
         "cohort_to_period_end": _sql(f"select {_COHORT_ROW} from instantiated_open", "instantiated_open"),
+        "cohort_windows": _sql("select * from win", "win"),
+        "cohort_incidence": _sql(
+            """select study, target_id, outcome_id, count(*) as index_dates,
+                count(*) filter (status in ('not observed', 'short prior observation')) as without_history,
+                count(*) filter (status = 'prior outcome') as washed_out, count(*) filter (status = 'no time at risk') as without_time,
+                count(*) filter (status = 'case') as cases, cast(sum(days_at_risk) as bigint) as days_at_risk from win group by 1, 2, 3""",
+            "win",
+        ),
         "cohort_era_collapse": _sql(f"select {_COHORT_ROW} from cohort_eras", "cohort_eras"),
         "cohort_subjects": _sql(
             "select study, cohort_id, count(distinct subject_id) as subjects from cohort group by 1, 2", "cohort"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.parsing import staging_date
 from carestrata.operators import demographics, events, intervals, quality, visits, vocab
-from carestrata.operators.ids import with_surrogate_id
+from carestrata.operators.ids import with_copy_number, with_lasting_id, with_surrogate_id
 from carestrata.runtime import materialise, scratch
 from carestrata.schema import MAP_TABLES, POPULATED, REQUIRED_VOCABULARY, VISIT_TABLES
 from carestrata.sources import datasets
@@ -116,12 +116,14 @@ def build_dataset(
     target: str,
     released: str,
     coded_tables: dict[str, tuple] = CODED_TABLES,
+    registry: str | None = None,
 ) -> None:
     """Build every table of the model below ``target``, replacing what is there.
 
     ``staging`` holds text tables by name, ``vocabulary`` typed ones; ``states``
     maps state names to abbreviations; ``coded_tables`` says which staging tables hold
-    codes, between which dates and of which vocabularies. Without a loaded vocabulary nothing is built.
+    codes, between which dates and of which vocabularies. With a ``registry`` folder, ids
+    of visits and of coded events last over builds. Without a loaded vocabulary nothing is built.
     Tables of an earlier build are cleared first, so that a build that fails leaves
     none of them beside new ones, and what is stored on the way is removed at the end.
     """
@@ -130,7 +132,7 @@ def build_dataset(
         raise ValueError(f"vocabulary tables without rows: {', '.join(empty)}")
     datasets.clear_tables(spark, target, [*POPULATED, *MAP_TABLES, *VISIT_TABLES, UNMAPPED])
     with scratch(spark):
-        _build(spark, staging, vocabulary, states, target, released, coded_tables)
+        _build(spark, staging, vocabulary, states, target, released, coded_tables, registry)
 
 
 def _build(
@@ -141,7 +143,15 @@ def _build(
     target: str,
     released: str,
     coded_tables: dict[str, tuple],
+    registry: str | None,
 ) -> None:
+    def numbered(df: DataFrame, table: str) -> DataFrame:
+        """Rows equal in every column are interchangeable, so all columns are a total order."""
+        if registry is None:
+            return with_surrogate_id(df, f"{table}_id", df.columns)
+        single = with_copy_number(df)
+        return with_lasting_id(single, f"{table}_id", single.columns, f"{registry}/{table}").drop("copy")
+
     def save(df: DataFrame, name: str) -> DataFrame:
         datasets.write_table(df, target, name)
         return datasets.open_table(spark, target, name)
@@ -158,7 +168,7 @@ def _build(
 
     encounters = materialise(typed_encounters(staging["encounters"]), "encounters")
     patients = typed_patients(staging["patients"], states)
-    rolled = save(visits.all_visits(encounters), "all_visits")
+    rolled = save(visits.all_visits(encounters, registry=registry and f"{registry}/visit_occurrence"), "all_visits")
     final_ids = save(visits.resolve_visits(encounters, rolled), "final_visit_ids")
 
     location = materialise(demographics.location(patients, PLACE), "location")
@@ -185,12 +195,11 @@ def _build(
     for domain, (name, project) in DOMAIN_TABLES.items():
         own = mapped.filter(F.col("target_domain_id") == domain)
         table = project(own) if domain == "Observation" else project(own, RECORD_TYPE_CONCEPT)
-        # Rows equal in every column are interchangeable, so this order is total.
-        save_model(with_surrogate_id(table, f"{name}_id", table.columns), name)
+        save_model(numbered(table, name), name)
         if domain in BILLED:
             distinct = own.select("person_id", "encounter", "code", "date").distinct()
-            numbered = with_surrogate_id(distinct, "event_id", distinct.columns)
-            billed.append(demographics.billable(numbered, "event_id", domain))
+            events_of = with_surrogate_id(distinct, "event_id", distinct.columns)
+            billed.append(demographics.billable(events_of, "event_id", domain))
 
     exposures = datasets.open_table(spark, target, "drug_exposure")
     save_model(intervals.with_era_id(intervals.drug_eras(exposures, concept, closure), "drug"), "drug_era")

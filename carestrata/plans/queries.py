@@ -21,11 +21,12 @@ from carestrata.operators import (
     quality,
     visits,
     vocab,
+    windows,
 )
 from carestrata.operators.ids import with_surrogate_id
 from carestrata.plans import pipeline
 from carestrata.plans.bindings import BILLED_DOMAINS, CLINICAL_TYPE, PLACE, VOCABULARIES, Bound
-from carestrata.runtime import scratch_path
+from carestrata.runtime import materialise, scratch_path
 from carestrata.schema import POPULATED, UNPOPULATED
 from carestrata.sources import datasets, delimited, manifest
 from carestrata.streaming.staging import stage_new_files
@@ -456,6 +457,22 @@ def all_visits(b: Bound) -> DataFrame:
     return visits.all_visits(b.event_encounters)
 
 
+@query
+def lasting_visit_ids(b: Bound) -> DataFrame:
+    """Visits of two builds over one registry: up to the last week's encounters, then of all.
+
+    ``given_before`` is the id of the first build, which the second keeps.
+    """
+    registry = scratch_path(b.spark, "registry")
+    last = b.event_encounters.agg(F.date_sub(F.max("start_date"), 6).alias("_last"))
+    early = b.event_encounters.join(F.broadcast(last), F.col("start_date") < F.col("_last")).drop("_last")
+    keys = ["patient", "encounterclass", "visit_start_date"]
+    before = materialise(visits.all_visits(early, registry=registry), "first-build")
+    after = visits.all_visits(b.event_encounters, registry=registry)
+    given = before.select(*keys, F.col("visit_occurrence_id").alias("given_before"))
+    return after.join(given, keys, "left").select("visit_occurrence_id", *keys, "given_before")
+
+
 @query
 def assign_all_visit_ids(b: Bound) -> DataFrame:
     return visits.assign_all_visit_ids(b.event_encounters, b.event_visits)
@@ -730,6 +747,22 @@ def study_problems(b: Bound) -> DataFrame:
     return cohorts.study_problems(b.studies, b.manifest)
 
 
+def _windows(b: Bound) -> DataFrame:
+    return windows.cohort_windows(
+        b.window_targets, b.window_outcomes, b.window_outcome_ids, b.window_periods, b.window_deaths, b.window_settings
+    )
+
+
+@query
+def cohort_windows(b: Bound) -> DataFrame:
+    return _windows(b)
+
+
+@query
+def cohort_incidence(b: Bound) -> DataFrame:
+    return windows.incidence(_windows(b))
+
+
 @query
 def membership_difference(b: Bound) -> DataFrame:
     buyers = b.event_intervals.filter("concept = 'purchase'").select("person_id", "start_date")
