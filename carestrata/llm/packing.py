@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from string import punctuation
 from types import ModuleType
@@ -27,6 +28,8 @@ class WordIds:
     """
 
     def __init__(self, path: str, most: int = 400_000):
+        # Spark runs a worker per core; threads of their own would only hold memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -39,7 +42,14 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         if suffix:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.units = bool(self.ends.any())
+        # A word may be taken apart from its case and its punctuation only where the
+        # tokenizer does so itself.
+        parts = [punctuation, *punctuation]
+        self.units = bool(
+            self.ends.any()
+            and self._ids("AbC") == self._ids("abc")
+            and all(self._ids("ab" + p) == self._ids("ab") + self._ids(p) for p in parts)
+        )
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:

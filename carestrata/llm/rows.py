@@ -14,6 +14,17 @@ from pyspark.sql.types import StructType
 _SLICE = 512
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores more as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def add_columns(df: DataFrame, sources: list[str], new: str, compute: Callable[..., list], drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` without ``drop`` and with the columns that the DDL ``new`` names.
 

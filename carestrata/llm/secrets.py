@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carestrata.llm.rows import free_names
+
 # The patterns of the base kinds, in the order in which kinds are listed.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -27,10 +29,12 @@ CLASSES = (
     (r"^[A-Za-z]+$", "abcdefghijklmnopqrstuvwxyz", 4.0),
     (r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.6),
 )
-#: Runs that are known not to be secrets: rulers, paths of words, identifiers of the 8-4-4-4-12 form.
+#: Runs that are known not to be secrets: rulers, paths of words (words of under 20 letters with
+#: one separator between them, a slash before them at most), identifiers of the 8-4-4-4-12 form.
+#: No pattern repeats a group: that would take a call per repeat, and a long run the whole stack.
 ALLOWED = (
     r"^[-_=+/]+$",
-    r"^/?([A-Za-z]{1,19}[-_/=+])+[A-Za-z]{0,19}$",
+    r"^(?=/?[A-Za-z]+[-_/=+])(?!.*[A-Za-z]{20})(?!.+[-_/=+]{2})[A-Za-z/_=+-]+$",
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
 )
 #: Words that mark samples: a window that holds one whole is no secret.
@@ -40,6 +44,11 @@ _UNIT = 1_000_000
 _TERMS = [round(_UNIT * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value made once: what a lambda names from outside is made anew per element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _spans(text: Column, pattern: str, kind: int, keep) -> Column:
     """Array of (start, kind, end) of the matches that ``keep`` (match, number) accepts.
 
@@ -77,7 +86,8 @@ def base_spans(text: Column) -> Column:
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     long_enough = F.transform(values, lambda v: F.length(v) >= ASSIGN_LEAST)
     assign = _spans(text, ASSIGN, 0, None)
-    kept = F.filter(assign, lambda s, i: F.get(long_enough, i))
+    judged = F.arrays_zip(assign.alias("s"), long_enough.alias("fine"))
+    kept = F.transform(F.filter(judged, lambda x: x["fine"]), lambda x: x["s"])
     assign = F.when(F.size(assign) > 0, kept).otherwise(assign)
     access = _spans(text, f"AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}", 1, None)
     hexes = _spans(text, f"[0-9a-f]{{{HEX_LEAST},}}", 2, None)
@@ -113,12 +123,15 @@ def _window_hull(run: Column, alphabet: str, bits: float) -> Column:
             F.when(hit, x["i"]).otherwise(s["last"]).alias("last"),
         )
 
-    moves = F.transform(
+    moves = _bound(
         places,
-        lambda p, i: F.struct(
-            (i + 1).alias("i"),
-            p.alias("enters"),
-            F.when(i >= WINDOW, F.get(places, i - WINDOW)).otherwise(F.lit(0)).alias("leaves"),
+        lambda all_places: F.transform(
+            all_places,
+            lambda p, i: F.struct(
+                (i + 1).alias("i"),
+                p.alias("enters"),
+                F.when(i >= WINDOW, F.get(all_places, i - WINDOW)).otherwise(F.lit(0)).alias("leaves"),
+            ),
         ),
     )
     start = F.struct(
@@ -216,10 +229,10 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def with_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_base`` and ``_added``: arrays of (start, kind, end)."""
+def with_spans(docs: DataFrame, text_col: str = "text", base: str = "_base", added: str = "_added") -> DataFrame:
+    """``docs`` with the columns ``base`` and ``added``: arrays of (start, kind, end)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.withColumn("_base", base_spans(text)).withColumn("_added", entropy_spans(text, F.col("_base")))
+    return docs.withColumn(base, base_spans(text)).withColumn(added, entropy_spans(text, F.col(base)))
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,10 +264,11 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``; overlapping spans by one.
 
-    Texts without spans, null ones included, stay as they are.
+    Texts without spans, null ones included, stay as they are; so do columns of any name.
     """
-    rows = with_spans(docs, text_col)
-    text, spans = F.col(text_col), F.array_sort(F.concat("_base", "_added"))
+    base, added = free_names(docs, "_base", "_added")
+    rows = with_spans(docs, text_col, base, added)
+    text, spans = F.col(text_col), F.array_sort(F.concat(base, added))
     done = F.aggregate(
         spans,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -266,4 +280,4 @@ def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") ->
         ),
         lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))),
     )
-    return rows.withColumn(text_col, F.when(F.size(spans) > 0, done).otherwise(text)).drop("_base", "_added")
+    return rows.withColumn(text_col, F.when(F.size(spans) > 0, done).otherwise(text)).drop(base, added)

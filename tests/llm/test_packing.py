@@ -101,3 +101,21 @@ def test_awkward_rows(spark, awkward, nothing):
     pieces = packed_sequences(awkward, tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
     check_pieces(pieces.collect(), [tuple(r) for r in awkward.select("doc_id", "text").collect()])
     assert packed_sequences(nothing, tokenizer_path()).collect() == []
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_words_of_other_tokenizers(tmp_path, lower):
+    """A tokenizer that keeps case, or does not split punctuation, is never given words taken apart."""
+    from tokenizers import models, normalizers, pre_tokenizers
+
+    vocabulary = {t: i for i, t in enumerate(["a</w>", "b</w>", "a", "b", "A", "H", "i", "i</w>", ",", ",</w>", "B", "H</w>", "A</w>"])}
+    made = Tokenizer(models.BPE(vocab=vocabulary, merges=[], end_of_word_suffix="</w>"))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    if lower:
+        made.normalizer = normalizers.Lowercase()
+    path = f"{tmp_path}/t.json"
+    made.save(path)
+    words = WordIds(path)
+    for text in ("Aa bb", "Hi, ab", "a,b Ab,"):
+        ids = np.frombuffer(words.texts([text.encode()])[0], words.kind).tolist()
+        assert ids == made.encode(text, add_special_tokens=False).ids, text

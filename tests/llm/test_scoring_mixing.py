@@ -13,6 +13,8 @@ from carestrata.llm import mixing, quality, secrets, toxicity
 from carestrata.llm.oracle import llm_sql
 from carestrata.llm.queries import llm_queries
 
+from .test_secret_pieces import brute_added
+
 FOLDER, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 
 
@@ -146,22 +148,7 @@ def brute_spans(text):
     base = [(m.start(), 0, m.end()) for m in BASE[0].finditer(text) if len(m[2]) >= 12]
     base += [(m.start(), 1, m.end()) for m in BASE[1].finditer(text) if len(m[0]) >= 18]
     base += [(m.start(), 2, m.end()) for m in BASE[2].finditer(text) if len(m[0]) >= 16]
-    added = []
-    for m in re.finditer(secrets.CANDIDATE, text):
-        run = m[0]
-        if any(re.search(p, run) for p in secrets.ALLOWED):
-            continue
-        _, alphabet, bits = next(c for c in secrets.CLASSES if re.search(c[0], run))
-        own = run.lower() if alphabet == alphabet.lower() else run
-        hits = []
-        for i in range(len(own) - secrets.WINDOW + 1):
-            counts = Counter(own[i : i + secrets.WINDOW]).values()
-            if math.log2(secrets.WINDOW) - sum(c * math.log2(c) for c in counts) / secrets.WINDOW >= bits - 1e-6:
-                hits.append(i)
-        if hits:
-            a, b = m.start() + hits[0], m.start() + hits[-1] + secrets.WINDOW
-            if not any(s < b and a < e for s, _, e in base):
-                added.append((a, 3, b))
+    added = [(a, 3, b) for a, b in brute_added(text)]
     return base, added
 
 

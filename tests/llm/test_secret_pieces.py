@@ -68,3 +68,30 @@ def test_no_key_is_left_in_clear(spark, text):
 def test_samples_stay(spark):
     docs = spark.createDataFrame([(t,) for t in TEXTS[6:8]], "text string")
     assert sorted(r[0] for r in secrets.redacted(docs).where(F.lit(True)).collect()) == sorted(TEXTS[6:8])
+
+
+def test_long_runs_of_every_kind(spark):
+    """A megabyte of words and separators, rulers, letters and keys: no pattern recurses per repeat."""
+    n = 1_000_000
+    runs = ["ab-" * (n // 3), "a/b" * (n // 3), "=-" * (n // 2), "z" * n, "/" + "word_" * (n // 5) + "x", "password=" + "ab-" * (n // 3), "0f" * (n // 2)]
+    docs = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: r["spans"] for r in secrets.secret_scan(docs).collect()}
+    assert got == {0: "", 1: "", 2: "", 3: "", 4: "", 5: f"assign:0:{len(runs[5])}", 6: f"hex:0:{n}"}
+
+
+def test_a_long_run_of_keys_is_found(spark):
+    run = "".join(KEY[i % 21 :] + KEY[: i % 21] for i in range(5000))
+    docs = spark.createDataFrame([(1, run)], "doc_id long, text string").repartition(1)
+    assert secrets.secret_scan(docs).first()["spans"] == f"entropy:0:{len(run)}"
+
+
+@pytest.mark.parametrize("run", ["ab-cd-ef", "/ab/cd", "ab--cd", "//ab/cd", "-ab-cd", "ab", "/ab", "ab-", "a" * 20 + "-b", "a" * 19 + "-b", "ab-" + "c" * 20, "/ab//", "ab/", "=+=", "a1-b2"])
+def test_allowed_paths_of_words(spark, run):
+    plain = re.fullmatch(r"[-_=+/]+|/?([A-Za-z]{1,19}[-_/=+])+[A-Za-z]{0,19}", run) is not None
+    df = spark.createDataFrame([(run,)], "run string")
+    assert df.select(F.col("run").rlike("|".join(f"(?:{p})" for p in secrets.ALLOWED))).first()[0] == plain
+
+
+def test_helper_names_of_documents_stay(spark):
+    docs = spark.createDataFrame([(1, f"token={KEY}", "b", 5, "h")], "doc_id long, text string, _base string, _ADDED int, added_ string")
+    assert secrets.redacted(docs).first() == (1, "[secret]", "b", 5, "h")
