@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,6 +26,14 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Spark keeps a Python worker, and what it holds, from task to task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def add_columns(df: DataFrame, sources: list[str], new: str, compute: Callable[..., list], drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` without ``drop`` and with the columns that the DDL ``new`` names.
 
@@ -42,5 +51,6 @@ def add_columns(df: DataFrame, sources: list[str], new: str, compute: Callable[.
             made = compute(*(batch.column(s).to_pylist() for s in sources))
             columns = [batch.column(f.name) for f in kept] + [pa.array(v, type=t) for v, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.labelled import id_remainder, labels_of, seeded_first, texts_of
-from carestrata.llm.rows import add_columns
+from carestrata.llm.rows import add_columns, give_back
 
 #: Bounds of the samples: confirmed toxic examples and unlabelled texts.
 POSITIVES, UNLABELLED = 4000, 8000
@@ -148,6 +148,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out:
         chosen = telling_features(positive, unlabelled)
         weights = train_nnpu(presence(positive, chosen), presence(unlabelled, chosen), prior)
         yield pd.DataFrame({"word": [*chosen, None], "weight": weights})
+        texts.clear()
+        del positive, unlabelled
+        give_back()
 
     rows = sample.select("_kind", "_text").repartition(1).mapInPandas(train, "word string, weight double").collect()
     weights = {r["word"]: r["weight"] for r in rows if r["word"] is not None}
