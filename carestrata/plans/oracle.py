@@ -1149,6 +1149,8 @@ def all_sql() -> dict[str, str]:
             from region where r_regionkey = 0""",
         "cohort_instantiation": _sql(f"select {_COHORT_ROW} from instantiated", "instantiated"),
         "cohort_to_period_end": _sql(f"select {_COHORT_ROW} from instantiated_open", "instantiated_open"),
+        "refused_amounts": """select case l_returnflag when 'R' then 'PAYMENT' when 'A' then 'CHARGE' else 'TRANSFER' end as transfer_type,
+            count(*) filter (l_extendedprice > 100000) as refused_amounts from lineitem group by 1""",
         "cohort_windows": _sql("select * from win", "win"),
         "cohort_incidence": _sql(
             """select study, target_id, outcome_id, count(*) as index_dates,

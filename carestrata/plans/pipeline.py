@@ -277,7 +277,9 @@ def check_dataset(
     )
     gate = quality.threshold_gate(summary, min_person_rows, min_mapped_pct)
     rules = materialise(rule_checks({name: table(name) for name in RULED_TABLES}), "rules")
-    return {
+    moves = staging.get("claims_transactions")
+    refused = {} if moves is None else {"refused_amounts": demographics.refused_amounts(moves.withColumnRenamed("type", "transfer_type"))}
+    return refused | {
         "unmapped_events": table(UNMAPPED),
         "rule_checks": rules,
         "rule_summary": quality.check_summary(rules),

@@ -689,6 +689,13 @@ def claim_costs(b: Bound) -> DataFrame:
     return demographics.claim_costs(b.claims, b.transactions, b.plan_periods)
 
 
+@query
+def refused_amounts(b: Bound) -> DataFrame:
+    """Amounts as text; those above 100,000 are written with a separator that no number has."""
+    text = F.expr("if(amount > 100000, format_number(amount, 2), cast(amount as string))")
+    return demographics.refused_amounts(b.transactions.withColumn("amount", text))
+
+
 @query
 def cost(b: Bound) -> DataFrame:
     costs = demographics.claim_costs(b.claims, b.transactions, b.plan_periods)

@@ -84,5 +84,6 @@ def test_folder_to_dataset_to_checks(spark, tmp_path):
     assert reports["failures"].count() == 0
     assert dict(rows(reports["staged_counts"]))["conditions"] == 3
     assert dict(rows(reports["discharge"], "check_name", "status"))["home_discharge_present"] == "PASS"
+    assert dict(rows(reports["refused_amounts"])) == {"CHARGE": 0, "PAYMENT": 1}
     failing = pipeline.check_dataset(spark, staging, target, 2024, min_person_rows=4)["failures"]
     assert rows(failing, "message") == [("person_rows is below its threshold",)]
