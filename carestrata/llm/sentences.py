@@ -268,10 +268,10 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bits = bitmap_of(again)
     discard(again)
     shared = materialise(likely_spans(rows, bits), "sentence-shared")
-    placed = shared.withColumn("place", F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "mark", "first"))
-    one = placed.groupBy("hash", "check").agg(F.min("place").alias("one"), F.max("place").alias("other"))
-    one = materialise(one.where("one < other").select("hash", "check", "one"), "sentence-one")
-    later = placed.join(one, ["hash", "check"]).where(F.col("place") > F.col("one"))
+    place = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "mark", "first")
+    one = shared.groupBy("hash", "check").agg(F.min(place).alias("one"), F.count("*").alias("n"))
+    one = materialise(one.where("n > 1").select("hash", "check", "one"), "sentence-one")
+    later = shared.join(one, ["hash", "check"]).where(place > F.col("one"))
     gone = later.groupBy("doc", "mark").agg(F.collect_set(F.struct("first", "last")).alias("gone"))
     gone = materialise(gone, "sentence-gone").withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
     discard(shared)
