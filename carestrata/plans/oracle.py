@@ -902,6 +902,36 @@ def _search(term: str, domain: str | None = None) -> str:
     )
 
 
+_cte(
+    "batch_terms",
+    """select distinct scope || ':' || split_part(concept_name, ' ', 1) as term_id, lower(split_part(concept_name, ' ', 1)) as low,
+        case when scope = 'drugs' then 'Drug' end as dom from concept, (select unnest(['all', 'drugs']) as scope)""",
+    "concept",
+)
+_cte(
+    "batch_direct",
+    f"""select term_id, {_SEARCH}, 0 as kind, row_number() over (partition by term_id order by
+            case when lower(concept_name) = low then 0 else 1 end, length(concept_name), concept_name, concept_id) as place
+        from concept, batch_terms where standard_concept = 'S' and invalid_reason is null
+        and contains(lower(concept_name), low) and (dom is null or dom = domain_id) qualify place <= 20""",
+    "concept",
+    "batch_terms",
+)
+_cte(
+    "batch_more",
+    f"""select term_id, c.concept_id, {_SEARCH.replace("concept_id,", "", 1)}, 1 as kind, row_number() over (partition by term_id
+            order by length(concept_synonym_name), concept_name, c.concept_id) as place
+        from concept c join syn s on s.concept_id = c.concept_id, batch_terms
+        where standard_concept = 'S' and invalid_reason is null and contains(lower(concept_synonym_name), low)
+        and (dom is null or dom = domain_id)
+        and term_id not in (select term_id from batch_direct group by 1 having count(*) >= 3) qualify place <= 10""",
+    "concept",
+    "syn",
+    "batch_terms",
+    "batch_direct",
+)
+
+
 _EDGE_ROWS = "select l_orderkey, l_partkey, l_discount, l_returnflag, o_orderstatus, o_orderpriority from lineitem join orders on l_orderkey = o_orderkey"
 _TOTALS = "select l_orderkey, cast(sum(cast(l_discount as decimal(18, 2))) as double) as total from lineitem group by 1"
 
@@ -920,6 +950,27 @@ def all_sql() -> dict[str, str]:
             from concept""",
             "concept",
         ),
+        "rejected_rows": _sql(
+            """select 'customer' as table_name, c_custkey || ',"' || c_name || '"' as line, '2 fields for 3 columns' as reason
+                from customer where c_acctbal < 0
+            union all select 'customer', c_custkey || ',"' || c_name || '",BUILDING,"more, of it"', '4 fields for 3 columns'
+                from customer where c_acctbal >= 0 and c_mktsegment = 'BUILDING'
+            union all select 'concept', cast(concept_id as varchar), '1 fields for 3 columns' from concept where domain_id = 'Drug'""",
+            "concept",
+        ),
+        "quarantined_staging": """select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as segment from customer
+            where c_acctbal >= 0 and c_mktsegment <> 'BUILDING'""",
+        "quarantined_vocabulary": _sql(
+            "select concept_id, concept_name, domain_id from concept where domain_id <> 'Drug'", "concept"
+        ),
+        "accepted_gate": _sql(
+            """select metric, value, cast(80 as double) as threshold, case when value >= 80 then 'PASS' else 'FAIL' end as status from (
+                select 'accepted_pct of customer' as metric, cast(100 as double)
+                    * count(*) filter (c_acctbal >= 0 and c_mktsegment <> 'BUILDING') / count(*) as value from customer
+                union all select 'accepted_pct of concept', cast(100 as double) * count(*) filter (domain_id <> 'Drug') / count(*)
+                from concept)""",
+            "concept",
+        ),
         "load_missing_tables": _sql(
             """select 'concept' as table_name, count(*) as row_count from concept
             union all select 'concept_ancestor', count(*) from closure
@@ -1047,6 +1098,13 @@ def all_sql() -> dict[str, str]:
             from nation""",
         "vocabulary_release": "select 'v5.0 ' || r_name as vocabulary_version from region where r_regionkey = 0",
         "concept_search": _search("bolt"),
+        "concept_search_batch": _sql(
+            f"""select term_id, row_number() over (partition by term_id order by least_place) as position, {_SEARCH} from (
+                select term_id, {_SEARCH}, min(kind * 1000 + place) as least_place
+                from (select * from batch_direct union all select * from batch_more) group by all)""",
+            "batch_direct",
+            "batch_more",
+        ),
         "concept_search_in_domain": _search("brand#1", "Drug"),
         "concept_search_synonyms": _search("syn economy"),
         "top_descendants": _sql(

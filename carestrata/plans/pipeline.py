@@ -17,7 +17,7 @@ from carestrata.operators import demographics, events, intervals, quality, visit
 from carestrata.operators.ids import with_copy_number, with_lasting_id, with_surrogate_id
 from carestrata.runtime import materialise, scratch
 from carestrata.schema import MAP_TABLES, POPULATED, REQUIRED_VOCABULARY, VISIT_TABLES
-from carestrata.sources import datasets
+from carestrata.sources import datasets, quarantine
 
 # Vocabularies whose codes occur in the staging tables, and the
 # type concept of a record taken from them.
@@ -260,8 +260,14 @@ def check_dataset(
     as_of_year: int,
     min_person_rows: int = quality.MIN_PERSON_ROWS,
     min_mapped_pct: float = quality.MIN_MAPPED_PCT,
+    extracts: dict[str, quarantine.Extract] | None = None,
+    min_accepted_pct: float = quarantine.MIN_ACCEPTED_PCT,
 ) -> dict[str, DataFrame]:
-    """Reports on a built dataset by name; ``failures`` is empty when it passes."""
+    """Reports on a built dataset by name; ``failures`` is empty when it passes.
+
+    With the ``extracts`` that the staging tables were read from, rows that did not fit
+    them are reported, and an extract of which too many did not fails.
+    """
     table = lambda name: datasets.open_table(spark, dataset, name)
     summary = materialise(
         quality.dataset_summary(
@@ -276,10 +282,16 @@ def check_dataset(
         "summary",
     )
     gate = quality.threshold_gate(summary, min_person_rows, min_mapped_pct)
+    failures = quality.stage_failures(gate, "dataset summary")
+    unfit = {}
+    if extracts:
+        accepted = materialise(quarantine.accepted_gate(extracts, min_accepted_pct), "accepted")
+        unfit = {"rejected_rows": quarantine.rejected_rows(extracts), "accepted": accepted}
+        failures = failures.unionByName(quality.stage_failures(accepted, "staging"))
     rules = materialise(rule_checks({name: table(name) for name in RULED_TABLES}), "rules")
     moves = staging.get("claims_transactions")
     refused = {} if moves is None else {"refused_amounts": demographics.refused_amounts(moves.withColumnRenamed("type", "transfer_type"))}
-    return refused | {
+    return refused | unfit | {
         "unmapped_events": table(UNMAPPED),
         "rule_checks": rules,
         "rule_summary": quality.check_summary(rules),
@@ -290,5 +302,5 @@ def check_dataset(
         "age_profile": quality.age_profile(table("person"), as_of_year),
         "discharge": quality.discharge_verdict(quality.discharge_summary(table("visit_occurrence"))),
         "gate": gate,
-        "failures": quality.stage_failures(gate, "dataset summary"),
+        "failures": failures,
     }

@@ -19,6 +19,7 @@ from carestrata.operators import (
     events,
     intervals,
     quality,
+    search,
     visits,
     vocab,
     windows,
@@ -28,7 +29,7 @@ from carestrata.plans import pipeline
 from carestrata.plans.bindings import BILLED_DOMAINS, CLINICAL_TYPE, PLACE, VOCABULARIES, Bound
 from carestrata.runtime import materialise, scratch_path
 from carestrata.schema import POPULATED, UNPOPULATED
-from carestrata.sources import datasets, delimited, manifest
+from carestrata.sources import datasets, delimited, manifest, quarantine
 from carestrata.streaming.staging import stage_new_files
 
 Query = Callable[[Bound], DataFrame]
@@ -94,6 +95,49 @@ def vocabulary_scan(b: Bound) -> DataFrame:
     return delimited.read_vocabulary(b.spark, path, "concept")
 
 
+def _ragged_extracts(b: Bound) -> dict[str, quarantine.Extract]:
+    """Customers and concepts as text, of which some rows have too few or too many fields."""
+    folder = scratch_path(b.spark, "ragged")
+    customer = b.table("customer").select(
+        F.expr("""c_custkey || ',"' || c_name || '"' || case when c_acctbal < 0 then ''
+            when c_mktsegment = 'BUILDING' then ',' || c_mktsegment || ',"more, of it"' else ',' || c_mktsegment end""")
+        .alias("id,name,segment")
+    )
+    concept = b.concept.select(
+        F.expr("cast(concept_id as string) || if(domain_id = 'Drug', '', '\\t' || concept_name || '\\t' || domain_id)").alias(
+            "concept_id\tconcept_name\tdomain_id"
+        )
+    )
+    for df, name in ((customer, "customer"), (concept, "CONCEPT")):
+        lines = df.write.option("header", True).option("sep", "\x01").option("quote", "")
+        lines = lines.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        lines.csv(f"{folder}/{name}.csv")
+    return {
+        "customer": quarantine.staging_extract(b.spark, f"{folder}/customer.csv", "customer"),
+        "concept": quarantine.vocabulary_extract(b.spark, f"{folder}/CONCEPT.csv", "concept"),
+    }
+
+
+@query
+def rejected_rows(b: Bound) -> DataFrame:
+    return quarantine.rejected_rows(_ragged_extracts(b)).drop("file")
+
+
+@query
+def quarantined_staging(b: Bound) -> DataFrame:
+    return _ragged_extracts(b)["customer"].rows
+
+
+@query
+def quarantined_vocabulary(b: Bound) -> DataFrame:
+    return _ragged_extracts(b)["concept"].rows
+
+
+@query
+def accepted_gate(b: Bound) -> DataFrame:
+    return quarantine.accepted_gate(_ragged_extracts(b), 80.0)
+
+
 @query
 def load_missing_tables(b: Bound) -> DataFrame:
     dataset = scratch_path(b.spark, "dataset")
@@ -556,6 +600,14 @@ def concept_search_synonyms(b: Bound) -> DataFrame:
     return vocab.search_concepts(b.concept, b.synonym, "syn economy")
 
 
+@query
+def concept_search_batch(b: Bound) -> DataFrame:
+    words = b.concept.select(F.split("concept_name", " ")[0].alias("term")).distinct()
+    terms = words.select(F.explode(F.array(F.lit("all"), F.lit("drugs"))).alias("scope"), "term")
+    domain = F.when(F.col("scope") == "drugs", "Drug").alias("domain_id")
+    return search.search_concepts_batch(b.concept, b.synonym, terms.select(F.concat_ws(":", "scope", "term").alias("term_id"), "term", domain))
+
+
 @query
 def top_descendants(b: Bound) -> DataFrame:
     ancestors = b.concept.filter("concept_class_id = 'Ingredient'").selectExpr("concept_id as ancestor_concept_id")

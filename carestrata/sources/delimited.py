@@ -117,8 +117,12 @@ def read_staging(
 def read_vocabulary(
     spark: SparkSession, path: str, table: str, nulls: tuple[str, ...] = VOCABULARY_NULLS
 ) -> DataFrame:
-    """A tab separated vocabulary file, unquoted, typed and with its nulls restored."""
-    raw = lower_names(spark.read.option("header", True).option("sep", "\t").option("quote", "").csv(path))
+    """A tab separated vocabulary file, unquoted, typed and with its nulls restored.
+
+    Rows that do not fit the header are errors; ``sources.quarantine`` sets them aside.
+    """
+    reader = spark.read.option("header", True).option("sep", "\t").option("quote", "")
+    raw = lower_names(reader.option("enforceSchema", False).option("mode", "FAILFAST").csv(path))
     return standardise_vocabulary(null_tokens_to_null(raw, nulls), table)
 
 

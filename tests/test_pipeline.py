@@ -2,7 +2,7 @@ from conftest import day, rows
 
 from carestrata.plans import pipeline
 from carestrata.schema import POPULATED, UNPOPULATED, table_schema
-from carestrata.sources import datasets, delimited
+from carestrata.sources import datasets, delimited, quarantine
 
 FILES = {
     "patients": "Id,BIRTHDATE,DEATHDATE,GENDER,STATE,COUNTY\na,-12592,11654,M,Ohio,X\nb,1980-05-01,,F,Ohio,X\nc,1990-01-01,NULL,F,Nowhere,\n",
@@ -87,3 +87,11 @@ def test_folder_to_dataset_to_checks(spark, tmp_path):
     assert dict(rows(reports["refused_amounts"])) == {"CHARGE": 0, "PAYMENT": 1}
     failing = pipeline.check_dataset(spark, staging, target, 2024, min_person_rows=4)["failures"]
     assert rows(failing, "message") == [("person_rows is below its threshold",)]
+
+    with (folder / "conditions.csv").open("a") as file:
+        file.write("one,two\n")
+    extracts = quarantine.staging_extracts(spark, str(folder))
+    checked = pipeline.check_dataset(spark, {n: e.rows for n, e in extracts.items()}, target, 2024, extracts=extracts)
+    assert rows(checked["rejected_rows"], "table_name", "line") == [("conditions", "one,two")]
+    assert rows(checked["failures"]) == [("staging", "accepted_pct of conditions is below its threshold")]
+    assert dict(rows(checked["staged_counts"]))["conditions"] == 3
