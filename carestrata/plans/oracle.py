@@ -1318,6 +1318,25 @@ def all_sql() -> dict[str, str]:
             ),
             "cond",
         ),
+        "sketched_profile": " union all ".join(
+            f"""select 'lineitem' as table_name, '{name}' as column_name, count(*) as n_rows,
+            count(*) - count({name}) as n_null, count(distinct {name}) as n_distinct,
+            true as counts_agree, true as distinct_within from lineitem"""
+            for name in (
+                "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                "l_tax", "l_returnflag", "l_linestatus",
+            )
+        ),
+        "frequent_values": " union all ".join(
+            f"""select 'lineitem' as table_name, '{name}' as column_name, cast({name} as varchar) as value,
+            count(*) as n_rows from lineitem where {name} is not null group by {name}"""
+            for name in ("l_returnflag", "l_linestatus", "l_linenumber")
+        ),
+        "dataset_difference": """select o_orderkey, case o_orderkey % 1000 when 1 then 'left' else 'changed' end as difference,
+            cast(1 as bigint) as n_left, cast(o_orderkey % 1000 > 1 as bigint) as n_right,
+            case o_orderkey % 1000 when 1 then '' when 2 then 'o_custkey,o_orderstatus' else 'o_orderstatus' end as changed_columns
+            from orders where o_orderkey % 1000 in (1, 2, 3)
+            union all select -o_orderkey, 'right', 0, 1, '' from orders where o_orderkey % 1000 = 7""",
         "concept_counts": _sql(
             """select condition_concept_id as concept_id, count(*) as n_rows, count(distinct person_id) as n_persons
             from cond group by 1""",

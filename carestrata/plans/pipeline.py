@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.functions.parsing import staging_date
-from carestrata.operators import demographics, events, intervals, quality, visits, vocab
+from carestrata.operators import demographics, events, intervals, quality, sketches, visits, vocab
 from carestrata.operators.ids import with_copy_number, with_lasting_id, with_surrogate_id
 from carestrata.runtime import materialise, scratch
 from carestrata.schema import MAP_TABLES, POPULATED, REQUIRED_VOCABULARY, VISIT_TABLES
@@ -296,6 +296,9 @@ def check_dataset(
         "rule_checks": rules,
         "rule_summary": quality.check_summary(rules),
         "condition_counts": quality.concept_counts(table("condition_occurrence"), "condition_concept_id"),
+        "profile": sketches.sketched_profile(
+            reduce(DataFrame.unionByName, [sketches.column_sketches(table(name), name) for name in RULED_TABLES])
+        ),
         "drug_months": quality.month_counts(table("drug_exposure"), "drug_exposure_start_date"),
         "staged_counts": quality.row_counts(staging),
         "summary": quality.mapped_percentage(summary),

@@ -17,9 +17,11 @@ from carestrata.operators import (
     documents,
     edges,
     events,
+    fingerprints,
     intervals,
     quality,
     search,
+    sketches,
     visits,
     vocab,
     windows,
@@ -947,6 +949,58 @@ def field_profile(b: Bound) -> DataFrame:
     return quality.field_profile(b.conditions, "condition_occurrence")
 
 
+def _lines_in_batches(b: Bound) -> DataFrame:
+    """Sketches of the order lines, made per return flag and merged."""
+    lines = b.table("lineitem").drop("l_shipdate")
+    flags = ("A", "N", "R")
+    return sketches.merge_sketches(
+        [sketches.column_sketches(lines.where(F.col("l_returnflag") == flag), "lineitem") for flag in flags]
+    )
+
+
+@query
+def sketched_profile(b: Bound) -> DataFrame:
+    """Exact counts beside whether the sketches of merged batches are within their stated error."""
+    exact = quality.field_profile(b.table("lineitem").drop("l_shipdate"), "lineitem")
+    guess = sketches.sketched_profile(_lines_in_batches(b)).select(
+        "column_name",
+        F.struct("n_rows", "n_null").alias("counted"),
+        F.col("n_distinct").alias("estimate"),
+    )
+    off = F.abs(F.col("estimate") - F.col("n_distinct"))
+    return exact.join(guess, "column_name").select(
+        "table_name",
+        "column_name",
+        "n_rows",
+        "n_null",
+        "n_distinct",
+        (F.col("counted") == F.struct("n_rows", "n_null")).alias("counts_agree"),
+        (off <= F.lit(sketches.DISTINCT_ERROR) * F.col("n_distinct")).alias("distinct_within"),
+    )
+
+
+@query
+def frequent_values(b: Bound) -> DataFrame:
+    """Values of columns that hold fewer than are tracked, so that the counts are exact."""
+    found = _lines_in_batches(b).where("column_name in ('l_returnflag', 'l_linestatus', 'l_linenumber')")
+    return sketches.frequent_values(found, 100)
+
+
+@query
+def dataset_difference(b: Bound) -> DataFrame:
+    """Orders against a version with orders gone, new, moved to another customer and repriced."""
+    orders = b.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    new = orders.where("o_orderkey % 1000 = 7").withColumn("o_orderkey", -F.col("o_orderkey"))
+    edited = orders.where("o_orderkey % 1000 <> 1").withColumn(
+        "o_custkey", F.expr("if(o_orderkey % 1000 = 2, o_custkey + 1, o_custkey)")
+    )
+    edited = edited.withColumn("o_orderstatus", F.expr("if(o_orderkey % 1000 in (2, 3), cast(null as string), o_orderstatus)"))
+    paths = [scratch_path(b.spark, "version") for _ in range(2)]
+    for df, path in ((orders, paths[0]), (edited.unionByName(new), paths[1])):
+        fingerprints.write_version(df, path, ["o_orderkey"])
+    return fingerprints.dataset_difference(b.spark, *paths, ["o_orderkey"])
+
+
 @query
 def concept_counts(b: Bound) -> DataFrame:
     return quality.concept_counts(b.conditions, "condition_concept_id")
