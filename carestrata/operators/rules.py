@@ -159,10 +159,11 @@ def table_checks(
     if life is not None and person in df.columns and any(r.check in _OF_LIFE for r in rules):
         sides = life.select(F.col("person_id").alias("of person"), F.struct(*life.columns).alias("life"))
         joined = joined.join(sides, F.col(f"row.`{person}`") == F.col("`of person`"), "left")
-    if concept is not None:
+    looked_up = sorted({r.field for r in rules if r.check in _OF_CONCEPT and r.field in kept})
+    if concept is not None and looked_up:
         known = concept.select("concept_id", F.struct("domain_id", "standard_concept", "invalid_reason").alias("c"))
         known = broadcast_when_small(known.dropDuplicates(["concept_id"]))
-        for field in sorted({r.field for r in rules if r.check in _OF_CONCEPT and r.field in kept}):
+        for field in looked_up:
             side = known.select(F.col("concept_id").alias(f"id of {field}"), F.col("c").alias(f"concept of {field}"))
             joined = joined.join(side, F.col(f"row.`{field}`") == F.col(f"`id of {field}`"), "left")
     conditions = _evaluable(joined, rules)

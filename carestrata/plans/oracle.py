@@ -872,6 +872,44 @@ _cte(
     "check_rows",
 )
 
+_EVEN = "drug_concept_id between 10000000 and 10000098 and drug_concept_id % 2 = 0"
+_cte(
+    "ruled",
+    f"""select e.*, c.c_custkey is not null as known, c.born, c.died, c.gender,
+        e.start_date between s.first and s.first + 400 or e.start_date between s.last - 300 and s.last as observed,
+        k.concept_id is not null as in_vocabulary, k.domain_id, k.standard_concept, k.invalid_reason
+    from exposures e left join (
+        select c_custkey, {_BORN} as born, case when c_acctbal < 0 then {_DIED} end as died,
+            case c_mktsegment when 'MACHINERY' then 8507 else 8532 end as gender from customer where c_custkey % 50 <> 0
+    ) c on c.c_custkey = e.person_id
+    left join (select o_custkey, min(cast(o_orderdate as date)) as first, max(cast(o_orderdate as date)) as last
+        from orders group by 1) s on s.o_custkey = c.c_custkey
+    left join concept k on k.concept_id = e.drug_concept_id""",
+    "exposures",
+    "concept",
+)
+_RULED = [
+    ("FIELD", "is_required", "drug_exposure_end_date", 10, "given_end is null"),
+    ("FIELD", "is_one_of", "days_supply", 50, "days_supply not between 0 and 29"),
+    ("FIELD", "is_like", "drug_concept_id", 1, "drug_concept_id <> 0 and drug_concept_id not between 10000000 and 10009999"),
+    ("FIELD", "plausible_low", "days_supply", 5, "days_supply < 0"),
+    ("FIELD", "plausible_high", "days_supply", 5, "days_supply > 36"),
+    ("FIELD", "starts_before_end", "drug_exposure_start_date", 0, "start_date > given_end"),
+    ("FIELD", "is_known_person", "person_id", 5, "person_id is not null and not known"),
+    ("FIELD", "plausible_after_birth", "drug_exposure_start_date", 1, "start_date < born"),
+    ("FIELD", "plausible_before_death", "drug_exposure_start_date", 1, "start_date > died + 30"),
+    ("FIELD", "within_observation", "drug_exposure_start_date", 50, "start_date is not null and not coalesce(observed, false)"),
+    ("CONCEPT", "concept_recorded", "drug_concept_id", 20, "drug_concept_id = 0"),
+    ("CONCEPT", "concept_exists", "drug_concept_id", 0, "drug_concept_id <> 0 and not in_vocabulary"),
+    ("CONCEPT", "concept_is_standard", "drug_concept_id", 5,
+        "drug_concept_id <> 0 and not (coalesce(standard_concept, '') = 'S' and invalid_reason is null)"),
+    ("CONCEPT", "concept_in_domain", "drug_concept_id", 50, "drug_concept_id <> 0 and domain_id <> 'Drug'"),
+    ("CONCEPT", "plausible_gender", "drug_concept_id", 0.5, f"{_EVEN} and coalesce(gender, 0) <> 8532"),
+    ("CONCEPT", "plausible_value", "drug_concept_id", 0.5, f"{_EVEN} and days_supply not between 0 and 20"),
+    ("FIELD", "fits_width", "sig", 0, None),
+    ("CONCEPT", "plausible_unit", "drug_concept_id", 0, None),
+]
+
 
 def _count_of(*tables: str) -> str:
     return " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in tables)
@@ -1347,6 +1385,21 @@ def all_sql() -> dict[str, str]:
             "exposures",
         ),
         "quality_checks": _sql("select * from checks", "checks"),
+        "clinical_rules": _sql(
+            """select check_level, check_name, table_name, field_name, n_violated, n_rows,
+            case when n_violated * 100.0 > n_rows * pct then 1 else 0 end as failed,
+            case when n_violated * 100.0 <= n_rows * pct then 1 else 0 end as passed,
+            case when n_violated is null then 1 else 0 end as is_error, 0 as not_applicable from ("""
+            + " union all ".join(
+                f"""select '{level}' as check_level, '{check}' as check_name, 'drug_exposure' as table_name,
+                '{field}' as field_name, {f"count(*) filter ({violated})" if violated else "cast(null as bigint)"} as n_violated,
+                count(*) as n_rows, {pct} as pct from ruled"""
+                for level, check, field, pct, violated in _RULED
+            )
+            + """ union all select check_level, check_name, table_name, field_name, n_violated, n_rows, pct from check_rows
+                where table_name = 'lineitem' and check_level = 'TABLE')""",
+            "ruled", "check_rows",
+        ),
         "quality_check_summary": _sql(
             """select count(*) filter (failed = 1) as failed_checks, count(*) filter (passed = 1) as passed_checks,
             count(*) filter (is_error = 1) as error_checks, count(*) filter (not_applicable = 1) as not_applicable_checks,

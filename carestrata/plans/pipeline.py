@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carestrata.functions.parsing import staging_date
-from carestrata.operators import demographics, events, intervals, quality, sketches, visits, vocab
+from carestrata.operators import demographics, events, intervals, quality, rules, sketches, visits, vocab
 from carestrata.operators.ids import with_copy_number, with_lasting_id, with_surrogate_id
 from carestrata.runtime import materialise, scratch
 from carestrata.schema import MAP_TABLES, POPULATED, REQUIRED_VOCABULARY, VISIT_TABLES
@@ -253,6 +253,39 @@ def rule_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return quality.check_results(checks)
 
 
+def _rules_of_events(start: str, end: str, concept: str | None = None) -> list[rules.Rule]:
+    """Rules of a table of dated events (own definitions): dates fit the person's life."""
+    return [
+        rules.Rule("is_required", start),
+        rules.Rule("starts_before_end", start, end),
+        rules.Rule("is_known_person", "person_id"),
+        rules.Rule("plausible_after_birth", start, None, 1.0),
+        rules.Rule("plausible_before_death", start, 60, 1.0),
+        rules.Rule("within_observation", start, None, 5.0),
+    ] + ([rules.Rule("concept_recorded", concept, None, 5.0)] if concept else [])
+
+
+#: Rules of the built tables; thresholds are percentages of rows.
+CLINICAL_RULES = {
+    "visit_occurrence": _rules_of_events("visit_start_date", "visit_end_date"),
+    "condition_occurrence": _rules_of_events("condition_start_date", "condition_end_date", "condition_concept_id"),
+    "drug_exposure": _rules_of_events("drug_exposure_start_date", "drug_exposure_end_date", "drug_concept_id"),
+}
+
+
+def clinical_checks(spark: SparkSession, dataset: str) -> DataFrame:
+    """The clinical rules over a built dataset; persons' lives are stored once and read per table."""
+    table = lambda name: datasets.open_table(spark, dataset, name)
+    life = materialise(rules.lives(table("person"), table("death"), table("observation_period")), "lives")
+    return rules.all_checks({name: table(name) for name in CLINICAL_RULES}, CLINICAL_RULES, life)
+
+
+def dataset_profile(spark: SparkSession, dataset: str, names: tuple[str, ...] = RULED_TABLES) -> DataFrame:
+    """Profile of every column of the named tables, each table read once."""
+    made = [sketches.column_sketches(datasets.open_table(spark, dataset, name), name) for name in names]
+    return sketches.sketched_profile(reduce(DataFrame.unionByName, made))
+
+
 def check_dataset(
     spark: SparkSession,
     staging: dict[str, DataFrame],
@@ -288,17 +321,14 @@ def check_dataset(
         accepted = materialise(quarantine.accepted_gate(extracts, min_accepted_pct), "accepted")
         unfit = {"rejected_rows": quarantine.rejected_rows(extracts), "accepted": accepted}
         failures = failures.unionByName(quality.stage_failures(accepted, "staging"))
-    rules = materialise(rule_checks({name: table(name) for name in RULED_TABLES}), "rules")
+    checks = materialise(rule_checks({name: table(name) for name in RULED_TABLES}), "rules")
     moves = staging.get("claims_transactions")
     refused = {} if moves is None else {"refused_amounts": demographics.refused_amounts(moves.withColumnRenamed("type", "transfer_type"))}
     return refused | unfit | {
         "unmapped_events": table(UNMAPPED),
-        "rule_checks": rules,
-        "rule_summary": quality.check_summary(rules),
+        "rule_checks": checks,
+        "rule_summary": quality.check_summary(checks),
         "condition_counts": quality.concept_counts(table("condition_occurrence"), "condition_concept_id"),
-        "profile": sketches.sketched_profile(
-            reduce(DataFrame.unionByName, [sketches.column_sketches(table(name), name) for name in RULED_TABLES])
-        ),
         "drug_months": quality.month_counts(table("drug_exposure"), "drug_exposure_start_date"),
         "staged_counts": quality.row_counts(staging),
         "summary": quality.mapped_percentage(summary),

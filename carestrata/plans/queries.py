@@ -20,6 +20,7 @@ from carestrata.operators import (
     fingerprints,
     intervals,
     quality,
+    rules,
     search,
     sketches,
     visits,
@@ -1051,6 +1052,59 @@ def quality_check_summary(b: Bound) -> DataFrame:
     return quality.check_summary(_checks(b))
 
 
+def _customer_lives(b: Bound) -> DataFrame:
+    """Customers as persons; each is observed in two spans, around the first and the last order."""
+    born = F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") % 30000).cast("int"))
+    customer = b.table("customer")
+    person = customer.select(
+        F.col("c_custkey").alias("person_id"),
+        F.year(born).alias("year_of_birth"),
+        F.month(born).alias("month_of_birth"),
+        F.dayofmonth(born).alias("day_of_birth"),
+        F.expr("if(c_mktsegment = 'MACHINERY', 8507, 8532)").alias("gender_concept_id"),
+    )
+    death = customer.where("c_acctbal < 0").selectExpr(
+        "c_custkey as person_id", "date_add(date'2000-01-01', cast(floor(c_acctbal) as int)) as death_date"
+    )
+    span = b.table("orders").groupBy(F.col("o_custkey").alias("person_id")).agg(
+        F.min(F.col("o_orderdate").cast("date")).alias("first"), F.max(F.col("o_orderdate").cast("date")).alias("last")
+    )
+    periods = [
+        span.selectExpr("person_id", f"{start} as observation_period_start_date", f"{end} as observation_period_end_date")
+        for start, end in (("first", "date_add(first, 400)"), ("date_add(last, -300)", "last"))
+    ]
+    return rules.lives(person.where("person_id % 50 <> 0"), death, periods[0].unionByName(periods[1]))
+
+
+@query
+def clinical_rules(b: Bound) -> DataFrame:
+    """Sixteen kinds of rules over drug exposures and one over their ids; two of them cannot be evaluated."""
+    start, drug, even = "drug_exposure_start_date", "drug_concept_id", tuple(range(10000000, 10000100, 2))
+    listed = [
+        rules.Rule("is_required", "drug_exposure_end_date", None, 10.0),
+        rules.Rule("is_one_of", "days_supply", tuple(range(30)), 50.0),
+        rules.Rule("is_like", drug, "^(0|1000[0-9]{4})$", 1.0),
+        rules.Rule("plausible_low", "days_supply", 0, 5.0),
+        rules.Rule("plausible_high", "days_supply", 36, 5.0),
+        rules.Rule("starts_before_end", start, "drug_exposure_end_date"),
+        rules.Rule("is_known_person", "person_id", None, 5.0),
+        rules.Rule("plausible_after_birth", start, None, 1.0),
+        rules.Rule("plausible_before_death", start, 30, 1.0),
+        rules.Rule("within_observation", start, None, 50.0),
+        rules.Rule("concept_recorded", drug, None, 20.0),
+        rules.Rule("concept_exists", drug),
+        rules.Rule("concept_is_standard", drug, None, 5.0),
+        rules.Rule("concept_in_domain", drug, "Drug", 50.0),
+        rules.Rule("plausible_gender", drug, (even, 8532), 0.5),
+        rules.Rule("plausible_value", drug, (even, "days_supply", 0, 20), 0.5),
+        rules.Rule("fits_width", "sig", 10),
+        rules.Rule("plausible_unit", drug, (even, "unit_concept_id", (8576,))),
+    ]
+    keys = quality.primary_key_check(b.table("lineitem"), "lineitem", ["l_orderkey", "l_linenumber"], 1.0)
+    found = rules.all_checks({"drug_exposure": b.exposures}, {"drug_exposure": listed}, _customer_lives(b), b.concept)
+    return found.unionByName(keys)
+
+
 @query
 def top_warnings(b: Bound) -> DataFrame:
     late = b.ordered_lines.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_lines"))
