@@ -12,7 +12,7 @@ from carestrata.operators.documents import (
     primary_criteria,
     required_sets,
 )
-from carestrata.operators.vocab import concept_set_hits, map_codes_to_concepts
+from carestrata.operators.vocab import map_codes_to_concepts, sets_with_hits, shared_set_hits
 from carestrata.runtime import materialise
 
 # Texts of the report in words of our own, and how many example labels a row shows.
@@ -110,37 +110,35 @@ def _first_labels(rows: DataFrame, key: list[str]) -> DataFrame:
     return ranked.filter(F.col("_rank") <= EXAMPLES).drop("_rank")
 
 
-def provider_labels(matched: DataFrame, sources: DataFrame) -> DataFrame:
+def provider_labels(matched: DataFrame, sources: DataFrame, members: DataFrame | None = None) -> DataFrame:
     """Who provides the concepts each cohort matched, and two example labels.
 
     ``matched``: distinct ``cohort_id, concept_id``; ``sources``: ``concept_id,
-    module, display``. A concept that many modules emit is reduced to its flags
-    and its own first labels before it meets the cohorts; the first labels of a
-    cohort are among those.
+    module, display``. With ``members`` (``cohort_id, content``), ``matched`` has the
+    concepts of each ``content`` instead, which cohorts share. A concept that many
+    modules emit is reduced to its flags and its own first labels before it meets the
+    cohorts, and so is a content; the first labels of a cohort are among those.
     """
-    keys = document_keys(matched)
+    keys = document_keys(matched if members is None else members)
+    group = keys if members is None else ["content"]
     custom = F.col("module") == CUSTOM_LABEL
     flags = sources.groupBy("concept_id").agg(F.min(custom).alias("all_custom"), F.max(custom).alias("any_custom"))
     labels = _first_labels(
         sources.select("concept_id", F.concat("display", F.lit(" ["), "module", F.lit("]")).alias("label")),
         ["concept_id"],
     )
-    classes = (
-        matched.join(flags, "concept_id")
-        .groupBy(*keys)
-        .agg(
-            F.when(F.min("all_custom"), PROVIDED_CUSTOM)
-            .when(F.max("any_custom"), PROVIDED_BOTH)
-            .otherwise(PROVIDED_BUILT_IN)
-            .alias("provided_by")
-        )
-    )
-    examples = (
-        _first_labels(matched.join(labels, "concept_id"), keys)
-        .groupBy(*keys)
-        .agg(F.concat_ws("; ", F.array_sort(F.collect_list("label"))).alias("example_codes"))
+    both = [F.min("all_custom").alias("all_custom"), F.max("any_custom").alias("any_custom")]
+    classes = matched.join(flags, "concept_id").groupBy(*group).agg(*both)
+    first = _first_labels(matched.join(labels, "concept_id"), group)
+    if members is not None:
+        shared = members.select(*keys, "content").distinct()
+        classes = shared.join(classes, "content").groupBy(*keys).agg(*both)
+        first = _first_labels(shared.join(first, "content"), keys)
+    provided = (
+        F.when(F.col("all_custom"), PROVIDED_CUSTOM).when(F.col("any_custom"), PROVIDED_BOTH).otherwise(PROVIDED_BUILT_IN)
     )
-    return classes.join(examples, keys)
+    examples = first.groupBy(*keys).agg(F.concat_ws("; ", F.array_sort(F.collect_list("label"))).alias("example_codes"))
+    return classes.select(*keys, provided.alias("provided_by")).join(examples, keys)
 
 
 def coverage_report(
@@ -165,9 +163,9 @@ def coverage_report(
     items = concept_set_items(documents).join(
         needed_sets(primary, required), [*keys, "set_id"], "left_semi"
     )
-    hits = materialise(concept_set_hits(items, closure, sources, [*keys, "set_id"]), "hits")
-    verdicts = cohort_verdicts(primary, required, hits)
-    labels = provider_labels(hits.select(*keys, "concept_id").distinct(), sources)
+    members, hits = shared_set_hits(items, closure, sources, [*keys, "set_id"])
+    verdicts = cohort_verdicts(primary, required, sets_with_hits(members, hits))
+    labels = provider_labels(hits, sources, members)
     known_empty = expected_empty.select(*keys).distinct().withColumn("is_expected_empty", F.lit(True))
     expected = F.coalesce("is_expected_empty", F.lit(False))
     missing = F.when(

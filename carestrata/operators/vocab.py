@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.codes import MAPS_TO, is_valid_standard, vocabulary_of_system
 from carestrata.functions.parsing import contains_ignoring_case
-from carestrata.runtime import broadcast_bounded, materialise
+from carestrata.runtime import broadcast_bounded, is_small, materialise
 
 # Sizes of the search reports, and how few direct hits call for
 # the synonyms.
 TOP_NAMES, TOP_SYNONYMS, TOP_DESCENDANTS, FEW_HITS = 20, 10, 10, 3
 
+# Rows of concept sets that one task writes out, and the parts in which
+# the sets of one content meet its concepts.
+ROWS_PER_TASK, DEALS = 20_000_000, 16
+
 # Fixed value: the vocabulary row that carries the release name.
 RELEASE_ROW = "None"
 
@@ -299,34 +303,69 @@ def unknown_systems(codes: DataFrame) -> DataFrame:
 # -- concept sets ------------------------------------------------------------
 
 
-def concept_set_hits(items: DataFrame, closure: DataFrame, available: DataFrame, keys: list[str]) -> DataFrame:
-    """Available concepts inside each concept set.
+def shared_set_hits(items: DataFrame, closure: DataFrame, available: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Available concepts inside concept sets: (``keys, content``) of each set, (``content, concept_id``).
 
     ``items`` has ``keys``, ``concept_id``, ``descendants`` and ``excluded``; a
     concept is hit when an included item reaches it and no excluded item does.
-    The closure is first cut down to the available descendants, so a set at the
-    root of the hierarchy costs no more than the concepts at hand.
+    Sets of the same items share a ``content`` and are searched once. The closure is
+    first cut down to the available descendants, so a set at the root of the hierarchy
+    costs no more than the concepts at hand.
     """
+    item = ["concept_id", "descendants", "excluded"]
+    listed = items.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(*item))).alias("_items"))
+    members = materialise(listed.withColumn("content", F.sha2(F.to_json("_items"), 256)), "set-contents")
+    items = members.dropDuplicates(["content"]).select("content", F.inline("_items"))
     # Distinct concept ids of the codes in use; beyond the bound the joins below
     # are shuffled on the concept.
     at_hand = broadcast_bounded(available.select("concept_id").distinct(), "available")
-    direct = items.join(at_hand, "concept_id", "left_semi").select(*keys, "concept_id", "excluded")
+    direct = items.join(at_hand, "concept_id", "left_semi").select("content", "concept_id", "excluded")
     reach = closure.select(
         "ancestor_concept_id", F.col("descendant_concept_id").alias("concept_id")
     ).join(at_hand, "concept_id", "left_semi")
     inherited = (
         items.filter("descendants")
-        .select(*keys, F.col("concept_id").alias("ancestor_concept_id"), "excluded")
+        .select("content", F.col("concept_id").alias("ancestor_concept_id"), "excluded")
         .join(reach, "ancestor_concept_id")
-        .select(*keys, "concept_id", "excluded")
+        .select("content", "concept_id", "excluded")
     )
-    return (
+    hits = (
         direct.unionByName(inherited)
-        .groupBy(*keys, "concept_id")
+        .groupBy("content", "concept_id")
         .agg(F.max("excluded").alias("_excluded"))
         .filter(~F.col("_excluded"))
         .drop("_excluded")
     )
+    return members.drop("_items"), materialise(hits, "set-hits")
+
+
+def sets_with_hits(members: DataFrame, hits: DataFrame) -> DataFrame:
+    """The sets of :func:`shared_set_hits` that hold an available concept."""
+    return members.join(hits.select("content").distinct(), "content", "left_semi").drop("content")
+
+
+def concept_set_hits(items: DataFrame, closure: DataFrame, available: DataFrame, keys: list[str]) -> DataFrame:
+    """Available concepts inside each concept set, one row each.
+
+    What sets of the same items share (:func:`shared_set_hits`) is written out for each
+    of them. The rows are counted first and the sets dealt to as many tasks as they
+    take; the concepts of one content are met in ``DEALS`` parts of its sets, unless
+    all can be broadcast.
+    """
+    members, hits = shared_set_hits(items, closure, available, keys)
+    per_content = hits.groupBy("content").agg(F.count(F.lit(1)).alias("_hits"))
+    rows = members.groupBy("content").agg(F.count(F.lit(1)).alias("_sets")).join(per_content, "content")
+    total = rows.agg(F.sum(F.col("_hits") * F.col("_sets"))).first()[0] or 0
+    tasks = total // ROWS_PER_TASK + 1
+    if is_small(hits):
+        found = members.repartition(tasks, *keys).join(F.broadcast(hits), "content")
+    else:
+        deal = F.pmod(F.xxhash64(*keys), F.lit(DEALS)).cast("int")
+        dealt = hits.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
+        found = members.withColumn("_deal", deal).repartition(tasks, "content", "_deal").join(
+            dealt.repartition(tasks, "content", "_deal"), ["content", "_deal"]
+        )
+    return found.select(*keys, "concept_id")
 
 
 # -- closure -----------------------------------------------------------------

@@ -651,13 +651,13 @@ def hierarchy_closure(b: Bound) -> DataFrame:
 
 @query
 def concept_set_hits(b: Bound) -> DataFrame:
-    return _set_hits(b)
+    return vocab.concept_set_hits(*_set_inputs(b))
 
 
-def _set_hits(b: Bound) -> DataFrame:
+def _set_inputs(b: Bound) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
     items = documents.concept_set_items(b.cohort_documents)
     sources = coverage.codes_by_concept(b.module_codes, b.concept, b.relationship)
-    return vocab.concept_set_hits(items, b.closure, sources, ["cohort_id", "set_id"])
+    return items, b.closure, sources, ["cohort_id", "set_id"]
 
 
 # -- domain tables -----------------------------------------------------------
@@ -860,7 +860,8 @@ def required_sets(b: Bound) -> DataFrame:
 @query
 def cohort_verdicts(b: Bound) -> DataFrame:
     primary, required = documents.primary_criteria(b.cohort_documents), documents.required_sets(b.cohort_documents)
-    return coverage.cohort_verdicts(primary, required, _set_hits(b)).withColumn(
+    hits = vocab.sets_with_hits(*vocab.shared_set_hits(*_set_inputs(b)))
+    return coverage.cohort_verdicts(primary, required, hits).withColumn(
         "missing_sets", F.concat_ws(",", F.col("missing_sets").cast("array<string>"))
     )
 

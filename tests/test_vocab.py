@@ -142,6 +142,24 @@ def test_concept_set_hits(spark):
     ]
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_sets_of_equal_items_are_searched_once(spark, monkeypatch, small):
+    monkeypatch.setattr(vocab, "is_small", lambda df: small)
+    closure = spark.createDataFrame([(1, d) for d in range(1, 6)], "ancestor_concept_id long, descendant_concept_id long")
+    equal = [(c, 0, 1, True, False) for c in range(50)] + [(c, 0, 2, False, True) for c in range(50)]
+    items = spark.createDataFrame(
+        [*equal, (None, 0, 2, False, True), (None, 0, 1, True, False), (7, None, 3, False, False), (7, 1, 99, True, False)],
+        "c long, s int, concept_id long, descendants boolean, excluded boolean",
+    )
+    available = spark.createDataFrame([(2,), (3,), (4,), (3,)], "concept_id long")
+    members, hits = vocab.shared_set_hits(items, closure, available, ["c", "s"])
+    assert members.count() == 53 and hits.count() == 3
+    sets = {(c, 0) for c in [*range(50), None]}
+    assert {tuple(r) for r in vocab.sets_with_hits(members, hits).collect()} == sets | {(7, None)}
+    got = [tuple(r) for r in vocab.concept_set_hits(items, closure, available, ["c", "s"]).collect()]
+    assert len(got) == 103 and set(got) == {(*k, x) for k in sets for x in (3, 4)} | {(7, None, 3)}
+
+
 def test_release_and_states(spark):
     vocabulary = spark.createDataFrame([("None", "v5"), ("X", "x")], "vocabulary_id string, vocabulary_version string")
     assert rows(vocab.vocabulary_release(vocabulary)) == [("v5",)]
