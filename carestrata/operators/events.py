@@ -111,7 +111,8 @@ def map_events(
     vocabularies use means what it means in the event's own table.
 
     The map holds a row per code and is broadcast after a check of its size; the
-    events then shuffle by encounter and by patient. Adaptive execution splits a
+    events then shuffle by encounter, which events joined to theirs need not do again, and
+    by patient. Adaptive execution splits a
     busy patient or the events without an encounter over several tasks, since
     the other side is unique per key.
     """
@@ -123,8 +124,8 @@ def map_events(
         coded = coded.filter(F.array_contains("systems", F.col("vocabulary"))).drop("systems")
     return (
         coded.drop("vocabulary")
-        .join(people, "patient")
         .join(context, "encounter", "left")
+        .join(people, "patient")
         .withColumn("provider_id", F.when(F.col("patient") == F.col("_patient"), F.col("provider_id")))
         .withColumn("visit_detail_id", F.col("visit_occurrence_id") + DETAIL_ID_OFFSET)
         .drop("_patient")

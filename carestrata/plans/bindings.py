@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from carestrata.functions.parsing import staging_date
 from carestrata.operators import demographics, documents, events, intervals, visits, vocab
 from carestrata.operators.ids import with_surrogate_id
-from carestrata.runtime import materialise, read_table
+from carestrata.runtime import fit_shuffles, materialise, read_table
 
 # Fixed values of the bindings: part type to domain, priority and event type to
 # encounter class, event type to concept.
@@ -66,14 +66,19 @@ def _case(col: str, values: dict[str, object]):
 _stored: dict[tuple[str, str, str, str], DataFrame] = {}
 
 
-def folder_state(spark: SparkSession, folder: str) -> str:
-    """Sizes and times of all files below a folder; contents are not read."""
+def folder_files(spark: SparkSession, folder: str) -> list:
+    """Status of all files below a folder."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files, found = store.listFiles(place, True), []
     while files.hasNext():
-        file = files.next()
-        found.append(f"{file.getPath().toString()}:{file.getLen()}:{file.getModificationTime()}")
+        found.append(files.next())
+    return found
+
+
+def folder_state(spark: SparkSession, folder: str) -> str:
+    """Sizes and times of all files below a folder; contents are not read."""
+    found = [f"{f.getPath().toString()}:{f.getLen()}:{f.getModificationTime()}" for f in folder_files(spark, folder)]
     return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
@@ -101,6 +106,9 @@ class Bound:
     spark: SparkSession
     folder: str
 
+    def __post_init__(self) -> None:
+        fit_shuffles(self.spark, sum(file.getLen() for file in folder_files(self.spark, self.folder)))
+
     @cached_property
     def state(self) -> str:
         return folder_state(self.spark, self.folder)
@@ -440,24 +448,26 @@ class Bound:
     def order_final_ids(self) -> DataFrame:
         return visits.resolve_visits(self.order_encounters, self.order_visits)
 
-    def mapped(self, domain: str, vocabularies: list[str]) -> DataFrame:
-        """Order lines of one domain with person, concepts, visit and provider."""
-        codes = events.code_map(self.standard_map, self.source_map, [domain], vocabularies)
+    def mapped(self, domains: list[str], vocabularies: list[str]) -> DataFrame:
+        """Order lines of some domains with person, concepts, visit and provider."""
+        codes = events.code_map(self.standard_map, self.source_map, domains, vocabularies)
         return events.map_events(
             self.coded_events, codes, self.order_encounters, self.order_final_ids, self.providers, self.persons
         )
 
     @stored
     def all_billed_events(self) -> DataFrame:
-        """Distinct events of the billed domains, numbered within their domain."""
+        """Distinct events of the billed domains, numbered within their domain.
+
+        All domains are mapped and numbered together, so the order lines are joined and
+        sorted once; a domain's numbers then start at 1 again.
+        """
         columns = ["person_id", "encounter", "code", "date"]
-        numbered = [
-            with_surrogate_id(self.mapped(d, VOCABULARIES).select(columns).distinct(), "event_id", columns).withColumn(
-                "domain", F.lit(d)
-            )
-            for d in BILLED_DOMAINS
-        ]
-        return reduce(DataFrame.unionByName, numbered)
+        rows = self.mapped(list(BILLED_DOMAINS), VOCABULARIES).select(F.col("target_domain_id").alias("domain"), *columns)
+        numbered = materialise(with_surrogate_id(rows.distinct(), "event_id", ["domain", *columns]), "billed-events")
+        first = F.broadcast(numbered.groupBy("domain").agg(F.min("event_id").alias("_first")))
+        own = (F.col("event_id") - F.col("_first") + 1).alias("event_id")
+        return numbered.join(first, "domain").select(own, *columns, "domain")
 
     def billed_events(self, domain: str) -> DataFrame:
         return self.all_billed_events.filter(F.col("domain") == domain)
@@ -637,7 +647,8 @@ class Bound:
             return f"named_struct('system', {system}, 'code', {value}, 'display', {display})"
 
         part_code = code("system", "code", "p_name")
-        return self.parts.selectExpr(
+        # A small file of parts is one task; its documents are a hundred times as large.
+        return self.parts.repartition("p_partkey").selectExpr(
             "*",
             "if(p_size <= 25, 'SNOMED-CT', 'HCPCS') as system",
             "if(p_size = 1, 'REPLACE_ME', cast(p_partkey as string)) as code",

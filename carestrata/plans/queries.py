@@ -664,32 +664,32 @@ def _set_inputs(b: Bound) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
 
 @query
 def observation(b: Bound) -> DataFrame:
-    return events.observation(b.mapped("Observation", VOCABULARIES))
+    return events.observation(b.mapped(["Observation"], VOCABULARIES))
 
 
 @query
 def measurement(b: Bound) -> DataFrame:
-    return events.measurement(b.mapped("Measurement", VOCABULARIES), CLINICAL_TYPE)
+    return events.measurement(b.mapped(["Measurement"], VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def condition_occurrence(b: Bound) -> DataFrame:
-    return events.condition_occurrence(b.mapped("Condition", VOCABULARIES), CLINICAL_TYPE)
+    return events.condition_occurrence(b.mapped(["Condition"], VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def procedure_occurrence(b: Bound) -> DataFrame:
-    return events.procedure_occurrence(b.mapped("Procedure", VOCABULARIES), CLINICAL_TYPE)
+    return events.procedure_occurrence(b.mapped(["Procedure"], VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def drug_exposure(b: Bound) -> DataFrame:
-    return events.drug_exposure(b.mapped("Drug", VOCABULARIES), CLINICAL_TYPE)
+    return events.drug_exposure(b.mapped(["Drug"], VOCABULARIES), CLINICAL_TYPE)
 
 
 @query
 def device_exposure(b: Bound) -> DataFrame:
-    return events.device_exposure(b.mapped("Device", VOCABULARIES), CLINICAL_TYPE)
+    return events.device_exposure(b.mapped(["Device"], VOCABULARIES), CLINICAL_TYPE)
 
 
 @query

@@ -16,6 +16,15 @@ from pyspark.sql import types as T
 #: relation and within executor memory.
 BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES = 1_000_000, 64_000_000
 
+#: Bytes of stored input for each partition that shuffles start with, and bytes that
+#: a task reads of one: sorts and windows over them take some fifty times as many.
+INPUT_PER_PARTITION, READ_PER_TASK = 4_000_000, 16_000_000
+
+_FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_READ_PER_TASK = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+_fitted: dict[str, int] = {}
+
 _local_scratch: dict[str, str] = {}
 _open_scratch: list[list[str]] = []
 
@@ -89,6 +98,25 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             remove_path(spark, path)
 
 
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Let the shuffles of the session start with partitions in proportion to the input.
+
+    Adaptive execution joins small partitions up to ``READ_PER_TASK`` and splits skewed
+    ones, so what a task holds does not grow with the input, whatever number of
+    shuffle partitions the session has. What the session sets itself stays, and so does the
+    larger number of two folders.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _fitted and spark.conf.get(_FIRST_PARTITIONS, None) is not None:
+        return
+    wanted = max(-(-input_bytes // INPUT_PER_PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if wanted > _fitted.get(app, 0):
+        spark.conf.set(_FIRST_PARTITIONS, wanted)
+        _fitted[app] = wanted
+    if spark.conf.get(_READ_PER_TASK, None) is None:
+        spark.conf.set(_READ_PER_TASK, READ_PER_TASK)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Whether ``df`` has few rows and little text, by one aggregate over it."""
     texts = [F.length(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
