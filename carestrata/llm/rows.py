@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 
 #: Rows whose texts are Python objects at one time.
-_SLICE = 512
+SLICE = 512
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:
@@ -47,7 +47,7 @@ def add_columns(df: DataFrame, sources: list[str], new: str, compute: Callable[.
     types = list(to_arrow_schema(fields).types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(at, _SLICE) for whole in batches for at in range(0, whole.num_rows, _SLICE)):
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             made = compute(*(batch.column(s).to_pylist() for s in sources))
             columns = [batch.column(f.name) for f in kept] + [pa.array(v, type=t) for v, t in zip(made, types, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carestrata.llm.components import component_roots
-from carestrata.llm.rows import add_columns
+from carestrata.llm.rows import SLICE, add_columns, give_back
+from carestrata.llm.simhash import fingerprint_links, with_fingerprint
 from carestrata.runtime import broadcast_when_small, discard, materialise
 
 #: Near copies share at least four fifths of the shingles that either has.
@@ -51,11 +52,6 @@ def enough(shared: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (PART + WHOLE) * shared >= PART * sizes
 
 
-def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    at = column.offsets.to_numpy()
-    return column.values.to_numpy(zero_copy_only=False), at
-
-
 def with_digest(docs: DataFrame, text_col: str) -> DataFrame:
     """``docs`` with ``_hi`` and ``_lo``, a digest of the lower-cased words of a text."""
 
@@ -80,32 +76,35 @@ def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return add_columns(texts, ["text"], "n int, sketch binary, shingles array<long>", compute, drop=("text",)).where("n > 0")
 
 
-def prefixes(sets: DataFrame, common: np.ndarray) -> DataFrame:
-    """(key, node, n, place) of the first shingles of every set: rare ones, then common ones, each by value."""
+def prefixes(texts: DataFrame, words: int, common: np.ndarray) -> DataFrame:
+    """(key, node, n, place) of the first shingles of every text (node, text): rare ones, then common ones, each by value.
+
+    The shingles themselves stay in the task that makes them.
+    """
+
+    def first(s: np.ndarray) -> np.ndarray:
+        take = prefix_length(len(s))
+        if not len(common):
+            return s[:take]
+        found = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+        rare = s[~found][:take]
+        return rare if len(rare) == take else np.r_[rare, s[found][: take - len(rare)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, at = _lists(batch.column("shingles"))
-            if len(common) and len(values):
-                found = common[np.minimum(np.searchsorted(common, values), len(common) - 1)] == values
-            else:
-                found = np.zeros(len(values), bool)
-            keys, sizes = [], []
-            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                s, c = values[a:b], found[a:b]
-                take = prefix_length(b - a)
-                rare = s[~c][:take]
-                keys.append(rare if len(rare) == take else np.r_[rare, s[c][: take - len(rare)]])
-                sizes.append(take)
-            if not keys:
-                continue
-            n = np.diff(at)
-            place = np.concatenate([np.arange(k) for k in sizes]).astype(np.int32)
-            node = np.repeat(batch.column("node").to_numpy(), sizes)
-            arrays = [np.concatenate(keys), node, np.repeat(n, sizes).astype(np.int32), place]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["key", "node", "n", "place"])
-
-    return sets.select("node", "shingles").mapInArrow(run, "key long, node long, n int, place int")
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
+            keys, nodes, sizes = [], [], []
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                s = shingles_of((text or "").encode("utf-8", "replace").lower().split(), words)
+                if len(s):
+                    keys.append(first(s)), nodes.append(node), sizes.append(len(s))
+            if keys:
+                many = [len(k) for k in keys]
+                place = np.concatenate([np.arange(k, dtype=np.int32) for k in many])
+                arrays = [np.concatenate(keys), np.repeat(np.array(nodes, np.int64), many), np.repeat(np.array(sizes, np.int32), many), place]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["key", "node", "n", "place"])
+        give_back()
+
+    return texts.select("node", "text").mapInArrow(run, "key long, node long, n int, place int")
 
 
 def _could(n: Column, place: Column, m: Column, other: Column) -> Column:
@@ -146,10 +145,45 @@ def near_in_cell(sets: list[np.ndarray], places: np.ndarray) -> tuple[list[int],
     return a, b
 
 
-def near_links(texts: DataFrame, words: int) -> DataFrame:
+def near_fingerprints(prints: DataFrame, texts: DataFrame, words: int, radius: int = 2) -> DataFrame:
+    """Links (a, b) of near copies whose SimHash fingerprints, ``prints`` (node, fp), lie within ``radius`` bits.
+
+    Equal fingerprints are linked to one of them, which stands for all when
+    fingerprints are compared in bit-sliced form. A link counts if the shingles of both
+    texts confirm it, since fingerprints of different texts may be close.
+    """
+    per = materialise(prints.groupBy("fp").agg(F.min("node").alias("b")), "shingle-fps")
+    equal = prints.join(per, "fp").select(F.col("node").alias("a"), "b")
+    close = fingerprint_links(per.select("fp"), radius)
+    close = close.join(per.select(F.col("fp").alias("a"), F.col("b").alias("x")), "a").join(per.select(F.col("fp").alias("b"), F.col("b").alias("y")), "b")
+    both = equal.union(close.select("x", "y")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = materialise(both.where("a <> b").distinct(), "shingle-close")
+    links = materialise(confirmed(pairs, held_sets(pairs, texts, words)), "shingle-fp-links")
+    discard(pairs)
+    return links
+
+
+def held_sets(pairs: DataFrame, texts: DataFrame, words: int, more: DataFrame | None = None) -> DataFrame:
+    """(node, shingles) of the texts in ``pairs``, and of the nodes ``more``, stored."""
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    needed = (needed.union(more) if more is not None else needed).distinct()
+    needed = broadcast_when_small(materialise(needed, "shingle-needed"))
+    return materialise(shingle_sets(texts.join(needed, "node", "left_semi"), words).select("node", "shingles"), "shingle-sets")
+
+
+def confirmed(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The ``pairs`` (a, b) whose shingles in ``held`` make them near copies."""
+    left, right = held.toDF("a", "sa"), held.toDF("b", "sb")
+    met = F.size(F.array_intersect("sa", "sb"))
+    return pairs.join(left, "a").join(right, "b").where((PART + WHOLE) * met >= PART * (F.size("sa") + F.size("sb"))).select("a", "b")
+
+
+def near_links(texts: DataFrame, prints: DataFrame, words: int) -> DataFrame:
     """Links (a, b) of ``texts`` (node, text) that join exactly what near copies join.
 
-    Two sets with at least four fifths in common share a shingle of their first fifths,
+    Copies with close fingerprints, ``prints`` (node, fp), are linked by those; pairs
+    that these links join are not looked at again. Near copies of similarity 0.8 may
+    differ in 10 to 14 bits, so the others are found by their shingles. Two sets with at least four fifths in common share a shingle of their first fifths,
     whatever the order of shingles, so each set goes to the buckets of its first fifth.
     Common shingles come last in the order, which keeps boilerplate out of the
     buckets. Pairs of buckets up to ``BUCKET`` are sifted by sizes, places and sketches
@@ -160,17 +194,21 @@ def near_links(texts: DataFrame, words: int) -> DataFrame:
     """
     sets = shingle_sets(texts, words)
     drawings = materialise(sets.select("node", "n", "sketch"), "shingle-sketches")
+    known = near_fingerprints(prints, texts, words)
+    roots = materialise(component_roots(known), "shingle-roots")
     nothing = np.zeros(0, np.int64)
-    often = prefixes(sets, nothing).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
+    often = prefixes(texts, words, nothing).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
     often = often.orderBy(F.desc("n"), "key").limit(COMMON).select("key").toPandas()["key"].to_numpy(np.int64)
-    rows = prefixes(sets, np.sort(often))
+    rows = prefixes(texts, words, np.sort(often))
     sizes = materialise(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shingle-sizes")
     shared = materialise(rows.join(broadcast_when_small(sizes), "key"), "shingle-buckets")
 
     x = shared.where(F.col("size") <= BUCKET).select("key", F.col("node").alias("a"), "n", "place")
     y = x.select("key", F.col("a").alias("b"), F.col("n").alias("m"), F.col("place").alias("other"))
     pairs = x.join(y, "key").where((F.col("a") < F.col("b")) & _could(F.col("n"), F.col("place"), F.col("m"), F.col("other")))
-    pairs = materialise(pairs.select("a", "b").distinct(), "shingle-pairs")
+    root_of = broadcast_when_small(roots)
+    pairs = pairs.select("a", "b").distinct().join(root_of.toDF("a", "ra"), "a", "left").join(root_of.toDF("b", "rb"), "b", "left")
+    pairs = materialise(pairs.where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))).select("a", "b"), "shingle-pairs")
 
     def sifted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -185,12 +223,8 @@ def near_links(texts: DataFrame, words: int) -> DataFrame:
     drawn = pairs.join(side(drawings, "a", "n", "sketch"), "a").join(side(drawings, "b", "n", "sketch"), "b")
     likely = materialise(drawn.mapInPandas(sifted, "a long, b long"), "shingle-likely")
     wide = shared.where(F.col("size") > BUCKET)
-    needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).union(wide.select("node")).distinct()
-    needed = broadcast_when_small(materialise(needed, "shingle-needed"))
-    held = materialise(shingle_sets(texts.join(needed, "node", "left_semi"), words).select("node", "shingles"), "shingle-sets")
-    met = F.size(F.array_intersect("sa", "sb"))
-    whole = likely.join(side(held, "a", "shingles"), "a").join(side(held, "b", "shingles"), "b")
-    small = whole.where((PART + WHOLE) * met >= PART * (F.size("sa") + F.size("sb"))).select("a", "b")
+    held = held_sets(likely, texts, words, wide.select("node"))
+    small = confirmed(likely, held)
 
     def cell(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes = pdf["node"].to_numpy(np.int64)
@@ -202,8 +236,8 @@ def near_links(texts: DataFrame, words: int) -> DataFrame:
     large = large.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     large = large.select("node", "place", F.xxhash64("key", F.least("part", "with"), F.greatest("part", "with")).alias("cell"))
     large = large.join(held, "node").groupBy("cell").applyInPandas(cell, "a long, b long")
-    links = materialise(small.union(large), "shingle-links")
-    for table in (sizes, shared, pairs, likely, drawings, held):
+    links = materialise(small.union(large).union(known), "shingle-links")
+    for table in (sizes, shared, pairs, likely, drawings, held, known, roots):
         discard(table)
     return links
 
@@ -213,18 +247,19 @@ def one_of_each_near_copy(docs: DataFrame, words: int = 5, id_col: str = "doc_id
 
     Texts are lower-cased (A-Z) and split at ASCII white space. Two are linked if they
     have the same words or share at least four fifths of the distinct ``words``-word
-    shingles that either has; groups are what links reach. Texts of fewer words are one
+    shingles that either has, which their SimHash fingerprints tell first and prefixes of
+    shingles where those are too far apart; groups are what links reach. Texts of fewer words are one
     shingle; null, empty and blank texts are one group. Null ids come last, and of rows
     that repeat an id the first written stays. All columns are returned.
     """
-    marked = with_digest(docs, text_col).withColumn("_row", F.monotonically_increasing_id())
+    marked = with_fingerprint(with_digest(docs, text_col), words, text_col, "_fp").withColumn("_row", F.monotonically_increasing_id())
     marked = materialise(marked, "shingle-marked")
     first = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).cast("long").alias("id"), F.col("_row").alias("row"))
-    firsts = materialise(marked.groupBy("_hi", "_lo").agg(F.min(first).alias("first")).select("first", F.col("first.row").alias("node")), "shingle-firsts")
+    firsts = materialise(marked.groupBy("_hi", "_lo").agg(F.min(first).alias("first"), F.min("_fp").alias("fp")).select("first", "fp", F.col("first.row").alias("node")), "shingle-firsts")
     nodes = firsts.select("node")
     few = broadcast_when_small(nodes)
     texts = marked.select(F.col("_row").alias("node"), F.col(text_col).alias("text")).join(few, "node", "left_semi")
-    links = near_links(texts if few is not nodes else materialise(texts, "shingle-texts"), words)
+    links = near_links(texts if few is not nodes else materialise(texts, "shingle-texts"), firsts.select("node", "fp"), words)
     named = firsts.join(component_roots(links).withColumnRenamed("root", "_root"), "node", "left").withColumn("_root", F.coalesce("_root", "node"))
     kept = named.groupBy("_root").agg(F.min("first").alias("first"))
     kept = broadcast_when_small(materialise(kept.select(F.col("first.row").alias("_row")), "shingle-kept"))

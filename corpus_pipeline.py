@@ -36,9 +36,10 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of near-duplicates.
 
-    Documents that share at least 0.8 of their five-word shingles are linked, all of
-    them: no fingerprint stands between. Rows that repeat that id stand for one
-    document: one of them stays. A group of null ids only keeps one of its rows.
+    SimHash fingerprints of five-word shingles are compared in bit-sliced form and what
+    lies within 2 bits is linked, if the shingles confirm a similarity of 0.8. Documents
+    that share that much but have fingerprints further apart are linked as well, all of
+    them. Rows that repeat that id stand for one document: one of them stays. A group of null ids only keeps one of its rows.
     """
     return one_of_each_near_copy(docs, words=5)
 
