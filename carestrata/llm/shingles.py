@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from carestrata.llm.components import component_roots
 from carestrata.llm.rows import SLICE, add_columns, give_back
-from carestrata.llm.simhash import fingerprint_links, with_fingerprint
+from carestrata.llm.simhash import fingerprint, fingerprint_links
 from carestrata.runtime import broadcast_when_small, discard, materialise
 
 #: Near copies share at least four fifths of the shingles that either has.
@@ -52,17 +52,21 @@ def enough(shared: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (PART + WHOLE) * shared >= PART * sizes
 
 
-def with_digest(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with ``_hi`` and ``_lo``, a digest of the lower-cased words of a text."""
+def with_digest_and_fingerprint(docs: DataFrame, words: int, text_col: str) -> DataFrame:
+    """``docs`` with ``_hi`` and ``_lo``, a digest of a text's lower-cased words, and ``_fp``, its fingerprint.
+
+    Both are made in one pass: each pass of a task has a Python worker of its own, and
+    an executor keeps all its workers, and their memory, for the stages that follow.
+    """
 
     def compute(texts: list[str | None]) -> list:
         import xxhash
 
-        raw = b"".join(xxhash.xxh3_128_digest(b" ".join((t or "").encode("utf-8", "replace").lower().split())) for t in texts)
-        both = np.frombuffer(raw, dtype="<i8").reshape(-1, 2)
-        return [both[:, 0], both[:, 1]]
+        raw = [(t or "").encode("utf-8", "replace") for t in texts]
+        both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b" ".join(t.lower().split())) for t in raw), dtype="<i8").reshape(-1, 2)
+        return [both[:, 0], both[:, 1], np.array([fingerprint(t, words) for t in raw], dtype=np.uint64).view(np.int64)]
 
-    return add_columns(docs, [text_col], "_hi long, _lo long", compute)
+    return add_columns(docs, [text_col], "_hi long, _lo long, _fp long", compute)
 
 
 def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -252,7 +256,7 @@ def one_of_each_near_copy(docs: DataFrame, words: int = 5, id_col: str = "doc_id
     shingle; null, empty and blank texts are one group. Null ids come last, and of rows
     that repeat an id the first written stays. All columns are returned.
     """
-    marked = with_fingerprint(with_digest(docs, text_col), words, text_col, "_fp").withColumn("_row", F.monotonically_increasing_id())
+    marked = with_digest_and_fingerprint(docs, words, text_col).withColumn("_row", F.monotonically_increasing_id())
     marked = materialise(marked, "shingle-marked")
     first = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).cast("long").alias("id"), F.col("_row").alias("row"))
     firsts = materialise(marked.groupBy("_hi", "_lo").agg(F.min(first).alias("first"), F.min("_fp").alias("fp")).select("first", "fp", F.col("first.row").alias("node")), "shingle-firsts")

@@ -77,3 +77,16 @@ def test_cells_link_by_true_similarity():
     sets = [base, np.r_[base[:90], 1000:1010], np.r_[base[:60], 2000:2040], np.arange(5000, 5100)]
     a, b = shingles.near_in_cell(sets, np.zeros(4, np.int64))
     assert list(zip(a, b, strict=True)) == [(0, 1)]
+
+
+def test_texts_are_marked_by_one_python_worker_a_task(spark, monkeypatch):
+    plans, write = {}, shingles.materialise
+
+    def seen(df, label, *more):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label, *more)
+
+    monkeypatch.setattr(shingles, "materialise", seen)
+    docs = spark.createDataFrame([(1, "One two."), (2, "one  two."), (None, None)], "doc_id long, text string")
+    kept = shingles.one_of_each_near_copy(docs).collect()
+    assert {r["doc_id"] for r in kept} == {1, None} and plans["shingle-marked"].count("MapInArrow") == 1
