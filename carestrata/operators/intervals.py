@@ -9,7 +9,7 @@ number of calendar days, however many rows one person and concept may have.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carestrata.operators.ids import with_surrogate_id
@@ -50,20 +50,14 @@ def collapse_intervals(
             *([F.lit(1).alias(count)] if count and count not in df.columns else []),
         )
     else:
-        days = df.groupBy(*keys, start).agg(
-            F.max(F.greatest(end, start)).alias(end), *merged.values()
-        )
+        days = _by_day(df, keys, start, end, merged)
     if count:
         merged[count] = F.sum(F.col(count).cast("long")).alias(count)
 
     by_start = Window.partitionBy(*keys).orderBy(start)
-    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        days.withColumn("_reach", F.max(end).over(before))
-        .withColumn(
-            "_opens",
-            F.when(F.col(start) > F.date_add("_reach", gap_days), 1).otherwise(0),
-        )
+        days.withColumn("_reach", F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_opens", _opens(start, gap_days))
         .withColumn("_island", F.sum("_opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy(*keys, "_island")
         .agg(F.min(start).alias(start), F.max(end).alias(end), *merged.values())
@@ -71,6 +65,16 @@ def collapse_intervals(
     )
 
 
+def _by_day(df: DataFrame, keys: list[str], start: str, end: str, merged: dict[str, Column]) -> DataFrame:
+    """Rows combined per keys and start; an end before the start is the start."""
+    return df.groupBy(*keys, start).agg(F.max(F.greatest(end, start)).alias(end), *merged.values())
+
+
+def _opens(start: str, gap_days: int) -> Column:
+    """1 if a row's start lies more than the gap beyond ``_reach``, else 0, also for nulls."""
+    return F.when(F.col(start) > F.date_add("_reach", gap_days), 1).otherwise(0)
+
+
 def exposure_end(start: str, end: str, days_supply: str):
     """Given end; else start plus supply when that differs; else the next day."""
     supplied = F.date_add(F.col(start), F.col(days_supply).cast("int"))
@@ -129,18 +133,56 @@ def drug_eras(
 ) -> DataFrame:
     """Eras per person and ingredient, without id.
 
-    The second pass reuses the partitioning by person and ingredient of the
-    first, so both together need one combining shuffle and one window shuffle.
+    An era opens where an uninterrupted stretch (:func:`sub_exposures`) opens that lies
+    more than the gap beyond all before it. Both tests compare a row with the largest
+    end so far, so one order by start serves both: the days of a stretch are those that
+    its rows add to the largest end, and what an era sums up are differences of running
+    sums at its last row and before its first. So a task holds one sort and no hash table
+    beyond the combining step.
     """
-    eras = collapse_intervals(
-        sub_exposures(ingredient_exposures(exposures, concept, closure)),
-        ["person_id", "ingredient_concept_id"],
-        "start_date",
-        "end_date",
-        gap_days,
-        count="drug_exposure_count",
-        total=("days_exposed",),
-        distinct_starts=True,
+    keys = ["person_id", "ingredient_concept_id"]
+    rows = ingredient_exposures(exposures, concept, closure)
+    count = {"_n": F.sum(F.lit(1).cast("long")).alias("_n")}
+    days = _by_day(rows, keys, "start_date", "end_date", count)
+    by_start = Window.partitionBy(*keys).orderBy("start_date")
+    upto = by_start.rowsBetween(Window.unboundedPreceding, 0)
+    before = by_start.rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_row") == 1
+    # Rows of no start come first; the stretch that goes on from them starts with its first start.
+    starts = (F.col("_stretch") == 1) | F.col("_previous").isNull()
+    added = F.when(starts, F.datediff(F.greatest("_reach", "end_date"), "start_date")).otherwise(
+        F.greatest(F.datediff("end_date", "_reach"), F.lit(0))
+    )
+    marked = (
+        days.withColumn("_row", F.row_number().over(by_start))
+        .withColumn("_reach", F.max("end_date").over(before))
+        .withColumn("_previous", F.lag("start_date").over(by_start))
+        .withColumn("_stretch", _opens("start_date", 0))
+        .withColumn("_opens", F.when(F.col("_stretch") == 1, _opens("start_date", gap_days)).otherwise(0))
+        .withColumn("_added", added.cast("long"))
+        .withColumn("_all_n", F.sum("_n").over(upto))
+        .withColumn("_all_added", F.coalesce(F.sum("_added").over(upto), F.lit(0)))
+        .withColumn("_last", F.coalesce(F.lead("_opens").over(by_start), F.lit(1)) == 1)
+    )
+    opening = F.struct(
+        F.col("start_date").alias("start"),
+        (F.col("_all_n") - F.col("_n")).alias("n"),
+        (F.col("_all_added") - F.coalesce("_added", F.lit(0))).alias("added"),
+    )
+    opened = F.last(F.when(first | (F.col("_opens") == 1), opening), ignorenulls=True).over(upto)
+    start = F.coalesce("_open.start", "_first_start")
+    end = F.greatest("_reach", "end_date")
+    eras = (
+        marked.withColumn("_open", opened)
+        .withColumn("_first_start", F.min("start_date").over(upto))
+        .filter("_last")
+        .select(
+            *keys,
+            start.alias("start_date"),
+            end.alias("end_date"),
+            (F.col("_all_n") - F.col("_open.n")).alias("drug_exposure_count"),
+            (F.col("_all_added") - F.col("_open.added")).alias("days_exposed"),
+        )
     )
     return eras.select(
         "person_id",

@@ -107,10 +107,12 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
     larger number of two folders.
     """
     app = spark.sparkContext.applicationId
-    if app not in _fitted and spark.conf.get(_FIRST_PARTITIONS, None) is not None:
+    # A new session of the application has no number yet, though the application has.
+    found, ours = spark.conf.get(_FIRST_PARTITIONS, None), _fitted.get(app, 0)
+    if found not in (None, str(ours)):
         return
-    wanted = max(-(-input_bytes // INPUT_PER_PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if wanted > _fitted.get(app, 0):
+    wanted = max(-(-input_bytes // INPUT_PER_PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")), ours)
+    if found != str(wanted):
         spark.conf.set(_FIRST_PARTITIONS, wanted)
         _fitted[app] = wanted
     if spark.conf.get(_READ_PER_TASK, None) is None:

@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 
 import pytest
@@ -163,6 +164,33 @@ def test_drug_era_counts_exposures_and_gap_days(spark, drugs):
     ]
 
 
+def eras_in_two_passes(ingredient_rows, gap):
+    """Stretches first, then eras of stretches."""
+    eras = intervals.collapse_intervals(
+        intervals.sub_exposures(ingredient_rows), ["person_id", "ingredient_concept_id"], "start_date", "end_date", gap,
+        count="drug_exposure_count", total=("days_exposed",), distinct_starts=True,
+    )
+    gaps = F.datediff("end_date", "start_date") - F.col("days_exposed")
+    return eras.select("person_id", "ingredient_concept_id", "start_date", "end_date", "drug_exposure_count", gaps.alias("g"))
+
+
+@pytest.mark.parametrize("gap", [-3, 0, 4, 30])
+def test_eras_in_one_order_are_those_of_two_passes(spark, drugs, gap):
+    rng = random.Random(gap)
+    when = lambda a: None if a is None else BASE + timedelta(a)
+    data = [(p, 10, when(None), when(rng.choice([None, 3, 40])), None) for p in range(0, 60, 2)]
+    for _ in range(500):
+        a = rng.randrange(80)
+        end = rng.choice([None, a + rng.randrange(-3, 20)])
+        data.append((rng.choice([None, *range(60)]), rng.choice([10, 11]), when(a), when(end), rng.choice([None, 0, 4])))
+    exposures = spark.createDataFrame(data, EXPOSURES)
+    expected = eras_in_two_passes(intervals.ingredient_exposures(exposures, *drugs), gap)
+    got = intervals.drug_eras(exposures, *drugs, gap)
+    assert rows(got) == rows(expected)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Aggregate")  # nothing is held by era, only sorted once
+
+
 def test_condition_era_ends_the_next_day_when_open(spark):
     data = [(1, 5, day("2020-01-01"), None), (1, 5, day("2020-02-01"), None), (1, 5, day("2020-03-05"), day("2020-03-06"))]
     df = spark.createDataFrame(

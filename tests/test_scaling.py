@@ -31,6 +31,15 @@ def test_shuffles_start_with_partitions_in_proportion_to_the_input(spark, monkey
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_each_session_of_an_application_gets_its_partitions(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "_fitted", {})
+    first, second = spark.newSession(), spark.newSession()
+    for session in (first, second):
+        session.conf.unset(KEYS[0])
+        runtime.fit_shuffles(session, 400 * runtime.INPUT_PER_PARTITION)
+        assert session.conf.get(KEYS[0]) == "400"
+
+
 def test_documents_are_spread_before_they_are_written(spark):
     plan = Bound(spark, FOLDER).module_documents._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [p_partkey" in plan
