@@ -54,6 +54,8 @@ def collapse_intervals(
     if count:
         merged[count] = F.sum(F.col(count).cast("long")).alias(count)
 
+    if gap_days >= 0 and not (distinct_starts or smallest or total or (count and count in df.columns)):
+        return _collapse_in_order(days, keys, start, end, gap_days, count)
     by_start = Window.partitionBy(*keys).orderBy(start)
     return (
         days.withColumn("_reach", F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
@@ -75,6 +77,35 @@ def _opens(start: str, gap_days: int) -> Column:
     return F.when(F.col(start) > F.date_add("_reach", gap_days), 1).otherwise(0)
 
 
+def _collapse_in_order(days: DataFrame, keys: list[str], start: str, end: str, gap_days: int, count: str | None) -> DataFrame:
+    """:func:`collapse_intervals` of rows by day that are only counted, by one sort and no hash table.
+
+    An island is its last row: the largest end so far is its end, and its count the
+    difference of running counts there and before its first row.
+    """
+    by_start = Window.partitionBy(*keys).orderBy(start)
+    upto = by_start.rowsBetween(Window.unboundedPreceding, 0)
+    marked = (
+        days.withColumn("_row", F.row_number().over(by_start))
+        .withColumn("_reach", F.max(end).over(by_start.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_opens", _opens(start, gap_days))
+        .withColumn("_last", F.coalesce(F.lead("_opens").over(by_start), F.lit(1)) == 1)
+        .withColumn("_all", F.sum(count).over(upto) if count else F.lit(0))
+    )
+    opening = F.struct(F.col(start).alias("start"), (F.col("_all") - F.col(count) if count else F.lit(0)).alias("n"))
+    opened = F.last(F.when((F.col("_row") == 1) | (F.col("_opens") == 1), opening), ignorenulls=True).over(upto)
+    islands = (
+        marked.withColumn("_open", opened)
+        .withColumn("_first_start", F.min(start).over(upto))
+        .filter("_last")
+        .withColumn(end, F.greatest("_reach", end))
+        # Rows of no start come first, so only the first island can lack one where it opens.
+        .withColumn(start, F.coalesce("_open.start", "_first_start"))
+    )
+    counted = [(F.col("_all") - F.col("_open.n")).alias(count)] if count else []
+    return islands.select(*keys, start, end, *counted)
+
+
 def exposure_end(start: str, end: str, days_supply: str):
     """Given end; else start plus supply when that differs; else the next day."""
     supplied = F.date_add(F.col(start), F.col(days_supply).cast("int"))

@@ -191,6 +191,23 @@ def test_eras_in_one_order_are_those_of_two_passes(spark, drugs, gap):
     assert plan.index("Window") < plan.index("Aggregate")  # nothing is held by era, only sorted once
 
 
+@pytest.mark.parametrize("gap", [0, 3])
+def test_counted_intervals_are_sorted_once(spark, gap):
+    rng = random.Random(gap)
+    when = lambda a: None if a is None else BASE + timedelta(a)
+    days = [None, *range(60)]
+    data = [(rng.choice([None, *range(20)]), when(a := rng.choice(days)), when(None if a is None else a + rng.randrange(-2, 6)), 1) for _ in range(400)]
+    data += [(k, None, when(rng.choice([2, 30])), 1) for k in range(0, 20, 3)]
+    df = spark.createDataFrame(data, "k int, start_date date, end_date date, n int")
+    expected = intervals.collapse_intervals(df, ["k"], "start_date", "end_date", gap, count="n")
+    got = intervals.collapse_intervals(df.drop("n"), ["k"], "start_date", "end_date", gap, count="n")
+    assert got.columns == expected.columns and rows(got) == rows(expected)
+    bare = intervals.collapse_intervals(df.drop("n"), ["k"], "start_date", "end_date", gap, count=None)
+    assert rows(bare) == rows(expected, "k", "start_date", "end_date")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Aggregate")
+
+
 def test_condition_era_ends_the_next_day_when_open(spark):
     data = [(1, 5, day("2020-01-01"), None), (1, 5, day("2020-02-01"), None), (1, 5, day("2020-03-05"), day("2020-03-06"))]
     df = spark.createDataFrame(
