@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from carestrata.functions.codes import MAPS_TO
 from carestrata.functions.encounter_classes import (
-    ABSORBED_BY_INPATIENT,
-    NO_MATCH,
-    SAME_GROUP,
     class_group,
     visit_concept,
     visit_priority,
@@ -34,6 +31,10 @@ DISCHARGE_VOCABULARY = "UB04 Pt dis status"
 # The tree of days in which encounters meet visits: 2 ** 22 days from 0001-01-01 on.
 TREE_DEPTH, FIRST_DAY = 22, -719162
 
+# Sets of visits that an encounter is looked up in, best first: the class groups and all.
+ANY = "any"
+SETS = ("inpatient", "emergency", "outpatient", ANY)
+
 _INTERVAL = ["patient", "encounterclass", "start_date", "stop_date"]
 
 
@@ -186,26 +187,31 @@ def first_to_reach(visits: DataFrame) -> DataFrame:
     The sets are the class groups and ``any``. In the order of start, end and id
     a visit matters only if it lasts longer than all before it; it is then the
     first to reach the days from there to its end. Those days never overlap
-    within a set, so a set holds at most one row per calendar day.
+    within a set, so a set holds at most one row per calendar day. One order per
+    patient serves all sets.
     """
     earlier = (
-        Window.partitionBy("patient", "_set")
+        Window.partitionBy("patient")
         .orderBy("visit_start_date", "visit_end_date", "visit_occurrence_id")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    in_set = {s: F.lit(True) if s == ANY else class_group("encounterclass") == s for s in SETS}
+    reached = {f"_reached_{s}": F.max(F.when(member, F.col("visit_end_date"))).over(earlier) for s, member in in_set.items()}
+    longer = [
+        F.when(member & F.expr(f"_reached_{s} is null or visit_end_date > _reached_{s}"), F.struct(F.lit(s).alias("set"), F.col(f"_reached_{s}").alias("day")))
+        for s, member in in_set.items()
+    ]
     return (
-        visits.select(
+        visits.withColumns(reached)
+        .withColumn("_longer", F.explode(F.array_compact(F.array(*longer))))
+        .select(
             "patient",
-            "visit_occurrence_id",
+            F.col("visit_occurrence_id").alias("visit_occurrence_id_new"),
             "visit_start_date",
             "visit_end_date",
-            F.explode(F.array(class_group("encounterclass"), F.lit("any"))).alias("_set"),
+            F.col("_longer.set").alias("_set"),
+            F.greatest("visit_start_date", F.date_add("_longer.day", 1)).alias("_from"),
         )
-        .withColumn("_reached", F.max("visit_end_date").over(earlier))
-        .filter("_reached is null or visit_end_date > _reached")
-        .withColumn("_from", F.greatest("visit_start_date", F.date_add("_reached", 1)))
-        .withColumnRenamed("visit_occurrence_id", "visit_occurrence_id_new")
-        .drop("_reached")
     )
 
 
@@ -214,40 +220,44 @@ def resolve_visits(encounters: DataFrame, visits: DataFrame) -> DataFrame:
 
     Of the visits around an encounter the first by start, end and id counts, and
     that is the first one to reach its last day, if it starts in time. So the last
-    days of each patient are looked up in their sets (inpatient, the encounter's own
-    class group, any): visits and days are put in one order per patient and set, at
-    most one row per calendar day of either kind however long a visit is open, and a
-    day takes the last visit that begins to count by then. The answers are unique per
-    patient, set and day, so a busy patient's encounters can be split when they join.
+    days of each patient are looked up in all sets at once (the class groups and any):
+    visits and days are put in one order per patient, at most one row per set and
+    calendar day however long a visit is open, and a day takes the last visit of each
+    set that begins to count by then. The answers are unique per patient and day, so a
+    busy patient's encounters can be split when they join. Of the answers an encounter
+    takes that of inpatient stays, of its own class group or of any, the first there is.
     """
     encounters = closed(encounters)
-    mine = class_group("encounterclass")
-    sets = F.array_distinct(F.array_compact(F.array(F.when(mine.isNotNull(), "inpatient"), mine, F.lit("any"))))
-    priority = (
-        F.when(F.col("_set") == "any", NO_MATCH)
-        .when(F.col("_set") == "inpatient", ABSORBED_BY_INPATIENT)
-        .otherwise(SAME_GROUP)
-    )
-    asked = encounters.select(_INTERVAL).distinct().withColumn("_set", F.explode(sets))
     visit = F.struct("visit_start_date", "visit_end_date", "visit_occurrence_id_new")
-    reached = first_to_reach(visits).select("patient", "_set", F.col("_from").alias("_day"), visit.alias("_visit"))
-    days = asked.select("patient", "_set", F.col("stop_date").alias("_day")).filter("_day is not null").distinct()
-    upto = Window.partitionBy("patient", "_set").orderBy("_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    found = (
-        reached.unionByName(days.withColumn("_visit", F.lit(None).cast(reached.schema["_visit"].dataType)))
-        .withColumn("_last", F.last("_visit", ignorenulls=True).over(upto))
-        .filter("_visit is null and _day <= _last.visit_end_date")
-        .select("patient", "_set", F.col("_day").alias("stop_date"), "_last.visit_start_date", "_last.visit_occurrence_id_new")
+    reached = first_to_reach(visits).select("patient", F.col("_from").alias("_day"), "_set", visit.alias("_visit"))
+    days = (
+        encounters.select("patient", F.col("stop_date").alias("_day"))
+        .filter("patient is not null and _day is not null")
+        .distinct()
+        .select("*", F.lit(None).cast("string").alias("_set"), F.lit(None).cast(reached.schema["_visit"].dataType).alias("_visit"))
     )
-    best = (
-        asked.join(found, ["patient", "_set", "stop_date"])
-        .filter("visit_start_date <= start_date")
-        .groupBy(_INTERVAL)
-        .agg(F.min(F.struct(priority.alias("priority"), "visit_occurrence_id_new")).alias("best"))
-        .select(*_INTERVAL, F.col("best.visit_occurrence_id_new"))
+    upto = Window.partitionBy("patient").orderBy("_day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    last = {f"_{s}": F.last(F.when(F.col("_set") == s, F.col("_visit")), ignorenulls=True).over(upto) for s in SETS}
+    lasting = [
+        F.when(F.expr(f"_day <= _{s}.visit_end_date"), F.struct(f"_{s}.visit_start_date", f"_{s}.visit_occurrence_id_new")).alias(f"_{s}")
+        for s in SETS
+    ]
+    # A visit of any set is one of the set of all.
+    found = (
+        reached.unionByName(days)
+        .withColumns(last)
+        .filter("_set is null")
+        .select("patient", F.col("_day").alias("stop_date"), *lasting)
+        .filter(f"_{ANY} is not null")
     )
-    return encounters.select("encounter_id", *_INTERVAL).join(best, _INTERVAL, "left").select(
-        "encounter_id", "visit_occurrence_id_new"
+    around = {s: F.when(F.expr(f"_{s}.visit_start_date <= start_date"), F.col(f"_{s}")) for s in SETS}
+    mine = class_group("encounterclass")
+    own = [F.when(mine.isNotNull(), around["inpatient"]), *(F.when(mine == s, around[s]) for s in SETS if s not in ("inpatient", ANY))]
+    best = F.when(F.col("encounterclass").isNotNull(), F.coalesce(*own, around[ANY]))
+    return (
+        encounters.select("encounter_id", *_INTERVAL)
+        .join(found, ["patient", "stop_date"], "left")
+        .select("encounter_id", best["visit_occurrence_id_new"].alias("visit_occurrence_id_new"))
     )
 
 

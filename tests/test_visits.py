@@ -141,3 +141,19 @@ def test_open_and_far_future_stays(spark):
     every = visits.final_visit_ids(visits.assign_all_visit_ids(enc, found))
     assert dict(rows(every)) == got
     assert visits.candidate_intervals(visits.closed(enc), found).count() < 20
+
+
+def test_encounters_are_looked_up_in_all_sets_at_once(spark):
+    enc = encounters(spark, random_encounters(20))
+    found = spark.createDataFrame([], "visit_occurrence_id long, encounterclass string, patient string, visit_start_date date, visit_end_date date")
+    plan = visits.resolve_visits(enc, found)._jdf.queryExecution().analyzed().toString()
+    # The days are made distinct and joined once; encounters are not multiplied by their sets.
+    assert (plan.count("Join "), plan.count("Deduplicate"), plan.count("Aggregate ["), plan.count("Generate ")) == (1, 1, 0, 1)
+    assert set(rows(visits.resolve_visits(enc, found))) == {(i, None) for i in range(20)}
+
+
+def test_encounters_without_class_or_dates_have_no_visit(spark):
+    enc = encounters(spark, [(1, "a", "inpatient", 0, 3, None), (2, "a", None, 1, 1, None), (3, None, "inpatient", 1, 1, None)])
+    undated = spark.createDataFrame([(4, "a", "inpatient", None, day("2020-01-02"), None)], ENCOUNTERS)
+    found = visits.all_visits(enc.filter("encounter_id = 1"))
+    assert rows(visits.resolve_visits(enc.union(undated), found)) == [(1, 1), (2, None), (3, None), (4, None)]
