@@ -45,6 +45,11 @@ def test_documents_are_spread_before_they_are_written(spark):
     assert "RepartitionByExpression [p_partkey" in plan
 
 
+def test_patients_are_spread_before_their_dates_are_parsed(spark):
+    plan = Bound(spark, FOLDER).placed_patients._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [id" in plan
+
+
 def test_billed_domains_are_mapped_together_and_numbered_apart(spark, monkeypatch):
     calls, mapped = [], Bound.mapped
     monkeypatch.setattr(bindings, "_stored", {})
