@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from carestrata.runtime import fit_batches
 
 #: Rows whose texts are Python objects at one time.
 SLICE = 512
@@ -40,6 +41,7 @@ def add_columns(df: DataFrame, sources: list[str], new: str, compute: Callable[.
     ``compute`` gets a list of values per source column and gives one per new column.
     A column of ``df`` that has a new one's name gives way to it.
     """
+    fit_batches(df.sparkSession)
     fields = StructType.fromDDL(new)
     gone = {*drop, *fields.names}
     kept = [f for f in df.schema.fields if f.name not in gone]

@@ -20,9 +20,15 @@ BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES = 1_000_000, 64_000_000
 #: a task reads of one: sorts and windows over them take some fifty times as many.
 INPUT_PER_PARTITION, READ_PER_TASK = 4_000_000, 16_000_000
 
+#: Bytes of the rows that go to a Python worker at a time: an executor holds a batch as a
+#: growing buffer for each of its tasks, and so does each worker.
+BYTES_PER_BATCH = 4_000_000
+
 _FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _READ_PER_TASK = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
+_BYTES_PER_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _fitted: dict[str, int] = {}
 
 _local_scratch: dict[str, str] = {}
@@ -119,6 +125,15 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
         spark.conf.set(_READ_PER_TASK, READ_PER_TASK)
 
 
+def fit_batches(spark: SparkSession) -> None:
+    """Bound what goes to a Python worker at a time by bytes: ten thousand texts may be any size.
+
+    What the session sets itself stays.
+    """
+    if spark.conf.get(_BYTES_PER_BATCH, None) is None:
+        spark.conf.set(_BYTES_PER_BATCH, BYTES_PER_BATCH)
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
     """Whether ``df`` has few rows and little text, by one aggregate over it."""
     texts = [F.length(F.col(f"`{f.name}`")) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]

@@ -5,10 +5,13 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from carestrata import runtime
 from carestrata.llm.packing import WordIds, first_fit, pack_group, packed_sequences
 from carestrata.llm.queries import op3_tournament_packing, tokenizer_path
+from carestrata.llm.rows import add_columns
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -119,3 +122,19 @@ def test_words_of_other_tokenizers(tmp_path, lower):
     for text in ("Aa bb", "Hi, ab", "a,b Ab,"):
         ids = np.frombuffer(words.texts([text.encode()])[0], words.kind).tolist()
         assert ids == made.encode(text, add_special_tokens=False).ids, text
+
+
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
+    key = runtime._BYTES_PER_BATCH
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        docs = spark.range(1200, numPartitions=1).select(F.col("id").alias("doc_id"), F.expr("repeat('ab ', 5000)").alias("text"))
+        sizes = add_columns(docs, ["text"], "n int", lambda texts: [[len(texts)] * len(texts)]).select("n").distinct()
+        assert max(r[0] for r in sizes.collect()) <= runtime.BYTES_PER_BATCH // 15_000 + 1
+        # What the session itself sets stays.
+        spark.conf.set(key, "9000000")
+        add_columns(docs, ["text"], "n int", lambda texts: [[0] * len(texts)])
+        assert spark.conf.get(key) == "9000000"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
