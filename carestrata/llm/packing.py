@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import sys
-from string import punctuation
+from itertools import product
+from string import ascii_lowercase, punctuation
 from types import ModuleType
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
@@ -14,28 +16,37 @@ from pyspark.sql import functions as F
 
 from carestrata.llm.rows import add_columns
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Documents of a group, on average.
 GROUP_DOCS = 2048
 
+#: Words whose ids a Python worker remembers, and as many without punctuation.
+MOST_WORDS = 400_000
+
+MARKS = punctuation.encode()
+
 
 class WordIds:
     """Token ids of texts as bytes, made from those of their words.
 
     For tokenizers that drop white space and join nothing across it, a text's ids are
     those of its words in turn, so each word is encoded once while it is remembered
-    (about ``most`` words, and half as many without punctuation). Others encode whole
-    texts.
+    (about ``most`` words, and as many without punctuation; beyond that those of the
+    texts at hand stay). Others encode whole texts.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = MOST_WORDS):
         # Spark runs a worker per core; threads of their own would only hold memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65_536 else "<u4")
         self.words: dict[bytes, bytes] = {}
-        self.plain: dict[str, bytes] = {}
+        self.plain: dict[bytes, bytes | None] = {}
         self.by_word = self._ids("Aa bb") == self._ids("Aa") + self._ids("bb")
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -50,6 +61,13 @@ class WordIds:
             and self._ids("AbC") == self._ids("abc")
             and all(self._ids("ab" + p) == self._ids("ab") + self._ids(p) for p in parts)
         )
+        # Words of a to z need neither normalising nor splitting by patterns where the
+        # model alone gives the same, which half of the time goes to otherwise.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = WhitespaceSplit()
+        probe = " ".join([*map("".join, product(ascii_lowercase, repeat=2)), ascii_lowercase * 9])
+        if self._ids(probe, self.letters) != self._ids(probe):
+            self.letters = self.tokenizer
 
     @classmethod
     def of_worker(cls, path: str) -> WordIds:
@@ -59,51 +77,62 @@ class WordIds:
             kept[path] = cls(path)
         return kept[path]
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
+    def _ids(self, text: str, tokenizer: Tokenizer | None = None) -> bytes:
+        return np.array((tokenizer or self.tokenizer).encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """Ids of whole texts, which are split at ASCII white space only."""
         if not self.by_word:
             return [self._ids(t.decode("utf-8", "replace")) for t in texts]
         split = [t.split() for t in texts]
-        if len(self.words) > self.most:
-            self.words.clear()
-        if len(self.plain) > self.most // 2:
-            self.plain.clear()
         met: set[bytes] = set()
         for words in split:
             met.update(words)
-        self._learn(met.difference(self.words))
+        if len(self.words) > self.most:
+            self.words = {w: self.words[w] for w in met.intersection(self.words)}
+        self._learn(list(met.difference(self.words)))
         ids = self.words.__getitem__
         return [b"".join(map(ids, words)) for words in split]
 
-    def _learn(self, new: set[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Encodes new words: letters without the punctuation after them, many at a time."""
-        cut: list[tuple[bytes, str, str]] = []
-        for word in new:
-            text = word.decode("utf-8", "replace")
-            head = text.rstrip(punctuation)
-            if self.units and head.isalpha():
-                cut.append((word, head.lower() if head.isascii() else head, text[len(head) :]))
-            else:
-                self.words[word] = self._ids(text)
-        self._learn_plain(list({head for _, head, _ in cut}.difference(self.plain)))
-        for word, head, tail in cut:
-            if tail and tail not in self.plain:
-                self.plain[tail] = self._ids(tail)
-            self.words[word] = self.plain[head] + self.plain[tail] if tail else self.plain[head]
-
-    def _learn_plain(self, heads: list[str]) -> None:
+        if not self.units:
+            self.words.update((w, self._ids(w.decode("utf-8", "replace"))) for w in new)
+            return
+        # Of bytes, so that only ASCII letters change here, and only those are letters.
+        heads = [w.rstrip(MARKS).lower() for w in new]
+        met = set(heads)
+        if len(self.plain) > self.most:
+            self.plain = {h: self.plain[h] for h in met.intersection(self.plain)}
+        unknown = met.difference(self.plain)
+        self._learn_plain([h for h in unknown if h.isalpha()], self.letters)
+        others = [h for h in unknown if not h.isalpha()]
+        letters = {h for h in others if not h.isascii() and h.decode("utf-8", "replace").isalpha()}
+        self._learn_plain(list(letters), self.tokenizer)
+        plain, words = self.plain, self.words
+        # Whatever is more than letters and the punctuation after them is encoded whole.
+        plain.update((h, None) for h in others if h not in letters)
+        for word, head in zip(new, heads, strict=True):
+            ids = plain[head]
+            if ids is None:
+                ids = self._ids(word.decode("utf-8", "replace"))
+            elif len(head) < len(word):
+                tail = word[len(head) :]
+                if tail not in plain:
+                    plain[tail] = self._ids(tail.decode())
+                ids += plain[tail]
+            words[word] = ids
+
+    def _learn_plain(self, heads: list[bytes], tokenizer: Tokenizer) -> None:
         """Words of letters only are one unit each, whose last token ends a word."""
         if not heads:
             return
-        lines = [" ".join(heads[i : i + 64]) for i in range(0, len(heads), 64)]
-        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        lines = [b" ".join(heads[i : i + 64]).decode() for i in range(0, len(heads), 64)]
+        found = tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.array([i for line in found for i in line.ids], dtype=self.kind)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(heads):
-            self.plain.update((h, self._ids(h)) for h in heads)
+            self.plain.update((h, self._ids(h.decode())) for h in heads)
             return
         raw, at = ids.tobytes(), 0
         for head, stop in zip(heads, (stops * self.kind.itemsize).tolist(), strict=True):

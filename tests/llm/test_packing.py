@@ -138,3 +138,21 @@ def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
         assert spark.conf.get(key) == "9000000"
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_words_at_hand_are_not_encoded_again():
+    words, text = WordIds(tokenizer_path(), most=10), b"Some words, more than ten: they stay as long as texts bring them again. AND again!"
+    first = words.texts([text])
+    words.tokenizer = words.letters = None
+    assert words.texts([text]) == first
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_letters_alone_take_the_model_alone_where_it_gives_the_same(name):
+    import public_tokenizers
+
+    words = WordIds(public_tokenizers.path(name))
+    assert (words.letters is words.tokenizer) == (name != "word_bpe_49k.json")
+    texts = ["THE the The, tHE. café CAFÉ, Café ẖ H̱ don't <|endoftext|> ***  a1 K 'tis it's,", "zzzz qqq!! " * 3]
+    got = [np.frombuffer(b, words.kind).tolist() for b in words.texts([t.encode() for t in texts])]
+    assert got == [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
