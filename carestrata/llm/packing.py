@@ -23,7 +23,7 @@ if TYPE_CHECKING:
 GROUP_DOCS = 2048
 
 #: Words whose ids a Python worker remembers, and as many without punctuation.
-MOST_WORDS = 400_000
+MOST_WORDS = 150_000
 
 MARKS = punctuation.encode()
 

@@ -140,6 +140,16 @@ def test_texts_go_to_python_in_batches_of_bounded_bytes(spark):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def test_remembered_words_stay_small():
+    """A worker keeps tens of MB of ids at most, however many words there are."""
+    words, most = WordIds(tokenizer_path()), 0
+    for at in range(0, 400_000, 20_000):
+        words.texts([b" ".join(b"w" + bytes(49 + c for c in b"%d" % i) + b"," for i in range(at, at + 20_000))])
+        kept = [words.words, words.plain]
+        most = max(most, sum(map(len, kept)))
+    assert most < 400_000
+
+
 def test_words_at_hand_are_not_encoded_again():
     words, text = WordIds(tokenizer_path(), most=10), b"Some words, more than ten: they stay as long as texts bring them again. AND again!"
     first = words.texts([text])
