@@ -182,9 +182,9 @@ def _build(
     save_model(visits.enrich_discharge(occurrence, final_ids, encounters, concept, relationship), "visit_occurrence")
     save_model(visits.visit_detail(rolled, final_ids, person), "visit_detail")
 
-    # One pass over all coded events; each domain then reads its own folder.
+    # One pass over the texts of all coded events; each domain then reads its own folder.
     routes = events.code_map(standard, source, list(DOMAIN_TABLES), CODE_VOCABULARIES)
-    coded = coded_events(staging, coded_tables)
+    coded = materialise(coded_events(staging, coded_tables), "coded")
     save(events.unmapped_events(coded, routes), UNMAPPED)
     mapped = materialise(
         events.map_events(coded, routes, encounters, final_ids, provider, person),
@@ -231,6 +231,7 @@ def _build(
             staging_date("servicedate").alias("service_date"),
         )
     )
+    claims = materialise(claims, "claims")
     moves = staging["claims_transactions"].select(
         F.col("claimid").alias("claim_id"),
         F.col("type").alias("transfer_type"),
