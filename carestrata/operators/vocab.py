@@ -13,9 +13,9 @@ from carestrata.runtime import broadcast_bounded, is_small, materialise
 # the synonyms.
 TOP_NAMES, TOP_SYNONYMS, TOP_DESCENDANTS, FEW_HITS = 20, 10, 10, 3
 
-# Rows of concept sets that one task writes out, and the parts in which
-# the sets of one content meet its concepts.
-ROWS_PER_TASK, DEALS = 20_000_000, 16
+# Rows of concept sets that one task writes out, and the sets or concepts
+# of one content in a block: a task holds the rows of one pair of blocks at a time.
+ROWS_PER_TASK, BLOCK = 20_000_000, 256
 
 # Fixed value: the vocabulary row that carries the release name.
 RELEASE_ROW = "None"
@@ -339,33 +339,46 @@ def shared_set_hits(items: DataFrame, closure: DataFrame, available: DataFrame,
     return members.drop("_items"), materialise(hits, "set-hits")
 
 
+def sets_of(members: DataFrame, hits: DataFrame) -> DataFrame:
+    """The sets of :func:`shared_set_hits` that hold an available concept, with their content."""
+    return members.join(hits.select("content").distinct(), "content", "left_semi")
+
+
 def sets_with_hits(members: DataFrame, hits: DataFrame) -> DataFrame:
     """The sets of :func:`shared_set_hits` that hold an available concept."""
-    return members.join(hits.select("content").distinct(), "content", "left_semi").drop("content")
+    return sets_of(members, hits).drop("content")
+
+
+def _in_blocks(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """The ``columns`` of each ``content`` as sorted arrays of about ``BLOCK`` rows, dealt by a hash."""
+    counted = rows.groupBy("content").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_blocks"))
+    return (
+        rows.join(counted, "content")
+        .groupBy("content", F.pmod(F.xxhash64(*columns), F.col("_blocks")).alias("_block"))
+        .agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
+        .drop("_block")
+    )
 
 
 def concept_set_hits(items: DataFrame, closure: DataFrame, available: DataFrame, keys: list[str]) -> DataFrame:
     """Available concepts inside each concept set, one row each.
 
     What sets of the same items share (:func:`shared_set_hits`) is written out for each
-    of them. The rows are counted first and the sets dealt to as many tasks as they
-    take; the concepts of one content are met in ``DEALS`` parts of its sets, unless
-    all can be broadcast.
+    of them, which is sets times concepts. So only blocks of sets and blocks of concepts
+    are joined, one row per pair of blocks, and dealt to as many tasks as the rows take,
+    which are counted first; a task writes a pair out row by row. A concept stands beside
+    all sets of its block before the next one comes: in a columnar file its id is one
+    run, and the keys of the sets repeat after at most a block.
     """
     members, hits = shared_set_hits(items, closure, available, keys)
     per_content = hits.groupBy("content").agg(F.count(F.lit(1)).alias("_hits"))
-    rows = members.groupBy("content").agg(F.count(F.lit(1)).alias("_sets")).join(per_content, "content")
-    total = rows.agg(F.sum(F.col("_hits") * F.col("_sets"))).first()[0] or 0
-    tasks = total // ROWS_PER_TASK + 1
-    if is_small(hits):
-        found = members.repartition(tasks, *keys).join(F.broadcast(hits), "content")
-    else:
-        deal = F.pmod(F.xxhash64(*keys), F.lit(DEALS)).cast("int")
-        dealt = hits.withColumn("_deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1))))
-        found = members.withColumn("_deal", deal).repartition(tasks, "content", "_deal").join(
-            dealt.repartition(tasks, "content", "_deal"), ["content", "_deal"]
-        )
-    return found.select(*keys, "concept_id")
+    rows = members.groupBy("content").agg(F.count(F.lit(1)).alias("_count")).join(per_content, "content")
+    total = rows.agg(F.sum(F.col("_hits") * F.col("_count"))).first()[0] or 0
+    sets = _in_blocks(sets_of(members, hits), keys, "_sets")
+    concepts = _in_blocks(hits, ["concept_id"], "_concepts")
+    pairs = sets.join(F.broadcast(concepts) if is_small(hits) else concepts, "content")
+    dealt = pairs.select("_sets", "_concepts").repartition(total // ROWS_PER_TASK + 1)
+    return dealt.select("_sets", F.inline("_concepts")).select("concept_id", F.inline("_sets")).select(*keys, "concept_id")
 
 
 # -- closure -----------------------------------------------------------------

@@ -160,6 +160,21 @@ def test_sets_of_equal_items_are_searched_once(spark, monkeypatch, small):
     assert len(got) == 103 and set(got) == {(*k, x) for k in sets for x in (3, 4)} | {(7, None, 3)}
 
 
+@pytest.mark.parametrize("block", [2, 256])
+def test_a_concept_stands_beside_the_sets_of_its_block(spark, monkeypatch, block):
+    monkeypatch.setattr(vocab, "BLOCK", block, raising=False)
+    closure = spark.createDataFrame([(1, d) for d in range(1, 21)], "ancestor_concept_id long, descendant_concept_id long")
+    items = spark.createDataFrame(
+        [(c, 1, True, False) for c in [None, *range(299)]] + [(1000, 5, False, False)],
+        "c long, concept_id long, descendants boolean, excluded boolean",
+    )
+    available = spark.createDataFrame([(i,) for i in range(1, 21)], "concept_id long")
+    got = [tuple(r) for r in vocab.concept_set_hits(items, closure, available, ["c"]).collect()]
+    assert len(got) == 6001 and set(got) == {(c, i) for c in [None, *range(299)] for i in range(1, 21)} | {(1000, 5)}
+    runs = sum(a[1] != b[1] for a, b in zip(got, got[1:]))
+    assert runs <= 6001 / min(block, 50) * 2
+
+
 def test_release_and_states(spark):
     vocabulary = spark.createDataFrame([("None", "v5"), ("X", "x")], "vocabulary_id string, vocabulary_version string")
     assert rows(vocab.vocabulary_release(vocabulary)) == [("v5",)]
